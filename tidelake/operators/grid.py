@@ -47,7 +47,7 @@ def minute_grid(spans: DataFrame) -> DataFrame:
     Spans are cut into day-long chunks that are spread over the cluster before they become minutes, so years of one
     symbol are not built in one task. Minutes count from the first one, aligned or not.
     """
-    steps = F.expr("floor((unix_seconds(last_minute) - unix_seconds(first_minute)) / 60)")
+    steps = F.expr("(unix_micros(last_minute) - unix_micros(first_minute)) div 60000000")
     chunks = (
         spans.withColumn("_steps", steps)
         .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, _steps div {CHUNK_MINUTES})")))

@@ -214,7 +214,7 @@ def quality_thresholds(
     30 % nulls in each ``bounded`` column.
     """
     rows = F.count(F.lit(1))
-    span = F.floor(F.expr(f"unix_seconds(max({time})) - unix_seconds(min({time}))") / 60) + 1
+    span = F.expr(f"(unix_micros(max({time})) - unix_micros(min({time}))) div 60000000") + 1
     # fixed values: limits
     checks: list[tuple[str, Column, float, str]] = [("coverage", rows / span, 0.99, "min")]
     checks += [(f"nulls:{c}", F.count_if(F.col(c).isNull()).cast("double"), 0.0, "max") for c in required]
