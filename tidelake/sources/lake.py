@@ -25,7 +25,7 @@ from tidelake.schemas import (
     SILVER_PARTITIONS,
     SOURCE_ENDPOINT,
 )
-from tidelake.session import scratch_dir, scratch_root
+from tidelake.session import scratch_dir
 
 STORED_ORDER = ["ingested_at", "run_id"]
 
@@ -212,17 +212,21 @@ def _finished(spark: SparkSession, marker: str) -> bool:
     return found is not None and found.count() == 1
 
 
-def upsert_partitions(spark: SparkSession, new: DataFrame, root: str, dataset_type: str, batch: str | None = None) -> DataFrame:
+def upsert_partitions(
+    spark: SparkSession, new: DataFrame, root: str, dataset_type: str, stage: str | None = None
+) -> DataFrame:
     """Merge bronze rows into the day partitions they belong to; returns the partitions written and their rows.
 
     Only the touched days are read and rewritten; a hot day is split over several files. The merged days are first
-    written to the shared scratch folder and then published with a dynamic partition overwrite. A batch that died
-    while publishing and is run again under the same ``batch`` name publishes the finished copy again instead of
-    merging with half-replaced days, and a batch delivered twice changes nothing.
+    written to ``stage`` (by default a fresh folder in the shared scratch area) and then published with a dynamic
+    partition overwrite. A batch that died while publishing and is run again with the same ``stage`` publishes the
+    finished copy instead of merging with half-replaced days, so ``stage`` must name one batch only. A batch
+    delivered twice changes nothing.
     """
-    stage = f"{scratch_root(spark)}/tidelake/upsert/{batch}/{dataset_type}" if batch else scratch_dir(spark, "upsert")
+    resumable = stage is not None
+    stage = stage or scratch_dir(spark, "upsert")
     rows_path, marker = f"{stage}/rows", f"{stage}/finished"
-    if not (batch and _finished(spark, marker)):
+    if not (resumable and _finished(spark, marker)):
         fresh = with_partitions(new).persist()
         span = fresh.agg(F.min("open_time").cast("date").alias("lo"), F.max("open_time").cast("date").alias("hi")).first()
         if span is None or span.lo is None:
@@ -247,9 +251,8 @@ def _written(rows: DataFrame) -> DataFrame:
 def sink_bronze(
     spark: SparkSession, rows: DataFrame, root: str, dataset_type: str, run_id: str, ingested_at: datetime | str
 ) -> DataFrame:
-    """Stamp typed rows of one dataset and upsert them; the run id doubles as the batch name."""
-    bronze = stamp_audit(rows, dataset_type, run_id, ingested_at)
-    return upsert_partitions(spark, bronze, root, dataset_type, batch=run_id)
+    """Stamp typed rows of one dataset and upsert them."""
+    return upsert_partitions(spark, stamp_audit(rows, dataset_type, run_id, ingested_at), root, dataset_type)
 
 
 def sink_bronze_ohlcv(spark: SparkSession, rows: DataFrame, root: str, market: str, run_id: str, ingested_at: datetime | str) -> DataFrame:

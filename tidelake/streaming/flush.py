@@ -15,16 +15,16 @@ def chunk_flush(
     dataset_type: str,
     checkpoint: str,
     files_per_batch: int = 100,
-    label: str = "flush",
 ) -> None:
     """Upsert all files that landed since the last call, batch by batch, then stop.
 
     The streaming checkpoint records finished batches, and a batch that is run again merges to the same rows, so a
-    restart neither skips nor repeats data. ``label`` names this stream's staged batches.
+    restart neither skips nor repeats data. Staged batches live in the checkpoint folder, next to the log that numbers
+    them.
     """
 
     def flush(batch: DataFrame, number: int) -> None:
-        upsert_partitions(spark, batch, root, dataset_type, batch=f"{label}-{number}")
+        upsert_partitions(spark, batch, root, dataset_type, stage=f"{checkpoint}/staged/{number}")
 
     query = (
         spark.readStream.schema(BRONZE_SCHEMAS[dataset_type])
