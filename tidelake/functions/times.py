@@ -81,7 +81,7 @@ def month_start(c: Column) -> Column:
 def parse_start_date(c: Column) -> Column:
     """``YYYY-MM-DD`` text to epoch milliseconds; blank text is null, other text an error."""
     text = F.trim(c)
-    return F.when(text != "", F.unix_millis(F.to_timestamp(text, F.lit("yyyy-MM-dd"))))
+    return F.when(text != "", F.unix_millis(F.to_timestamp(text, "yyyy-MM-dd")))
 
 
 def interval_ms(c: Column) -> Column:
