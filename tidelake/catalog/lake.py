@@ -1 +1,694 @@
-"""placeholder"""
+"""Lake layouts, upserts, typed and combined readers, landed payloads, manifests and the streaming load.
+
+Lakes are written to the shared scratch folder from the feeds and read back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidelake.catalog import sql as S
+from tidelake.catalog.base import EXCHANGE, query, rounded
+from tidelake.functions.symbols import canon_symbol
+from tidelake.functions.times import trunc_minute
+from tidelake.operators import governance, profile
+from tidelake.plans import combined, gold, silver
+from tidelake.schemas import (
+    BRONZE_PARTITIONS,
+    BRONZE_PARTITIONS_OLD,
+    BRONZE_SCHEMAS,
+    SILVER_COLUMNS,
+)
+from tidelake.session import scratch_dir
+from tidelake.sources import lake, landing, manifests
+from tidelake.streaming.flush import chunk_flush as flush_stream
+
+_TICK = [f.name for f in BRONZE_SCHEMAS["perp_trades"]]
+_CANDLE = [f.name for f in BRONZE_SCHEMAS["spot"] if f.name != "origin_payload"]
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _cols(names: list[str]) -> str:
+    return ", ".join(names)
+
+
+def _days(df, root: str, partitions: list[str] = BRONZE_PARTITIONS) -> None:
+    rows = lake.with_partitions(df)
+    rows = rows if "year" in partitions else rows.drop("year")
+    rows.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(root)
+
+
+def bronze_lake(f) -> str:
+    """A bronze lake of all feeds, written once per session and data folder.
+
+    First deliveries of ticks have the ``year=`` level in their folders, second deliveries lack it.
+    """
+    key = (f.spark.sparkContext.applicationId, f.sf_dir, "bronze")
+    if key not in _written:
+        root = scratch_dir(f.spark, "bronze")
+        ticks = f.ticks()
+        _days(ticks.where("run_id = 'run-0'"), root)
+        _days(ticks.where("run_id <> 'run-0'"), root, BRONZE_PARTITIONS_OLD)
+        for market in ("spot", "perp"):
+            _days(f.minute_candles(market), root)
+        _days(f.funding(), root)
+        _days(silver.type_oi(f.oi()).where("length(symbol) > 0").drop("timestamp"), root)
+        _written[key] = root
+    return _written[key]
+
+
+def silver_lake(f) -> str:
+    """Silver candles of all line items, by symbol and month."""
+    key = (f.spark.sparkContext.applicationId, f.sf_dir, "silver")
+    if key not in _written:
+        root = scratch_dir(f.spark, "silver")
+        clean = silver.ohlcv_clean(f.candles())
+        for market in ("spot", "perp"):
+            lake.write_silver(clean.where(f"dataset_type = '{market}'"), root, market, "1m", "open_time")
+        _written[key] = root
+    return _written[key]
+
+
+# ---- scans and discovery --------------------------------------------------------------------------
+
+
+@query("scan_lake", f"SELECT {_cols(_TICK)}, strftime(open_time, '%Y') AS year, strftime(open_time, '%Y-%m') AS month, strftime(open_time, '%Y-%m-%d') AS date FROM ticks", "ticks")
+def scan_lake(f):
+    return lake.scan_lake(f.spark, bronze_lake(f), "perp_trades")
+
+
+@query("scan_month", f"SELECT {_cols(_CANDLE)} FROM spot1 WHERE symbol = 'BTC_USDC' AND strftime(open_time, '%Y-%m') = '2024-01'", "spot1")
+def scan_month(f):
+    month = lake.scan_lake(f.spark, bronze_lake(f), "spot", EXCHANGE, "spot", "BTC_USDC", "1m", months="2024-01")
+    return month.select(*_CANDLE)
+
+
+@query("discover_symbols", "SELECT DISTINCT symbol FROM spot1", "spot1")
+def discover_symbols(f):
+    return lake.discover_symbols(f.spark, bronze_lake(f), "spot", EXCHANGE, "1m")
+
+
+@query("discover_months", "SELECT DISTINCT strftime(open_time, '%Y-%m') AS month FROM ticks WHERE exchange = 'DERIBIT'", "ticks")
+def discover_months(f):
+    return lake.discover_months(f.spark, bronze_lake(f), "perp_trades", "DERIBIT", "BTC-PERPETUAL", "tick")
+
+
+@query("discover_observed_months", "SELECT DISTINCT symbol, strftime(open_time, '%Y-%m') AS month FROM c_clean WHERE dataset_type = 'perp'", "c_clean")
+def discover_observed_months(f):
+    return lake.read_silver(f.spark, silver_lake(f), "perp", "1m").select("symbol", "month").distinct()
+
+
+@query(
+    "read_silver_for_gold",
+    f"SELECT {_cols([c for c in _CANDLE if c != 'dataset_type'])} FROM c_clean WHERE dataset_type = 'spot' AND symbol = 'ETH_USDC'",
+    "c_clean",
+)
+def read_silver_for_gold(f):
+    stored = lake.read_silver(f.spark, silver_lake(f), "spot", "1m").where(canon_symbol(F.col("symbol")) == "ETH")
+    return stored.select(*[c for c in _CANDLE if c != "dataset_type"])
+
+
+@query(
+    "write_silver_month",
+    """SELECT dataset_type, exchange, symbol, strftime(open_time, '%Y') AS year, strftime(open_time, '%Y-%m') AS month,
+      count(*) AS rows, round(sum(close_price), 2) AS close_sum FROM c_clean GROUP BY 1, 2, 3, 4, 5""",
+    "c_clean",
+)
+def write_silver_month(f):
+    root = silver_lake(f)
+    both = lake.read_silver(f.spark, root, "spot", "1m").unionByName(lake.read_silver(f.spark, root, "perp", "1m"))
+    months = both.groupBy("dataset_type", "exchange", "symbol", "year", "month")
+    return rounded(months.agg(F.count(F.lit(1)).alias("rows"), F.sum("close_price").alias("close_sum")), 2, "close_sum")
+
+
+@query(
+    "partition_columns",
+    """SELECT event_id, strftime(ts, '%Y') AS year, strftime(ts, '%Y-%m') AS month, strftime(ts, '%Y-%m-%d') AS date
+    FROM events""",
+)
+def partition_columns(f):
+    return lake.with_partitions(f.events().select("event_id", "ts"), "ts").drop("ts")
+
+
+@query(
+    "parse_partition_path",
+    """SELECT dataset_type, exchange, instrument_type, symbol, timeframe, strftime(open_time, '%Y-%m-%d') AS date, count(*) AS rows
+    FROM ticks GROUP BY ALL""",
+    "ticks",
+)
+def parse_partition_path(f):
+    stored = lake.scan_lake(f.spark, bronze_lake(f), "perp_trades")
+    path = stored.select(lake.parse_partition_path(F.input_file_name()).alias("p"), "trade_id")
+    return path.groupBy("p.dataset_type", "p.exchange", "p.instrument_type", "p.symbol", "p.timeframe", "p.date").agg(
+        F.count("trade_id").alias("rows")
+    )
+
+
+@query(
+    "stored_open_times",
+    "SELECT DISTINCT exchange, instrument_type, symbol, timeframe, open_time FROM spot1",
+    "spot1",
+)
+def stored_open_times(f):
+    return lake.stored_open_times(lake.scan_lake(f.spark, bronze_lake(f), "spot"))
+
+
+@query(
+    "latest_open_time",
+    "SELECT exchange, instrument_type, symbol, timeframe, max(open_time) AS open_time FROM ticks GROUP BY 1, 2, 3, 4",
+    "ticks",
+)
+def latest_open_time(f):
+    return lake.latest_open_time(lake.scan_lake(f.spark, bronze_lake(f), "perp_trades"))
+
+
+# ---- upsert and sinks -----------------------------------------------------------------------------
+
+_MERGED = "exchange, instrument_type, symbol, timeframe, open_time, trade_id"
+S.CTES["ticks_lower"] = (
+    ["ticks"],
+    "SELECT * REPLACE (lower(exchange) AS exchange, lower(instrument_type) AS instrument_type) FROM ticks",
+)
+
+
+def ticks_lower(f):
+    return f.ticks().withColumns({c: F.lower(c) for c in ("exchange", "instrument_type")})
+
+
+@query("upsert_partitions", S._newest("ticks_lower", _MERGED, "ingested_at DESC, run_id DESC", "TRUE", _cols(_TICK)), "ticks_lower")
+def upsert_partitions(f):
+    root, ticks = scratch_dir(f.spark, "upsert-target"), ticks_lower(f)
+    first, second = ticks.where("run_id = 'run-0'"), ticks.where("run_id <> 'run-0'")
+    for batch in (second, first, second):  # late rows first, then the early ones, then the late ones again
+        lake.upsert_partitions(f.spark, batch, root, "perp_trades")
+    return lake.scan_lake(f.spark, root, "perp_trades").select(*_TICK)
+
+
+@query("dedup_bronze", S._newest("ticks_lower", _MERGED, "ingested_at DESC, run_id DESC", "TRUE", _cols(_TICK)), "ticks_lower")
+def dedup_bronze(f):
+    ticks = ticks_lower(f)
+    return lake.merge_latest(ticks.where("run_id = 'run-0'"), ticks.where("run_id <> 'run-0'")).select(*_TICK)
+
+
+@query("chunk_flush", S._newest("ticks_lower", _MERGED, "ingested_at DESC, run_id DESC", "TRUE", _cols(_TICK)), "ticks_lower")
+def chunk_flush(f):
+    base = scratch_dir(f.spark, "flush")
+    columns = [F.col(c.name).cast(c.dataType) for c in BRONZE_SCHEMAS["perp_trades"]]
+    ticks_lower(f).select(*columns).repartition(3).write.parquet(f"{base}/landing")
+    for run in ("a", "b"):  # the second run replays everything under a new checkpoint
+        flush_stream(f.spark, f"{base}/landing", f"{base}/lake", "perp_trades", f"{base}/checkpoint-{run}", files_per_batch=2)
+    return lake.scan_lake(f.spark, f"{base}/lake", "perp_trades").select(*_TICK)
+
+
+def _sunk(f, dataset: str, rows, corrected):
+    """Two sink calls of one dataset, the second correcting the first, read back."""
+    root = scratch_dir(f.spark, "sink")
+    lake.sink_bronze(f.spark, rows, root, dataset, "20240201T000000000000Z", "2024-02-01")
+    lake.sink_bronze(f.spark, corrected, root, dataset, "20240202T000000000000Z", "2024-02-02")
+    return lake.scan_lake(f.spark, root, dataset).drop("year", "month", "date")
+
+
+_STAMP = "TIMESTAMP '2024-02-02' AS ingested_at, '20240202T000000000000Z' AS run_id, 'v1' AS schema_version"
+
+
+@query(
+    "sink_bronze_ohlcv",
+    f"""SELECT {_cols([c for c in _CANDLE if c not in ('ingested_at', 'run_id', 'schema_version')])}, {_STAMP},
+      close_price AS origin_close, timeframe AS origin_interval FROM spot_s""",
+    "spot_s",
+)
+def sink_bronze_ohlcv(f):
+    rows = silver.ohlcv_clean(f.minute_candles("spot"))
+    sunk = _sunk(f, "spot", rows.withColumn("close_price", F.col("close_price") - 1), rows)
+    return sunk.select(
+        *_CANDLE, F.col("origin_payload.close_price").alias("origin_close"), F.col("origin_payload.interval").alias("origin_interval")
+    )
+
+
+@query(
+    "sink_bronze_oi",
+    f"""SELECT 'oi' AS dataset_type, exchange, symbol, instrument_type, timestamp AS event_time, source_endpoint,
+      timestamp AS open_time, close_time, timeframe, open_interest, 0.0::DOUBLE AS open_interest_value, {_STAMP} FROM oi_one""",
+    "oi_one",
+)
+def sink_bronze_oi(f):
+    rows = _oi_one(f)
+    return _sunk(f, "oi", rows.withColumn("open_interest", F.lit(1.0)), rows)
+
+
+S.CTES["oi_one"] = (
+    ["oi_typed"],
+    S._newest("oi_typed", "exchange, symbol, timestamp", "ingested_at DESC, run_id DESC", f"NOT {S.OI_BAD}"),
+)
+
+
+def _oi_one(f):
+    from tidelake.operators import quality
+    from tidelake.operators.dedup import keep_latest
+
+    valid = quality.keep_valid(silver.type_oi(f.oi()), {"invalid": quality.oi_invalid()})
+    return keep_latest(valid, ["exchange", "symbol", "timestamp"], ["ingested_at", "run_id"])
+
+
+S.CTES["f_one"] = (
+    ["f_perp"],
+    S._newest("f_perp", "exchange, symbol, funding_time", "ingested_at DESC, run_id DESC", f"NOT {S.FUNDING_NULL} AND NOT {S.FUNDING_BAD}"),
+)
+
+
+def _funding_one(f):
+    from tidelake.operators import quality
+    from tidelake.operators.dedup import keep_latest
+
+    perp = silver.type_funding(f.funding()).where("instrument_type = 'perp'")
+    valid = quality.keep_valid(perp, {"null": quality.funding_null(), "invalid": quality.funding_invalid()})
+    return keep_latest(valid, ["exchange", "symbol", "funding_time"], ["ingested_at", "run_id"])
+
+
+@query(
+    "sink_bronze_funding",
+    f"""SELECT 'funding' AS dataset_type, exchange, symbol, instrument_type, funding_time AS event_time, source_endpoint,
+      funding_time AS open_time, close_time, timeframe, funding_rate, index_price, mark_price, {_STAMP} FROM f_one""",
+    "f_one",
+)
+def sink_bronze_funding(f):
+    rows = _funding_one(f)
+    return _sunk(f, "funding", rows.withColumn("funding_rate", F.lit(0.0)), rows)
+
+
+@query(
+    "sink_bronze_trades",
+    f"""SELECT 'option_trades' AS dataset_type, exchange, symbol, instrument_type, open_time AS event_time, source_endpoint,
+      open_time, close_time, timeframe, trade_id, price, quantity, side, is_maker, instrument_name, {_STAMP} FROM o_obs""",
+    "o_obs",
+)
+def sink_bronze_trades(f):
+    from tidelake.operators import quality
+    from tidelake.operators.dedup import keep_latest
+    from tidelake.schemas import TRADE_KEY
+
+    valid = quality.keep_valid(silver.type_trades(f.option_ticks()), {"invalid": quality.trade_invalid()})
+    rows = keep_latest(valid, TRADE_KEY, ["ingested_at", "run_id"])
+    sunk = _sunk(f, "option_trades", rows.withColumn("price", F.lit(1.0)), rows)
+    return sunk.drop("expiry", "strike", "option_type")
+
+
+@query(
+    "stamp_audit",
+    f"""SELECT {_cols([c for c in _CANDLE if c not in ('ingested_at', 'run_id', 'schema_version')])},
+      ingested_at, '20240201T000000000000Z' AS run_id, 'v1' AS schema_version, symbol AS origin_symbol FROM spot1""",
+    "spot1",
+)
+def stamp_audit(f):
+    rows = lake.stamp_audit(f.minute_candles("spot"), "spot", "20240201T000000000000Z", F.col("ingested_at"))
+    return rows.select(*_CANDLE, F.col("origin_payload.symbol").alias("origin_symbol"))
+
+
+# ---- readers --------------------------------------------------------------------------------------
+
+S.CTES["spot_last"] = (
+    ["spot1"],
+    S._newest("spot1", "exchange, symbol, open_time", "ingested_at DESC, run_id DESC"),
+)
+
+
+@query(
+    "load_typed_candles",
+    """SELECT exchange, instrument_type, symbol, timeframe, open_time, close_time, coalesce(open_price, 0) AS open_price,
+      high_price, low_price, close_price, volume, quote_volume, trade_count FROM spot_last""",
+    "spot_last",
+)
+def load_typed_candles(f):
+    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f), "spot", old_columns=True), "candles")
+
+
+@query(
+    "load_typed_funding",
+    """SELECT exchange, instrument_type, symbol, timeframe, open_time, close_time, coalesce(funding_rate, 0) AS funding_rate,
+      index_price, mark_price FROM (""" + S._newest(
+        "funding", "exchange, instrument_type, symbol, timeframe, open_time", "ingested_at DESC, run_id DESC") + ")",
+    "funding",
+)
+def load_typed_funding(f):
+    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f), "funding"), "funding")
+
+
+@query(
+    "load_typed_oi",
+    """SELECT exchange, instrument_type, symbol, timeframe, open_time, close_time, coalesce(open_interest, 0) AS open_interest,
+      open_interest_value FROM (""" + S._newest(
+        "oi_typed", "exchange, instrument_type, symbol, timeframe, open_time", "ingested_at DESC, run_id DESC", "length(symbol) > 0") + ")",
+    "oi_typed",
+)
+def load_typed_oi(f):
+    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f), "oi"), "oi")
+
+
+S.CTES["oi_last"] = (
+    ["oi_typed"],
+    S._newest(
+        "oi_typed", "exchange, instrument_type, symbol, timeframe, open_time", "ingested_at DESC, run_id DESC",
+        "length(symbol) > 0 AND open_time >= TIMESTAMP '2024-01-05' AND open_time <= TIMESTAMP '2024-01-20'",
+    ),
+)
+_SHORT = ", ".join(f"c.{c}_price AS {c}" for c in ("open", "high", "low", "close"))
+
+
+@query(
+    "load_combined",
+    f"""SELECT exchange, instrument_type, symbol, timeframe, open_time, c.close_time, {_SHORT}, volume, quote_volume, trade_count,
+      c.dataset_type, c.run_id, c.source_endpoint, o.open_interest, o.open_interest_value
+    FROM (SELECT * FROM spot1 UNION ALL SELECT * FROM perp1) c
+    LEFT JOIN oi_last o USING (exchange, instrument_type, symbol, timeframe, open_time)
+    WHERE symbol IN ('BTC_USDC', 'BTC-PERPETUAL', 'ETH-PERPETUAL')
+      AND open_time >= TIMESTAMP '2024-01-05' AND open_time <= TIMESTAMP '2024-01-20'""",
+    "spot1", "perp1", "oi_last",
+)
+def load_combined(f):
+    return combined.load_combined(
+        f.spark,
+        bronze_lake(f),
+        include_open_interest=True,
+        exchanges=["DERIBIT"],
+        symbols=["btc_usdc", "BTC-PERPETUAL", "eth-perpetual"],
+        start="2024-01-05",
+        end="2024-01-20",
+    )
+
+
+@query(
+    "write_stats_csv",
+    " UNION ALL ".join(
+        f"""SELECT '{v}' AS "Variable", round(avg({v}_), 6) AS "Mean", round(stddev_samp({v}_), 6) AS "Std", min({v}_) AS "Min", max({v}_) AS "Max"
+        FROM (SELECT {'volume' if v == 'volume' else v + '_price'} AS {v}_ FROM c_clean)"""
+        for v in combined.STATS_VARIABLES
+    ),
+    "c_clean",
+)
+def write_stats_csv(f):
+    stats = profile.descriptive_stats(combined.rename_ohlc(silver.ohlcv_clean(f.candles())), combined.STATS_VARIABLES)
+    path = scratch_dir(f.spark, "stats")
+    lake.write_stats_csv(stats, path)
+    shape = "Variable string, Mean double, Std double, Min double, Max double"
+    return rounded(f.spark.read.schema(shape).option("header", True).csv(path), 6, "Mean", "Std")
+
+
+@query(
+    "write_gold",
+    """SELECT 'gold.market.core.m1' AS dataset_id, 'v1.0.0' AS feature_set_version, exchange, symbol, timestamp_m1,
+      spot_close_price, perp_close_price, perp_volume FROM gold_market_core_m1""",
+    "gold_market_core_m1",
+)
+def write_gold(f):
+    root = scratch_dir(f.spark, "gold")
+    merged = gold.gold_frame({n: f.silver(n) for n in ("spot", "perp")}, "gold.market.core.m1")
+    lake.write_gold(merged, root, "gold.market.core.m1", "v1.0.0")
+    columns = ["dataset_id", "feature_set_version", "exchange", "symbol", "timestamp_m1"]
+    return f.spark.read.parquet(root).select(*columns, "spot_close_price", "perp_close_price", "perp_volume")
+
+
+@query("latest_artifact", "SELECT * FROM l2", "l2")
+def latest_artifact(f):
+    root = scratch_dir(f.spark, "l2")
+    for version, shift in (("v1", 0.5), ("v2", 0.0)):
+        rows = f.l2().withColumn("coverage_ratio", F.col("coverage_ratio") + shift)
+        named = rows.withColumns({"version": F.lit(version), "build_id": F.lit("b")})
+        keys = named.withColumns({"e": F.col("exchange"), "s": F.col("symbol")})
+        keys.drop("exchange", "symbol").withColumnsRenamed({"e": "exchange", "s": "symbol"}).write.mode("append").partitionBy(
+            "exchange", "symbol", "version", "build_id"
+        ).parquet(root)
+    paths = lake.latest_artifact(lake.list_artifacts(f.spark, root)).select("path")
+    chosen = [row.path for row in paths.toLocalIterator()]
+    rows = f.spark.read.option("basePath", root).parquet(*chosen)
+    return rows.select("ts_minute", "exchange", "symbol", "snapshot_count", "coverage_ratio", "first_snapshot_ts", "last_snapshot_ts", "spread")
+
+
+# ---- manifests ------------------------------------------------------------------------------------
+
+_LISTED = "[" + ", ".join(f"'{f.name}'" for f in BRONZE_SCHEMAS["spot"]) + "]"
+S.CTES["bronze_manifest"] = (
+    ["spot1"],
+    f"""SELECT *, substring(sha256(to_json({{'columns': {_LISTED}, 'max_timestamp': max_timestamp,
+      'min_timestamp': min_timestamp, 'rows_out': rows_out}})::VARCHAR), 1, 12) AS source_data_hash
+    FROM (SELECT 'spot_1m' AS dataset, 'spot' AS dataset_type, exchange, instrument_type, symbol, timeframe,
+      strftime(open_time, '%Y-%m-%d') AS date, count(*) AS rows_out,
+      strftime(min(open_time), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
+      strftime(max(open_time), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp FROM spot1 GROUP BY ALL)""",
+)
+
+
+@query("manifest_bronze", "SELECT * FROM bronze_manifest", "bronze_manifest")
+def manifest_bronze(f):
+    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "spot"), "spot")
+    return rows.drop("columns", "value_checksum")
+
+
+@query("manifest_bronze_checksum")
+def manifest_bronze_checksum(f):
+    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "perp"), "perp")
+    return rows.select("symbol", "date", "rows_out", "value_checksum")
+
+
+@query(
+    "missing_manifests",
+    "SELECT dataset_type, exchange, instrument_type, symbol, timeframe, date FROM bronze_manifest WHERE date >= '2024-01-15'",
+    "bronze_manifest",
+)
+def missing_manifests(f):
+    stored = lake.scan_lake(f.spark, bronze_lake(f), "spot")
+    root = scratch_dir(f.spark, "manifests")
+    manifests.write_manifests(manifests.manifest_bronze(stored.where("date < '2024-01-15'"), "spot"), root)
+    shape = "dataset_type string, exchange string, instrument_type string, symbol string, timeframe string, date string"
+    return manifests.missing_manifests(stored, manifests.read_manifests(f.spark, root, shape))
+
+
+_BAR_COLUMNS = SILVER_COLUMNS["trades_1m_feature"]
+
+
+@query(
+    "manifest_silver",
+    f"""SELECT 'perp_trades_1m_feature' AS dataset, exchange, symbol, strftime(timestamp_m1, '%Y-%m') AS month,
+      '2024-02-01T00:00:00Z' AS build_date_utc, substring(sha256('{"|".join(_BAR_COLUMNS)}'), 1, 12) AS column_hash,
+      count(*) AS rows_out, strftime(min(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
+      strftime(max(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp FROM t_bars GROUP BY 2, 3, 4""",
+    "t_bars",
+)
+def manifest_silver(f):
+    clock = F.lit("2024-02-01").cast("timestamp")
+    bars = f.silver("perp_trades_1m_feature")
+    return manifests.manifest_silver(bars, "perp_trades_1m_feature", "timestamp_m1", clock).drop("columns")
+
+
+# ---- landed payloads ------------------------------------------------------------------------------
+
+
+def _pages(f, payload):
+    rows = f.events()
+    return rows.select(F.col("event_id").alias("page_no"), F.concat("asset", F.lit("-PERPETUAL")).alias("symbol"), payload.alias("payload"))
+
+
+def _num(c):
+    return c.cast("string")
+
+
+def kline_pages(f):
+    """One chart page per event: its minute twice, the older copy first; some pages are empty or carry no status."""
+    tick = F.unix_millis(trunc_minute(F.col("ts")))
+    value, k = F.col("value"), F.col("k")
+
+    def pair(older, newer):
+        return F.concat(F.lit("["), _num(older), F.lit(","), _num(newer), F.lit("]"))
+
+    arrays = {
+        "ticks": pair(tick, tick),
+        "open": pair(value - 1, value),
+        "high": pair(value + 1, value + 2),
+        "low": pair(value - 2, value - 1),
+        "close": pair(value, value + 1),
+        "volume": pair(k, k),
+    }
+    body = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), a) for n, a in arrays.items()])
+    status = F.when(k == 7, F.lit("")).otherwise(F.lit('"status":"ok",'))
+    full = F.concat(F.lit('{"result":{'), status, body, F.lit("}}"))
+    return _pages(f, F.when(k == 13, F.lit('{"result":{"status":"no_data"}}')).otherwise(full))
+
+
+@query(
+    "normalize_klines",
+    """SELECT event_id AS page_no, pos, asset || '-PERPETUAL' AS symbol, t AS open_time, t + INTERVAL 59999 MILLISECOND AS close_time,
+      CASE pos WHEN 0 THEN value - 1 ELSE value END AS open_price, CASE pos WHEN 0 THEN value + 1 ELSE value + 2 END AS high_price,
+      CASE pos WHEN 0 THEN value - 2 ELSE value - 1 END AS low_price, CASE pos WHEN 0 THEN value ELSE value + 1 END AS close_price,
+      k::DOUBLE AS volume, NULL::DOUBLE AS quote_volume, 0::BIGINT AS trade_count
+    FROM (SELECT *, date_trunc('minute', ts) AS t, unnest([0, 1]) AS pos FROM ev WHERE k <> 13)""",
+    "ev",
+)
+def normalize_klines(f):
+    return landing.normalize_klines(kline_pages(f), 60_000, EXCHANGE).drop("exchange", "timeframe")
+
+
+S.CTES["kline_rows"] = (["ev"], "SELECT asset || '-PERPETUAL' AS symbol, date_trunc('minute', ts) AS open_time, event_id, value FROM ev WHERE k <> 13")
+
+
+@query(
+    "page_dedup",
+    "SELECT symbol, open_time, value AS open_price FROM (" + S._newest(
+        "kline_rows", "symbol, open_time", "event_id DESC",
+        "open_time BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-27'") + ")",
+    "kline_rows",
+)
+def page_dedup(f):
+    rows = landing.normalize_klines(kline_pages(f), 60_000, EXCHANGE)
+    # fixed values: 2024-01-03 and 2024-01-27 in milliseconds
+    kept = landing.page_dedup(rows, landing.PAGE_KEYS["candles"], 1_704_240_000_000, 1_706_313_600_000)
+    return kept.select("symbol", "open_time", "open_price")
+
+
+def funding_pages(f):
+    """One funding page per event; the 8-hour rate is absent, null, text or a number, some items have no time."""
+    k = F.col("k")
+    rate8 = (
+        F.when(k < 30, F.lit(""))
+        .when(k < 40, F.lit(',"interest_8h":null'))
+        .when(k < 50, F.lit(',"interest_8h":"n/a"'))
+        .otherwise(F.concat(F.lit(',"interest_8h":'), _num(F.col("value") / 500)))
+    )
+    item = F.concat(
+        F.when(k == 13, F.lit('{"other":1')).otherwise(F.concat(F.lit('{"timestamp":'), _num(F.unix_millis("ts")))),
+        F.lit(',"interest_1h":'),
+        _num(F.col("value") / 1000),
+        rate8,
+        F.lit(',"index_price":'),
+        _num(F.col("value")),
+        F.when(k >= 80, F.lit(',"prev_index_price":null')).otherwise(
+            F.concat(F.lit(',"prev_index_price":'), _num(F.col("value") + 1))
+        ),
+        F.lit("}"),
+    )
+    return _pages(f, F.concat(F.lit('{"result":['), item, F.lit("]}")))
+
+
+@query(
+    "normalize_funding",
+    """SELECT event_id AS page_no, asset || '-PERPETUAL' AS symbol, make_timestamp(epoch_us(ts) // 1000 * 1000) AS open_time,
+      CASE WHEN k < 30 THEN value / 1000 WHEN k < 50 THEN 0.0 ELSE value / 500 END AS funding_rate, value AS index_price,
+      CASE WHEN k >= 80 THEN value ELSE value + 1 END AS mark_price FROM ev WHERE k <> 13""",
+    "ev",
+)
+def normalize_funding(f):
+    rows = landing.normalize_funding(funding_pages(f), EXCHANGE)
+    return rows.select("page_no", "symbol", "open_time", "funding_rate", "index_price", "mark_price")
+
+
+def oi_pages(f):
+    item = F.concat(
+        F.lit('{"timestamp":'),
+        F.when(F.col("k") == 7, F.lit("null")).otherwise(_num(F.unix_millis("ts"))),
+        F.lit(',"position":'),
+        F.when(F.col("k") == 13, F.lit("null")).otherwise(_num(F.col("value") * 100)),
+        F.lit("}"),
+    )
+    return _pages(f, F.concat(F.lit('{"result":{"settlements":['), item, F.lit('],"continuation":"none"}}')))
+
+
+@query(
+    "normalize_oi",
+    """SELECT event_id AS page_no, asset || '-PERPETUAL' AS symbol, make_timestamp(epoch_us(ts) // 1000 * 1000) AS open_time,
+      value * 100 AS open_interest, 0.0::DOUBLE AS open_interest_value FROM ev WHERE k NOT IN (7, 13)""",
+    "ev",
+)
+def normalize_oi(f):
+    rows = landing.normalize_oi(oi_pages(f), EXCHANGE)
+    return rows.select("page_no", "symbol", "open_time", "open_interest", "open_interest_value")
+
+
+def trade_pages(f):
+    """One trade page per event with an older and a newer copy of the trade; prices and markers may be missing."""
+    k = F.col("k")
+    name = f.option_name()
+
+    def item(price):
+        return F.concat(
+            F.lit('{"timestamp":'),
+            _num(F.unix_millis("ts")),
+            F.lit(',"trade_id":"'),
+            _num(F.col("event_id")),
+            F.lit('"'),
+            F.when(k == 13, F.lit("")).otherwise(F.concat(F.lit(',"price":'), _num(price))),
+            F.lit(',"amount":'),
+            _num(k),
+            F.when(F.col("event_type") == "purchase", F.lit(',"direction":"BUY"'))
+            .when(F.col("event_type") == "click", F.lit(',"direction":"sell"'))
+            .otherwise(F.lit("")),
+            F.when(F.col("event_type") == "error", F.lit(',"liquidation":"M"')).otherwise(F.lit("")),
+            F.lit(',"instrument_name":"'),
+            name,
+            F.lit('"}'),
+        )
+
+    body = F.concat_ws(",", item(F.col("value") - 1), item(F.col("value")))
+    return _pages(f, F.concat(F.lit('{"result":{"trades":['), body, F.lit('],"has_more":false}}')))
+
+
+_TRADE_SQL = """event_id AS page_no, pos, make_timestamp(epoch_us(ts) // 1000 * 1000) AS open_time, event_id::VARCHAR AS trade_id,
+      CASE WHEN k = 13 THEN 0.0 WHEN pos = 0 THEN value - 1 ELSE value END AS price, k::DOUBLE AS quantity,
+      CASE event_type WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'sell' ELSE 'unknown' END AS side,
+      event_type = 'error' AS is_maker"""
+_TRADE_FIELDS = ["page_no", "pos", "open_time", "trade_id", "price", "quantity", "side", "is_maker"]
+
+
+@query(
+    "normalize_trades",
+    f"SELECT asset || '-PERPETUAL' AS symbol, {_TRADE_SQL} FROM (SELECT *, unnest([0, 1]) AS pos FROM ev)",
+    "ev",
+)
+def normalize_trades(f):
+    return landing.normalize_trades(trade_pages(f), EXCHANGE).select("symbol", *_TRADE_FIELDS)
+
+
+S.CTES["option_names"] = (["options"], "SELECT DISTINCT trade_id, instrument_name FROM options")
+
+
+@query(
+    "normalize_option_trades",
+    f"""SELECT asset AS symbol, {_TRADE_SQL}, instrument_name,
+      CASE WHEN len(p) >= 4 THEN p[2] ELSE '' END AS expiry, CASE WHEN len(p) >= 4 THEN coalesce(TRY_CAST(p[3] AS DOUBLE), 0) ELSE 0 END AS strike,
+      CASE WHEN len(p) < 4 THEN 'unknown' WHEN upper(p[4]) = 'C' THEN 'call' WHEN upper(p[4]) = 'P' THEN 'put' ELSE 'unknown' END AS option_type
+    FROM (SELECT ev.*, n.instrument_name, string_split(n.instrument_name, '-') AS p, unnest([0, 1]) AS pos
+      FROM ev JOIN option_names n ON n.trade_id = ev.event_id::VARCHAR)""",
+    "ev", "option_names",
+)
+def normalize_option_trades(f):
+    rows = landing.normalize_option_trades(trade_pages(f), EXCHANGE)
+    return rows.select("symbol", *_TRADE_FIELDS, "instrument_name", "expiry", "strike", "option_type")
+
+
+@query(
+    "sort_series",
+    "SELECT symbol, open_time, close_price FROM c_clean ORDER BY symbol, open_time",
+    "c_clean",
+)
+def sort_series(f):
+    return silver.ohlcv_clean(f.candles()).select("symbol", "open_time", "close_price").orderBy("symbol", "open_time")
+
+
+# ---- newest rows of artifacts and manifests -------------------------------------------------------
+
+
+@query(
+    "latest_manifest",
+    """SELECT dataset_id, exchange, symbol, built_at, source_data_hash FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY built_at DESC) AS rn FROM history)
+    WHERE rn = 1""",
+    "history",
+)
+def latest_manifest(f):
+    from tidelake.catalog.governance import history
+
+    root = scratch_dir(f.spark, "history")
+    manifests.write_manifests(history(f), root)
+    # lines that are not JSON lie next to the good ones
+    broken = f.events().select(F.concat(F.lit('{"dataset_id": "x", "symbol": '), "event_type").alias("value"))
+    broken.distinct().write.mode("append").text(root)
+    stored = manifests.read_manifests(f.spark, root, gold.MANIFEST_SCHEMA)
+    return governance.latest_manifest(stored).select("dataset_id", "exchange", "symbol", "built_at", "source_data_hash")
+
+

@@ -299,7 +299,7 @@ def build_gold(
     Without ``version`` each symbol's version follows from its newest manifest. The joined table is written once to
     the shared scratch folder, so that audit, hashes and the final write read the same rows without joining again.
     """
-    raw = {n: read_silver(spark, silver_root, n, "1m") for n in gold_inputs(dataset_id)}
+    raw = {n: read_silver(spark, silver_root, n, "1m").drop("year", "month") for n in gold_inputs(dataset_id)}
     if dataset_id in GOLD_WITH_L2:
         raw[L2_INPUT] = read_latest_artifacts(spark, l2_root or gold_root)
     prepared = {n: prepare(n, frame) for n, frame in raw.items()}

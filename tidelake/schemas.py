@@ -100,6 +100,43 @@ SILVER_COLUMNS = {
         "buy_trade_count", "sell_trade_count", "buy_volume_share",
     ],
 }
+_OHLCV_DDL = f"{_HEAD}, {_CANDLE}, origin_payload struct<{_ORIGIN}>"
+_OBSERVED_DDL = (
+    "trade_time timestamp, exchange string, symbol string, instrument_type string, trade_id string, price double, "
+    "quantity double, side string"
+)
+_BARS_DDL = (
+    "timestamp_m1 timestamp, exchange string, symbol string, instrument_type string, open_price double, "
+    "high_price double, low_price double, close_price double, volume double, quote_volume double, trade_count bigint, "
+    "buy_volume double, sell_volume double, buy_trade_count bigint, sell_trade_count bigint, buy_volume_share double"
+)
+SILVER_SCHEMAS = {
+    "spot": _struct(_OHLCV_DDL),
+    "perp": _struct(_OHLCV_DDL),
+    "funding_observed": _struct(
+        "funding_time timestamp, exchange string, symbol string, base_asset string, instrument_type string, "
+        "funding_rate double, funding_interval_hours bigint, ingested_at_min timestamp, ingested_at_max timestamp, "
+        "source_row_count bigint, silver_built_at timestamp, data_quality_status string"
+    ),
+    "funding_1m_feature": _struct(
+        "timestamp timestamp, exchange string, symbol string, funding_rate_last_known double, "
+        "funding_observed_at timestamp, minutes_since_funding bigint, is_funding_observation_minute boolean, "
+        "funding_data_available boolean"
+    ),
+    "oi_observed": _struct(
+        "timestamp timestamp, exchange string, symbol string, open_interest double, oi_source_timestamp timestamp, "
+        "ingested_at timestamp, source_endpoint string"
+    ),
+    "oi_1m_feature": _struct(
+        "timestamp_m1 timestamp, exchange string, symbol string, open_interest double, oi_is_observed boolean, "
+        "oi_is_ffill boolean, minutes_since_oi_observation bigint, oi_observation_lag_sec bigint, "
+        "oi_source_timestamp timestamp"
+    ),
+    "perp_trades_observed": _struct(_OBSERVED_DDL),
+    "option_trades_observed": _struct(_OBSERVED_DDL),
+    "perp_trades_1m_feature": _struct(_BARS_DDL),
+    "option_trades_1m_feature": _struct(_BARS_DDL),
+}
 BAR_COLUMNS = SILVER_COLUMNS["trades_1m_feature"][4:]
 COMBINED_COLUMNS = [
     "exchange", "instrument_type", "symbol", "timeframe", "open_time", "close_time", "open", "high", "low",

@@ -23,6 +23,7 @@ from tidelake.schemas import (
     SCHEMA_VERSION,
     SERIES,
     SILVER_PARTITIONS,
+    SILVER_SCHEMAS,
     SOURCE_ENDPOINT,
 )
 from tidelake.session import scratch_dir
@@ -298,20 +299,15 @@ def write_silver(df: DataFrame, root: str, dataset_type: str, timeframe: str, ti
     )
 
 
-def read_silver(spark: SparkSession, root: str, dataset_type: str, timeframe: str, schema: T.StructType | None = None) -> DataFrame:
-    """A silver dataset over all exchanges, symbols and months; a missing one is an error."""
+def read_silver(spark: SparkSession, root: str, dataset_type: str, timeframe: str) -> DataFrame:
+    """A silver dataset over all exchanges, symbols and months, with its year and month; a missing one is an error."""
+    schema = SILVER_SCHEMAS[dataset_type]
+    parts = [T.StructField(p, T.StringType()) for p in SILVER_PARTITIONS if p not in schema.names]
     path = f"{root}/dataset_type={dataset_type}/exchange=*/symbol=*/timeframe={timeframe}"
-    reader = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
-    if schema is not None:
-        have = {f.name for f in schema}
-        parts = [T.StructField(p, T.StringType()) for p in SILVER_PARTITIONS if p not in have]
-        reader = reader.schema(T.StructType([*schema, *parts]))
-    try:
-        return reader.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            raise ValueError(f"missing silver dataset: {dataset_type}") from problem
-        raise
+    rows = _read(spark, root, path, T.StructType([*schema, *parts]))
+    if rows is None:
+        raise ValueError(f"missing silver dataset: {dataset_type}")
+    return rows.select(*schema.names, "year", "month")
 
 
 def write_gold(df: DataFrame, root: str, dataset_id: str, version: str | Column) -> None:
@@ -348,30 +344,33 @@ def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_artifact(files: DataFrame) -> DataFrame:
-    """Newest order-book file per exchange and canonical symbol.
+    """Newest order-book artifact per exchange and canonical symbol.
 
-    Files in ``exchange=/symbol=/version=/build_id=`` folders come before flat ``<SYMBOL>_L2_*.parquet`` files, which
-    belong to any exchange (null here) and count only for symbols without a nested file.
+    An artifact is a ``exchange=/symbol=/version=/build_id=`` folder, or a flat ``<SYMBOL>_L2_*.parquet`` file. Flat
+    files belong to any exchange (null here) and count only for symbols without a folder.
     """
     from tidelake.functions.symbols import canon_symbol
 
-    nested = F.regexp_extract("path", r"/exchange=([^/]+)/symbol=[^/]+/version=[^/]+/build_id=[^/]+/data\.parquet$", 1)
-    nested_symbol = F.regexp_extract("path", r"/symbol=([^/]+)/version=", 1)
-    flat_symbol = F.regexp_extract("path", r"/([^/]+?)_L2_[^/]*\.parquet$", 1)
+    folder = r"^(.*/exchange=([^/]+)/symbol=([^/]+)/version=[^/]+/build_id=[^/]+)/[^/]+\.parquet$"
+    flat = r"/([^/]+?)_L2_[^/]*\.parquet$"
+    nested = F.regexp_extract("path", folder, 1)
     keyed = files.select(
-        "path",
+        F.when(nested != "", nested).otherwise(F.col("path")).alias("path"),
         "modificationTime",
-        F.nullif(nested, F.lit("")).alias("exchange"),
-        canon_symbol(F.when(nested != "", nested_symbol).otherwise(flat_symbol)).alias("symbol"),
+        F.nullif(F.regexp_extract("path", folder, 2), F.lit("")).alias("exchange"),
+        canon_symbol(
+            F.when(nested != "", F.regexp_extract("path", folder, 3)).otherwise(F.regexp_extract("path", flat, 1))
+        ).alias("symbol"),
     ).where("symbol <> ''")
-    newest = keep_latest(keyed, ["exchange", "symbol"], ["modificationTime", "path"])
-    have = newest.where("exchange is not null").select("symbol").distinct()
-    flat_only = newest.where("exchange is null").join(have, "symbol", "left_anti")
-    return newest.where("exchange is not null").unionByName(flat_only.select(*newest.columns))
+    artifacts = keyed.groupBy("exchange", "symbol", "path").agg(F.max("modificationTime").alias("modificationTime"))
+    newest = keep_latest(artifacts, ["exchange", "symbol"], ["modificationTime", "path"])
+    nested_only = newest.where("exchange is not null")
+    flat_only = newest.where("exchange is null").join(nested_only.select("symbol").distinct(), "symbol", "left_anti")
+    return nested_only.unionByName(flat_only.select(*newest.columns))
 
 
 def read_latest_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the newest order-book file of every symbol (one path per symbol is looked up on the driver)."""
+    """Rows of the newest order-book artifact of every symbol (one path per symbol is looked up on the driver)."""
     paths = [row.path for row in latest_artifact(list_artifacts(spark, root)).select("path").toLocalIterator()]
     if not paths:
         raise ValueError(f"no order-book files under {root}")
