@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidelake.catalog import sql as S
 from tidelake.catalog.base import query, rounded
 from tidelake.functions.times import trunc_minute
-from tidelake.operators import grid, lagging, profile, quality
+from tidelake.operators import lagging, profile, quality
 from tidelake.plans import gold, silver
 from tidelake.schemas import GOLD_INPUTS, GOLD_WITH_L2, L2_INPUT, PROFILE_SAMPLE_ROWS, SILVER_COLUMNS, source_key
 
@@ -105,7 +105,7 @@ def prep_l2(f):
 )
 def minute_grid(f):
     prepared = {n: gold.prepare(n, f.silver(n)) for n in ("spot", "perp")}
-    return grid.minute_grid(grid.joint_span(grid.input_bounds(prepared), 2))
+    return gold.family_grid(prepared)
 
 
 def _register(name: str, dataset_id: str, sums: list[str]) -> None:
@@ -240,11 +240,7 @@ def l2_quality_mask(f):
     "l2_found",
 )
 def l2_strict_or_lenient(f):
-    # the joined order-book column decides, so the other families need not be joined for the counts
-    inputs = _inputs("gold.hybrid.full_l2.m1")
-    prepared = {n: gold.prepare(n, f.silver(n)) for n in inputs}
-    minutes = grid.minute_grid(grid.joint_span(grid.input_bounds(prepared), len(inputs)))
-    return quality.l2_audit(grid.grid_left_join(minutes, {L2_INPUT: prepared[L2_INPUT]}))
+    return gold.l2_counts({n: gold.prepare(n, f.silver(n)) for n in _inputs("gold.hybrid.full_l2.m1")})
 
 
 # ---- audits and profiles --------------------------------------------------------------------------

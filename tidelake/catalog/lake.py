@@ -35,7 +35,9 @@ def _cols(names: list[str]) -> str:
 def _days(df, root: str, partitions: list[str] = BRONZE_PARTITIONS) -> None:
     rows = lake.with_partitions(df)
     rows = rows if "year" in partitions else rows.drop("year")
-    rows.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(root)
+    pieces = df.sparkSession.sparkContext.defaultParallelism
+    ordered = rows.repartitionByRange(pieces, *partitions, "open_time")
+    ordered.write.mode("append").partitionBy(*partitions).parquet(root)
 
 
 def bronze_lake(f) -> str:
@@ -111,14 +113,14 @@ def read_silver_for_gold(f):
 @query(
     "write_silver_month",
     """SELECT dataset_type, exchange, symbol, strftime(open_time, '%Y') AS year, strftime(open_time, '%Y-%m') AS month,
-      count(*) AS rows, round(sum(close_price), 2) AS close_sum FROM c_clean GROUP BY 1, 2, 3, 4, 5""",
+      count(*) AS rows, round(sum(close_price), 4) AS close_sum FROM c_clean GROUP BY 1, 2, 3, 4, 5""",
     "c_clean",
 )
 def write_silver_month(f):
     root = silver_lake(f)
     both = lake.read_silver(f.spark, root, "spot", "1m").unionByName(lake.read_silver(f.spark, root, "perp", "1m"))
     months = both.groupBy("dataset_type", "exchange", "symbol", "year", "month")
-    return rounded(months.agg(F.count(F.lit(1)).alias("rows"), F.sum("close_price").alias("close_sum")), 2, "close_sum")
+    return rounded(months.agg(F.count(F.lit(1)).alias("rows"), F.sum("close_price").alias("close_sum")), 4, "close_sum")
 
 
 @query(

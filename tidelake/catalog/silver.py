@@ -240,7 +240,8 @@ def option_bars_by_instrument(f):
 )
 def trade_bars_large(f):
     part = F.pmod("l_suppkey", F.lit(3))
-    ticks = f.table("lineitem").select(
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_returnflag"]
+    ticks = f.table("lineitem", *columns).select(
         F.lit("deribit").alias("exchange"),
         F.when(part == 0, "BTC").when(part == 1, "ETH").otherwise("SOL").alias("symbol"),
         F.lit("perp").alias("instrument_type"),

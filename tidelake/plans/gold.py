@@ -12,6 +12,7 @@ from tidelake.functions.hashing import columns_hash, json_hash
 from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import at, iso_utc, trunc_minute, utc
 from tidelake.operators import governance, quality
+from tidelake.operators.small import join_small
 from tidelake.operators.grid import duplicate_minutes, grid_left_join, input_bounds, joint_span, minute_grid
 from tidelake.schemas import BAR_COLUMNS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
 from tidelake.session import scratch_dir
@@ -139,29 +140,51 @@ def build_availability(symbols: DataFrame, dataset_ids: list[str]) -> DataFrame:
 # ---- the joined table -----------------------------------------------------------------------------
 
 
+def family_grid(prepared: dict[str, DataFrame]) -> DataFrame:
+    """Minute grid of the symbols that every input has.
+
+    The spans (one row per symbol) are kept, so that the inputs' bounds are taken once, and so that the optimizer does
+    not copy the bounds plan into the scan of every joined input as a pruning filter.
+    """
+    return minute_grid(joint_span(input_bounds(prepared), len(prepared)).persist())
+
+
 def merge_families(prepared: dict[str, DataFrame], check_unique: bool = False) -> DataFrame:
     """All inputs on the dense minute grid of the symbols that every input has."""
     if check_unique:
-        for name, frame in prepared.items():
-            if not duplicate_minutes(frame).isEmpty():
-                raise ValueError(f"more than one row per minute in {name}")
-    grid = minute_grid(joint_span(input_bounds(prepared), len(prepared)))
-    return grid_left_join(grid, prepared)
+        require_unique(prepared)
+    return grid_left_join(family_grid(prepared), prepared)
+
+
+def require_unique(prepared: dict[str, DataFrame]) -> None:
+    for name, frame in prepared.items():
+        if not duplicate_minutes(frame).isEmpty():
+            raise ValueError(f"more than one row per minute in {name}")
 
 
-def check_l2(merged: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
-    """Apply the order-book rules; returns the rows kept and the counts per symbol."""
+def l2_counts(prepared: dict[str, DataFrame]) -> DataFrame:
+    """Order-book check counts per symbol, from the grid and the order-book rows alone."""
+    return quality.l2_audit(grid_left_join(family_grid(prepared), {L2_INPUT: prepared[L2_INPUT]}))
+
+
+def check_l2(merged: DataFrame, audit: DataFrame, mode: str) -> DataFrame:
+    """The rows a mode keeps: strict fails on any bad row, lenient drops."""
     if mode not in ("strict", "lenient"):
         raise ValueError(f"unknown order-book check mode: {mode}")
-    audit = quality.l2_audit(merged)
-    return (quality.l2_strict(merged) if mode == "strict" else quality.l2_lenient(merged, audit)), audit
+    if mode == "lenient":
+        return quality.l2_lenient(merged, audit)
+    found = audit.agg(F.sum("l2_invalid_rows_found").alias("n")).first().n
+    if found:
+        raise ValueError(f"order-book check failed: {found} bad rows")
+    return merged
 
 
 def gold_frame(raw: dict[str, DataFrame], dataset_id: str, l2_mode: str = "strict") -> DataFrame:
     """The gold table of a dataset id from its silver inputs (and ``gold_l2_m1`` where it takes order-book rows)."""
     names = gold_inputs(dataset_id) + ([L2_INPUT] if dataset_id in GOLD_WITH_L2 else [])
-    merged = merge_families({n: prepare(n, raw[n]) for n in names})
-    return check_l2(merged, l2_mode)[0] if dataset_id in GOLD_WITH_L2 else merged
+    prepared = {n: prepare(n, raw[n]) for n in names}
+    merged = merge_families(prepared)
+    return check_l2(merged, l2_counts(prepared), l2_mode) if dataset_id in GOLD_WITH_L2 else merged
 
 
 # ---- manifest -------------------------------------------------------------------------------------
@@ -304,9 +327,9 @@ def build_gold(
         raw[L2_INPUT] = read_latest_artifacts(spark, l2_root or gold_root)
     prepared = {n: prepare(n, frame) for n, frame in raw.items()}
     merged = merge_families(prepared, check_unique=True)
-    counts = None
-    if dataset_id in GOLD_WITH_L2:
-        merged, counts = check_l2(merged, l2_mode)
+    counts = l2_counts(prepared) if dataset_id in GOLD_WITH_L2 else None
+    if counts is not None:
+        merged = check_l2(merged, counts, l2_mode)
     staged = scratch_dir(spark, "gold")
     merged.write.parquet(staged)
     merged = spark.read.parquet(staged)
@@ -332,11 +355,8 @@ def build_gold(
     if manifest.isEmpty():
         raise ValueError(f"no symbol has all inputs of {dataset_id}")
     versions = manifest.select("exchange", "symbol", F.col("dataset_version").alias("_version"))
-    from tidelake.operators.small import join_small
-
-    labelled = join_small(merged, versions, ["exchange", "symbol"])
-    label = F.col("_version")
-    write_gold(labelled.withColumn("feature_set_version", label).drop("_version"), gold_root, dataset_id, F.col("feature_set_version"))
+    labelled = join_small(merged, versions, ["exchange", "symbol"]).withColumnRenamed("_version", "feature_set_version")
+    write_gold(labelled, gold_root, dataset_id, F.col("feature_set_version"))
     write_manifests(manifest, manifest_root)
     return manifest
 

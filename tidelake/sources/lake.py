@@ -192,14 +192,15 @@ def merge_latest(stored: DataFrame, new: DataFrame) -> DataFrame:
     return keep_latest(both, key, [*STORED_ORDER, "_new"]).drop("_new")
 
 
-def _write_days(rows: DataFrame, path: str, mode: str) -> None:
+def _publish(rows: DataFrame, root: str) -> None:
+    """Replace the day partitions that ``rows`` hold. A large day is split over several tasks, small ones share one."""
     (
         rows.hint("rebalance", *BRONZE_PARTITIONS[1:])
         .sortWithinPartitions(*BRONZE_PARTITIONS, "open_time")
-        .write.mode(mode)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BRONZE_PARTITIONS)
-        .parquet(path)
+        .parquet(root)
     )
 
 
@@ -236,12 +237,12 @@ def upsert_partitions(
         stored = scan_lake(spark, root, dataset_type, months=_months_between(span.lo, span.hi))
         days = [c for c in BRONZE_PARTITIONS if c not in ("dataset_type", "year", "month")]
         touched = join_small(stored, fresh.select(*days).distinct(), days, "left_semi")
-        _write_days(merge_latest(touched, fresh), rows_path, "overwrite")
+        merge_latest(touched, fresh).write.mode("overwrite").parquet(rows_path)
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
         fresh.unpersist()
     schema = T.StructType([*BRONZE_SCHEMAS[dataset_type], *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
     staged = _read(spark, rows_path, rows_path, schema)
-    _write_days(staged, root, "overwrite")
+    _publish(staged, root)
     return _written(staged)
 
 
