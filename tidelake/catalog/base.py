@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.functions.times import MINUTE, trunc_minute
+from tidelake.functions.times import one_minute, trunc_minute
 from tidelake.operators.dedup import pad_columns
 from tidelake.schemas import BRONZE_SCHEMAS, ORIGIN_FIELDS
 from tidelake.session import scratch_dir, use_lake_settings
@@ -186,7 +186,7 @@ class Feeds:
         """Each event as a raw candle of its minute (perp: the next minute); the last event of a minute survives."""
         k, spot = F.col("k"), market == "spot"
         value = F.col("value") * (1.0 if spot else 1.001)
-        opened = trunc_minute(F.col("ts")) if spot else trunc_minute(F.col("ts")) + MINUTE
+        opened = trunc_minute(F.col("ts")) if spot else trunc_minute(F.col("ts")) + one_minute()
         rows = self.events().select(
             F.lit("v1").alias("schema_version"),
             F.lit(market).alias("dataset_type"),

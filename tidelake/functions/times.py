@@ -16,7 +16,9 @@ CANDLE_TIMEFRAMES = ["1m"]
 FUNDING_TIMEFRAME_NAMES = ["1m", "m1", "8h"]
 FUNDING_TIMEFRAME = "8h"
 
-MINUTE = F.expr("interval 1 minute")
+
+def one_minute() -> Column:
+    return F.expr("interval 1 minute")
 
 
 def utc(c: Column) -> Column:
@@ -30,7 +32,7 @@ def trunc_minute(c: Column) -> Column:
 def ceil_minute(c: Column) -> Column:
     """First minute that is not before ``c``."""
     floor = trunc_minute(c)
-    return F.when(floor == c, floor).otherwise(floor + MINUTE)
+    return F.when(floor == c, floor).otherwise(floor + one_minute())
 
 
 def trunc_to(c: Column, seconds: int) -> Column:

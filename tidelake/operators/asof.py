@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.functions.times import MINUTE, ceil_minute, minutes_between, month_start, seconds_between
+from tidelake.functions.times import ceil_minute, minutes_between, month_start, one_minute, seconds_between
 
 
 def calendar_spans(obs: DataFrame, series: list[str], time: str, cutoff: Column | None = None) -> DataFrame:
@@ -29,7 +29,7 @@ def month_calendar(
 ) -> DataFrame:
     """Every calendar minute of every series and month; at most one month of minutes is built per row."""
     spans = calendar_spans(obs, series, time, cutoff)
-    return spans.select(*series, F.explode(F.sequence("month_start", "last_minute", MINUTE)).alias(minute))
+    return spans.select(*series, F.explode(F.sequence("month_start", "last_minute", one_minute())).alias(minute))
 
 
 def minute_asof(
@@ -53,7 +53,7 @@ def minute_asof(
         *series, month_start(F.col(time)).alias("_month"), ceil_minute(F.col(time)).alias("_from")
     ).agg(F.max(F.struct(*dict.fromkeys(hit_fields))).alias("_hit"))
     in_month = Window.partitionBy(*series, "_month").orderBy("_from")
-    until = F.coalesce(F.lead("_from").over(in_month) - MINUTE, F.col("_from"))
+    until = F.coalesce(F.lead("_from").over(in_month) - one_minute(), F.col("_from"))
     stretches = per_minute.select(
         *series,
         "_month",
@@ -65,7 +65,7 @@ def minute_asof(
     if cutoff is not None:
         stretches = stretches.withColumn("_until", F.least("_until", ceil_minute(cutoff)))
     body = F.struct(F.col("_from").alias("a"), F.col("_until").alias("z"), F.col("_hit").alias("hit"))
-    head_end = F.col("_from") - MINUTE
+    head_end = F.col("_from") - one_minute()
     if cutoff is not None:
         head_end = F.least(head_end, ceil_minute(cutoff))
     no_hit = F.when(F.lit(False), F.col("_hit"))
@@ -74,7 +74,7 @@ def minute_asof(
     return (
         stretches.select(*series, F.explode(pieces).alias("_p"))
         .where("_p.a <= _p.z")
-        .select(*series, "_p.hit", F.explode(F.sequence("_p.a", "_p.z", MINUTE)).alias(minute))
+        .select(*series, "_p.hit", F.explode(F.sequence("_p.a", "_p.z", one_minute())).alias(minute))
         .select(minute, *series, *[F.col(f"hit.{c}").alias(c) for c in dict.fromkeys([time, *values])])
     )
 

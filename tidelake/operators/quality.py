@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from tidelake.functions.times import iso_utc, month_part
 from tidelake.operators.small import join_small
 
-INFINITY = F.lit(float("inf"))
-
 
 def not_finite(c: Column) -> Column:
-    return F.isnan(c) | (F.abs(c) == INFINITY)
+    return F.isnan(c) | (F.abs(c) == float("inf"))
 
 
 def any_of(*rules: Column) -> Column:

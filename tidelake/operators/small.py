@@ -1,22 +1,28 @@
-"""Joining a large table with a per-series table whose size is checked first."""
+"""Tables that are written to the shared scratch folder before they are used further."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
+from tidelake.session import scratch_dir
+
+
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """``df`` written once and read back.
+
+    The rows are computed a single time, survive lost executors, and the planner knows their true size. A session
+    cache would not do: it is found again by plan, so a later read of the same, by then changed, folder could meet
+    rows of the past.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "left") -> DataFrame:
-    """Join ``small`` by broadcast while it has at most ``MAX_BROADCAST_ROWS`` rows.
+    """Join with an aggregate that has one row per series, or per series and day.
 
-    ``small`` is an aggregate (one row per series, or per series and day). It is kept while its rows are counted,
-    so it is computed once; lost blocks are recomputed. A larger one is joined by an ordinary shuffle join, where
-    adaptive execution splits hot keys.
+    No broadcast is forced: as the settled table's size is known, the planner broadcasts it while it is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where adaptive execution splits hot keys.
     """
-    kept = small.persist()
-    if kept.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
-        return big.join(F.broadcast(kept), on, how)
-    kept.unpersist()
-    return big.join(small.hint("merge"), on, how)
+    return big.join(settle(small, "small"), on, how)

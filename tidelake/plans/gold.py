@@ -12,10 +12,9 @@ from tidelake.functions.hashing import columns_hash, json_hash
 from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import at, iso_utc, trunc_minute, utc
 from tidelake.operators import governance, quality
-from tidelake.operators.small import join_small
+from tidelake.operators.small import join_small, settle
 from tidelake.operators.grid import duplicate_minutes, grid_left_join, input_bounds, joint_span, minute_grid
 from tidelake.schemas import BAR_COLUMNS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
-from tidelake.session import scratch_dir
 from tidelake.sources.lake import read_latest_artifacts, read_silver, write_gold
 from tidelake.sources.manifests import read_manifests, with_contract, write_manifests
 
@@ -143,10 +142,10 @@ def build_availability(symbols: DataFrame, dataset_ids: list[str]) -> DataFrame:
 def family_grid(prepared: dict[str, DataFrame]) -> DataFrame:
     """Minute grid of the symbols that every input has.
 
-    The spans (one row per symbol) are kept, so that the inputs' bounds are taken once, and so that the optimizer does
-    not copy the bounds plan into the scan of every joined input as a pruning filter.
+    The spans (one row per symbol) are settled, so that the inputs' bounds are taken once, and so that the optimizer
+    does not copy the bounds plan into the scan of every joined input as a pruning filter.
     """
-    return minute_grid(joint_span(input_bounds(prepared), len(prepared)).persist())
+    return minute_grid(settle(joint_span(input_bounds(prepared), len(prepared)), "spans"))
 
 
 def merge_families(prepared: dict[str, DataFrame], check_unique: bool = False) -> DataFrame:
@@ -330,9 +329,7 @@ def build_gold(
     counts = l2_counts(prepared) if dataset_id in GOLD_WITH_L2 else None
     if counts is not None:
         merged = check_l2(merged, counts, l2_mode)
-    staged = scratch_dir(spark, "gold")
-    merged.write.parquet(staged)
-    merged = spark.read.parquet(staged)
+    merged = settle(merged, "gold")
     manifest = gold_manifest(merged, raw, dataset_id, built_at, code_version)
     if counts is not None:
         manifest = manifest.join(counts, ["exchange", "symbol"], "left")
@@ -349,9 +346,7 @@ def build_gold(
         )
     else:
         manifest = resolve_versions(manifest, read_manifests(spark, manifest_root, MANIFEST_SCHEMA), version_base)
-    kept = scratch_dir(spark, "gold-manifest")
-    manifest.write.parquet(kept)
-    manifest = spark.read.parquet(kept)
+    manifest = settle(manifest, "gold-manifest")
     if manifest.isEmpty():
         raise ValueError(f"no symbol has all inputs of {dataset_id}")
     versions = manifest.select("exchange", "symbol", F.col("dataset_version").alias("_version"))

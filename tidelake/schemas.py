@@ -35,24 +35,39 @@ SILVER_PARTITIONS = ["dataset_type", "exchange", "symbol", "timeframe", "year",
 GOLD_PARTITIONS = ["dataset_id", "feature_set_version", "exchange", "symbol"]
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+}
+
+
+def _struct(spec: str, **more: T.DataType) -> T.StructType:
+    """``"name type, ..."`` as a schema; made without a session, unlike DDL parsing."""
+    fields = [part.split() for part in spec.split(",")]
+    plain = [T.StructField(name, _TYPES[kind]) for name, kind in fields]
+    return T.StructType([*plain, *[T.StructField(name, kind) for name, kind in more.items()]])
 
 
-_HEAD = """
-    schema_version string, dataset_type string, exchange string, symbol string, instrument_type string,
-    event_time timestamp, ingested_at timestamp, run_id string, source_endpoint string,
-    open_time timestamp, close_time timestamp, timeframe string"""
-_CANDLE = "open_price double, high_price double, low_price double, close_price double, volume double, " \
-          "quote_volume double, trade_count bigint"
+_HEAD = (
+    "schema_version string, dataset_type string, exchange string, symbol string, instrument_type string, "
+    "event_time timestamp, ingested_at timestamp, run_id string, source_endpoint string, "
+    "open_time timestamp, close_time timestamp, timeframe string"
+)
+_PRICES = "open_price double, high_price double, low_price double, close_price double"
+_CANDLE = f"{_PRICES}, volume double, quote_volume double, trade_count bigint"
 _TICK = "trade_id string, price double, quantity double, side string, is_maker boolean"
-_ORIGIN = "exchange: string, symbol: string, interval: string, open_time: timestamp, close_time: timestamp, " \
-          "open_price: double, high_price: double, low_price: double, close_price: double, volume: double, " \
-          "quote_volume: double, trade_count: bigint"
+# The payload a candle row was made from, as a struct column.
+_ORIGIN = _struct(
+    f"exchange string, symbol string, interval string, open_time timestamp, close_time timestamp, {_CANDLE}"
+)
+_OHLCV = _struct(f"{_HEAD}, {_CANDLE}", origin_payload=_ORIGIN)
 
 BRONZE_SCHEMAS = {
-    "spot": _struct(f"{_HEAD}, {_CANDLE}, origin_payload struct<{_ORIGIN}>"),
-    "perp": _struct(f"{_HEAD}, {_CANDLE}, origin_payload struct<{_ORIGIN}>"),
+    "spot": _OHLCV,
+    "perp": _OHLCV,
     "oi": _struct(f"{_HEAD}, open_interest double, open_interest_value double"),
     "funding": _struct(f"{_HEAD}, funding_rate double, index_price double, mark_price double"),
     "perp_trades": _struct(f"{_HEAD}, {_TICK}"),
@@ -63,7 +78,7 @@ BRONZE_SCHEMAS = {
 # Short price names that older candle files carry in place of ``*_price``.
 OLD_CANDLE_COLUMNS = _struct("open double, high double, low double, close double")
 
-ORIGIN_FIELDS = [part.split(":")[0].strip() for part in _ORIGIN.split(",")]
+ORIGIN_FIELDS = _ORIGIN.names
 
 # Natural key of a bronze row; the last two exist for trades only.
 BRONZE_KEY = [*SERIES, "open_time", "trade_id", "instrument_name"]
@@ -100,19 +115,18 @@ SILVER_COLUMNS = {
         "buy_trade_count", "sell_trade_count", "buy_volume_share",
     ],
 }
-_OHLCV_DDL = f"{_HEAD}, {_CANDLE}, origin_payload struct<{_ORIGIN}>"
-_OBSERVED_DDL = (
+_OBSERVED = (
     "trade_time timestamp, exchange string, symbol string, instrument_type string, trade_id string, price double, "
     "quantity double, side string"
 )
-_BARS_DDL = (
+_BARS = (
     "timestamp_m1 timestamp, exchange string, symbol string, instrument_type string, open_price double, "
     "high_price double, low_price double, close_price double, volume double, quote_volume double, trade_count bigint, "
     "buy_volume double, sell_volume double, buy_trade_count bigint, sell_trade_count bigint, buy_volume_share double"
 )
 SILVER_SCHEMAS = {
-    "spot": _struct(_OHLCV_DDL),
-    "perp": _struct(_OHLCV_DDL),
+    "spot": _OHLCV,
+    "perp": _OHLCV,
     "funding_observed": _struct(
         "funding_time timestamp, exchange string, symbol string, base_asset string, instrument_type string, "
         "funding_rate double, funding_interval_hours bigint, ingested_at_min timestamp, ingested_at_max timestamp, "
@@ -132,10 +146,10 @@ SILVER_SCHEMAS = {
         "oi_is_ffill boolean, minutes_since_oi_observation bigint, oi_observation_lag_sec bigint, "
         "oi_source_timestamp timestamp"
     ),
-    "perp_trades_observed": _struct(_OBSERVED_DDL),
-    "option_trades_observed": _struct(_OBSERVED_DDL),
-    "perp_trades_1m_feature": _struct(_BARS_DDL),
-    "option_trades_1m_feature": _struct(_BARS_DDL),
+    "perp_trades_observed": _struct(_OBSERVED),
+    "option_trades_observed": _struct(_OBSERVED),
+    "perp_trades_1m_feature": _struct(_BARS),
+    "option_trades_1m_feature": _struct(_BARS),
 }
 BAR_COLUMNS = SILVER_COLUMNS["trades_1m_feature"][4:]
 COMBINED_COLUMNS = [

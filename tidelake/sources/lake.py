@@ -210,7 +210,7 @@ def _months_between(lo: date, hi: date) -> list[str]:
 
 
 def _finished(spark: SparkSession, marker: str) -> bool:
-    found = _read(spark, marker, marker, T.StructType.fromDDL("id bigint"))
+    found = _read(spark, marker, marker, T.StructType([T.StructField("id", T.LongType())]))
     return found is not None and found.count() == 1
 
 
@@ -219,9 +219,9 @@ def upsert_partitions(
 ) -> DataFrame:
     """Merge bronze rows into the day partitions they belong to; returns the partitions written and their rows.
 
-    Only the touched days are read and rewritten; a hot day is split over several files. The merged days are first
-    written to ``stage`` (by default a fresh folder in the shared scratch area) and then published with a dynamic
-    partition overwrite. A batch that died while publishing and is run again with the same ``stage`` publishes the
+    Only the touched days are read and rewritten; a hot day is split over several files. New rows and merged days are
+    written to ``stage`` (by default a fresh folder in the shared scratch area), and the merged days are then published
+    with a dynamic partition overwrite. A batch that died while publishing and is run again with the same ``stage`` publishes the
     finished copy instead of merging with half-replaced days, so ``stage`` must name one batch only. A batch
     delivered twice changes nothing.
     """
@@ -229,17 +229,16 @@ def upsert_partitions(
     stage = stage or scratch_dir(spark, "upsert")
     rows_path, marker = f"{stage}/rows", f"{stage}/finished"
     if not (resumable and _finished(spark, marker)):
-        fresh = with_partitions(new).persist()
+        with_partitions(new).write.mode("overwrite").parquet(f"{stage}/new")
+        fresh = spark.read.schema(with_partitions(new).schema).parquet(f"{stage}/new")
         span = fresh.agg(F.min("open_time").cast("date").alias("lo"), F.max("open_time").cast("date").alias("hi")).first()
         if span is None or span.lo is None:
-            fresh.unpersist()
             return _written(spark.createDataFrame([], with_partitions(new).schema))
         stored = scan_lake(spark, root, dataset_type, months=_months_between(span.lo, span.hi))
         days = [c for c in BRONZE_PARTITIONS if c not in ("dataset_type", "year", "month")]
         touched = join_small(stored, fresh.select(*days).distinct(), days, "left_semi")
         merge_latest(touched, fresh).write.mode("overwrite").parquet(rows_path)
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
-        fresh.unpersist()
     schema = T.StructType([*BRONZE_SCHEMAS[dataset_type], *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
     staged = _read(spark, rows_path, rows_path, schema)
     _publish(staged, root)
