@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Registered queries against their SQL on the smallest tables: a cross-section, or all with CATALOG=all."""
 
 from __future__ import annotations
 
@@ -15,6 +15,14 @@ SF = "/root/testdata/sf0.001"
 ORACLES = oracles()
 TABLES = ["customer", "events", "lineitem", "orders"]
 
+CROSS_SECTION = [
+    "trade_bars_1m", "ohlcv_clean", "oi_observed", "funding_observed", "asof_funding_1m_cutoff", "month_carry_reset",
+    "silver_report_trades", "grid_left_join", "gold_hybrid_lenient", "feature_metadata", "histogram_24", "manifest_gold",
+    "gap_ranges_ticks", "full_gap_fill", "tail_delta", "resolve_start_bound", "price_direction", "load_combined",
+    "upsert_partitions", "normalize_klines", "semver_timeline", "option_fields",
+]
+NAMES = sorted(QUERIES) if os.environ.get("CATALOG") == "all" else CROSS_SECTION
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
 
 
@@ -38,7 +46,7 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) - set(ORACLES) == {"manifest_bronze_checksum"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, db, name):
     frame = QUERIES[name](spark, SF)
     got, columns = [tuple(r) for r in frame.collect()], frame.columns

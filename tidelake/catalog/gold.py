@@ -280,7 +280,7 @@ def _meta_sql(c: str) -> str:
     numeric = c in _NUMERIC
     present = "timestamp_m1" if c == "timestamp_m1" else f"CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END"
     stats = {"mean": "avg({0})", "std": "stddev_samp({0})", "min": "min({0})::DOUBLE", "max": "max({0})::DOUBLE"}
-    cells = [f"{('round(' + s.format(c) + ', 6)') if numeric else 'NULL::DOUBLE'} AS {n}" for n, s in stats.items()]
+    cells = [f"{('round(' + s.format(c) + ', 9)') if numeric else 'NULL::DOUBLE'} AS {n}" for n, s in stats.items()]
     return f"""SELECT exchange, symbol, '{c}' AS column_name, '{_DTYPE[c]}' AS dtype, count(*) - count({c}) AS null_count,
       count({c}) AS non_null_count, '{_source(c)}' AS source_dataset,
       strftime(min({present}), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
@@ -291,7 +291,7 @@ def _meta_sql(c: str) -> str:
 @query("feature_metadata", " UNION ALL ".join(_meta_sql(c) for c in _GOLD_COLUMNS), _FUNDING_GOLD)
 def feature_metadata(f):
     meta = profile.feature_metadata(funding_gold(f), SYMBOL, "timestamp_m1")
-    return rounded(meta, 6, "mean", "std", "min", "max")
+    return rounded(meta, 9, "mean", "std", "min", "max")
 
 
 @query(
@@ -370,10 +370,10 @@ def source_summary(f):
     "profile_stats",
     " UNION ALL ".join(
         f"""SELECT exchange, symbol, '{c}' AS feature, count({c}) AS available, count(*) - count({c}) AS missing,
-      round(CASE WHEN count({c}) > 0 THEN (count(*) - count({c})) * 100.0::DOUBLE / count({c}) ELSE 0 END, 6) AS missing_pct,
-      round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 6) AS missing_pct_total, round(avg({c}), 6) AS mean,
-      round(var_samp({c}), 4) AS var, round(stddev_samp({c}), 6) AS std_1, round(2 * stddev_samp({c}), 6) AS std_2,
-      round(3 * stddev_samp({c}), 6) AS std_3, min(CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END) AS first_timestamp
+      round(CASE WHEN count({c}) > 0 THEN (count(*) - count({c})) * 100.0::DOUBLE / count({c}) ELSE 0 END, 9) AS missing_pct,
+      round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 9) AS missing_pct_total, round(avg({c}), 9) AS mean,
+      round(var_samp({c}), 9) AS var, round(stddev_samp({c}), 9) AS std_1, round(2 * stddev_samp({c}), 9) AS std_2,
+      round(3 * stddev_samp({c}), 9) AS std_3, min(CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END) AS first_timestamp
     FROM {_FUNDING_GOLD} GROUP BY exchange, symbol"""
         for c in _NUMERIC
     ),
@@ -381,7 +381,7 @@ def source_summary(f):
 )
 def profile_stats(f):
     stats = profile.profile_stats(funding_gold(f), SYMBOL, "timestamp_m1")
-    return rounded(rounded(stats, 6, "missing_pct", "missing_pct_total", "mean", "std_1", "std_2", "std_3"), 4, "var")
+    return rounded(stats, 9, "missing_pct", "missing_pct_total", "mean", "var", "std_1", "std_2", "std_3")
 
 
 _HIST = ["spot_close_price", "perp_volume", "minutes_since_funding"]

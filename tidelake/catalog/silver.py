@@ -430,7 +430,7 @@ def silver_report_oi(f):
 @query(
     "quality_thresholds",
     """SELECT exchange, symbol, unnest(['coverage', 'nulls:close_price', 'nulls:volume', 'drift:buy_volume_share']) AS expectation,
-      round(unnest([coverage, close_nulls, volume_nulls, drift]), 6) AS value,
+      round(unnest([coverage, close_nulls, volume_nulls, drift]), 9) AS value,
       unnest([0.99, 0.0, 0.0, 0.2]::DOUBLE[]) AS limit_value,
       unnest([coverage >= 0.99, close_nulls <= 0, volume_nulls <= 0, drift <= 0.2]) AS passed
     FROM (SELECT exchange, symbol,
@@ -445,7 +445,7 @@ def quality_thresholds(f):
     checks = quality.quality_thresholds(
         bars, "timestamp_m1", SERIES, ["close_price", "volume"], [], share="buy_volume_share"
     )
-    return rounded(checks, 6, "value")
+    return rounded(checks, 9, "value")
 
 
 @query(

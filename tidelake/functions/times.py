@@ -137,7 +137,8 @@ def funding_timeframe(c: Column) -> Column:
 def last_closed_open_ms(interval: Column | int, now: Column) -> Column:
     """Open time (ms) of the newest interval that has fully closed at ``now``."""
     width = F.lit(interval) if isinstance(interval, int) else interval
-    return (F.floor(F.unix_millis(now) / width) - 1) * width
+    millis = F.unix_millis(now)
+    return millis - F.pmod(millis, width) - width
 
 
 def at(moment: datetime | str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.times import ceil_minute, minutes_between, month_start, one_minute, seconds_between
+from tidelake.session import spread
 
 
 def calendar_spans(obs: DataFrame, series: list[str], time: str, cutoff: Column | None = None) -> DataFrame:
@@ -28,7 +29,7 @@ def month_calendar(
     obs: DataFrame, series: list[str], time: str, cutoff: Column | None = None, minute: str = "timestamp_m1"
 ) -> DataFrame:
     """Every calendar minute of every series and month; at most one month of minutes is built per row."""
-    spans = calendar_spans(obs, series, time, cutoff)
+    spans = calendar_spans(obs, series, time, cutoff).repartition(spread(obs.sparkSession), *series, "month_start")
     return spans.select(*series, F.explode(F.sequence("month_start", "last_minute", one_minute())).alias(minute))
 
 
@@ -52,6 +53,7 @@ def minute_asof(
     per_minute = obs.groupBy(
         *series, month_start(F.col(time)).alias("_month"), ceil_minute(F.col(time)).alias("_from")
     ).agg(F.max(F.struct(*dict.fromkeys(hit_fields))).alias("_hit"))
+    per_minute = per_minute.repartition(spread(obs.sparkSession), *series, "_month")
     in_month = Window.partitionBy(*series, "_month").orderBy("_from")
     until = F.coalesce(F.lead("_from").over(in_month) - one_minute(), F.col("_from"))
     stretches = per_minute.select(

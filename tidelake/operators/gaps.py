@@ -9,14 +9,14 @@ DAY_MS = 86_400_000
 
 
 def interval_buckets(times: DataFrame, series: list[str], ms: str, interval_ms: int) -> DataFrame:
-    """First and last time per interval-wide bucket.
+    """First and last time per interval-wide bucket, which is named by its start.
 
     No gap can start and end inside one bucket, so this map-side reduction keeps gap detection exact while a day of
     ticks shrinks to at most one row per interval.
     """
     return (
         times.where(F.col(ms).isNotNull())
-        .groupBy(*series, F.floor(F.col(ms) / interval_ms).alias("_bucket"))
+        .groupBy(*series, (F.col(ms) - F.pmod(F.col(ms), F.lit(interval_ms))).alias("_bucket"))
         .agg(F.min(ms).alias("_lo"), F.max(ms).alias("_hi"))
     )
 
@@ -28,7 +28,7 @@ def gap_ranges(times: DataFrame, series: list[str], ms: str, interval_ms: int, e
     per (series, day), gaps across midnight from one row per series and day.
     """
     buckets = interval_buckets(times.where(F.col(ms) <= end_ms), series, ms, interval_ms).withColumn(
-        "_day", F.floor(F.col("_lo") / DAY_MS)
+        "_day", F.col("_bucket") - F.pmod(F.col("_bucket"), F.lit(DAY_MS))
     )
     days = buckets.groupBy(*series, "_day").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
     in_day = buckets.select(
@@ -42,9 +42,10 @@ def gap_ranges(times: DataFrame, series: list[str], ms: str, interval_ms: int, e
         .select(*series, (F.col("_before") + interval_ms).alias("start_ms"), (F.col("_lo") - interval_ms).alias("end_ms"))
         .where("start_ms <= end_ms")
     )
+    # both ends of a day are used, so that this reads the same shuffled days as the step above
     tail = (
         days.groupBy(*series)
-        .agg((F.max("_hi") + interval_ms).alias("start_ms"))
+        .agg((F.max(F.greatest("_hi", "_lo")) + interval_ms).alias("start_ms"))
         .withColumn("end_ms", F.lit(end_ms).cast("bigint"))
         .where("start_ms <= end_ms")
     )
@@ -67,14 +68,14 @@ def head_gap(
 def split_utc_days(ranges: DataFrame, start: str = "start_ms", end: str = "end_ms") -> DataFrame:
     """Cut inclusive ranges at UTC midnights; a day's slice ends at its last millisecond."""
     keep = [c for c in ranges.columns if c not in (start, end)]
-    day = F.floor(F.col(start) / DAY_MS), F.floor(F.col(end) / DAY_MS)
+    day = [F.col(c) - F.pmod(F.col(c), F.lit(DAY_MS)) for c in (start, end)]
     return (
         ranges.where(F.col(start) <= F.col(end))
-        .withColumn("_day", F.explode(F.sequence(*day)))
+        .withColumn("_day", F.explode(F.sequence(*day, F.lit(DAY_MS))))
         .select(
             *keep,
-            F.greatest(F.col(start), F.col("_day") * DAY_MS).alias(start),
-            F.least(F.col(end), (F.col("_day") + 1) * DAY_MS - 1).alias(end),
+            F.greatest(F.col(start), F.col("_day")).alias(start),
+            F.least(F.col(end), F.col("_day") + (DAY_MS - 1)).alias(end),
         )
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelake.schemas import GOLD_KEY
+from tidelake.session import spread
 
 CHUNK_MINUTES = 1440
 
@@ -51,7 +52,7 @@ def minute_grid(spans: DataFrame) -> DataFrame:
     chunks = (
         spans.withColumn("_steps", steps)
         .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, _steps div {CHUNK_MINUTES})")))
-        .repartition("exchange", "symbol", "_chunk")
+        .repartition(spread(spans.sparkSession), "exchange", "symbol", "_chunk")
     )
     first = F.col("_chunk") * CHUNK_MINUTES
     last = F.least(F.col("_steps"), first + (CHUNK_MINUTES - 1))

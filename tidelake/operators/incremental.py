@@ -67,18 +67,19 @@ def full_gap_fill(
     """
     width = F.lit(interval_ms)
     buckets = interval_buckets(stored.where(F.col(ms) <= end_ms), series, ms, interval_ms)
+    shifts = F.array(F.lit(-interval_ms), F.lit(0), F.lit(interval_ms))
     around = (
-        buckets.withColumn("_shift", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
+        buckets.withColumn("_shift", F.explode(shifts))
         .groupBy(*series, (F.col("_bucket") + F.col("_shift")).alias("_bucket"))
         .agg(
             F.max(F.col("_shift") == 0).alias("_same"),
-            F.max(F.when(F.col("_shift") == 1, F.col("_hi"))).alias("_before"),
-            F.min(F.when(F.col("_shift") == -1, F.col("_lo"))).alias("_after"),
+            F.max(F.when(F.col("_shift") > 0, F.col("_hi"))).alias("_before"),
+            F.min(F.when(F.col("_shift") < 0, F.col("_lo"))).alias("_after"),
         )
     )
     ends = stored.groupBy(*series).agg(F.min(ms).alias("_first"))
     t = F.col(ms)
-    rows = join_small(landing, ends, series).withColumn("_bucket", F.floor(t / interval_ms))
+    rows = join_small(landing, ends, series).withColumn("_bucket", t - F.pmod(t, width))
     rows = rows.join(around, [*series, "_bucket"], "left")
     clear = (
         ~F.coalesce(F.col("_same"), F.lit(False))

@@ -1,7 +1,7 @@
 """Previous-row and row-index operators for long series.
 
-A window over a whole series would put a symbol's full history into one task. These work per (series, day) and carry
-the few values that cross midnight through a table with one row per series and day.
+A window over a whole series would put a symbol's full history into one task. These work per (series, hour) and carry
+the few values that cross the hour through a table with one row per series and hour.
 """
 
 from __future__ import annotations
@@ -9,22 +9,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY = "_day"
+HOUR = "_hour"
 
 
-def _day(time: str) -> Column:
-    return F.to_date(F.col(time))
+def _hour(time: str) -> Column:
+    return F.date_trunc("hour", F.col(time))
 
 
 def with_previous(df: DataFrame, series: list[str], time: str, value: str, out: str) -> DataFrame:
     """Add ``out``: ``value`` of the row before in the series."""
-    daily = df.withColumn(DAY, _day(time))
-    in_day = Window.partitionBy(*series, DAY).orderBy(time)
-    rows = daily.withColumns({"_lag": F.lag(value).over(in_day), "_nth": F.row_number().over(in_day)})
-    last = daily.groupBy(*series, DAY).agg(F.max_by(value, time).alias("_last"))
-    before = last.select(*series, DAY, F.lag("_last").over(Window.partitionBy(*series).orderBy(DAY)).alias("_carry"))
+    hourly = df.withColumn(HOUR, _hour(time))
+    in_hour = Window.partitionBy(*series, HOUR).orderBy(time)
+    rows = hourly.withColumns({"_lag": F.lag(value).over(in_hour), "_nth": F.row_number().over(in_hour)})
+    last = hourly.groupBy(*series, HOUR).agg(F.max_by(value, time).alias("_last"))
+    before = last.select(*series, HOUR, F.lag("_last").over(Window.partitionBy(*series).orderBy(HOUR)).alias("_carry"))
     return (
-        rows.join(before, [*series, DAY], "left")
+        rows.join(before, [*series, HOUR], "left")
         .withColumn(out, F.when(F.col("_nth") == 1, F.col("_carry")).otherwise(F.col("_lag")))
         .select(*df.columns, out)
     )
@@ -32,20 +32,20 @@ def with_previous(df: DataFrame, series: list[str], time: str, value: str, out:
 
 def with_row_index(df: DataFrame, series: list[str], time: str, index: str, total: str) -> DataFrame:
     """Add the zero-based position of each row in its series, by time, and the series length."""
-    daily = df.withColumn(DAY, _day(time))
-    in_day = Window.partitionBy(*series, DAY).orderBy(time)
-    counts = daily.groupBy(*series, DAY).agg(F.count(F.lit(1)).alias("_n"))
+    hourly = df.withColumn(HOUR, _hour(time))
+    in_hour = Window.partitionBy(*series, HOUR).orderBy(time)
+    counts = hourly.groupBy(*series, HOUR).agg(F.count(F.lit(1)).alias("_n"))
     by_series = Window.partitionBy(*series)
-    before = by_series.orderBy(DAY).rowsBetween(Window.unboundedPreceding, -1)
+    before = by_series.orderBy(HOUR).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *series,
-        DAY,
+        HOUR,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         F.sum("_n").over(by_series).alias(total),
     )
     return (
-        daily.withColumn("_nth", F.row_number().over(in_day))
-        .join(offsets, [*series, DAY])
+        hourly.withColumn("_nth", F.row_number().over(in_hour))
+        .join(offsets, [*series, HOUR])
         .withColumn(index, F.col("_offset") + F.col("_nth") - 1)
         .select(*df.columns, index, total)
     )

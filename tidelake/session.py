@@ -34,6 +34,15 @@ def use_lake_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(spark: SparkSession) -> int:
+    """Partitions for rows that are about to become many more.
+
+    Adaptive execution sizes partitions by their bytes before the expansion, and would put it all into a few tasks; a
+    partition count that is asked for by number is left alone.
+    """
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -133,15 +133,42 @@ def scan_lake(
     return union_relaxed(*parts) if parts else spark.createDataFrame([], with_parts)
 
 
-def discover_symbols(spark: SparkSession, root: str, dataset_type: str, exchange: str, timeframe: str) -> DataFrame:
-    """Symbols that have a timeframe; only partition columns are read."""
-    stored = scan_lake(spark, root, dataset_type, exchange=exchange, timeframe=timeframe)
-    return stored.select("symbol").distinct()
+def list_partitions(
+    spark: SparkSession,
+    root: str,
+    dataset_type: str,
+    exchange: str | None = None,
+    instrument_type: str | None = None,
+    symbol: str | None = None,
+    timeframe: str | None = None,
+) -> DataFrame:
+    """Day partitions that hold files, in both layouts, from the folder listing; no file is opened."""
+    series = (
+        f"{root}/dataset_type={dataset_type}/exchange={_choice(exchange)}/instrument_type={_choice(instrument_type)}"
+        f"/symbol={_choice(symbol)}/timeframe={_choice(timeframe)}"
+    )
+    found = [list_artifacts(spark, f"{series}/{level}=*") for level in ("year", "month")]
+    files = union_relaxed(*[f for f in found if f is not None]) if any(f is not None for f in found) else None
+    if files is None:
+        files = spark.createDataFrame([], "path string, modificationTime timestamp")
+    days = files.select(parse_partition_path(F.col("path")).alias("p")).where("p is not null").select("p.*").distinct()
+    return days.withColumns({"month": F.substring("date", 1, 7), "year": F.substring("date", 1, 4)})
+
+
+def discover_symbols(
+    spark: SparkSession, root: str, dataset_type: str, exchange: str, timeframe: str, instrument_type: str | None = None
+) -> DataFrame:
+    """Symbols that have a timeframe."""
+    days = list_partitions(spark, root, dataset_type, exchange, instrument_type, timeframe=timeframe)
+    return days.select("symbol").distinct()
 
 
-def discover_months(spark: SparkSession, root: str, dataset_type: str, exchange: str, symbol: str, timeframe: str) -> DataFrame:
-    stored = scan_lake(spark, root, dataset_type, exchange=exchange, symbol=symbol, timeframe=timeframe)
-    return stored.select("month").distinct().orderBy("month")
+def discover_months(
+    spark: SparkSession, root: str, dataset_type: str, exchange: str, symbol: str, timeframe: str
+) -> DataFrame:
+    """Months of a symbol, in order."""
+    days = list_partitions(spark, root, dataset_type, exchange, None, symbol, timeframe)
+    return days.select("month").distinct().orderBy("month")
 
 
 def stored_open_times(stored: DataFrame) -> DataFrame:
@@ -332,15 +359,15 @@ def write_stats_csv(stats: DataFrame, path: str) -> None:
 # ---- order-book artifacts -------------------------------------------------------------------------
 
 
-def list_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Parquet files below ``root`` with their modification time; no file is opened."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-    )
-    return files.select("path", "modificationTime")
+def list_artifacts(spark: SparkSession, root: str) -> DataFrame | None:
+    """Parquet files below ``root`` with their modification time; no file is opened. None when nothing is there."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    try:
+        return reader.load(root).select("path", "modificationTime")
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def latest_artifact(files: DataFrame) -> DataFrame:
@@ -371,7 +398,8 @@ def latest_artifact(files: DataFrame) -> DataFrame:
 
 def read_latest_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """Rows of the newest order-book artifact of every symbol (one path per symbol is looked up on the driver)."""
-    paths = [row.path for row in latest_artifact(list_artifacts(spark, root)).select("path").toLocalIterator()]
+    files = list_artifacts(spark, root)
+    paths = [] if files is None else [r.path for r in latest_artifact(files).select("path").toLocalIterator()]
     if not paths:
         raise ValueError(f"no order-book files under {root}")
     return spark.read.option("mergeSchema", "true").parquet(*paths)

@@ -26,8 +26,10 @@ def normalize_klines(pages: DataFrame, interval_ms: int, exchange: str, timefram
     ``no_data`` pages are empty; any other status than ``ok`` and arrays that are missing or of unequal length fail.
     """
     shape = "struct<result: struct<status: string, " + ", ".join(f"{a}: array<string>" for a in CANDLE_ARRAYS) + ">>"
-    part = F.from_json("payload", shape).getField("result").getField
-    arrays = [part(a) for a in CANDLE_ARRAYS]
+    # inline makes columns of the one parsed struct; fields taken from from_json directly would each parse the text
+    result = F.from_json("payload", shape).getField("result")
+    parsed = pages.select("page_no", "symbol", F.inline(F.array(result)))
+    arrays = [F.col(a) for a in CANDLE_ARRAYS]
     zipped = F.arrays_zip(*[a.alias(n) for a, n in zip(arrays, CANDLE_ARRAYS)])
     kind = "array<struct<" + ", ".join(f"{a}: string" for a in CANDLE_ARRAYS) + ">>"
     missing = F.lit(False)
@@ -35,7 +37,7 @@ def normalize_klines(pages: DataFrame, interval_ms: int, exchange: str, timefram
     for a in arrays:
         missing = missing | a.isNull()
         uneven = uneven | (F.size(a) != F.size(arrays[0]))
-    status = part("status")
+    status = F.col("status")
     rows = (
         F.when(status == "no_data", F.array().cast(kind))
         .when(status.isNotNull() & (status != "ok"), _fail("unexpected chart status", kind))
@@ -44,7 +46,7 @@ def normalize_klines(pages: DataFrame, interval_ms: int, exchange: str, timefram
         .otherwise(zipped)
     )
     tick = F.col("c.ticks").cast("bigint")
-    return pages.select("page_no", "symbol", F.posexplode(rows).alias("pos", "c")).select(
+    return parsed.select("page_no", "symbol", F.posexplode(rows).alias("pos", "c")).select(
         "page_no",
         "pos",
         F.lit(exchange).alias("exchange"),
@@ -66,18 +68,16 @@ def normalize_funding(pages: DataFrame, exchange: str, timeframe: str = "8h") ->
     1-hour rate count. The mark price falls back to the index price.
     """
     items = F.from_json("payload", "struct<result: array<string>>").getField("result")
-    item = F.col("item")
-
-    def field(name: str) -> Column:
-        return F.get_json_object(item, f"$.{name}")
-
-    keys = F.json_object_keys(item)
-    rate = F.when(F.array_contains(keys, "interest_8h"), field("interest_8h")).otherwise(field("interest_1h"))
-    index = float_or_default(field("index_price"), 0.0)
-    moment = ms_to_ts(field("timestamp").cast("bigint"))
+    fields = ["timestamp", "interest_8h", "interest_1h", "index_price", "prev_index_price"]
+    rate = F.when(F.array_contains(F.json_object_keys("item"), "interest_8h"), F.col("interest_8h")).otherwise(
+        F.col("interest_1h")
+    )
+    index = float_or_default(F.col("index_price"), 0.0)
+    moment = ms_to_ts(F.col("timestamp").cast("bigint"))
     return (
         pages.select("page_no", "symbol", F.posexplode(items).alias("pos", "item"))
-        .where(F.get_json_object("item", "$.timestamp").isNotNull())
+        .select("*", F.json_tuple("item", *fields).alias(*fields))
+        .where("timestamp is not null")
         .select(
             "page_no",
             "pos",
@@ -89,7 +89,7 @@ def normalize_funding(pages: DataFrame, exchange: str, timeframe: str = "8h") ->
             moment.alias("close_time"),
             float_or_default(rate, 0.0).alias("funding_rate"),
             index.alias("index_price"),
-            float_or_default(field("prev_index_price"), index).alias("mark_price"),
+            float_or_default(F.col("prev_index_price"), index).alias("mark_price"),
         )
     )
 
