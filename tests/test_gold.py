@@ -98,7 +98,7 @@ def test_l2_modes(spark):
     kept = gold.gold_frame(raw, "gold.hybrid.full_l2.m1", "lenient")
     assert rows(kept, "timestamp_m1", "l2_coverage_ratio") == [(ts("2026-05-01 00:01:00"), 0.9)]
     prepared = {n: gold.prepare(n, f) for n, f in raw.items()}
-    counts = gold.l2_counts(prepared).first()
+    counts = gold.l2_counts(gold.family_grid(prepared), prepared).first()
     assert (counts.l2_invalid_rows_found, counts.l2_invalid_rows_dropped) == (1, 1)
     with pytest.raises(ValueError):
         gold.gold_frame(raw, "gold.hybrid.full_l2.m1", "loose")
@@ -125,7 +125,7 @@ def test_l2_needs_its_columns(spark):
 def test_duplicate_minutes_are_refused(spark):
     raw = raw_inputs(spark, "gold.market.core.m1", [TWO[0], TWO[0]])
     with pytest.raises(ValueError):
-        gold.merge_families({n: gold.prepare(n, f) for n, f in raw.items()}, check_unique=True)
+        gold.require_unique({n: gold.prepare(n, f) for n, f in raw.items()})
 
 
 def test_manifest_hashes_match_canonical_json(spark):

@@ -62,11 +62,14 @@ class Feeds:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        """A given table; one that arrives in fewer pieces than there are cores is dealt out to all of them."""
+        """Columns (or all) of a given table.
+
+        A table that arrives in fewer pieces than there are cores is dealt out to all of them by its first column.
+        """
         rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         rows = rows.select(*columns) if columns else rows
         cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+        return rows.repartition(cores, rows.columns[0]) if rows.rdd.getNumPartitions() < cores else rows
 
     def events(self) -> DataFrame:
         asset = F.pmod("user_id", F.lit(3))
@@ -83,43 +86,51 @@ class Feeds:
 
     # ---- bronze feeds -----------------------------------------------------------------------------
 
-    def _delivered(self) -> DataFrame:
-        """Events, with a second, later and corrected delivery of every click."""
-        twice = F.when(F.col("event_type") == "click", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        return self.events().withColumn("d", F.explode(twice))
-
-    def _tick_columns(self, dataset: str, instrument: str, symbol: Column) -> dict[str, Column]:
-        k, first = F.col("k"), F.col("d") == 0
+    def _ticks(self, dataset: str, instrument: str, symbol: Column, endpoint: str, **more: Column) -> DataFrame:
+        """Events as ticks, with a second, later and corrected delivery of every click."""
+        k, kind = F.col("k"), F.col("event_type")
         price = (
             F.when(k == 13, F.lit(None).cast("double"))
             .when(k == 7, -F.col("value"))
             .when(k == 3, F.lit(float("nan")))
             .when(k == 4, F.lit(float("inf")))
-            .otherwise(F.col("value") + F.col("d"))
+            .otherwise(F.col("value"))
+        )
+        once = self.events().select(
+            "ts",
+            symbol.alias("symbol"),
+            F.col("event_id").cast("string").alias("trade_id"),
+            price.alias("price"),
+            k.cast("double").alias("quantity"),
+            F.when(kind == "purchase", "BUY").when(kind == "click", "sell").otherwise("unknown").alias("side"),
+            (kind == "error").alias("is_maker"),
+            *[c.alias(n) for n, c in more.items()],
+            F.explode(F.when(kind == "click", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("d"),
+        )
+        first = F.col("d") == 0
+        return once.select(
+            F.lit("v1").alias("schema_version"),
+            F.lit(dataset).alias("dataset_type"),
+            F.when(first, EXCHANGE.upper()).otherwise(EXCHANGE).alias("exchange"),
+            "symbol",
+            F.when(first, instrument.upper()).otherwise(instrument).alias("instrument_type"),
+            F.col("ts").alias("event_time"),
+            (F.col("ts") + F.expr("make_dt_interval(0, d, 0, 1)")).alias("ingested_at"),
+            F.concat(F.lit("run-"), F.col("d").cast("string")).alias("run_id"),
+            F.lit(endpoint).alias("source_endpoint"),
+            F.col("ts").alias("open_time"),
+            F.col("ts").alias("close_time"),
+            F.lit("tick").alias("timeframe"),
+            "trade_id",
+            (F.col("price") + F.col("d")).alias("price"),
+            "quantity",
+            "side",
+            "is_maker",
+            *more,
         )
-        return {
-            "schema_version": F.lit("v1"),
-            "dataset_type": F.lit(dataset),
-            "exchange": F.when(first, EXCHANGE.upper()).otherwise(EXCHANGE),
-            "symbol": symbol,
-            "instrument_type": F.when(first, instrument.upper()).otherwise(instrument),
-            "event_time": F.col("ts"),
-            "ingested_at": F.col("ts") + F.expr("interval 1 second") + F.expr("make_interval(0,0,0,0,d,0,0)"),
-            "run_id": F.concat(F.lit("run-"), F.col("d").cast("string")),
-            "source_endpoint": F.lit("public_trades"),
-            "open_time": F.col("ts"),
-            "close_time": F.col("ts"),
-            "timeframe": F.lit("tick"),
-            "trade_id": F.col("event_id").cast("string"),
-            "price": price,
-            "quantity": k.cast("double"),
-            "side": F.when(F.col("event_type") == "purchase", "BUY").when(F.col("event_type") == "click", "sell").otherwise("unknown"),
-            "is_maker": F.col("event_type") == "error",
-        }
 
     def ticks(self) -> DataFrame:
-        columns = self._tick_columns("perp_trades", "perp", F.concat("asset", F.lit("-PERPETUAL")))
-        return self._delivered().select(*[c.alias(n) for n, c in columns.items()])
+        return self._ticks("perp_trades", "perp", F.concat("asset", F.lit("-PERPETUAL")), "public_trades")
 
     @staticmethod
     def option_name() -> Column:
@@ -138,45 +149,52 @@ class Feeds:
     def option_ticks(self) -> DataFrame:
         from tidelake.functions.symbols import option_fields
 
-        columns = self._tick_columns("option_trades", "option", F.col("asset"))
-        columns["source_endpoint"] = F.lit("public_option_trades")
-        rows = self._delivered().select(
-            *[c.alias(n) for n, c in columns.items()], self.option_name().alias("instrument_name")
+        rows = self._ticks(
+            "option_trades", "option", F.col("asset"), "public_option_trades", instrument_name=self.option_name()
         )
         return rows.withColumn("_o", option_fields(F.col("instrument_name"))).select(*rows.columns, "_o.*")
 
     def candles(self) -> DataFrame:
         """Raw candles of both markets, one per line item; returned items are delivered again with a corrected close."""
-        twice = F.when(F.col("l_returnflag") == "R", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        price, part = F.col("l_extendedprice"), F.pmod("l_suppkey", F.lit(3))
-        asset = F.when(part == 0, "BTC").when(part == 1, "ETH").otherwise("SOL")
-        spot = F.col("l_linestatus") == "F"
-        market = F.when(spot, "spot").otherwise("perp")
-        low = price * (1 - F.col("l_discount"))
-        high = F.when(F.col("l_linenumber") == 7, low - 1).otherwise(price * (1 + F.col("l_tax")))
-        opened = F.col("l_shipdate").cast("timestamp") + F.expr("make_interval(0,0,0,0,0,cast(pmod(l_partkey, 1440) as int),0)")
-        ids = F.concat_ws("-", F.lit("run"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "d")
         columns = [
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
             "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
         ]
-        return self.table("lineitem", *columns).withColumn("d", F.explode(twice)).select(
+        price, part = F.col("l_extendedprice"), F.pmod("l_suppkey", F.lit(3))
+        asset = F.when(part == 0, "BTC").when(part == 1, "ETH").otherwise("SOL")
+        spot = F.col("l_linestatus") == "F"
+        low = price * (1 - F.col("l_discount"))
+        twice = F.when(F.col("l_returnflag") == "R", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        once = self.table("lineitem", *columns).select(
+            F.concat(asset, F.when(spot, "_USDC").otherwise("-PERPETUAL")).alias("symbol"),
+            F.when(spot, "spot").otherwise("perp").alias("market"),
+            F.expr("cast(l_shipdate as timestamp) + make_dt_interval(0, 0, cast(pmod(l_partkey, 1440) as int))").alias("t"),
+            F.when(F.col("l_quantity") != 13, price).alias("open_price"),
+            F.when(F.col("l_linenumber") == 7, low - 1).otherwise(price * (1 + F.col("l_tax"))).alias("high_price"),
+            low.alias("low_price"),
+            "l_orderkey",
+            "l_quantity",
+            "l_linenumber",
+            F.concat_ws("-", F.lit("run"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("run"),
+            F.explode(twice).alias("d"),
+        )
+        return once.select(
             F.lit("v1").alias("schema_version"),
-            market.alias("dataset_type"),
+            F.col("market").alias("dataset_type"),
             F.lit(EXCHANGE).alias("exchange"),
-            F.concat(asset, F.when(spot, "_USDC").otherwise("-PERPETUAL")).alias("symbol"),
-            market.alias("instrument_type"),
-            opened.alias("event_time"),
-            (opened + F.expr("make_interval(0,0,0,0,d,1,cast(l_orderkey as decimal(18,6)))")).alias("ingested_at"),
-            ids.alias("run_id"),
+            "symbol",
+            F.col("market").alias("instrument_type"),
+            F.col("t").alias("event_time"),
+            F.expr("t + make_dt_interval(0, d, 1, cast(l_orderkey as decimal(18,6)))").alias("ingested_at"),
+            F.concat_ws("-", "run", "d").alias("run_id"),
             F.lit("public_market_data").alias("source_endpoint"),
-            opened.alias("open_time"),
-            (opened + F.expr("interval '59.999' second")).alias("close_time"),
+            F.col("t").alias("open_time"),
+            (F.col("t") + F.expr("interval '59.999' second")).alias("close_time"),
             F.lit("1m").alias("timeframe"),
-            F.when(F.col("l_quantity") != 13, price).alias("open_price"),
-            high.alias("high_price"),
-            low.alias("low_price"),
-            (low + F.col("d") * F.lit(0.5)).alias("close_price"),
+            "open_price",
+            "high_price",
+            "low_price",
+            (F.col("low_price") + F.col("d") * F.lit(0.5)).alias("close_price"),
             F.col("l_quantity").alias("volume"),
             F.lit(None).cast("double").alias("quote_volume"),
             F.col("l_linenumber").cast("bigint").alias("trade_count"),
@@ -230,7 +248,7 @@ class Feeds:
             F.concat("asset", F.lit("-PERPETUAL")).alias("symbol"),
             F.when(k == 50, "spot").otherwise("perp").alias("instrument_type"),
             when.alias("event_time"),
-            (F.col("ts") + F.expr("make_interval(0,0,0,0,d,0,1)")).alias("ingested_at"),
+            (F.col("ts") + F.expr("make_dt_interval(0, d, 0, 1)")).alias("ingested_at"),
             F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
             F.lit("public_funding").alias("source_endpoint"),
             when.alias("open_time"),
@@ -268,7 +286,7 @@ class Feeds:
             name.alias("symbol"),
             F.lit("perp").alias("instrument_type"),
             when.alias("event_time"),
-            (F.col("ts") + F.expr("make_interval(0,0,0,0,d,0,1)")).alias("ingested_at"),
+            (F.col("ts") + F.expr("make_dt_interval(0, d, 0, 1)")).alias("ingested_at"),
             F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
             F.lit("public_open_interest").alias("source_endpoint"),
             when.alias("open_time"),

@@ -240,7 +240,8 @@ def l2_quality_mask(f):
     "l2_found",
 )
 def l2_strict_or_lenient(f):
-    return gold.l2_counts({n: gold.prepare(n, f.silver(n)) for n in _inputs("gold.hybrid.full_l2.m1")})
+    prepared = {n: gold.prepare(n, f.silver(n)) for n in _inputs("gold.hybrid.full_l2.m1")}
+    return gold.l2_counts(gold.family_grid(prepared), prepared)
 
 
 # ---- audits and profiles --------------------------------------------------------------------------

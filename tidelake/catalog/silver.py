@@ -313,10 +313,10 @@ def month_carry_reset(f):
         F.col("o_orderstatus").alias("symbol"),
         F.col("o_totalprice").alias("open_interest"),
         F.expr(
-            "cast(o_orderdate as timestamp) + make_interval(0,0,0,0,0,cast(o_custkey % 1440 as int),"
+            "cast(o_orderdate as timestamp) + make_dt_interval(0, 0, cast(o_custkey % 1440 as int), "
             "cast(o_orderkey % 60 as decimal(18,6)))"
         ).alias("timestamp"),
-        F.expr("cast(o_orderdate as timestamp) + make_interval(0,0,0,0,0,0,cast(o_orderkey as decimal(18,6)))").alias("ingested_at"),
+        F.expr("cast(o_orderdate as timestamp) + make_dt_interval(0, 0, 0, cast(o_orderkey as decimal(18,6)))").alias("ingested_at"),
     )
     filled = silver.oi_1m_feature(obs, FAR_CUTOFF)
     return filled.groupBy("symbol", month_part(F.col("timestamp_m1")).alias("month")).agg(

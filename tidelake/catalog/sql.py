@@ -19,7 +19,7 @@ def _ticks(dataset: str, instrument: str, symbol: str, endpoint: str, extra: str
       CASE d WHEN 0 THEN '{instrument.upper()}' ELSE '{instrument}' END AS instrument_type, ts AS event_time,
       ts + INTERVAL 1 SECOND + d * INTERVAL 1 HOUR AS ingested_at, 'run-' || d AS run_id, '{endpoint}' AS source_endpoint,
       ts AS open_time, ts AS close_time, 'tick' AS timeframe, CAST(event_id AS VARCHAR) AS trade_id,
-      CASE k WHEN 13 THEN NULL WHEN 7 THEN -value WHEN 3 THEN {_NAN} WHEN 4 THEN {_INF} ELSE value + d END AS price,
+      CASE k WHEN 13 THEN NULL WHEN 7 THEN -value WHEN 3 THEN {_NAN} WHEN 4 THEN {_INF} ELSE value END + d AS price,
       CAST(k AS DOUBLE) AS quantity,
       CASE event_type WHEN 'purchase' THEN 'BUY' WHEN 'click' THEN 'sell' ELSE 'unknown' END AS side,
       event_type = 'error' AS is_maker {extra}

@@ -148,10 +148,8 @@ def family_grid(prepared: dict[str, DataFrame]) -> DataFrame:
     return minute_grid(settle(joint_span(input_bounds(prepared), len(prepared)), "spans"))
 
 
-def merge_families(prepared: dict[str, DataFrame], check_unique: bool = False) -> DataFrame:
+def merge_families(prepared: dict[str, DataFrame]) -> DataFrame:
     """All inputs on the dense minute grid of the symbols that every input has."""
-    if check_unique:
-        require_unique(prepared)
     return grid_left_join(family_grid(prepared), prepared)
 
 
@@ -161,9 +159,9 @@ def require_unique(prepared: dict[str, DataFrame]) -> None:
             raise ValueError(f"more than one row per minute in {name}")
 
 
-def l2_counts(prepared: dict[str, DataFrame]) -> DataFrame:
+def l2_counts(grid: DataFrame, prepared: dict[str, DataFrame]) -> DataFrame:
     """Order-book check counts per symbol, from the grid and the order-book rows alone."""
-    return quality.l2_audit(grid_left_join(family_grid(prepared), {L2_INPUT: prepared[L2_INPUT]}))
+    return quality.l2_audit(grid_left_join(grid, {L2_INPUT: prepared[L2_INPUT]}))
 
 
 def check_l2(merged: DataFrame, audit: DataFrame, mode: str) -> DataFrame:
@@ -182,8 +180,9 @@ def gold_frame(raw: dict[str, DataFrame], dataset_id: str, l2_mode: str = "stric
     """The gold table of a dataset id from its silver inputs (and ``gold_l2_m1`` where it takes order-book rows)."""
     names = gold_inputs(dataset_id) + ([L2_INPUT] if dataset_id in GOLD_WITH_L2 else [])
     prepared = {n: prepare(n, raw[n]) for n in names}
-    merged = merge_families(prepared)
-    return check_l2(merged, l2_counts(prepared), l2_mode) if dataset_id in GOLD_WITH_L2 else merged
+    grid = family_grid(prepared)
+    merged = grid_left_join(grid, prepared)
+    return check_l2(merged, l2_counts(grid, prepared), l2_mode) if dataset_id in GOLD_WITH_L2 else merged
 
 
 # ---- manifest -------------------------------------------------------------------------------------
@@ -325,9 +324,12 @@ def build_gold(
     if dataset_id in GOLD_WITH_L2:
         raw[L2_INPUT] = read_latest_artifacts(spark, l2_root or gold_root)
     prepared = {n: prepare(n, frame) for n, frame in raw.items()}
-    merged = merge_families(prepared, check_unique=True)
-    counts = l2_counts(prepared) if dataset_id in GOLD_WITH_L2 else None
-    if counts is not None:
+    require_unique(prepared)
+    grid = family_grid(prepared)
+    merged = grid_left_join(grid, prepared)
+    counts = None
+    if dataset_id in GOLD_WITH_L2:
+        counts = settle(l2_counts(grid, prepared), "order-book-counts")
         merged = check_l2(merged, counts, l2_mode)
     merged = settle(merged, "gold")
     manifest = gold_manifest(merged, raw, dataset_id, built_at, code_version)
