@@ -319,7 +319,7 @@ def month_carry_reset(f):
         F.expr("cast(o_orderdate as timestamp) + make_dt_interval(0, 0, 0, cast(o_orderkey as decimal(18,6)))").alias("ingested_at"),
     )
     filled = silver.oi_1m_feature(obs, FAR_CUTOFF)
-    return filled.groupBy("symbol", month_part(F.col("timestamp_m1")).alias("month")).agg(
+    months = filled.groupBy("symbol", F.date_trunc("month", "timestamp_m1").alias("month")).agg(
         F.count(F.lit(1)).alias("minutes"),
         F.count_if(F.col("open_interest").isNull()).alias("empty_minutes"),
         F.sum("oi_observation_lag_sec").alias("lag_sec"),
@@ -327,6 +327,7 @@ def month_carry_reset(f):
         F.count_if("oi_is_observed").alias("observed"),
         F.max("oi_source_timestamp").alias("last_source"),
     )
+    return months.withColumn("month", month_part(F.col("month")))
 
 
 @query(

@@ -44,12 +44,19 @@ def trunc_to(c: Column, seconds: int) -> Column:
     return F.timestamp_micros(micros - F.pmod(micros, F.lit(width)))
 
 
+def _between(start: Column, end: Column, micros: int) -> Column:
+    # plain long arithmetic; calendar differences build date objects per row
+    gap = F.unix_micros(end) - F.unix_micros(start)
+    return ((gap - gap % micros) / micros).cast("bigint")
+
+
 def minutes_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MINUTE", start, end)
+    """Whole minutes from ``start`` to ``end``, towards zero."""
+    return _between(start, end, 60_000_000)
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+    return _between(start, end, 1_000_000)
 
 
 def ms_to_ts(c: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidelake.functions.times import at, date_part, month_part, year_part
 from tidelake.operators.dedup import keep_latest, pad_columns, union_relaxed
-from tidelake.operators.small import join_small
+from tidelake.operators.small import join_small, settle
 from tidelake.schemas import (
     BRONZE_KEY,
     BRONZE_PARTITIONS,
@@ -26,9 +26,10 @@ from tidelake.schemas import (
     SILVER_SCHEMAS,
     SOURCE_ENDPOINT,
 )
-from tidelake.session import scratch_dir
+from tidelake.session import scratch_dir, spread
 
 STORED_ORDER = ["ingested_at", "run_id"]
+ROWS_PER_FILE = 5_000_000
 
 
 # ---- partition columns and audit columns ----------------------------------------------------------
@@ -219,10 +220,14 @@ def merge_latest(stored: DataFrame, new: DataFrame) -> DataFrame:
     return keep_latest(both, key, [*STORED_ORDER, "_new"]).drop("_new")
 
 
-def _publish(rows: DataFrame, root: str) -> None:
-    """Replace the day partitions that ``rows`` hold. A large day is split over several tasks, small ones share one."""
+def _publish(rows: DataFrame, root: str, pieces: int) -> None:
+    """Replace the day partitions that ``rows`` hold, in ``pieces`` ranges of equal size.
+
+    Ranges follow partition and time, so small days share a task only when there are more of them than tasks, and a
+    day with much of the rows is split over several files.
+    """
     (
-        rows.hint("rebalance", *BRONZE_PARTITIONS[1:])
+        rows.repartitionByRange(pieces, *BRONZE_PARTITIONS, "open_time")
         .sortWithinPartitions(*BRONZE_PARTITIONS, "open_time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -268,8 +273,10 @@ def upsert_partitions(
         spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
     schema = T.StructType([*BRONZE_SCHEMAS[dataset_type], *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
     staged = _read(spark, rows_path, rows_path, schema)
-    _publish(staged, root)
-    return _written(staged)
+    written = settle(_written(staged), "upserted")
+    size = written.agg(F.count(F.lit(1)).alias("days"), F.sum("rows").alias("rows")).first()
+    _publish(staged, root, max(min(size.days, spread(spark)), -(-size.rows // ROWS_PER_FILE)))
+    return written
 
 
 def _written(rows: DataFrame) -> DataFrame:
