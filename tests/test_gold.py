@@ -124,8 +124,9 @@ def test_l2_needs_its_columns(spark):
 
 def test_duplicate_minutes_are_refused(spark):
     raw = raw_inputs(spark, "gold.market.core.m1", [TWO[0], TWO[0]])
-    with pytest.raises(ValueError):
-        gold.require_unique({n: gold.prepare(n, f) for n, f in raw.items()})
+    merged = gold.gold_frame(raw, "gold.market.core.m1")
+    with pytest.raises(ValueError, match="BTC"):
+        gold.require_one_row_per_minute(merged)
 
 
 def test_manifest_hashes_match_canonical_json(spark):
@@ -247,3 +248,20 @@ def test_bump_version_errors(spark):
     for version, level in (("1.2", "minor"), ("v1.2.3", "huge")):
         with pytest.raises(Exception, match="cannot bump"):
             one.select(governance.bump_version(F.lit(version), F.lit(level))).collect()
+
+
+def test_build_hybrid_gold(spark, tmp_path):
+    silver_root, gold_root, l2_root = (str(tmp_path / n) for n in ("silver", "gold", "l2"))
+    dataset = "gold.hybrid.full_l2.m1"
+    for n in gold.gold_inputs(dataset):
+        time = {"spot": "open_time", "perp": "open_time", "funding_1m_feature": "timestamp"}.get(n, "timestamp_m1")
+        lake.write_silver(silver_rows(spark, n, TWO), silver_root, n, "1m", time)
+    book = l2_rows(spark, [1.2, 0.9]).withColumns({"version": F.lit("v1"), "build_id": F.lit("b")})
+    folder = f"{l2_root}/exchange=deribit/symbol=BTC/version=v1/build_id=b"
+    book.drop("version", "build_id").coalesce(1).write.parquet(folder)
+    with pytest.raises(ValueError, match="1 bad rows"):
+        gold.build_gold(spark, silver_root, gold_root, dataset, "2026-06-01", l2_root=l2_root)
+    row = gold.build_gold(spark, silver_root, gold_root, dataset, "2026-06-01", l2_root=l2_root, l2_mode="lenient").first()
+    assert (row.rows_out, row.l2_invalid_rows_found, row.l2_invalid_rows_dropped) == (1, 1, 1)
+    assert row.contract.source_dataset_keys[:2] == ["funding_1m_feature", "gold_l2_m1"]
+    assert spark.read.parquet(gold_root).select("l2_coverage_ratio").first()[0] == 0.9

@@ -415,13 +415,8 @@ def latest_artifact(f):
     for version, shift in (("v1", 0.5), ("v2", 0.0)):
         rows = f.l2().withColumn("coverage_ratio", F.col("coverage_ratio") + shift)
         named = rows.withColumns({"version": F.lit(version), "build_id": F.lit("b")})
-        keys = named.withColumns({"e": F.col("exchange"), "s": F.col("symbol")})
-        keys.drop("exchange", "symbol").withColumnsRenamed({"e": "exchange", "s": "symbol"}).write.mode("append").partitionBy(
-            "exchange", "symbol", "version", "build_id"
-        ).parquet(root)
-    paths = lake.latest_artifact(lake.list_artifacts(f.spark, root)).select("path")
-    chosen = [row.path for row in paths.toLocalIterator()]
-    rows = f.spark.read.option("basePath", root).parquet(*chosen)
+        named.write.mode("append").partitionBy("exchange", "symbol", "version", "build_id").parquet(root)
+    rows = lake.read_latest_artifacts(f.spark, root)
     return rows.select("ts_minute", "exchange", "symbol", "snapshot_count", "coverage_ratio", "first_snapshot_ts", "last_snapshot_ts", "spread")
 
 

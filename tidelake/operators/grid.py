@@ -66,11 +66,6 @@ def grid_left_join(grid: DataFrame, frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.join(right, GOLD_KEY, "left"), frames.values(), grid)
 
 
-def duplicate_minutes(frame: DataFrame) -> DataFrame:
-    """Keys that occur more than once in an input and would multiply gold rows."""
-    return frame.groupBy(*GOLD_KEY).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-
-
 def with_minute_column(df: DataFrame) -> DataFrame:
     """Add ``timestamp_m1`` from the first time column present; a table without one is passed through."""
     # fixed values: time columns in order of preference

@@ -12,8 +12,9 @@ from tidelake.functions.hashing import columns_hash, json_hash
 from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import at, iso_utc, trunc_minute, utc
 from tidelake.operators import governance, quality
+from tidelake.operators.grid import grid_left_join, input_bounds, joint_span, minute_grid
+from tidelake.operators.profile import span_coverage
 from tidelake.operators.small import join_small, settle
-from tidelake.operators.grid import duplicate_minutes, grid_left_join, input_bounds, joint_span, minute_grid
 from tidelake.schemas import BAR_COLUMNS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
 from tidelake.sources.lake import read_latest_artifacts, read_silver, write_gold
 from tidelake.sources.manifests import read_manifests, with_contract, write_manifests
@@ -153,10 +154,12 @@ def merge_families(prepared: dict[str, DataFrame]) -> DataFrame:
     return grid_left_join(family_grid(prepared), prepared)
 
 
-def require_unique(prepared: dict[str, DataFrame]) -> None:
-    for name, frame in prepared.items():
-        if not duplicate_minutes(frame).isEmpty():
-            raise ValueError(f"more than one row per minute in {name}")
+def require_one_row_per_minute(merged: DataFrame) -> None:
+    """Fail when an input had a minute twice: the grid has each minute once, so rows then exceed the minutes spanned."""
+    span = span_coverage(merged, ["exchange", "symbol"], "timestamp_m1")
+    crowded = span.where("rows_out > expected_minutes").select("symbol").limit(5).collect()
+    if crowded:
+        raise ValueError(f"an input has more than one row per minute for {[r.symbol for r in crowded]}")
 
 
 def l2_counts(grid: DataFrame, prepared: dict[str, DataFrame]) -> DataFrame:
@@ -324,14 +327,12 @@ def build_gold(
     if dataset_id in GOLD_WITH_L2:
         raw[L2_INPUT] = read_latest_artifacts(spark, l2_root or gold_root)
     prepared = {n: prepare(n, frame) for n, frame in raw.items()}
-    require_unique(prepared)
-    grid = family_grid(prepared)
-    merged = grid_left_join(grid, prepared)
+    merged = settle(merge_families(prepared), "gold")
+    require_one_row_per_minute(merged)
     counts = None
     if dataset_id in GOLD_WITH_L2:
-        counts = settle(l2_counts(grid, prepared), "order-book-counts")
+        counts = settle(quality.l2_audit(merged), "order-book-counts")
         merged = check_l2(merged, counts, l2_mode)
-    merged = settle(merged, "gold")
     manifest = gold_manifest(merged, raw, dataset_id, built_at, code_version)
     if counts is not None:
         manifest = manifest.join(counts, ["exchange", "symbol"], "left")

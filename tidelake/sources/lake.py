@@ -404,9 +404,20 @@ def latest_artifact(files: DataFrame) -> DataFrame:
 
 
 def read_latest_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the newest order-book artifact of every symbol (one path per symbol is looked up on the driver)."""
+    """Rows of the newest order-book artifact of every symbol (one path per symbol is looked up on the driver).
+
+    Exchange and symbol come from the folder names where there are any; version and build id are left out.
+    """
     files = list_artifacts(spark, root)
-    paths = [] if files is None else [r.path for r in latest_artifact(files).select("path").toLocalIterator()]
-    if not paths:
+    chosen = [] if files is None else list(latest_artifact(files).select("path", "exchange").toLocalIterator())
+    nested = [r.path for r in chosen if r.exchange is not None]
+    flat = [r.path for r in chosen if r.exchange is None]
+    reader = spark.read.option("mergeSchema", "true")
+    frames = []
+    if nested:
+        frames.append(reader.option("basePath", root).parquet(*nested).drop("dataset_id", "version", "build_id"))
+    if flat:
+        frames.append(spark.read.option("mergeSchema", "true").parquet(*flat))
+    if not frames:
         raise ValueError(f"no order-book files under {root}")
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+    return union_relaxed(*frames)
