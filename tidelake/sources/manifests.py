@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.hashing import columns_hash, json_hash, value_checksum
 from tidelake.functions.times import iso_utc, month_part
 from tidelake.operators.governance import contract
-from tidelake.schemas import BRONZE_PARTITIONS, BRONZE_SCHEMAS, JOIN_POLICY_OLD
+from tidelake.schemas import BRONZE_SCHEMAS, JOIN_POLICY_OLD
 
 BRONZE_ARTIFACT = ["dataset_type", "exchange", "instrument_type", "symbol", "timeframe", "date"]
 
@@ -107,15 +107,3 @@ def with_contract(manifests: DataFrame) -> DataFrame:
     old = contract(F.col("columns"), F.col("source_dataset_keys"), F.lit(JOIN_POLICY_OLD))
     return manifests.withColumn("contract", F.coalesce("contract", old))
 
-
-__all__ = [
-    "BRONZE_ARTIFACT",
-    "BRONZE_PARTITIONS",
-    "manifest_bronze",
-    "manifest_silver",
-    "manifests_to_add",
-    "missing_manifests",
-    "read_manifests",
-    "with_contract",
-    "write_manifests",
-]
