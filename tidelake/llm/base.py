@@ -1,21 +1,20 @@
-"""What the operators share: code on the executors, text as bytes, written tables, Arrow output."""
+"""What the operators share: code on the executors, text as bytes, written tables, names."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.small import settle
 from tidelake.session import scratch_dir
 
-__all__ = ["arrow_map", "crc_split", "process_value", "scratch_dir", "settle", "ship", "text_bytes", "word_bytes"]
+__all__ = ["crc_split", "fresh", "process_value", "scratch_dir", "settle", "ship", "text_bytes", "word_bytes"]
 
 _PROCESS: dict = {}
 _SHIPPED: set[str] = set()
@@ -61,6 +60,17 @@ def text_bytes(column: str = "text") -> Column:
     return F.col(column).cast("binary")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of one's own, lengthened until ``df`` has no column called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def word_bytes(text: bytes | None) -> list[bytes]:
     """Words of digits, ASCII letters (lower-cased) and bytes beyond ASCII."""
     return text.translate(WORD_TABLE).split() if text else []
@@ -69,14 +79,3 @@ def word_bytes(text: bytes | None) -> list[bytes]:
 def crc_split(column: Column, parts: int, held: int) -> Column:
     """Whether crc32 of the value as text leaves the remainder ``held``; a null value counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % parts == held
-
-
-def arrow_map(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``per_batch`` over Arrow batches; a narrow step without a shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield per_batch(batch)
-
-    return df.mapInArrow(run, schema)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import process_value, settle, text_bytes, word_bytes
+from tidelake.llm.base import fresh, process_value, settle, text_bytes, word_bytes
 
 WINDOW = 13
 #: Bits of the filter that spares the join document k-grams without a counterpart; 256 KB, whatever the benchmark's size.
@@ -147,34 +147,35 @@ def contamination(
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.array(hits, hit_type)], names)
 
     kept = [c for c in docs.columns if c not in (text, "n_words", "n_hit", "n_items", "items_sha256", "spans")]
-    bare = docs.select(*kept, text_bytes(text).alias("_bytes"))
-    names = [*kept, "n_words", "_hits"]
-    fields = bare.schema.fields[:-1] + T.StructType.fromDDL("n_words long, _hits array<struct<length: int, hash: bigint, at: int, first: int, around: array<binary>>>").fields
-    scanned = settle(bare.mapInArrow(scan, T.StructType(fields)).withColumn("_row", F.monotonically_increasing_id()), "kept-grams")
+    # The kept columns travel as one struct, so that none of them can meet a name used here.
+    bare = docs.select(F.struct(*kept, F.lit(0).alias(fresh(docs, "_")[0])).alias("kept"), text_bytes(text).alias("bytes"))
+    names = ["kept", "n_words", "hits"]
+    fields = bare.schema.fields[:-1] + T.StructType.fromDDL("n_words long, hits array<struct<length: int, hash: bigint, at: int, first: int, around: array<binary>>>").fields
+    scanned = settle(bare.mapInArrow(scan, T.StructType(fields)).withColumn("row", F.monotonically_increasing_id()), "kept-grams")
 
     # A hit says that the window would start offset words before the k-gram; extend it over the whole window.
-    hits = scanned.where(F.size("_hits") > 0).select("_row", F.explode("_hits").alias("h")).select("_row", "h.*")
+    hits = scanned.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h")).select("row", "h.*")
     start = F.col("at") - F.col("offset")
     window_words = F.slice("around", F.col("at") - F.col("offset") - F.col("first") + 1, F.col("length"))
     matched = hits.join(windows, ["length", "hash"]).where(start >= F.col("first")).where(window_words == F.col("words"))
-    matched = settle(matched.select("_row", start.alias("a"), (start + F.col("length")).alias("b"), "item").distinct(), "matches")
+    matched = settle(matched.select("row", start.alias("a"), (start + F.col("length")).alias("b"), "item").distinct(), "matches")
 
-    found = matched.select("_row", "item").distinct().groupBy("_row").agg(F.array_sort(F.collect_list("item")).alias("_items"))
-    hit = matched.groupBy("_row", "a").agg(F.max("b").alias("b"))
-    ordered = Window.partitionBy("_row").orderBy("a")
+    found = matched.select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("names"))
+    hit = matched.groupBy("row", "a").agg(F.max("b").alias("b"))
+    ordered = Window.partitionBy("row").orderBy("a")
     reach = F.max("b").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    runs = hit.withColumn("_new", (reach.isNull() | (reach < F.col("a"))).cast("int")).withColumn("_run", F.sum("_new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = runs.groupBy("_row", "_run").agg(F.min("a").alias("start"), F.max("b").alias("end"))
-    spans = spans.groupBy("_row").agg(F.sum(F.col("end") - F.col("start")).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    runs = hit.withColumn("new", (reach.isNull() | (reach < F.col("a"))).cast("int")).withColumn("run", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = runs.groupBy("row", "run").agg(F.min("a").alias("start"), F.max("b").alias("end"))
+    spans = spans.groupBy("row").agg(F.sum(F.col("end") - F.col("start")).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
     none = F.array().cast("array<string>")
     return (
-        scanned.drop("_hits")
-        .join(spans, "_row", "left")
-        .join(found, "_row", "left")
-        .withColumn("_items", F.coalesce("_items", none))
+        scanned.drop("hits")
+        .join(spans, "row", "left")
+        .join(found, "row", "left")
+        .withColumn("names", F.coalesce("names", none))
         .select(
-            *kept, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
-            F.sha2(F.concat_ws(",", "_items").cast("binary"), 256).alias("items_sha256"), F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+            *[F.col("kept")[c].alias(c) for c in kept], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size("names").cast("long").alias("n_items"),
+            F.sha2(F.concat_ws(",", "names").cast("binary"), 256).alias("items_sha256"), F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
         )
     )
 
@@ -190,8 +191,8 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text: str = "text",
     Contamination depends on the text alone, so the texts to drop are named by their hash and length; only these names
     are joined with the documents.
     """
-    name = [F.xxhash64(F.col(text)).alias("_hash"), F.octet_length(F.col(text)).alias("_bytes_n")]
-    found = contamination(docs.select(*name, text), items, text=text, window=window)
-    bad = settle(found.where(is_contaminated()).select("_hash", "_bytes_n").distinct(), "contaminated")
-    named = docs.withColumns({"_hash": name[0], "_bytes_n": name[1]})
-    return named.join(bad, ["_hash", "_bytes_n"], "left_anti").select(*docs.columns)
+    names = fresh(docs, "_hash", "_size")
+    named = docs.withColumns({names[0]: F.xxhash64(F.col(text)), names[1]: F.octet_length(F.col(text))})
+    found = contamination(named.select(*names, text), items, text=text, window=window)
+    bad = settle(found.where(is_contaminated()).select(*names).distinct(), "contaminated")
+    return named.join(bad, names, "left_anti").select(*docs.columns)

@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents into sequences, by hierarchical residual packing.
 
-Partitions pack their pieces best-fit, largest first, and emit the bins that are nearly full. The bins left underfull are
+Partitions of some ten thousand pieces are packed best-fit, largest first, and emit the bins that are nearly full. The bins left underfull are
 the items of the next round, over fewer partitions, until all that is left fits one chunk or rounds stop helping.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import process_value, settle, text_bytes
+from tidelake.llm.base import fresh, process_value, settle, text_bytes
 
 #: Items that a task packs at a time; bounds its memory.
 CHUNK = 1 << 16
@@ -175,7 +175,8 @@ def pack(items: DataFrame, item: str, length: str, capacity: int) -> DataFrame:
     """
     least = capacity - max(int(capacity * SLACK), 1)
     whole = items.where(F.col(length) >= capacity).select(F.col(item).alias("item"), F.col(item).alias("sequence_id"), F.lit(0).alias("offset"))
-    current = items.where(F.col(length) < capacity).select(F.col(length).cast("int").alias("fill"), F.array(F.col(item)).alias("items"), F.array(F.lit(0)).alias("offsets"))
+    short = items.where(F.col(length) < capacity)
+    current = short.repartition(max(1, -(-short.count() // CHUNK))).select(F.col(length).cast("int").alias("fill"), F.array(F.col(item)).alias("items"), F.array(F.lit(0)).alias("offsets"))
     finished, before = [], None
     while True:
         bins = settle(current.mapInArrow(_packer(capacity, least), "fill int, items array<long>, offsets array<int>, done boolean"), "bins")
@@ -201,6 +202,8 @@ def pack_documents(
     Every row of ``docs`` yields a piece at least; rows that repeat are documents of their own.
     """
     pieces = tokenise(docs, make_encoder, encoder_key, capacity, text, end)
-    pieces = settle((pieces if with_ids else pieces.drop("ids")).withColumn("_item", F.monotonically_increasing_id()), "pieces")
-    packed = pack(pieces.select("_item", "length"), "_item", "length", capacity)
-    return pieces.join(packed.withColumnRenamed("item", "_item"), "_item").drop("_item")
+    item, *_ = fresh(docs, "item")
+    pieces = pieces.drop("sequence_id", "offset") if with_ids else pieces.drop("sequence_id", "offset", "ids")
+    pieces = settle(pieces.withColumn(item, F.monotonically_increasing_id()), "pieces")
+    packed = pack(pieces.select(item, "length"), item, "length", capacity)
+    return pieces.join(packed.withColumnRenamed("item", item), item).drop(item)

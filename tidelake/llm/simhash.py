@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import settle, text_bytes
+from tidelake.llm.base import fresh, settle, text_bytes
 from tidelake.llm.components import components
 
 SEED = 42
@@ -124,6 +124,18 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
     return units.select("left", "right").mapInArrow(run, "a long, b long").distinct()
 
 
+def _classified(docs: DataFrame, key: str, text: str, words: int, bits: int) -> DataFrame:
+    """key, text_hash, simhash, component_id and root, the component's smallest fingerprint, which names it."""
+    read = docs.select(F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text))
+    rows = settle(fingerprints(read, text, words).select(key, "text_hash", "simhash"), "fingerprints")
+    classes = settle(rows.groupBy("simhash").agg(F.min(key).alias("least")), "classes")
+    tied = components(links(classes.select("simhash"), bits))
+    named = classes.join(tied, F.col("simhash") == F.col("node"), "left").select("simhash", "least", F.coalesce("component", "simhash").alias("root"))
+    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    final = settle(named.join(roots, "root").select("simhash", "root", "component_id"), "components")
+    return rows.join(final, "simhash").select(key, "text_hash", "simhash", "component_id", "root")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
     """One row per row of ``docs``: key, text_hash, simhash (signed long) and component_id.
 
@@ -132,14 +144,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     Equal fingerprints are one node, so copies cost nothing beyond their fingerprint. Null and empty texts have
     fingerprint 0 and are linked like any other. Other columns are not read.
     """
-    read = docs.select(F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text))
-    rows = settle(fingerprints(read, text, words).select(key, "text_hash", "simhash"), "fingerprints")
-    classes = settle(rows.groupBy("simhash").agg(F.min(key).alias("least")), "classes")
-    tied = components(links(classes.select("simhash"), bits))
-    named = classes.join(tied, F.col("simhash") == F.col("node"), "left").select("simhash", "least", F.coalesce("component", "simhash").alias("root"))
-    roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    final = settle(named.join(roots, "root").select("simhash", "component_id"), "components")
-    return rows.join(final, "simhash").select(key, "text_hash", "simhash", "component_id")
+    return _classified(docs, key, text, words, bits).drop("root")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 3) -> DataFrame:
@@ -148,13 +153,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     If key and text repeat, one such row stays. Only rows that repeat in this way are ever compared; all others are
     kept or dropped by a join with the keys that stay.
     """
-    found = near_duplicates(docs, key, text, words, bits)
-    choice = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("_key"), F.col("text_hash").alias("_hash"))
-    # Components without any key are told apart by nothing, so they share the group of null.
-    stay = settle(found.groupBy("component_id").agg(F.min(choice).alias("c"), F.count(F.lit(1)).alias("n")).select("c._key", "c._hash"), "stay")
-    own = docs.withColumn("_hash", F.xxhash64(F.col(text)))
-    kept = own.join(stay.withColumnRenamed("_hash", "_h"), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_h")), "left_semi")
-    repeated = settle(found.groupBy(F.col(key).alias("_key"), F.col("text_hash").alias("_h")).count().where("count > 1").drop("count"), "repeated")
-    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_h"))
-    once = kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates([key, "_hash"]))
-    return once.drop("_hash").select(*docs.columns)
+    found = _classified(docs, key, text, words, bits)
+    choice = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), F.col("text_hash").alias("h"))
+    stay = settle(found.groupBy("root").agg(F.min(choice).alias("c")).select("c.k", "c.h"), "stay")
+    repeated = settle(found.groupBy(F.col(key).alias("k"), F.col("text_hash").alias("h")).count().where("count > 1").select("k", "h"), "repeated")
+    own = fresh(docs, "_hash")[0]
+    hashed = docs.withColumn(own, F.xxhash64(F.col(text)))
+
+    def among(names: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        return rows.join(names, rows[key].eqNullSafe(names["k"]) & (rows[own] == names["h"]), how)
+
+    kept = among(stay, "left_semi", hashed)
+    once = among(repeated, "left_anti", kept).unionByName(among(repeated, "left_semi", kept).dropDuplicates([key, own]))
+    return once.select(*docs.columns)

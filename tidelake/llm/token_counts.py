@@ -94,7 +94,7 @@ def trie_counts(pre_tokens: list[str], pieces: Pieces) -> np.ndarray:
     however many pre-tokens go on from them.
     """
     order = sorted(range(len(pre_tokens)), key=lambda i: -len(pre_tokens[i]))
-    lengths = np.array([len(pre_tokens[i]) for i in order])
+    lengths = np.array([len(pre_tokens[i]) for i in order], np.int64)
     codes = np.frombuffer("".join(pre_tokens[i] for i in order).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     begin = np.cumsum(lengths) - lengths
     levels = int(lengths[0]) if len(lengths) else 0
