@@ -47,10 +47,12 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def process_value(key, make: Callable):
-    """A value that is made once per Python process and key, such as a tokenizer; at most eight are kept."""
+    """A value that is made once per Python process and key, such as a tokenizer.
+
+    Only the last one is kept: workers live on from stage to stage, and what an earlier one needed would stay in memory.
+    """
     if key not in _PROCESS:
-        while len(_PROCESS) >= 8:
-            _PROCESS.pop(next(iter(_PROCESS)))
+        _PROCESS.clear()
         _PROCESS[key] = make()
     return _PROCESS[key]
 

@@ -34,7 +34,7 @@ class WordHashes(dict):
     """Hashes of the words met so far by a worker, up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h

@@ -36,7 +36,7 @@ class ChunkIds(dict):
     CUT = re.compile(r"(?= \S)")
     LATIN = re.compile("[\x00-ɏ]*")
 
-    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None, kept: int = 250_000):
+    def __init__(self, tokenizer: str, ranks: str | None = None, pattern: str | None = None, kept: int = 200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kept, self.fast = Tokenizer.from_file(tokenizer), kept, None

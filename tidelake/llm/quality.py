@@ -43,7 +43,7 @@ class Codes(dict):
     """Codes of the tokens met so far by a worker, up to a bound."""
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         self[token] = code = token_codes(token)
         return code

@@ -25,9 +25,9 @@ MARK = "▁"
 #: A character without a piece costs this much more than the rarest piece, and a token per byte.
 UNKNOWN_PENALTY = 10.0
 #: Pre-tokens whose counts a worker keeps; beyond it they are counted anew, which changes no count.
-KEPT = 400_000
+KEPT = 300_000
 #: Cells (pre-tokens by levels) of one trie; more pre-tokens make several tries.
-CELLS = 2_000_000
+CELLS = 1_000_000
 _CHARACTERS = 21
 
 
