@@ -289,3 +289,72 @@ def test_stream_restarts_and_replays(spark, tmp_path):
     for checkpoint in ("a", "a", "b"):  # go on, nothing new, replay all under a new checkpoint
         chunk_flush(spark, landing, root, "spot", str(tmp_path / checkpoint))
         assert rows(lake.scan_lake(spark, root, "spot"), "open_time", "close_price") == expected
+
+
+# ---- landing, times and order ---------------------------------------------------------------------
+
+
+def pages_of(spark, *payloads):
+    return spark.createDataFrame([(i, "BTC-PERPETUAL", p) for i, p in enumerate(payloads)], "page_no long, symbol string, payload string")
+
+
+TRADE_PAGE = '{"result":{"trades":[%s]}}'
+
+
+@pytest.mark.parametrize("payload", ["not json at all", '{"error":{"code":1}}', '{"result":{}}', None, ""])
+def test_pages_without_their_list_raise(spark, payload):
+    from tidelake.sources import landing
+
+    for normalise in (landing.normalize_trades, landing.normalize_oi):
+        with pytest.raises(Exception, match="page without"):
+            normalise(pages_of(spark, payload), "deribit").collect()
+
+
+def test_funding_pages(spark):
+    from tidelake.sources import landing
+
+    with pytest.raises(Exception, match="page without"):
+        landing.normalize_funding(pages_of(spark, "not json"), "deribit").collect()
+    assert landing.normalize_funding(pages_of(spark, '{"result":null}', '{"result":7}', "{}"), "deribit").collect() == []
+
+
+def test_trade_fields_are_cast_strictly(spark):
+    from tidelake.sources import landing
+
+    read = lambda item: landing.normalize_trades(pages_of(spark, TRADE_PAGE % item), "deribit").first()
+    got = read('{"timestamp":1000,"trade_id":"a","price":"100.5","amount":2}')
+    assert (got.price, got.quantity, got.open_time) == (100.5, 2.0, ts("1970-01-01 00:00:01"))
+    assert read('{"timestamp":1000}').price == 0.0
+    assert read('{"price":1}').open_time == ts("1970-01-01 00:00:00")
+    for item in ('{"timestamp":1,"price":"x"}', '{"timestamp":null,"price":1}', '{"timestamp":1,"price":null}', '{"timestamp":"soon"}'):
+        with pytest.raises(Exception, match="no number|null"):
+            read(item)
+
+
+def test_rows_without_time_are_refused(spark, tmp_path):
+    batch = bronze(spark, "spot", [candle("2026-05-01 00:00:00", 1.0), candle(None, 2.0)])
+    with pytest.raises(ValueError, match="1 rows without open_time"):
+        lake.upsert_partitions(spark, batch, str(tmp_path / "lake"), "spot")
+
+
+def test_an_upsert_reads_its_days_only(spark, tmp_path, monkeypatch):
+    root, seen = str(tmp_path / "lake"), []
+    lake.upsert_partitions(spark, bronze(spark, "spot", [candle(f"2026-05-{d:02d} 00:00:00", 1.0) for d in range(1, 21)]), root, "spot")
+    merge = lake.merge_latest
+    monkeypatch.setattr(lake, "merge_latest", lambda stored, new: seen.append(stored) or merge(stored, new))
+    lake.upsert_partitions(spark, bronze(spark, "spot", [candle("2026-05-07 00:01:00", 2.0)]), root, "spot")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and ">= 2026-05-07)" in plan and "<= 2026-05-07)" in plan
+    assert lake.scan_lake(spark, root, "spot").count() == 21
+
+
+def test_combined_rows_are_in_order(spark, market_lake):
+    lake.upsert_partitions(spark, bronze(spark, "perp", [candle(f"2026-05-01 00:0{m}:00", 1.0, "BTCUSDT") for m in (4, 2, 3)]), market_lake, "perp")
+    for oi in (False, True):
+        got = [tuple(r) for r in combined.load_combined(spark, market_lake, include_open_interest=oi).select(*combined.SORT).collect()]
+        assert got == sorted(got) and len(got) == 5
+        first = [tuple(r) for r in combined.load_combined(spark, market_lake, limit=3, include_open_interest=oi).select(*combined.SORT).collect()]
+        assert first == got[:3]
+    start = datetime(2026, 5, 1, tzinfo=timezone.utc)
+    stats = combined.export_stats(spark, market_lake, start, start + timedelta(days=1))
+    assert "Sort [" not in stats._jdf.queryExecution().optimizedPlan().toString()

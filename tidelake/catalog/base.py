@@ -62,14 +62,9 @@ class Feeds:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        """Columns (or all) of a given table.
-
-        A table that arrives in fewer pieces than there are cores is dealt out to all of them by its first column.
-        """
+        """Columns (or all) of a given table; how it is split is left to ``spark.sql.files.maxPartitionBytes``."""
         rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        rows = rows.select(*columns) if columns else rows
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores, rows.columns[0]) if rows.rdd.getNumPartitions() < cores else rows
+        return rows.select(*columns) if columns else rows
 
     def events(self) -> DataFrame:
         asset = F.pmod("user_id", F.lit(3))

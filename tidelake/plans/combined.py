@@ -64,12 +64,12 @@ def rename_ohlc(df: DataFrame) -> DataFrame:
 
 
 def combine(candles: list[DataFrame], limit: int | None = None) -> DataFrame:
-    """Candles of all markets in one column order, sorted, at most ``limit`` rows."""
+    """Candles of all markets in one column order; with ``limit`` the first rows in sort order, sorted."""
     if limit is not None and limit <= 0:
         raise ValueError("limit must be positive")
     columns = {c: "double" if c in _NUMBERS else _TYPES.get(c, "string") for c in COMBINED_COLUMNS}
-    both = pad_columns(union_relaxed(*[rename_ohlc(c) for c in candles]), columns).orderBy(*SORT)
-    return both if limit is None else both.limit(limit)
+    both = pad_columns(union_relaxed(*[rename_ohlc(c) for c in candles]), columns)
+    return both if limit is None else both.orderBy(*SORT).limit(limit)
 
 
 def combined_oi_join(candles: DataFrame, oi: DataFrame | None) -> DataFrame:
@@ -88,12 +88,16 @@ def load_combined(
     include_open_interest: bool = False,
     **filters: object,
 ) -> DataFrame:
-    """Stored spot and perp candles under :func:`combined_filters`, optionally with open interest."""
-    scans = [scan_lake(spark, root, market, old_columns=True) for market in ("spot", "perp")]
-    out = combine([combined_filters(s, **filters) for s in scans], limit)
+    """Stored spot and perp candles under :func:`combined_filters`, in sort order, optionally with open interest."""
+    out = combine(_candles(spark, root, filters), limit)
     if include_open_interest:
         out = combined_oi_join(out, combined_filters(scan_lake(spark, root, "oi"), **filters))
-    return out
+    # A join keeps no order, so rows are ordered last.
+    return out.orderBy(*SORT)
+
+
+def _candles(spark: SparkSession, root: str, filters: dict) -> list[DataFrame]:
+    return [combined_filters(scan_lake(spark, root, market, old_columns=True), **filters) for market in ("spot", "perp")]
 
 
 def export_stats(spark: SparkSession, root: str, start: datetime, end: datetime, **filters: object) -> DataFrame:
@@ -102,4 +106,5 @@ def export_stats(spark: SparkSession, root: str, start: datetime, end: datetime,
         raise ValueError("start and end need a time zone")
     if start > end:
         raise ValueError("start must not be after end")
-    return descriptive_stats(load_combined(spark, root, start=start, end=end, **filters), STATS_VARIABLES)
+    candles = _candles(spark, root, {"start": start, "end": end, **filters})
+    return descriptive_stats(combine(candles), STATS_VARIABLES)

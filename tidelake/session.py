@@ -14,6 +14,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A symbol made of digits stays text.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 

@@ -178,9 +178,11 @@ def stored_open_times(stored: DataFrame) -> DataFrame:
 
 
 def latest_open_time(stored: DataFrame) -> DataFrame:
-    """Newest open time per series, read from each series' last day only."""
-    days = stored.groupBy(*SERIES).agg(F.max("date").alias("date"))
-    return join_small(stored, days, [*SERIES, "date"], "inner").groupBy(*SERIES).agg(
+    """Newest open time per series, read from the days since the oldest of the series' last days."""
+    days = settle(stored.groupBy(*SERIES).agg(F.max("date").alias("date")), "last-days")
+    since = days.agg(F.min("date")).first()[0]
+    recent = stored if since is None else stored.where(F.col("date") >= since)
+    return join_small(recent, days, [*SERIES, "date"], "inner").groupBy(*SERIES).agg(
         F.max("open_time").alias("open_time")
     )
 
@@ -263,10 +265,16 @@ def upsert_partitions(
     if not (resumable and _finished(spark, marker)):
         with_partitions(new).write.mode("overwrite").parquet(f"{stage}/new")
         fresh = spark.read.schema(with_partitions(new).schema).parquet(f"{stage}/new")
-        span = fresh.agg(F.min("open_time").cast("date").alias("lo"), F.max("open_time").cast("date").alias("hi")).first()
-        if span is None or span.lo is None:
+        span = fresh.agg(
+            F.min("open_time").cast("date").alias("lo"), F.max("open_time").cast("date").alias("hi"), F.count_if(F.col("open_time").isNull()).alias("timeless")
+        ).first()
+        if span.timeless:
+            raise ValueError(f"{span.timeless} rows without open_time; they belong to no day")
+        if span.lo is None:
             return _written(spark.createDataFrame([], with_partitions(new).schema))
-        stored = scan_lake(spark, root, dataset_type, months=_months_between(span.lo, span.hi))
+        months = [r.month for r in fresh.select("month").distinct().limit(len(_months_between(span.lo, span.hi))).collect()]
+        # The bounds on the day are partition filters, so files of other days are not opened.
+        stored = scan_lake(spark, root, dataset_type, months=sorted(months)).where(F.col("date").between(str(span.lo), str(span.hi)))
         days = [c for c in BRONZE_PARTITIONS if c not in ("dataset_type", "year", "month")]
         touched = join_small(stored, fresh.select(*days).distinct(), days, "left_semi")
         merge_latest(touched, fresh).write.mode("overwrite").parquet(rows_path)

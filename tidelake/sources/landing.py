@@ -20,6 +20,18 @@ def _fail(text: str, kind: str) -> Column:
     return F.raise_error(F.lit(text)).cast(kind)
 
 
+def _items(found: Column, payload: Column, what: str, kind: str) -> Column:
+    """The list of a page, or an error that shows the page's beginning when there is none."""
+    shown = F.concat(F.lit(f"page without {what}: "), F.coalesce(F.substring(payload, 1, 200), F.lit("null")))
+    return F.when(found.isNull(), F.raise_error(shown).cast(kind)).otherwise(found)
+
+
+def _number(text: Column, what: str, kind: str = "double") -> Column:
+    """Numbers, also written as text; text that is none is an error, null stays null."""
+    value = text.try_cast(kind)
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit(f"{what} is no number: "), text)).cast(kind)).otherwise(value)
+
+
 def normalize_klines(pages: DataFrame, interval_ms: int, exchange: str, timeframe: str = "1m") -> DataFrame:
     """Chart pages (parallel arrays) to candles.
 
@@ -67,7 +79,10 @@ def normalize_funding(pages: DataFrame, exchange: str, timeframe: str = "8h") ->
     The 8-hour rate counts whenever its key is present, even with a null (then 0.0); only without the key does the
     1-hour rate count. The mark price falls back to the index price.
     """
-    items = F.from_json("payload", "struct<result: array<string>>").getField("result")
+    page = F.from_json("payload", "struct<result: array<string>>")
+    whole = F.json_object_keys("payload").isNotNull()
+    # An object whose result is missing or no list is an empty page; text that is no object is an error.
+    items = _items(F.when(whole, F.coalesce(page.getField("result"), F.array().cast("array<string>"))), F.col("payload"), "an object", "array<string>")
     fields = ["timestamp", "interest_8h", "interest_1h", "index_price", "prev_index_price"]
     rate = F.when(F.array_contains(F.json_object_keys("item"), "interest_8h"), F.col("interest_8h")).otherwise(
         F.col("interest_1h")
@@ -97,7 +112,8 @@ def normalize_funding(pages: DataFrame, exchange: str, timeframe: str = "8h") ->
 def normalize_oi(pages: DataFrame, exchange: str, timeframe: str = "1m") -> DataFrame:
     """Settlement pages to open-interest rows; items without timestamp or position are dropped."""
     shape = "struct<result: struct<settlements: array<struct<timestamp: string, position: string>>>>"
-    items = F.from_json("payload", shape).getField("result").getField("settlements")
+    kind = "array<struct<timestamp: string, position: string>>"
+    items = _items(F.from_json("payload", shape).getField("result").getField("settlements"), F.col("payload"), "settlements", kind)
     moment = ms_to_ts(F.col("s.timestamp").cast("bigint"))
     return (
         pages.select("page_no", "symbol", F.posexplode(items).alias("pos", "s"))
@@ -111,22 +127,31 @@ def normalize_oi(pages: DataFrame, exchange: str, timeframe: str = "1m") -> Data
             F.lit(timeframe).alias("timeframe"),
             moment.alias("open_time"),
             moment.alias("close_time"),
-            F.col("s.position").cast("double").alias("open_interest"),
+            _number(F.col("s.position"), "position").alias("open_interest"),
             F.lit(0.0).alias("open_interest_value"),
         )
     )
 
 
-_TRADE = (
-    "struct<result: struct<trades: array<struct<timestamp: bigint, trade_id: string, price: double, amount: double, "
-    "direction: string, liquidation: string, instrument_name: string>>>>"
-)
+_TRADE_FIELDS = ["timestamp", "trade_id", "price", "amount", "direction", "liquidation", "instrument_name"]
 
 
 def _trades(pages: DataFrame, exchange: str, instrument_type: str, symbol: Column) -> DataFrame:
-    items = F.from_json("payload", _TRADE).getField("result").getField("trades")
-    moment = ms_to_ts(F.coalesce(F.col("t.timestamp"), F.lit(0)))
-    return pages.select("page_no", symbol.alias("symbol"), F.posexplode(items).alias("pos", "t")).select(
+    """Ticks; fields are read as text and cast strictly, and only a missing key takes a default, not a null."""
+    found = F.from_json("payload", "struct<result: struct<trades: array<string>>>").getField("result").getField("trades")
+    items = _items(found, F.col("payload"), "trades", "array<string>")
+    listed = pages.select("page_no", symbol.alias("symbol"), F.posexplode(items).alias("pos", "item"))
+    fields = F.struct(*[F.get_json_object("item", f"$.{n}").alias(n) for n in _TRADE_FIELDS])
+    rows = listed.select("page_no", "symbol", "pos", fields.alias("t"), F.json_object_keys("item").alias("keys"))
+
+    def required(name: str, kind: str, default: str) -> Column:
+        """A number; its default only where the key is absent."""
+        value, there = F.col(f"t.{name}"), F.array_contains("keys", name)
+        null = F.raise_error(F.lit(f"trade with a null {name}")).cast("string")
+        return _number(F.when(~there, F.lit(default)).when(value.isNull(), null).otherwise(value), name, kind)
+
+    moment = ms_to_ts(required("timestamp", "bigint", "0"))
+    return rows.select(
         "page_no",
         "pos",
         F.lit(exchange).alias("exchange"),
@@ -136,8 +161,8 @@ def _trades(pages: DataFrame, exchange: str, instrument_type: str, symbol: Colum
         moment.alias("open_time"),
         moment.alias("close_time"),
         F.coalesce("t.trade_id", F.lit("")).alias("trade_id"),
-        F.coalesce("t.price", F.lit(0.0)).alias("price"),
-        F.coalesce("t.amount", F.lit(0.0)).alias("quantity"),
+        required("price", "double", "0.0").alias("price"),
+        required("amount", "double", "0.0").alias("quantity"),
         trade_side(F.col("t.direction")).alias("side"),
         is_maker(F.col("t.liquidation")).alias("is_maker"),
         F.coalesce("t.instrument_name", F.lit("")).alias("instrument_name"),
