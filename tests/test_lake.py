@@ -91,9 +91,51 @@ def test_scan_reads_both_layouts(spark, tmp_path):
     assert rows(lake.discover_symbols(spark, root, "spot", "deribit", "1m")) == [("BTC_USDC",)]
     assert rows(lake.latest_open_time(both), "open_time") == [(ts("2026-05-01 00:00:00"),)]
     assert lake.stored_open_times(both).count() == 2
-    # an upsert into an old-layout day merges with it
+    # an upsert into an old-layout day merges with it and stays in its layout
     lake.upsert_partitions(spark, bronze(spark, "spot", [candle("2025-12-31 00:01:00", 3.0)]), root, "spot")
-    assert rows(lake.load_typed(lake.scan_lake(spark, root, "spot"), "candles"), "close_price") == [(1.0,), (2.0,), (3.0,)]
+    assert rows(lake.scan_lake(spark, root, "spot"), "close_price") == [(1.0,), (2.0,), (3.0,)]
+    fix = candle("2025-12-31 00:00:00", 4.0, ingested_at="2027-01-01")
+    assert rows(lake.upsert_partitions(spark, bronze(spark, "spot", [fix]), root, "spot"), "date", "rows") == [("2025-12-31", 2)]
+    assert rows(lake.scan_lake(spark, root, "spot"), "close_price") == [(1.0,), (3.0,), (4.0,)]
+
+
+def test_upsert_into_a_day_of_both_layouts(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    lake.upsert_partitions(spark, bronze(spark, "spot", [candle("2025-12-31 00:00:00", 1.0)]), root, "spot")
+    old = lake.with_partitions(bronze(spark, "spot", [candle("2025-12-31 00:01:00", 2.0), candle("2025-12-31 00:02:00", 3.0)])).drop("year")
+    old.write.mode("append").partitionBy(*BRONZE_PARTITIONS_OLD).parquet(root)
+    later = [candle(f"2025-12-31 00:0{m}:00", 10.0 + m, ingested_at="2027-01-01") for m in (0, 1, 3)]
+    lake.upsert_partitions(spark, bronze(spark, "spot", later), root, "spot")
+    stored = lake.scan_lake(spark, root, "spot")
+    assert sorted(rows(stored, "close_price")) == [(3.0,), (10.0,), (11.0,), (13.0,)]
+    lake.upsert_partitions(spark, bronze(spark, "spot", later), root, "spot")
+    assert lake.scan_lake(spark, root, "spot").count() == 4
+
+
+def test_a_run_that_died_while_publishing_is_finished_by_the_next_start(spark, tmp_path, monkeypatch):
+    root, publish = str(tmp_path / "lake"), lake._publish
+    days = ["2026-05-01", "2026-05-02"]
+    lake.sink_bronze(spark, bronze(spark, "spot", [candle(f"{d} 00:00:00", 1.0) for d in days]), root, "spot", "run-1", "2026-05-03")
+
+    def half(rows, target, *more):
+        publish(rows.where(F.col("date") == days[0]), target, *more)
+        # the second day is taken away and not yet replaced
+        lake.scan_lake(spark, root, "spot").where("false").write.mode("overwrite").parquet(
+            f"{root}/dataset_type=spot/exchange=deribit/instrument_type=spot/symbol=BTC_USDC/timeframe=1m/year=2026/month=2026-05/date={days[1]}"
+        )
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(lake, "_publish", half)
+    batch = bronze(spark, "spot", [candle(f"{d} 00:01:00", 2.0) for d in days])
+    with pytest.raises(RuntimeError):
+        lake.sink_bronze(spark, batch, root, "spot", "run-2", "2026-05-03")
+    assert lake.scan_lake(spark, root, "spot").count() == 2
+    monkeypatch.setattr(lake, "_publish", publish)
+    lake.sink_bronze(spark, batch, root, "spot", "run-2", "2026-05-03")
+    assert rows(lake.scan_lake(spark, root, "spot"), "date", "close_price") == [(d, c) for d in days for c in (1.0, 2.0)]
+    # the same run id may bring another batch later
+    lake.sink_bronze(spark, bronze(spark, "spot", [candle(f"{days[0]} 00:02:00", 3.0)]), root, "spot", "run-2", "2026-05-03")
+    assert lake.scan_lake(spark, root, "spot").count() == 5
 
 
 def test_partition_pruning_reaches_the_scan(spark, tmp_path):

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ from tidelake.operators.small import join_small, settle
 from tidelake.schemas import (
     BRONZE_KEY,
     BRONZE_PARTITIONS,
+    BRONZE_PARTITIONS_OLD,
     BRONZE_SCHEMAS,
     GOLD_PARTITIONS,
     OHLCV_KEY,
@@ -26,7 +28,7 @@ from tidelake.schemas import (
     SILVER_SCHEMAS,
     SOURCE_ENDPOINT,
 )
-from tidelake.session import scratch_dir, spread
+from tidelake.session import scratch_dir, scratch_root, spread
 
 STORED_ORDER = ["ingested_at", "run_id"]
 ROWS_PER_FILE = 5_000_000
@@ -114,24 +116,40 @@ def scan_lake(
     Values given here narrow the listing itself; filters on partition columns of the result prune as usual. The
     fixed schema spares schema inference, and columns a file lacks are null.
     """
-    schema = T.StructType([f for f in BRONZE_SCHEMAS[dataset_type]])
-    if old_columns:
-        schema = T.StructType([*schema, *OLD_CANDLE_COLUMNS])
-    columns = [f.name for f in schema]
-    with_parts = T.StructType([*schema, *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
+    schema = _stored_schema(dataset_type, old_columns)
+    found = _scan_layouts(spark, root, dataset_type, schema, exchange, instrument_type, symbol, timeframe, months)
+    parts = [rows for rows in found if rows is not None]
+    return union_relaxed(*parts) if parts else spark.createDataFrame([], schema)
+
+
+def _stored_schema(dataset_type: str, old_columns: bool = False) -> T.StructType:
+    old = OLD_CANDLE_COLUMNS if old_columns else []
+    return T.StructType([*BRONZE_SCHEMAS[dataset_type], *old, *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
+
+
+def _scan_layouts(
+    spark: SparkSession,
+    root: str,
+    dataset_type: str,
+    schema: T.StructType,
+    exchange: str | None = None,
+    instrument_type: str | None = None,
+    symbol: str | None = None,
+    timeframe: str | None = None,
+    months: str | list[str] | None = None,
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows stored with the ``year=`` level and rows stored without it; None for a layout without folders."""
     series = (
         f"{root}/dataset_type={dataset_type}/exchange={_choice(exchange)}/instrument_type={_choice(instrument_type)}"
         f"/symbol={_choice(symbol)}/timeframe={_choice(timeframe)}"
     )
-    current = _read(spark, root, f"{series}/year=*/month={_choice(months)}", with_parts)
-    no_year = T.StructType([f for f in with_parts if f.name != "year"])
+    current = _read(spark, root, f"{series}/year=*/month={_choice(months)}", schema)
+    no_year = T.StructType([f for f in schema if f.name != "year"])
     old = _read(spark, root, f"{series}/month={_choice(months)}", no_year)
-    parts = []
-    if current is not None:
-        parts.append(current.select(*columns, "year", "month", "date"))
-    if old is not None:
-        parts.append(old.withColumn("year", F.substring("month", 1, 4)).select(*columns, "year", "month", "date"))
-    return union_relaxed(*parts) if parts else spark.createDataFrame([], with_parts)
+    return (
+        None if current is None else current.select(*schema.names),
+        None if old is None else old.withColumn("year", F.substring("month", 1, 4)).select(*schema.names),
+    )
 
 
 def list_partitions(
@@ -222,18 +240,42 @@ def merge_latest(stored: DataFrame, new: DataFrame) -> DataFrame:
     return keep_latest(both, key, [*STORED_ORDER, "_new"]).drop("_new")
 
 
-def _publish(rows: DataFrame, root: str, pieces: int) -> None:
+def merge_layouts(current: DataFrame | None, old: DataFrame, new: DataFrame) -> DataFrame:
+    """:func:`merge_latest` over days stored in both layouts; ``_old`` says in which one a row is published.
+
+    A key stays in the layout that holds it. A new key goes where its day is stored, with the year level if both hold
+    the day. So no row moves, and a plain scan of both layouts meets every key once if it did so before.
+    """
+    days = [c for c in BRONZE_PARTITIONS if c not in ("dataset_type", "year", "month")]
+    only_old = old.select(*days).distinct()
+    stored = old.withColumn("_old", F.lit(True))
+    if current is not None:
+        only_old = only_old.join(current.select(*days).distinct(), days, "left_anti")
+        stored = union_relaxed(stored, current.withColumn("_old", F.lit(False)))
+    both = union_relaxed(stored.withColumn("_new", F.lit(0)), new.withColumn("_new", F.lit(1)))
+    key = [c for c in BRONZE_KEY if c in both.columns]
+    same = Window.partitionBy(*key)
+    no = F.lit(False)
+    placed = both.withColumns({"_in_old": F.coalesce(F.max("_old").over(same), no), "_in_year": F.coalesce(F.max(~F.col("_old")).over(same), no)})
+    newest = keep_latest(placed, key, [*STORED_ORDER, "_new"]).drop("_new", "_old")
+    newest = join_small(newest, only_old.withColumn("_day_old", F.lit(True)), days)
+    to_old = F.col("_in_old") | (~F.col("_in_year") & F.coalesce("_day_old", no))
+    homes = F.when(F.col("_in_old") & F.col("_in_year"), F.array(F.lit(True), no)).otherwise(F.array(to_old))
+    return newest.withColumn("_old", F.explode(homes)).select(*new.columns, "_old")
+
+
+def _publish(rows: DataFrame, root: str, pieces: int, partitions: list[str] = BRONZE_PARTITIONS) -> None:
     """Replace the day partitions that ``rows`` hold, in ``pieces`` ranges of equal size.
 
     Ranges follow partition and time, so small days share a task only when there are more of them than tasks, and a
     day with much of the rows is split over several files.
     """
     (
-        rows.repartitionByRange(pieces, *BRONZE_PARTITIONS, "open_time")
-        .sortWithinPartitions(*BRONZE_PARTITIONS, "open_time")
+        rows.repartitionByRange(pieces, *partitions, "open_time")
+        .sortWithinPartitions(*partitions, "open_time")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BRONZE_PARTITIONS)
+        .partitionBy(*partitions)
         .parquet(root)
     )
 
@@ -243,59 +285,99 @@ def _months_between(lo: date, hi: date) -> list[str]:
     return [f"{m // 12:04d}-{m % 12 + 1:02d}" for m in range(first, last + 1)]
 
 
-def _finished(spark: SparkSession, marker: str) -> bool:
-    found = _read(spark, marker, marker, T.StructType([T.StructField("id", T.LongType())]))
-    return found is not None and found.count() == 1
+#: What the marker of a stage says; a missing or half-written marker counts as open.
+OPEN, FINISHED, PUBLISHED = 0, 1, 2
+
+
+def _state(spark: SparkSession, stage: str) -> int:
+    path = f"{stage}/state"
+    found = _read(spark, path, path, T.StructType([T.StructField("id", T.LongType())]))
+    said = [] if found is None else found.limit(2).collect()
+    return said[0].id if len(said) == 1 else OPEN
+
+
+def _mark(spark: SparkSession, stage: str, state: int) -> None:
+    spark.range(state, state + 1).coalesce(1).write.mode("overwrite").parquet(f"{stage}/state")
+
+
+def _publish_staged(spark: SparkSession, stage: str, root: str, dataset_type: str, rows_per_file: int) -> DataFrame:
+    """Publish the finished copy of a stage, each row in its layout; returns the partitions and their rows."""
+    path = f"{stage}/rows"
+    staged = _read(spark, path, path, T.StructType([*_stored_schema(dataset_type), T.StructField("_old", T.BooleanType())]))
+    by_day = staged.groupBy(*BRONZE_PARTITIONS)
+    written = settle(by_day.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_old").alias("_in_old")), "upserted")
+    size = written.agg(
+        F.count_if(F.col("rows") > F.col("_in_old")).alias("days"), F.sum(F.col("rows") - F.col("_in_old")).alias("rows"),
+        F.count_if(F.col("_in_old") > 0).alias("old_days"), F.sum("_in_old").alias("old_rows"),
+    ).first()
+    if size.days:
+        _publish(staged.where(~F.col("_old")).drop("_old"), root, max(min(size.days, spread(spark)), -(-size.rows // rows_per_file)))
+    if size.old_days:
+        old = staged.where("_old").drop("_old", "year")
+        _publish(old, root, max(min(size.old_days, spread(spark)), -(-size.old_rows // rows_per_file)), BRONZE_PARTITIONS_OLD)
+    _mark(spark, stage, PUBLISHED)
+    return written.drop("_in_old")
 
 
 def upsert_partitions(
-    spark: SparkSession, new: DataFrame, root: str, dataset_type: str, stage: str | None = None
+    spark: SparkSession, new: DataFrame, root: str, dataset_type: str, stage: str | None = None, rows_per_file: int = ROWS_PER_FILE
 ) -> DataFrame:
     """Merge bronze rows into the day partitions they belong to; returns the partitions written and their rows.
 
-    Only the touched days are read and rewritten; a hot day is split over several files. New rows and merged days are
-    written to ``stage`` (by default a fresh folder in the shared scratch area), and the merged days are then published
-    with a dynamic partition overwrite. A batch that died while publishing and is run again with the same ``stage`` publishes the
-    finished copy instead of merging with half-replaced days, so ``stage`` must name one batch only. A batch
-    delivered twice changes nothing.
+    Only the touched days are read and rewritten, each in the layout it is stored in; a hot day is split over several
+    files. New rows and merged days are written to ``stage``, and the merged days are then published with a dynamic
+    partition overwrite. A stage that is used again after its batch died while publishing is published first, from the
+    finished copy, so no half-replaced day is ever merged with; then the batch itself runs, and a batch delivered twice
+    changes nothing. Without ``stage`` a fresh folder is taken, which cannot be found again. Runs that go on at the same time need
+    stages of their own.
     """
-    resumable = stage is not None
     stage = stage or scratch_dir(spark, "upsert")
-    rows_path, marker = f"{stage}/rows", f"{stage}/finished"
-    if not (resumable and _finished(spark, marker)):
-        with_partitions(new).write.mode("overwrite").parquet(f"{stage}/new")
-        fresh = spark.read.schema(with_partitions(new).schema).parquet(f"{stage}/new")
-        span = fresh.agg(
-            F.min("open_time").cast("date").alias("lo"), F.max("open_time").cast("date").alias("hi"), F.count_if(F.col("open_time").isNull()).alias("timeless")
-        ).first()
-        if span.timeless:
-            raise ValueError(f"{span.timeless} rows without open_time; they belong to no day")
-        if span.lo is None:
-            return _written(spark.createDataFrame([], with_partitions(new).schema))
-        months = [r.month for r in fresh.select("month").distinct().limit(len(_months_between(span.lo, span.hi))).collect()]
-        # The bounds on the day are partition filters, so files of other days are not opened.
-        stored = scan_lake(spark, root, dataset_type, months=sorted(months)).where(F.col("date").between(str(span.lo), str(span.hi)))
-        days = [c for c in BRONZE_PARTITIONS if c not in ("dataset_type", "year", "month")]
-        touched = join_small(stored, fresh.select(*days).distinct(), days, "left_semi")
-        merge_latest(touched, fresh).write.mode("overwrite").parquet(rows_path)
-        spark.range(1).coalesce(1).write.mode("overwrite").parquet(marker)
-    schema = T.StructType([*BRONZE_SCHEMAS[dataset_type], *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
-    staged = _read(spark, rows_path, rows_path, schema)
-    written = settle(_written(staged), "upserted")
-    size = written.agg(F.count(F.lit(1)).alias("days"), F.sum("rows").alias("rows")).first()
-    _publish(staged, root, max(min(size.days, spread(spark)), -(-size.rows // ROWS_PER_FILE)))
-    return written
-
-
-def _written(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
+    if _state(spark, stage) == FINISHED:
+        _publish_staged(spark, stage, root, dataset_type, rows_per_file)
+    _mark(spark, stage, OPEN)
+    dated = with_partitions(new)
+    dated.write.mode("overwrite").parquet(f"{stage}/new")
+    fresh = spark.read.schema(dated.schema).parquet(f"{stage}/new")
+    span = fresh.agg(
+        F.min("open_time").cast("date").alias("lo"), F.max("open_time").cast("date").alias("hi"), F.count_if(F.col("open_time").isNull()).alias("timeless")
+    ).first()
+    if span.timeless:
+        raise ValueError(f"{span.timeless} rows without open_time; they belong to no day")
+    if span.lo is None:
+        return spark.createDataFrame([], dated.schema).groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
+    months = [r.month for r in fresh.select("month").distinct().limit(len(_months_between(span.lo, span.hi))).collect()]
+    days = [c for c in BRONZE_PARTITIONS if c not in ("dataset_type", "year", "month")]
+    touched = settle(fresh.select(*days).distinct(), "touched")
+    # The bounds on the day are partition filters, so files of other days are not opened.
+    current, old = [
+        None if rows is None else rows.where(F.col("date").between(str(span.lo), str(span.hi))).join(touched, days, "left_semi")
+        for rows in _scan_layouts(spark, root, dataset_type, _stored_schema(dataset_type), months=sorted(months))
+    ]
+    if old is not None and not old.isEmpty():
+        merged = merge_layouts(current, old, fresh)
+    else:
+        stored = spark.createDataFrame([], fresh.schema) if current is None else current
+        merged = merge_latest(stored, fresh).withColumn("_old", F.lit(False))
+    merged.write.mode("overwrite").parquet(f"{stage}/rows")
+    _mark(spark, stage, FINISHED)
+    return _publish_staged(spark, stage, root, dataset_type, rows_per_file)
+
+
+def batch_stage(spark: SparkSession, root: str, dataset_type: str, run_id: str) -> str:
+    """The stage of a run's upsert into a dataset: the same folder whenever the run is started again."""
+    name = hashlib.sha256("\n".join([root.rstrip("/"), dataset_type, run_id]).encode()).hexdigest()[:32]
+    return f"{scratch_root(spark)}/tidelake/upsert-{name}"
 
 
 def sink_bronze(
     spark: SparkSession, rows: DataFrame, root: str, dataset_type: str, run_id: str, ingested_at: datetime | str
 ) -> DataFrame:
-    """Stamp typed rows of one dataset and upsert them."""
-    return upsert_partitions(spark, stamp_audit(rows, dataset_type, run_id, ingested_at), root, dataset_type)
+    """Stamp typed rows of one dataset and upsert them.
+
+    The stage is named by lake, dataset and run id, so a run that died while publishing is finished by starting it again.
+    """
+    stage = batch_stage(spark, root, dataset_type, run_id)
+    return upsert_partitions(spark, stamp_audit(rows, dataset_type, run_id, ingested_at), root, dataset_type, stage)
 
 
 def sink_bronze_ohlcv(spark: SparkSession, rows: DataFrame, root: str, market: str, run_id: str, ingested_at: datetime | str) -> DataFrame:
