@@ -385,9 +385,6 @@ def profile_stats(f):
     return rounded(stats, 9, "missing_pct", "missing_pct_total", "mean", "var", "std_1", "std_2", "std_3")
 
 
-_HIST = ["spot_close_price", "perp_volume", "minutes_since_funding"]
-
-
 @query(
     "histogram_24",
     " UNION ALL ".join(
@@ -396,28 +393,26 @@ _HIST = ["spot_close_price", "perp_volume", "minutes_since_funding"]
       count(*) AS rows, min(x) AS lowest, max(x) AS highest
     FROM (SELECT exchange, symbol, {c}::DOUBLE AS x, min({c}::DOUBLE) OVER w AS lo, max({c}::DOUBLE) OVER w AS hi
       FROM {_FUNDING_GOLD} WINDOW w AS (PARTITION BY exchange, symbol)) WHERE x IS NOT NULL GROUP BY 1, 2, 3, 4"""
-        for c in _HIST
+        for c in _NUMERIC
     ),
     _FUNDING_GOLD,
 )
 def histogram_24(f):
-    return profile.histogram(funding_gold(f), SYMBOL, _HIST)
+    return profile.histogram(funding_gold(f), SYMBOL, _NUMERIC)
 
 
 @query(
     "minmax_scale",
-    f"""SELECT timestamp_m1, exchange, symbol, spot_close_price, funding_rate_last_known,
-      CASE WHEN spot_close_price IS NULL THEN 'NaN'::DOUBLE WHEN h1 = l1 THEN 0 ELSE (spot_close_price - l1) / (h1 - l1) END AS spot_close_price_scaled,
-      CASE WHEN funding_rate_last_known IS NULL THEN 'NaN'::DOUBLE WHEN h2 = l2 THEN 0 ELSE (funding_rate_last_known - l2) / (h2 - l2) END AS funding_rate_last_known_scaled
-    FROM (SELECT *, min(spot_close_price) OVER w AS l1, max(spot_close_price) OVER w AS h1,
-      min(funding_rate_last_known) OVER w AS l2, max(funding_rate_last_known) OVER w AS h2
+    f"""SELECT timestamp_m1, exchange, symbol, {", ".join(_NUMERIC)}, {", ".join(
+        f"CASE WHEN {c} IS NULL THEN 'NaN'::DOUBLE WHEN h{i} = l{i} THEN 0 ELSE ({c} - l{i}) / (h{i} - l{i}) END AS {c}_scaled"
+        for i, c in enumerate(_NUMERIC)
+    )} FROM (SELECT *, {", ".join(f"min({c}) OVER w AS l{i}, max({c}) OVER w AS h{i}" for i, c in enumerate(_NUMERIC))}
       FROM {_FUNDING_GOLD} WINDOW w AS (PARTITION BY exchange, symbol))""",
     _FUNDING_GOLD,
 )
 def minmax_scale(f):
-    names = ["spot_close_price", "funding_rate_last_known"]
-    joined = funding_gold(f).select("timestamp_m1", *SYMBOL, *names)
-    return profile.minmax_scale(joined, SYMBOL, names)
+    joined = funding_gold(f).select("timestamp_m1", *SYMBOL, *_NUMERIC)
+    return profile.minmax_scale(joined, SYMBOL, _NUMERIC)
 
 
 @query(

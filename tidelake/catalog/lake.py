@@ -186,6 +186,15 @@ def upsert_partitions(f):
     return lake.scan_lake(f.spark, root, "perp_trades").select(*_TICK)
 
 
+@query("upsert_old_layout", S._newest("ticks_lower", _MERGED, "ingested_at DESC, run_id DESC", "TRUE", _cols(_TICK)), "ticks_lower")
+def upsert_old_layout(f):
+    """All first deliveries stored without the ``year=`` level, then corrected; a plain scan meets each tick once."""
+    root, ticks = scratch_dir(f.spark, "upsert-old"), ticks_lower(f)
+    _days(ticks.where("run_id = 'run-0'"), root, BRONZE_PARTITIONS_OLD)
+    lake.upsert_partitions(f.spark, ticks.where("run_id <> 'run-0'"), root, "perp_trades")
+    return lake.scan_lake(f.spark, root, "perp_trades").select(*_TICK)
+
+
 @query("dedup_bronze", S._newest("ticks_lower", _MERGED, "ingested_at DESC, run_id DESC", "TRUE", _cols(_TICK)), "ticks_lower")
 def dedup_bronze(f):
     ticks = ticks_lower(f)
@@ -425,7 +434,7 @@ def latest_artifact(f):
 _LISTED = "[" + ", ".join(f"'{f.name}'" for f in BRONZE_SCHEMAS["spot"]) + "]"
 S.CTES["bronze_manifest"] = (
     ["spot1"],
-    f"""SELECT *, substring(sha256(to_json({{'columns': {_LISTED}, 'max_timestamp': max_timestamp,
+    f"""SELECT *, {_LISTED} AS columns, substring(sha256(to_json({{'columns': {_LISTED}, 'max_timestamp': max_timestamp,
       'min_timestamp': min_timestamp, 'rows_out': rows_out}})::VARCHAR), 1, 12) AS source_data_hash
     FROM (SELECT 'spot_1m' AS dataset, 'spot' AS dataset_type, exchange, instrument_type, symbol, timeframe,
       strftime(open_time, '%Y-%m-%d') AS date, count(*) AS rows_out,
@@ -437,10 +446,35 @@ S.CTES["bronze_manifest"] = (
 @query("manifest_bronze", "SELECT * FROM bronze_manifest", "bronze_manifest")
 def manifest_bronze(f):
     rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "spot"), "spot")
-    return rows.drop("columns", "value_checksum")
+    return rows.drop("value_checksum")
+
+
+def _exact_sql(field) -> str:
+    """The texts of :func:`tidelake.functions.hashing.exact_text`, stated in SQL."""
+    c, kind = field.name, field.dataType.simpleString()
+    if kind == "double":
+        high, rest = f"floor({c} / 1125899906842624.0::DOUBLE)", f"({c} - floor({c} / 1125899906842624.0::DOUBLE) * 1125899906842624.0::DOUBLE)"
+        parts = [high, f"floor({rest})", f"floor(({rest} - floor({rest})) * 1152921504606846976.0::DOUBLE)"]
+        whole = " || ',' || ".join(f"({x})::BIGINT::VARCHAR" for x in parts)
+        text = f"CASE WHEN isnan({c}) THEN 'nan' WHEN isinf({c}) THEN CASE WHEN {c} > 0 THEN 'inf' ELSE '-inf' END ELSE {whole} END"
+    elif kind == "timestamp":
+        text = f"epoch_us({c})::VARCHAR"
+    elif kind == "string":
+        text = f"length({c})::VARCHAR || ':' || {c}"
+    else:
+        text = f"{c}::VARCHAR"
+    return f"CASE WHEN {c} IS NULL THEN 'n' ELSE {text} END"
 
 
-@query("manifest_bronze_checksum")
+_ROW_SQL = " || '|' || ".join(_exact_sql(field) for field in BRONZE_SCHEMAS["perp"] if field.name != "origin_payload")
+
+
+@query(
+    "manifest_bronze_checksum",
+    f"""SELECT symbol, strftime(open_time, '%Y-%m-%d') AS date, count(*) AS rows_out,
+      sum(('0x' || substr(sha256({_ROW_SQL}), 1, 15))::BIGINT)::VARCHAR AS value_checksum FROM perp1 GROUP BY 1, 2""",
+    "perp1",
+)
 def manifest_bronze_checksum(f):
     rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "perp"), "perp")
     return rows.select("symbol", "date", "rows_out", "value_checksum")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def hash12(text: Column) -> Column:
@@ -24,6 +25,28 @@ def json_hash(payload: Column) -> Column:
     return hash12(canonical_json(payload))
 
 
-def value_checksum(*columns: Column) -> Column:
-    """Order-free checksum of row values (an aggregate)."""
-    return F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+def exact_text(value: Column, kind: T.DataType) -> Column:
+    """A value as text that any engine writes alike; values that differ give different texts.
+
+    A double is taken apart by powers of two, which is exact: units of 2**50, the whole rest, and the fraction in units of
+    2**-60. Texts carry their length, times are microseconds, null is ``n``.
+    """
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        x = value.cast("double")
+        high = F.floor(x / F.lit(2.0**50))
+        rest = x - high.cast("double") * F.lit(2.0**50)
+        parts = F.concat_ws(",", high, F.floor(rest), F.floor((rest - F.floor(rest).cast("double")) * F.lit(2.0**60)))
+        text = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == -float("inf"), "-inf").otherwise(parts)
+    elif isinstance(kind, T.TimestampType):
+        text = F.unix_micros(value).cast("string")
+    elif isinstance(kind, T.StringType):
+        text = F.concat_ws(":", F.char_length(value), value)
+    else:
+        text = value.cast("string")
+    return F.when(value.isNull(), "n").otherwise(text)
+
+
+def value_checksum(fields: list[T.StructField]) -> Column:
+    """Order-free checksum of the rows' values (an aggregate): the sum of 60 bits of each row's SHA-256."""
+    row = F.concat_ws("|", *[exact_text(F.col(f.name), f.dataType) for f in fields])
+    return F.sum(F.conv(F.substring(F.sha2(row, 256), 1, 15), 16, 10).cast("decimal(20,0)"))

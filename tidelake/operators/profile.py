@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelake.functions.times import iso_utc
-from tidelake.operators.small import join_small
+from tidelake.operators.small import join_small, settle
 
 HISTOGRAM_BINS = 24
 # fixed values: column prefix -> silver dataset it came from (first match counts)
@@ -157,8 +157,12 @@ def _ranges(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    """Columns rescaled to 0..1 per group; a constant column becomes 0 and missing values NaN."""
-    rows = join_small(df, _ranges(df, by, columns), by)
+    """Columns rescaled to 0..1 per group; a constant column becomes 0 and missing values NaN.
+
+    The rows are written once, as their ranges are needed before the first of them can be rescaled.
+    """
+    source = settle(df, "minmax")
+    rows = join_small(source, _ranges(source, by, columns), by)
     scaled = {}
     for i, name in enumerate(columns):
         lo, hi, x = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(name).cast("double")
@@ -170,9 +174,11 @@ def minmax_scale(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
 def histogram(df: DataFrame, by: list[str], columns: list[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bin counts of each column over all rows; one bin when all values are equal.
 
-    Values become (column, bin) pairs that are counted in the map tasks, so only bin counts are shuffled.
+    The rows are written once, as their ranges are needed before the first of them has a bin. Values become (column, bin)
+    pairs that are counted in the map tasks, so only bin counts are shuffled.
     """
-    rows = join_small(df.select(*by, *columns), _ranges(df, by, columns), by)
+    source = settle(df.select(*by, *columns), "histogram")
+    rows = join_small(source, _ranges(source, by, columns), by)
     cells = []
     for i, name in enumerate(columns):
         lo, hi, x = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(name).cast("double")

@@ -24,12 +24,12 @@ def manifest_bronze(stored: DataFrame, dataset_type: str) -> DataFrame:
     ``source_data_hash`` sees the shape only, as its definition says; ``value_checksum`` changes with the values.
     """
     columns = [f.name for f in BRONZE_SCHEMAS[dataset_type]]
-    plain = [c for c in columns if c != "origin_payload"]
+    plain = [f for f in BRONZE_SCHEMAS[dataset_type] if f.name != "origin_payload"]
     spans = stored.groupBy(*BRONZE_ARTIFACT).agg(
         F.count(F.lit(1)).alias("rows_out"),
         iso_utc(F.min("open_time")).alias("min_timestamp"),
         iso_utc(F.max("open_time")).alias("max_timestamp"),
-        value_checksum(*plain).cast("string").alias("value_checksum"),
+        value_checksum(plain).cast("string").alias("value_checksum"),
     )
     listed = _text_array(columns)
     shape = F.struct(listed.alias("columns"), "max_timestamp", "min_timestamp", "rows_out")
