@@ -19,7 +19,7 @@ CROSS_SECTION = [
     "trade_bars_1m", "ohlcv_clean", "oi_observed", "funding_observed", "asof_funding_1m_cutoff", "month_carry_reset",
     "silver_report_trades", "grid_left_join", "gold_hybrid_lenient", "feature_metadata", "histogram_24", "manifest_gold",
     "gap_ranges_ticks", "full_gap_fill", "tail_delta", "resolve_start_bound", "price_direction", "load_combined",
-    "upsert_partitions", "upsert_old_layout", "manifest_bronze_checksum", "minmax_scale", "normalize_klines", "semver_timeline", "option_fields",
+    "upsert_partitions", "upsert_old_layout", "manifest_bronze", "manifest_bronze_checksum", "manifest_feature_metadata", "manifest_silver", "minmax_scale", "normalize_klines", "semver_timeline", "option_fields",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("CATALOG") == "all" else CROSS_SECTION
 

@@ -222,6 +222,7 @@ def test_manifests(spark, tmp_path):
 
     text = json.dumps(payload, sort_keys=True, separators=(",", ":"))
     assert added.source_data_hash == sha256(text.encode()).hexdigest()[:12]
+    assert json.loads(added.feature_metadata)["open_price"]["null_count"] == 0
     assert manifests.read_manifests(spark, str(tmp_path / "none"), shape) is None
 
 

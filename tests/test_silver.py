@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import math
 
 import pytest
@@ -250,3 +251,6 @@ def test_build_silver_features(spark, tmp_path, dataset):
     silver.build_silver(spark, bronze_root, silver_root, dataset, "2026-06-01", "2026-06-01")
     feature = lake.read_silver(spark, silver_root, f"{dataset}_1m_feature", "1m")
     assert feature.count() == (1 if dataset == "perp_trades" else 2)
+    told = spark.read.json(f"{silver_root}/_manifests")
+    assert rows(told, "dataset", "month") == [(f"{dataset}_{t}", "2026-05") for t in ("1m_feature", "observed")]
+    assert all("exchange" in json.loads(r.feature_metadata) for r in told.collect())

@@ -446,7 +446,30 @@ S.CTES["bronze_manifest"] = (
 @query("manifest_bronze", "SELECT * FROM bronze_manifest", "bronze_manifest")
 def manifest_bronze(f):
     rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "spot"), "spot")
-    return rows.drop("value_checksum")
+    return rows.drop("value_checksum", "feature_metadata")
+
+
+def _fact_sql(field) -> str:
+    c, kind = field.name, field.dataType.simpleString()
+    numeric = kind in ("double", "bigint")
+    finite = f"CASE WHEN isnan({c}::DOUBLE) THEN NULL ELSE {c} END"
+    stats = {"mean": f"avg({finite})", "std": f"stddev_samp({finite})", "min": f"min({c})::DOUBLE", "max": f"max({c})::DOUBLE"}
+    nan = {"mean": f"bool_or(isnan({c}::DOUBLE))", "std": f"bool_or(isnan({c}::DOUBLE))", "min": "false", "max": "false"}
+    cells = [f"CASE WHEN {nan[n]} THEN 'NaN'::DOUBLE ELSE round({x}, 6) END AS {n}" if numeric else f"NULL::DOUBLE AS {n}" for n, x in stats.items()]
+    seen = f"CASE WHEN {c} IS NOT NULL THEN open_time END"
+    return f"""SELECT symbol, strftime(open_time, '%Y-%m-%d') AS date, '{c}' AS column_name, '{kind}' AS dtype,
+      count(*) - count({c}) AS null_count, count({c}) AS non_null_count, strftime(min({seen}), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
+      strftime(max({seen}), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp, {", ".join(cells)} FROM spot1 GROUP BY 1, 2"""
+
+
+@query("manifest_feature_metadata", " UNION ALL ".join(_fact_sql(c) for c in BRONZE_SCHEMAS["spot"] if c.name != "origin_payload"), "spot1")
+def manifest_feature_metadata(f):
+    """The facts per column that bronze manifests carry, as rows."""
+    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "spot"), "spot")
+    facts = "dtype string, null_count bigint, non_null_count bigint, min_timestamp string, max_timestamp string, mean double, std double, min double, max double"
+    parsed = F.from_json("feature_metadata", f"map<string, struct<{facts.replace(' ', ':').replace(',:', ',')}>>")
+    told = rows.select("symbol", "date", F.explode(parsed).alias("column_name", "fact")).select("symbol", "date", "column_name", "fact.*")
+    return rounded(told.where("column_name <> 'origin_payload'"), 6, "mean", "std", "min", "max")
 
 
 def _exact_sql(field) -> str:
@@ -494,20 +517,23 @@ def missing_manifests(f):
 
 
 _BAR_COLUMNS = SILVER_COLUMNS["trades_1m_feature"]
+_BAR_LIST = "[" + ", ".join(f"'{c}'" for c in _BAR_COLUMNS) + "]"
 
 
 @query(
     "manifest_silver",
     f"""SELECT 'perp_trades_1m_feature' AS dataset, exchange, symbol, strftime(timestamp_m1, '%Y-%m') AS month,
       '2024-02-01T00:00:00Z' AS build_date_utc, substring(sha256('{"|".join(_BAR_COLUMNS)}'), 1, 12) AS column_hash,
-      count(*) AS rows_out, strftime(min(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
+      count(*) AS rows_out, {_BAR_LIST} AS columns,
+      to_json({{'perp_trades_1m_feature': {{'columns': {_BAR_LIST}, 'rows': count(*), 'source_symbols': [symbol]}}}})::VARCHAR AS source_silver_datasets,
+      strftime(min(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
       strftime(max(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp FROM t_bars GROUP BY 2, 3, 4""",
     "t_bars",
 )
 def manifest_silver(f):
     clock = F.lit("2024-02-01").cast("timestamp")
     bars = f.silver("perp_trades_1m_feature")
-    return manifests.manifest_silver(bars, "perp_trades_1m_feature", "timestamp_m1", clock).drop("columns")
+    return manifests.manifest_silver(bars, "perp_trades_1m_feature", "timestamp_m1", clock).drop("feature_metadata")
 
 
 # ---- landed payloads ------------------------------------------------------------------------------

@@ -48,9 +48,12 @@ def _long(wide: DataFrame, by: list[str], cells: list[Column]) -> DataFrame:
     return wide.select(*by, F.inline(F.array(*cells)))
 
 
-def feature_metadata(df: DataFrame, by: list[str], time: str) -> DataFrame:
-    """One row per group and column: type, null counts, source, time range, and statistics of numeric columns."""
-    aggs, cells = [], []
+def metadata_parts(df: DataFrame, time: str) -> tuple[list[Column], dict[str, Column]]:
+    """Aggregates over ``df`` and, per column, what they say of it: type, null counts, source, time range, statistics.
+
+    The cells also need the group's row count as ``_rows``.
+    """
+    aggs, cells = [], {}
     for i, field in enumerate(df.schema):
         c, numeric = F.col(field.name), isinstance(field.dataType, T.NumericType)
         present = F.when(c.isNotNull(), F.col(time)) if field.name != time else F.col(time)
@@ -63,20 +66,29 @@ def feature_metadata(df: DataFrame, by: list[str], time: str) -> DataFrame:
         if numeric:
             aggs += [fn(c).cast("double").alias(f"_{name}{i}") for name, fn in stats.items()]
         nothing = F.lit(None).cast("double")
-        cells.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("dtype"),
-                (F.col("_rows") - F.col(f"_n{i}")).alias("null_count"),
-                F.col(f"_n{i}").alias("non_null_count"),
-                source_of_column(F.lit(field.name)).alias("source_dataset"),
-                iso_utc(F.col(f"_a{i}")).alias("min_timestamp"),
-                iso_utc(F.col(f"_z{i}")).alias("max_timestamp"),
-                *[(F.col(f"_{name}{i}") if numeric else nothing).alias(name) for name in stats],
-            )
+        cells[field.name] = F.struct(
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("dtype"),
+            (F.col("_rows") - F.col(f"_n{i}")).alias("null_count"),
+            F.col(f"_n{i}").alias("non_null_count"),
+            source_of_column(F.lit(field.name)).alias("source_dataset"),
+            iso_utc(F.col(f"_a{i}")).alias("min_timestamp"),
+            iso_utc(F.col(f"_z{i}")).alias("max_timestamp"),
+            *[(F.col(f"_{name}{i}") if numeric else nothing).alias(name) for name in stats],
         )
+    return aggs, cells
+
+
+def metadata_json(cells: dict[str, Column]) -> Column:
+    """The cells of :func:`metadata_parts` as one JSON object, keyed by column."""
+    return F.to_json(F.struct(*[cell.dropFields("column_name").alias(name) for name, cell in cells.items()]), {"ignoreNullFields": "false"})
+
+
+def feature_metadata(df: DataFrame, by: list[str], time: str) -> DataFrame:
+    """One row per group and column: type, null counts, source, time range, and statistics of numeric columns."""
+    aggs, cells = metadata_parts(df, time)
     wide = df.groupBy(*[F.col(b).alias(f"_by_{b}") for b in by]).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    return wide.select(*[F.col(f"_by_{b}").alias(b) for b in by], F.inline(F.array(*cells)))
+    return wide.select(*[F.col(f"_by_{b}").alias(b) for b in by], F.inline(F.array(*cells.values())))
 
 
 def missing_audit(df: DataFrame, by: list[str]) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.times import UNIT_MS
 from tidelake.sources import landing
-from tidelake.sources.lake import sink_bronze
+from tidelake.sources.lake import scan_lake, sink_bronze
+from tidelake.sources.manifests import BRONZE_ARTIFACT, manifest_bronze, write_manifests
 
 
 def typed_rows(pages: DataFrame, dataset: str, exchange: str) -> DataFrame:
@@ -37,5 +38,14 @@ def ingest_pages(
     ingested_at: datetime | str,
     exchange: str = "deribit",
 ) -> DataFrame:
-    """Normalise landed pages and upsert them; returns the partitions written."""
-    return sink_bronze(spark, typed_rows(pages, dataset, exchange), root, dataset, run_id, ingested_at)
+    """Normalise landed pages and upsert them; returns the partitions written.
+
+    Manifest rows of these partitions are appended below ``_manifests`` of the lake.
+    """
+    written = sink_bronze(spark, typed_rows(pages, dataset, exchange), root, dataset, run_id, ingested_at)
+    days = written.select(*BRONZE_ARTIFACT).distinct()
+    bounds = written.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    if bounds.lo is not None:
+        stored = scan_lake(spark, root, dataset).where(F.col("date").between(bounds.lo, bounds.hi))
+        write_manifests(manifest_bronze(stored.join(days, BRONZE_ARTIFACT, "left_semi"), dataset), f"{root}/_manifests")
+    return written

@@ -13,7 +13,7 @@ from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import at, iso_utc, trunc_minute, utc
 from tidelake.operators import governance, quality
 from tidelake.operators.grid import grid_left_join, input_bounds, joint_span, minute_grid
-from tidelake.operators.profile import span_coverage
+from tidelake.operators.profile import metadata_json, metadata_parts, span_coverage
 from tidelake.operators.small import join_small, settle
 from tidelake.schemas import BAR_COLUMNS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
 from tidelake.sources.lake import read_latest_artifacts, read_silver, write_gold
@@ -215,14 +215,16 @@ def gold_manifest(
     columns = merged.columns
     listed = F.array(*[F.lit(c) for c in columns])
     expected = F.expr("(unix_micros(max(timestamp_m1)) - unix_micros(min(timestamp_m1))) div 60000000") + 1
+    aggs, cells = metadata_parts(merged, "timestamp_m1")
     audit = merged.groupBy(F.col("exchange").alias("_e"), F.col("symbol").alias("_s")).agg(
-        F.count(F.lit(1)).alias("rows_out"),
+        F.count(F.lit(1)).alias("_rows"),
+        *aggs,
         F.min("timestamp_m1").alias("_first"),
         F.max("timestamp_m1").alias("_last"),
         expected.alias("expected_minutes_in_span"),
         F.struct(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).alias("_missing"),
     )
-    audit = audit.withColumnsRenamed({"_e": "exchange", "_s": "symbol"})
+    audit = audit.withColumnsRenamed({"_e": "exchange", "_s": "symbol"}).withColumn("rows_out", F.col("_rows"))
     sources = sorted(source_key(n) for n in raw)
     facts = source_facts(raw).select("exchange", "symbol", F.struct(*sources).alias("source_silver_datasets"))
     total = reduce(lambda a, b: a + b, [F.col(f"_missing.{c}") for c in columns])
@@ -259,6 +261,7 @@ def gold_manifest(
         total.alias("missing_value_count_total"),
         F.to_json("_missing").alias("missing_value_count_by_column"),
         F.to_json("source_silver_datasets").alias("source_silver_datasets"),
+        metadata_json(cells).alias("feature_metadata"),
     )
 
 

@@ -14,6 +14,7 @@ from tidelake.operators.bars import trade_bars
 from tidelake.operators.dedup import keep_latest
 from tidelake.schemas import FUNDING_KEY, OHLCV_KEY, OI_KEY, SILVER_COLUMNS, TRADE_KEY
 from tidelake.sources.lake import STORED_ORDER, scan_lake, write_silver
+from tidelake.sources.manifests import manifest_silver, write_manifests
 
 # fixed values: native funding interval and the verdict on kept rows
 FUNDING_INTERVAL_HOURS = 8
@@ -209,28 +210,45 @@ def build_silver(
 ) -> DataFrame:
     """Build and write the silver tables of one bronze dataset for all symbols; returns its report.
 
-    The observed table is written first and the feature table is built from what was written.
+    The observed table is written first and the feature table is built from what was written. Manifest rows of every month
+    written are appended below ``_manifests`` of the silver root.
     """
     from tidelake.sources.lake import read_silver
 
+    def describe(table: str, timeframe: str, time: str, name: str | None = None) -> None:
+        try:
+            rows = read_silver(spark, silver_root, table, timeframe)
+        except ValueError:  # no row was kept, so there is nothing to describe
+            return
+        rows = rows.where(F.col("month").isin(months)) if months else rows
+        facts = manifest_silver(rows.drop("year", "month"), name or table, time, at(built_at))
+        write_manifests(facts, f"{silver_root}/_manifests")
+
     bronze = scan_lake(spark, bronze_root, dataset, months=months).drop("year", "month", "date")
     if dataset in ("spot", "perp"):
         write_silver(ohlcv_clean(bronze), silver_root, dataset, "1m", "open_time")
+        describe(dataset, "1m", "open_time", f"{dataset}_1m")
         return ohlcv_report(bronze, f"{dataset}_1m")
     if dataset in ("perp_trades", "option_trades"):
         write_silver(trades_observed(bronze), silver_root, f"{dataset}_observed", "tick", "trade_time")
         observed = read_silver(spark, silver_root, f"{dataset}_observed", "tick")
         write_silver(trades_1m_feature(observed), silver_root, f"{dataset}_1m_feature", "1m", "timestamp_m1")
+        describe(f"{dataset}_observed", "tick", "trade_time")
+        describe(f"{dataset}_1m_feature", "1m", "timestamp_m1")
         return trades_report(bronze, f"{dataset}_observed")
     if dataset == "funding":
         write_silver(funding_observed(bronze, built_at), silver_root, "funding_observed", "8h", "funding_time")
         observed = read_silver(spark, silver_root, "funding_observed", "8h")
         feature = funding_1m_feature(observed, cutoff)
         write_silver(feature, silver_root, "funding_1m_feature", "1m", "timestamp")
+        describe("funding_observed", "8h", "funding_time")
+        describe("funding_1m_feature", "1m", "timestamp")
         return funding_report(bronze)
     if dataset == "oi":
         write_silver(oi_observed(bronze), silver_root, "oi_observed", "1m", "timestamp")
         observed = read_silver(spark, silver_root, "oi_observed", "1m")
         write_silver(oi_1m_feature(observed, cutoff), silver_root, "oi_1m_feature", "1m", "timestamp_m1")
+        describe("oi_observed", "1m", "timestamp")
+        describe("oi_1m_feature", "1m", "timestamp_m1")
         return oi_report(bronze)
     raise ValueError(f"unknown bronze dataset: {dataset}")

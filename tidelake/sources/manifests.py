@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidelake.functions.hashing import columns_hash, json_hash, value_checksum
 from tidelake.functions.times import iso_utc, month_part
 from tidelake.operators.governance import contract
+from tidelake.operators.profile import metadata_json, metadata_parts
 from tidelake.schemas import BRONZE_SCHEMAS, JOIN_POLICY_OLD
 
 BRONZE_ARTIFACT = ["dataset_type", "exchange", "instrument_type", "symbol", "timeframe", "date"]
@@ -19,18 +20,20 @@ def _text_array(values: list[str]) -> Column:
 
 
 def manifest_bronze(stored: DataFrame, dataset_type: str) -> DataFrame:
-    """Row per day partition: rows, columns, time span, the hash over those, and a checksum of the values.
+    """Row per day partition: rows, columns, time span, the hash over those, a checksum of the values, facts per column.
 
     ``source_data_hash`` sees the shape only, as its definition says; ``value_checksum`` changes with the values.
     """
     columns = [f.name for f in BRONZE_SCHEMAS[dataset_type]]
     plain = [f for f in BRONZE_SCHEMAS[dataset_type] if f.name != "origin_payload"]
+    aggs, cells = metadata_parts(stored.select(*columns), "open_time")
     spans = stored.groupBy(*BRONZE_ARTIFACT).agg(
-        F.count(F.lit(1)).alias("rows_out"),
+        F.count(F.lit(1)).alias("_rows"),
+        *aggs,
         iso_utc(F.min("open_time")).alias("min_timestamp"),
         iso_utc(F.max("open_time")).alias("max_timestamp"),
         value_checksum(plain).cast("string").alias("value_checksum"),
-    )
+    ).withColumn("rows_out", F.col("_rows"))
     listed = _text_array(columns)
     shape = F.struct(listed.alias("columns"), "max_timestamp", "min_timestamp", "rows_out")
     return spans.select(
@@ -42,6 +45,7 @@ def manifest_bronze(stored: DataFrame, dataset_type: str) -> DataFrame:
         "max_timestamp",
         json_hash(shape).alias("source_data_hash"),
         "value_checksum",
+        metadata_json(cells).alias("feature_metadata"),
     )
 
 
@@ -58,16 +62,19 @@ def manifests_to_add(stored: DataFrame, manifests: DataFrame, dataset_type: str)
 
 
 def manifest_silver(frame: DataFrame, dataset: str, time: str, built_at: Column) -> DataFrame:
-    """Row per exchange, symbol and month of a silver table."""
+    """Row per exchange, symbol and month of a silver table, with facts per column and the table as its source."""
     columns = frame.columns
     listed = _text_array(columns)
+    aggs, cells = metadata_parts(frame, time)
+    source = F.struct(F.struct(listed.alias("columns"), F.col("_rows").alias("rows"), F.array("symbol").alias("source_symbols")).alias(dataset))
     return (
         frame.withColumn("_month", month_part(F.col(time)))
         .groupBy("exchange", "symbol", "_month")
         .agg(
-            F.count(F.lit(1)).alias("rows_out"),
-            iso_utc(F.min(time)).alias("min_timestamp"),
-            iso_utc(F.max(time)).alias("max_timestamp"),
+            F.count(F.lit(1)).alias("_rows"),
+            *aggs,
+            iso_utc(F.min(time)).alias("_first"),
+            iso_utc(F.max(time)).alias("_last"),
         )
         .select(
             F.lit(dataset).alias("dataset"),
@@ -76,10 +83,12 @@ def manifest_silver(frame: DataFrame, dataset: str, time: str, built_at: Column)
             F.col("_month").alias("month"),
             iso_utc(built_at).alias("build_date_utc"),
             columns_hash(listed).alias("column_hash"),
-            "rows_out",
+            F.col("_rows").alias("rows_out"),
             listed.alias("columns"),
-            "min_timestamp",
-            "max_timestamp",
+            F.col("_first").alias("min_timestamp"),
+            F.col("_last").alias("max_timestamp"),
+            F.to_json(source).alias("source_silver_datasets"),
+            metadata_json(cells).alias("feature_metadata"),
         )
     )
 
