@@ -278,6 +278,7 @@ def test_ingest_charts(spark, tmp_path):
         (ts("1970-01-01 00:01:00"), ts("1970-01-01 00:01:59.999"), 1.7, 0.5, None, 0),
     ]
     assert stored.first().source_endpoint == "public_market_data"
+    assert rows(spark.read.json(f"{root}/_manifests"), "date", "rows_out") == [("1970-01-01", 2)]
 
 
 @pytest.mark.parametrize(
