@@ -13,6 +13,7 @@ from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import trunc_minute
 from tidelake.operators import governance, profile
 from tidelake.plans import combined, gold, silver
+from tidelake.plans.bronze import ingest_pages
 from tidelake.schemas import (
     BRONZE_PARTITIONS,
     BRONZE_PARTITIONS_OLD,
@@ -749,3 +750,72 @@ def latest_manifest(f):
     return governance.latest_manifest(stored).select("dataset_id", "exchange", "symbol", "built_at", "source_data_hash")
 
 
+# ---- from pages to gold ---------------------------------------------------------------------------
+
+
+def landed_lake(f) -> tuple[str, str]:
+    """Bronze and silver candles of all chart pages of both markets; perp pages are delivered twice."""
+    bronze_root, silver_root = scratch_dir(f.spark, "bronze"), scratch_dir(f.spark, "silver")
+    perp = kline_pages(f)
+    spot = perp.withColumn("symbol", F.regexp_replace("symbol", "-PERPETUAL", "_USDC"))
+    ingest_pages(f.spark, spot, bronze_root, "spot", "run-0", _LANDED)
+    for run, at in (("run-0", _LANDED), ("run-1", _LANDED_AGAIN)):
+        ingest_pages(f.spark, perp, bronze_root, "perp", run, at)
+    for market in ("spot", "perp"):
+        silver.build_silver(f.spark, bronze_root, silver_root, market, _LANDED_AGAIN)
+    return bronze_root, silver_root
+
+
+_LANDED, _LANDED_AGAIN = "2024-03-01 00:00:00", "2024-03-02 00:00:00"
+for _market, _suffix in (("spot", "_USDC"), ("perp", "-PERPETUAL")):
+    S.CTES[f"landed_{_market}"] = (
+        ["ev"],
+        f"""SELECT date_trunc('minute', ts) AS timestamp_m1, 'deribit' AS exchange, asset AS symbol,
+          arg_max(value, event_id) AS {_market}_open_price, arg_max(value, event_id) + 2 AS {_market}_high_price,
+          arg_max(value, event_id) - 1 AS {_market}_low_price, arg_max(value, event_id) + 1 AS {_market}_close_price,
+          arg_max(k, event_id)::DOUBLE AS {_market}_volume FROM ev WHERE k <> 13 GROUP BY 1, 2, 3""",
+    )
+S.gold_cte("landed_core", ["landed_spot", "landed_perp"])
+
+
+@query(
+    "pipeline_core",
+    """SELECT *, 'v1.0.0' AS feature_set_version, count(*) OVER (PARTITION BY exchange, symbol) AS manifest_rows FROM landed_core""",
+    "landed_core",
+)
+def pipeline_core(f):
+    """Chart pages to bronze, silver and gold with all manifests; gold rows as stored, with the manifest's row count."""
+    _, silver_root = landed_lake(f)
+    gold_root = scratch_dir(f.spark, "gold")
+    gold.build_gold(f.spark, silver_root, gold_root, "gold.market.core.m1", _LANDED_AGAIN)
+    facts = manifests.read_manifests(f.spark, f"{gold_root}/_manifests", "exchange string, symbol string, rows_out bigint")
+    stored = f.spark.read.parquet(f"{gold_root}/dataset_id=gold.market.core.m1")
+    return stored.join(facts.withColumnRenamed("rows_out", "manifest_rows"), ["exchange", "symbol"])
+
+
+_WITHOUT_OPTIONS = ["spot", "perp", "oi_1m_feature", "funding_1m_feature", "perp_trades_1m_feature"]
+_GAPS = {"gold.market.option_trades.m1": "option_trades_1m_feature", "gold.market.full.m1": "option_trades_1m_feature", "gold.hybrid.full_l2.m1": "gold_l2_m1,option_trades_1m_feature"}
+
+
+def _built_sql(dataset_id: str) -> str:
+    if dataset_id in _GAPS:
+        return f"SELECT '{dataset_id}' AS dataset_id, 'deribit' AS exchange, symbol, 'skipped' AS status, '{_GAPS[dataset_id]}' AS missing_inputs, NULL::VARCHAR AS dataset_version, NULL::BIGINT AS rows_out FROM g_spot GROUP BY 3"
+    table = dataset_id.replace(".", "_")
+    return f"SELECT '{dataset_id}', exchange, symbol, 'built', NULL, 'v1.0.0', count(*) FROM {table} GROUP BY 2, 3"
+
+
+_BUILDABLE = ["gold.market.perp_trades.m1", "gold.market.core.m1", "gold.market.core_funding.m1"]
+
+
+@query(
+    "gold_build_all",
+    " UNION ALL ".join(_built_sql(d) for d in [*_GAPS, *_BUILDABLE]),
+    "g_spot", *[d.replace(".", "_") for d in _BUILDABLE],
+)
+def gold_build_all(f):
+    """All gold datasets from a silver lake without option trades; what lacks inputs is skipped and says which."""
+    silver_root = scratch_dir(f.spark, "silver")
+    times = {"spot": "open_time", "perp": "open_time", "funding_1m_feature": "timestamp"}
+    for name in _WITHOUT_OPTIONS:
+        lake.write_silver(f.silver(name), silver_root, name, "1m", times.get(name, "timestamp_m1"))
+    return gold.build_all_gold(f.spark, silver_root, scratch_dir(f.spark, "gold"), _LANDED)

@@ -15,8 +15,8 @@ from tidelake.operators import governance, quality
 from tidelake.operators.grid import grid_left_join, input_bounds, joint_span, minute_grid
 from tidelake.operators.profile import metadata_json, metadata_parts, span_coverage
 from tidelake.operators.small import join_small, settle
-from tidelake.schemas import BAR_COLUMNS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
-from tidelake.sources.lake import read_latest_artifacts, read_silver, write_gold
+from tidelake.schemas import BAR_COLUMNS, GOLD_INPUTS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
+from tidelake.sources.lake import latest_artifact, list_artifacts, read_latest_artifacts, read_silver, silver_symbols, write_gold
 from tidelake.sources.manifests import read_manifests, with_contract, write_manifests
 
 BIGINT_BARS = {"trade_count", "buy_trade_count", "sell_trade_count"}
@@ -117,13 +117,16 @@ def gold_symbols(symbols: DataFrame, dataset_id: str) -> DataFrame:
     )
 
 
-def build_availability(symbols: DataFrame, dataset_ids: list[str]) -> DataFrame:
-    """Which (dataset, exchange, symbol) can be built, and the inputs missing for those that are skipped."""
+def build_availability(symbols: DataFrame, dataset_ids: list[str], with_book: bool = False) -> DataFrame:
+    """Which (dataset, exchange, symbol) can be built, and the inputs missing for those that are skipped.
+
+    ``with_book`` counts the order-book table among the inputs of datasets that take one.
+    """
     canon = symbols.select("dataset_type", "exchange", canon_symbol(F.col("symbol")).alias("symbol"))
     have = canon.groupBy("exchange", "symbol").agg(F.collect_set("dataset_type").alias("_have"))
     needs = F.array(
         *[
-            F.struct(F.lit(d).alias("dataset_id"), F.array(*[F.lit(i) for i in gold_inputs(d)]).alias("inputs"))
+            F.struct(F.lit(d).alias("dataset_id"), F.array(*[F.lit(i) for i in gold_inputs(d) + ([L2_INPUT] if with_book and d in GOLD_WITH_L2 else [])]).alias("inputs"))
             for d in dataset_ids
         ]
     )
@@ -168,11 +171,13 @@ def l2_counts(grid: DataFrame, prepared: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_l2(merged: DataFrame, audit: DataFrame, mode: str) -> DataFrame:
-    """The rows a mode keeps: strict fails on any bad row, lenient drops."""
-    if mode not in ("strict", "lenient"):
+    """The rows a mode keeps: strict fails on any bad row, skip leaves out symbols that have one, lenient drops rows."""
+    if mode not in ("strict", "skip", "lenient"):
         raise ValueError(f"unknown order-book check mode: {mode}")
     if mode == "lenient":
         return quality.l2_lenient(merged, audit)
+    if mode == "skip":
+        return join_small(merged, audit.where("l2_invalid_rows_found = 0").select("exchange", "symbol"), ["exchange", "symbol"], "left_semi")
     found = audit.agg(F.sum("l2_invalid_rows_found").alias("n")).first().n
     if found:
         raise ValueError(f"order-book check failed: {found} bad rows")
@@ -320,6 +325,7 @@ def build_gold(
     version_base: str = "v1.0.0",
     l2_mode: str = "strict",
     code_version: str = "nogit",
+    may_be_empty: bool = False,
 ) -> DataFrame:
     """Build, audit, version and write a gold dataset for every symbol that has all inputs; returns the manifest rows.
 
@@ -354,6 +360,8 @@ def build_gold(
         manifest = resolve_versions(manifest, read_manifests(spark, manifest_root, MANIFEST_SCHEMA), version_base)
     manifest = settle(manifest, "gold-manifest")
     if manifest.isEmpty():
+        if may_be_empty:
+            return manifest
         raise ValueError(f"no symbol has all inputs of {dataset_id}")
     versions = manifest.select("exchange", "symbol", F.col("dataset_version").alias("_version"))
     labelled = join_small(merged, versions, ["exchange", "symbol"]).withColumnRenamed("_version", "feature_set_version")
@@ -362,3 +370,60 @@ def build_gold(
     return manifest
 
 
+BUILT_FIELDS = ["dataset_id", "exchange", "symbol", "dataset_version", "rows_out"]
+
+
+def book_symbols(spark: SparkSession, l2_root: str, known: DataFrame) -> DataFrame:
+    """Symbols with an order-book artifact, as rows of input ``gold_l2_m1``; flat files count for every exchange of ``known``."""
+    files = list_artifacts(spark, l2_root)
+    if files is None:
+        return known.limit(0)
+    newest = latest_artifact(files)
+    flat = known.select("exchange", canon_symbol(F.col("symbol")).alias("symbol")).distinct().join(
+        newest.where("exchange is null").select("symbol"), "symbol", "left_semi"
+    )
+    both = newest.where("exchange is not null").select("exchange", "symbol").unionByName(flat)
+    return both.select(F.lit(L2_INPUT).alias("dataset_type"), "exchange", "symbol")
+
+
+def build_all_gold(
+    spark: SparkSession,
+    silver_root: str,
+    gold_root: str,
+    built_at: datetime | str,
+    dataset_ids: list[str] | None = None,
+    l2_root: str | None = None,
+    l2_mode: str = "strict",
+    **options,
+) -> DataFrame:
+    """Build every gold dataset for the symbols that have its inputs; a row per dataset and symbol says what became of it.
+
+    A symbol that lacks inputs is skipped and ``missing_inputs`` names them. In strict mode a symbol with bad order-book
+    rows is skipped by itself, with null ``missing_inputs``, and the others are built. A dataset that no symbol can be
+    built for is not an error. The driver sees one row per dataset.
+    """
+    ids = list(dataset_ids or GOLD_INPUTS)
+    listed = settle(silver_symbols(spark, silver_root, sorted({n for d in ids for n in gold_inputs(d)})), "silver-symbols")
+    if GOLD_WITH_L2.intersection(ids):
+        listed = listed.unionByName(book_symbols(spark, l2_root or gold_root, listed))
+    known = settle(build_availability(listed, ids, with_book=True), "availability")
+    possible = {r.dataset_id for r in known.where("buildable").select("dataset_id").distinct().collect()}
+    manifests = [
+        build_gold(
+            spark, silver_root, gold_root, d, built_at, l2_root, l2_mode="skip" if l2_mode == "strict" else l2_mode,
+            may_be_empty=d in GOLD_WITH_L2, **options,
+        ).select(*BUILT_FIELDS)
+        for d in ids
+        if d in possible
+    ]
+    if not manifests:
+        blank = known.withColumns({"dataset_version": F.lit(None).cast("string"), "rows_out": F.lit(None).cast("bigint")})
+    else:
+        built = reduce(DataFrame.unionByName, manifests)
+        blank = known.join(built, ["dataset_id", "exchange", "symbol"], "left")
+    done = F.col("rows_out").isNotNull()
+    reason = F.when(~F.col("buildable"), F.col("missing_inputs"))
+    return blank.select(
+        "dataset_id", "exchange", "symbol", F.when(done, "built").otherwise("skipped").alias("status"),
+        reason.alias("missing_inputs"), "dataset_version", "rows_out",
+    )

@@ -434,6 +434,25 @@ def read_silver(spark: SparkSession, root: str, dataset_type: str, timeframe: st
     return rows.select(*schema.names, "year", "month")
 
 
+def silver_symbols(spark: SparkSession, root: str, datasets: list[str]) -> DataFrame:
+    """(dataset_type, exchange, symbol) of the silver datasets that have files, from folder names; no file is opened.
+
+    A dataset without a folder has no rows here.
+    """
+    found = []
+    for name in datasets:
+        reader = spark.read.format("binaryFile").option("basePath", root).option("pathGlobFilter", "*.parquet")
+        try:
+            files = reader.load(f"{root}/dataset_type={name}/exchange=*/symbol=*")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found.append(files.select("dataset_type", "exchange", "symbol").distinct())
+    empty = spark.createDataFrame([], "dataset_type string, exchange string, symbol string")
+    return union_relaxed(empty, *found)
+
+
 def write_gold(df: DataFrame, root: str, dataset_id: str, version: str | Column) -> None:
     """Gold rows partitioned by dataset, version, exchange and symbol; a version is replaced as a whole."""
     label = version if isinstance(version, Column) else F.lit(version)
