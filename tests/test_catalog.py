@@ -20,7 +20,7 @@ CROSS_SECTION = [
     "silver_report_trades", "grid_left_join", "gold_hybrid_lenient", "feature_metadata", "histogram_24", "manifest_gold",
     "gap_ranges_ticks", "full_gap_fill", "tail_delta", "resolve_start_bound", "price_direction", "load_combined",
     "upsert_partitions", "upsert_old_layout", "manifest_bronze", "manifest_bronze_checksum", "manifest_feature_metadata", "manifest_silver", "minmax_scale", "normalize_klines", "semver_timeline", "option_fields",
-    "pipeline_core", "gold_build_all",
+    "pipeline_core",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("CATALOG") == "all" else CROSS_SECTION
 

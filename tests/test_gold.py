@@ -265,3 +265,10 @@ def test_build_hybrid_gold(spark, tmp_path):
     assert (row.rows_out, row.l2_invalid_rows_found, row.l2_invalid_rows_dropped) == (1, 1, 1)
     assert row.contract.source_dataset_keys[:2] == ["funding_1m_feature", "gold_l2_m1"]
     assert spark.read.parquet(gold_root).select("l2_coverage_ratio").first()[0] == 0.9
+    ids = [dataset, "gold.market.core.m1"]
+    strict = gold.build_all_gold(spark, silver_root, gold_root, "2026-06-01", ids, l2_root)
+    assert rows(strict, "dataset_id", "status", "missing_inputs", "rows_out") == [
+        (dataset, "skipped", None, None), ("gold.market.core.m1", "built", None, 2),
+    ]
+    no_book = gold.build_all_gold(spark, silver_root, gold_root, "2026-06-01", [dataset], str(tmp_path / "none"))
+    assert rows(no_book, "status", "missing_inputs") == [("skipped", "gold_l2_m1")]
