@@ -13,11 +13,18 @@ from tidelake.llm.base import crc_split, settle, ship
 from tidelake.llm.queries import CAPACITY, encoder
 
 
+def unnamed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with its columns numbered, so that none is replaced by one that a model adds; and what ``text`` is called."""
+    numbered = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    return numbered, numbered.columns[docs.columns.index("text")]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; ``lang`` and all other columns stay as they are."""
     ship(spark)
     model = langid.fit(docs.where(~crc_split(F.col("doc_id"), 4, 2)))
-    return langid.predict(docs, model).where("accepted").select(*docs.columns)
+    numbered, text = unnamed(docs)
+    return langid.predict(numbered, model, text).where("accepted").select(*numbered.columns).toDF(*docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +32,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels.where(~crc_split(F.col("doc_id"), 3, 1)))
-    return quality.grade(docs, model).where("accepted").select(*docs.columns)
+    numbered, text = unnamed(docs)
+    return quality.grade(numbered, model, text).where("accepted").select(*numbered.columns).toDF(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,3 +87,13 @@ def test_stages(spark):
     total = sum(r.length for r in packed)
     assert len({r.sequence_id for r in packed}) <= -(-total // queries.CAPACITY) * 1.03 + 1
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.language_id, corpus_pipeline.quality_classifier])
+def test_stages_keep_columns_named_as_those_of_the_models(spark, stage):
+    own = {"score": "7.0", "accepted": "'no'", "Margin": "'m'", "n_letters": "-1", "lang_pred": "'xx'", "cross_entropy": "doc_id", "grade": "'A'", "expected_grade": "0", "tail_probability": "null"}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", *[f"{v} AS {c}" for c, v in own.items()])
+    got = stage(spark, docs, SF)
+    assert got.columns == docs.columns and got.dtypes == docs.dtypes
+    rows = got.collect()
+    assert rows and {tuple(r) for r in rows} <= {tuple(r) for r in docs.collect()}
