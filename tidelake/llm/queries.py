@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import decontaminate, langid, packing, quality, sharding, simhash, token_counts, topk, toxicity, warc
+from tidelake.llm import alignment, decontaminate, langid, packing, quality, sharding, simhash, token_counts, topk, toxicity, warc
 from tidelake.llm.base import crc_split, scratch_dir, settle, ship, text_bytes
 
 SHARDS = 40
@@ -101,6 +101,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), scores).select("doc_id", "n_pretokens", "n_tokens")
 
 
+def tokenizer_pair() -> alignment.TokenizerPair:
+    import public_tokenizers
+
+    byte_level, pieces, ranks = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
+    return alignment.TokenizerPair(byte_level, pieces, ranks, public_tokenizers.PATTERN)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_pair, "byte_bpe_50k-piece_bpe_32k")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -111,7 +123,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_rendezvous_shards, op2_toxicity, op3_histogram_topk, op4_ordinal_quality, op5_language_id, op6_winnowing, op7_simhash, op8_warc,
-        op9_best_fit_packing, op10_token_counts, pipeline,
+        op9_best_fit_packing, op10_token_counts, op13_token_alignment, pipeline,
     )
 }
 
