@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import alignment, decontaminate, langid, packing, quality, sharding, simhash, token_counts, topk, toxicity, warc
+from tidelake.llm import alignment, decontaminate, langid, packing, quality, sharding, simhash, token_counts, topk, toxicity, url_filter, warc
 from tidelake.llm.base import crc_split, scratch_dir, settle, ship, text_bytes
 
 SHARDS = 40
@@ -101,6 +101,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), scores).select("doc_id", "n_pretokens", "n_tokens")
 
 
+#: (host, beginning of the path, verdict)
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def tokenizer_pair() -> alignment.TokenizerPair:
     import public_tokenizers
 
@@ -123,7 +134,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_rendezvous_shards, op2_toxicity, op3_histogram_topk, op4_ordinal_quality, op5_language_id, op6_winnowing, op7_simhash, op8_warc,
-        op9_best_fit_packing, op10_token_counts, op13_token_alignment, pipeline,
+        op9_best_fit_packing, op10_token_counts, op12_url_filter, op13_token_alignment, pipeline,
     )
 }
 
@@ -176,4 +187,25 @@ def oracles() -> dict[str, str]:
             f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest),
             j AS (SELECT p.*, CASE WHEN payload_bytes >= 100 AND first <> coalesce(page_id, first - 1) THEN first END AS refers_to FROM p LEFT JOIN f USING (payload_digest))
             SELECT page_id, payload_bytes, payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM j""",
+        # Simply written canonical links and refreshes to absolute urls; the tests cover what only a parser reads.
+        "op12_url_filter": f"""
+            WITH RECURSIVE rules(host, path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+            found AS (
+                SELECT url AS source, unnest(regexp_extract_all(html, '(?i)<link[^>]*rel="canonical"[^>]*href="([^"]*://[^"]*)"', 1)
+                    || regexp_extract_all(html, '(?i)<meta[^>]*http-equiv="refresh"[^>]*content="[^";]*; *url=([^"]*://[^"]*)"', 1)) AS target FROM pages),
+            urls AS (SELECT DISTINCT url FROM pages UNION SELECT target FROM found),
+            parts AS (
+                SELECT url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                       coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+                       lower(regexp_extract(url, '(?s)^(.*?)://', 1)) || '://' || host || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS node
+                FROM urls),
+            fits AS (SELECT p.host, p.path, arg_max({{'rule': r.host || r.path, 'verdict': r.verdict}}, length(r.host || r.path)) AS best
+                     FROM (SELECT DISTINCT host, path FROM parts) p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY ALL),
+            judged AS (SELECT url, host, path, node, best.rule AS rule, best.verdict AS verdict FROM parts LEFT JOIN fits USING (host, path)),
+            edges AS (SELECT a.node AS a, b.node AS b FROM found JOIN parts a ON a.url = source JOIN parts b ON b.url = target),
+            both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+            reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+            fate AS (SELECT r.a AS node, min(j.verdict) AS verdict FROM reach r JOIN judged j ON j.node = r.b GROUP BY r.a)
+            SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(j.verdict, fate.verdict, 'allow') AS verdict
+            FROM pages LEFT JOIN judged j USING (url) LEFT JOIN fate USING (node)""",
     }
