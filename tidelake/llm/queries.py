@@ -7,7 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm import alignment, decontaminate, langid, packing, quality, sharding, simhash, token_counts, topk, toxicity, url_filter, warc
+from tidelake.llm import alignment, decontaminate, langid, packing, quality, sharding, simhash, token_counts, topk, toxicity, url_filter, warc, whitening
 from tidelake.llm.base import crc_split, scratch_dir, settle, ship, text_bytes
 
 SHARDS = 40
@@ -101,6 +101,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), scores).select("doc_id", "n_pretokens", "n_tokens")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", 8)
+    return white.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 #: (host, beginning of the path, verdict)
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -134,7 +140,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_rendezvous_shards, op2_toxicity, op3_histogram_topk, op4_ordinal_quality, op5_language_id, op6_winnowing, op7_simhash, op8_warc,
-        op9_best_fit_packing, op10_token_counts, op12_url_filter, op13_token_alignment, pipeline,
+        op9_best_fit_packing, op10_token_counts, op11_whitening, op12_url_filter, op13_token_alignment, pipeline,
     )
 }
 
