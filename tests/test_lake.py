@@ -89,7 +89,7 @@ def test_scan_reads_both_layouts(spark, tmp_path):
     assert lake.scan_lake(spark, root, "perp").count() == 0
     assert rows(lake.discover_months(spark, root, "spot", "deribit", "BTC_USDC", "1m")) == [("2025-12",), ("2026-05",)]
     assert rows(lake.discover_symbols(spark, root, "spot", "deribit", "1m")) == [("BTC_USDC",)]
-    assert rows(lake.latest_open_time(both), "open_time") == [(ts("2026-05-01 00:00:00"),)]
+    assert rows(lake.latest_open_time(spark, root, "spot"), "open_time") == [(ts("2026-05-01 00:00:00"),)]
     assert lake.stored_open_times(both).count() == 2
     # an upsert into an old-layout day merges with it and stays in its layout
     lake.upsert_partitions(spark, bronze(spark, "spot", [candle("2025-12-31 00:01:00", 3.0)]), root, "spot")
@@ -212,8 +212,9 @@ def test_manifests(spark, tmp_path):
     manifests.write_manifests(one_day, kept)
     shape = "dataset_type string, exchange string, instrument_type string, symbol string, timeframe string, date string"
     known = manifests.read_manifests(spark, kept, shape)
-    assert rows(manifests.missing_manifests(stored, known), "date") == [("2026-05-02",)]
-    added = manifests.manifests_to_add(stored, known, "spot").first()
+    days = lake.list_partitions(spark, root, "spot")
+    assert rows(manifests.missing_manifests(days, known), "date") == [("2026-05-02",)]
+    added = manifests.manifests_to_add(days, stored, known, "spot").first()
     payload = {
         "columns": [f.name for f in BRONZE_SCHEMAS["spot"]], "max_timestamp": "2026-05-02T00:00:00Z",
         "min_timestamp": "2026-05-02T00:00:00Z", "rows_out": 1,

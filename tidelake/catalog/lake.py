@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tidelake.catalog import sql as S
 from tidelake.catalog.base import EXCHANGE, query, rounded
+from tidelake.catalog.silver import BAR_SUMS
 from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import trunc_minute
 from tidelake.operators import governance, profile
 from tidelake.plans import combined, gold, silver
 from tidelake.plans.bronze import ingest_pages
+from tidelake.plans.refresh import silver_refresh as refresh_silver
 from tidelake.schemas import (
     BRONZE_PARTITIONS,
     BRONZE_PARTITIONS_OLD,
@@ -21,7 +23,7 @@ from tidelake.schemas import (
     SILVER_COLUMNS,
 )
 from tidelake.session import scratch_dir
-from tidelake.sources import lake, landing, manifests
+from tidelake.sources import atomic, lake, landing, manifests
 from tidelake.streaming.flush import chunk_flush as flush_stream
 
 _TICK = [f.name for f in BRONZE_SCHEMAS["perp_trades"]]
@@ -162,7 +164,7 @@ def stored_open_times(f):
     "ticks",
 )
 def latest_open_time(f):
-    return lake.latest_open_time(lake.scan_lake(f.spark, bronze_lake(f), "perp_trades"))
+    return lake.latest_open_time(f.spark, bronze_lake(f), "perp_trades")
 
 
 # ---- upsert and sinks -----------------------------------------------------------------------------
@@ -212,6 +214,54 @@ def chunk_flush(f):
     return lake.scan_lake(f.spark, f"{base}/lake", "perp_trades").select(*_TICK)
 
 
+@query("upsert_atomic", S._newest("ticks_lower", _MERGED, "ingested_at DESC, run_id DESC", "TRUE", _cols(_TICK)), "ticks_lower")
+def upsert_atomic(f):
+    """Old-layout files of all first deliveries, then the corrections as commits, one of them delivered twice."""
+    root, ticks = scratch_dir(f.spark, "upsert-atomic"), ticks_lower(f)
+    early, late = ticks.where("run_id = 'run-0'"), ticks.where("run_id <> 'run-0'")
+    _days(early, root, BRONZE_PARTITIONS_OLD)
+    for batch, key in ((late, "late"), (early, "early"), (late, "late")):
+        atomic.upsert_atomic(f.spark, batch, root, "perp_trades", key)
+    return lake.scan_lake(f.spark, root, "perp_trades").select(*_TICK)
+
+
+@query(
+    "chunk_flush_manifests",
+    """SELECT exchange, instrument_type, symbol, date, rows_out, min_timestamp, max_timestamp FROM (
+      SELECT exchange, instrument_type, symbol, strftime(open_time, '%Y-%m-%d') AS date, count(DISTINCT trade_id) AS rows_out,
+        strftime(min(open_time), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp, strftime(max(open_time), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp
+      FROM ticks_lower GROUP BY 1, 2, 3, 4)""",
+    "ticks_lower",
+)
+def chunk_flush_manifests(f):
+    """Manifest rows that a streaming load of all ticks in one batch leaves."""
+    base = scratch_dir(f.spark, "flush")
+    columns = [F.col(c.name).cast(c.dataType) for c in BRONZE_SCHEMAS["perp_trades"]]
+    ticks_lower(f).select(*columns).write.parquet(f"{base}/landing")
+    flush_stream(f.spark, f"{base}/landing", f"{base}/lake", "perp_trades", f"{base}/checkpoint", files_per_batch=10_000)
+    shape = "exchange string, instrument_type string, symbol string, date string, rows_out bigint, min_timestamp string, max_timestamp string"
+    return manifests.read_manifests(f.spark, f"{base}/lake/_manifests", shape)
+
+
+_BAR_ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in BAR_SUMS)
+
+
+@query(
+    "silver_refresh",
+    f"SELECT * REPLACE ({_BAR_ROUND}), (SELECT count(DISTINCT (lower(exchange), symbol, strftime(open_time, '%Y-%m'))) FROM ticks_lower WHERE run_id <> 'run-0') AS refreshed FROM ({S.bars_sql('t_obs', 'timestamp_m1', "date_trunc('minute', trade_time)")})",
+    "t_obs", "ticks_lower",
+)
+def silver_refresh(f):
+    """Bars of a bronze lake that grew by two commits, each followed by a refresh; and how many months the second rebuilt."""
+    bronze_root, silver_root = scratch_dir(f.spark, "bronze"), scratch_dir(f.spark, "silver")
+    ticks = ticks_lower(f)
+    for batch in (ticks.where("run_id = 'run-0'"), ticks.where("run_id <> 'run-0'")):
+        atomic.upsert_atomic(f.spark, batch, bronze_root, "perp_trades")
+        again = refresh_silver(f.spark, bronze_root, silver_root, "perp_trades", _LANDED)
+    bars = lake.read_silver(f.spark, silver_root, "perp_trades_1m_feature", "1m").drop("year", "month")
+    return rounded(bars.withColumn("refreshed", F.lit(again.count())), 6, *BAR_SUMS)
+
+
 def _sunk(f, dataset: str, rows, corrected):
     """Two sink calls of one dataset, the second correcting the first, read back."""
     root = scratch_dir(f.spark, "sink")
@@ -514,7 +564,8 @@ def missing_manifests(f):
     root = scratch_dir(f.spark, "manifests")
     manifests.write_manifests(manifests.manifest_bronze(stored.where("date < '2024-01-15'"), "spot"), root)
     shape = "dataset_type string, exchange string, instrument_type string, symbol string, timeframe string, date string"
-    return manifests.missing_manifests(stored, manifests.read_manifests(f.spark, root, shape))
+    days = lake.list_partitions(f.spark, bronze_lake(f), "spot")
+    return manifests.missing_manifests(days, manifests.read_manifests(f.spark, root, shape))
 
 
 _BAR_COLUMNS = SILVER_COLUMNS["trades_1m_feature"]

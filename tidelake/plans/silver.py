@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.functions.symbols import base_asset, dash_symbol
+from tidelake.functions.symbols import base_asset, canon_symbol, dash_symbol
 from tidelake.functions.times import at, utc
 from tidelake.operators import asof, quality
 from tidelake.operators.bars import trade_bars
@@ -207,24 +207,35 @@ def build_silver(
     built_at: datetime | str,
     cutoff: datetime | str | None = None,
     months: list[str] | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
-    """Build and write the silver tables of one bronze dataset for all symbols; returns its report.
+    """Build and write the silver tables of one bronze dataset; returns its report.
 
-    The observed table is written first and the feature table is built from what was written. Manifest rows of every month
-    written are appended below ``_manifests`` of the silver root.
+    All symbols and months are built unless ``months`` names some, or ``touched(_exchange, _asset, _month)`` names the lower-case
+    exchanges, canonical symbols and months to build. The observed table is written first and the feature table is built from
+    what was written. Manifest rows of every month written are appended below ``_manifests`` of the silver root.
     """
-    from tidelake.sources.lake import read_silver
+    from tidelake.sources.lake import read_silver as read_stored
+
+    def pick(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.col("month").isin(months)) if months else rows
+        if touched is None:
+            return rows
+        same = (F.lower("exchange") == F.col("_exchange")) & (canon_symbol(F.col("symbol")) == F.col("_asset")) & (F.col("month") == F.col("_month"))
+        return rows.join(touched, same, "left_semi")
+
+    def read_silver(*place: str) -> DataFrame:
+        return pick(read_stored(*place))
 
     def describe(table: str, timeframe: str, time: str, name: str | None = None) -> None:
         try:
             rows = read_silver(spark, silver_root, table, timeframe)
         except ValueError:  # no row was kept, so there is nothing to describe
             return
-        rows = rows.where(F.col("month").isin(months)) if months else rows
         facts = manifest_silver(rows.drop("year", "month"), name or table, time, at(built_at))
         write_manifests(facts, f"{silver_root}/_manifests")
 
-    bronze = scan_lake(spark, bronze_root, dataset, months=months).drop("year", "month", "date")
+    bronze = pick(scan_lake(spark, bronze_root, dataset, months=months)).drop("year", "month", "date")
     if dataset in ("spot", "perp"):
         write_silver(ohlcv_clean(bronze), silver_root, dataset, "1m", "open_time")
         describe(dataset, "1m", "open_time", f"{dataset}_1m")

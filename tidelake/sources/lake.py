@@ -29,6 +29,8 @@ from tidelake.schemas import (
     SOURCE_ENDPOINT,
 )
 from tidelake.session import scratch_dir, scratch_root, spread
+from tidelake.sources.commits import DAY, commit_log, live_days, live_paths, scan_versions
+from tidelake.sources.paths import choice, list_artifacts, read_if_there
 
 STORED_ORDER = ["ingested_at", "run_id"]
 ROWS_PER_FILE = 5_000_000
@@ -84,22 +86,6 @@ def stamp_audit(rows: DataFrame, dataset_type: str, run_id: str | Column, ingest
 # ---- reading --------------------------------------------------------------------------------------
 
 
-def _read(spark: SparkSession, base: str, path: str, schema: T.StructType) -> DataFrame | None:
-    reader = spark.read.schema(schema).option("basePath", base).option("pathGlobFilter", "*.parquet")
-    try:
-        return reader.parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def _choice(values: str | list[str] | None) -> str:
-    if values is None:
-        return "*"
-    return values if isinstance(values, str) else "{" + ",".join(values) + "}"
-
-
 def scan_lake(
     spark: SparkSession,
     root: str,
@@ -111,23 +97,31 @@ def scan_lake(
     months: str | list[str] | None = None,
     old_columns: bool = False,
 ) -> DataFrame:
-    """Bronze rows of a dataset over both folder layouts (with and without the ``year=`` level).
+    """Bronze rows of a dataset over both folder layouts (with and without the ``year=`` level) and its committed versions.
 
     Values given here narrow the listing itself; filters on partition columns of the result prune as usual. The
-    fixed schema spares schema inference, and columns a file lacks are null.
+    fixed schema spares schema inference, and columns a file lacks are null. A day that the commit log names is read from
+    its live version alone; what is committed after this call is not seen.
     """
-    schema = _stored_schema(dataset_type, old_columns)
-    found = _scan_layouts(spark, root, dataset_type, schema, exchange, instrument_type, symbol, timeframe, months)
+    schema = stored_schema(dataset_type, old_columns)
+    narrowed = (exchange, instrument_type, symbol, timeframe, months)
+    log = commit_log(spark, root, dataset_type)  # listed before the files, so every version it names is found
+    found = scan_layouts(spark, root, dataset_type, schema, *narrowed)
     parts = [rows for rows in found if rows is not None]
+    if log is not None:
+        live = live_days(log)
+        parts = [rows.join(live.select(*DAY), DAY, "left_anti") for rows in parts]
+        versions = scan_versions(spark, root, dataset_type, schema, live, *narrowed)
+        parts += [] if versions is None else [versions]
     return union_relaxed(*parts) if parts else spark.createDataFrame([], schema)
 
 
-def _stored_schema(dataset_type: str, old_columns: bool = False) -> T.StructType:
+def stored_schema(dataset_type: str, old_columns: bool = False) -> T.StructType:
     old = OLD_CANDLE_COLUMNS if old_columns else []
     return T.StructType([*BRONZE_SCHEMAS[dataset_type], *old, *[T.StructField(p, T.StringType()) for p in ("year", "month", "date")]])
 
 
-def _scan_layouts(
+def scan_layouts(
     spark: SparkSession,
     root: str,
     dataset_type: str,
@@ -140,12 +134,12 @@ def _scan_layouts(
 ) -> tuple[DataFrame | None, DataFrame | None]:
     """Rows stored with the ``year=`` level and rows stored without it; None for a layout without folders."""
     series = (
-        f"{root}/dataset_type={dataset_type}/exchange={_choice(exchange)}/instrument_type={_choice(instrument_type)}"
-        f"/symbol={_choice(symbol)}/timeframe={_choice(timeframe)}"
+        f"{root}/dataset_type={dataset_type}/exchange={choice(exchange)}/instrument_type={choice(instrument_type)}"
+        f"/symbol={choice(symbol)}/timeframe={choice(timeframe)}"
     )
-    current = _read(spark, root, f"{series}/year=*/month={_choice(months)}", schema)
+    current = read_if_there(spark, root, f"{series}/year=*/month={choice(months)}", schema)
     no_year = T.StructType([f for f in schema if f.name != "year"])
-    old = _read(spark, root, f"{series}/month={_choice(months)}", no_year)
+    old = read_if_there(spark, root, f"{series}/month={choice(months)}", no_year)
     return (
         None if current is None else current.select(*schema.names),
         None if old is None else old.withColumn("year", F.substring("month", 1, 4)).select(*schema.names),
@@ -161,12 +155,17 @@ def list_partitions(
     symbol: str | None = None,
     timeframe: str | None = None,
 ) -> DataFrame:
-    """Day partitions that hold files, in both layouts, from the folder listing; no file is opened."""
+    """Day partitions that hold files, in both layouts, from the folder listing, and those of the commit log; no data file is opened."""
     series = (
-        f"{root}/dataset_type={dataset_type}/exchange={_choice(exchange)}/instrument_type={_choice(instrument_type)}"
-        f"/symbol={_choice(symbol)}/timeframe={_choice(timeframe)}"
+        f"{root}/dataset_type={dataset_type}/exchange={choice(exchange)}/instrument_type={choice(instrument_type)}"
+        f"/symbol={choice(symbol)}/timeframe={choice(timeframe)}"
     )
     found = [list_artifacts(spark, f"{series}/{level}=*") for level in ("year", "month")]
+    log = commit_log(spark, root, dataset_type)
+    if log is not None:
+        for column, value in zip(SERIES, (exchange, instrument_type, symbol, timeframe)):
+            log = log if value is None else log.where(F.col(column) == value)
+        found.append(live_paths(log, root))
     files = union_relaxed(*[f for f in found if f is not None]) if any(f is not None for f in found) else None
     if files is None:
         files = spark.createDataFrame([], "path string, modificationTime timestamp")
@@ -195,14 +194,20 @@ def stored_open_times(stored: DataFrame) -> DataFrame:
     return stored.where(F.col("open_time").isNotNull()).select(*SERIES, "open_time").distinct()
 
 
-def latest_open_time(stored: DataFrame) -> DataFrame:
-    """Newest open time per series, read from the days since the oldest of the series' last days."""
-    days = settle(stored.groupBy(*SERIES).agg(F.max("date").alias("date")), "last-days")
-    since = days.agg(F.min("date")).first()[0]
-    recent = stored if since is None else stored.where(F.col("date") >= since)
-    return join_small(recent, days, [*SERIES, "date"], "inner").groupBy(*SERIES).agg(
-        F.max("open_time").alias("open_time")
-    )
+def last_days(spark: SparkSession, root: str, dataset_type: str) -> DataFrame:
+    """Rows of each series' last day. Which days these are comes from the listing; files of other dates are not opened.
+
+    The dates, at most as many as the calendar has, become a partition filter; the join keeps each series' own.
+    """
+    days = settle(list_partitions(spark, root, dataset_type).groupBy(*SERIES).agg(F.max("date").alias("date")), "last-days")
+    dates = sorted(r.date for r in days.select("date").distinct().collect())
+    stored = scan_lake(spark, root, dataset_type)
+    return stored.where(F.col("date").isin(dates)).join(days, DAY, "left_semi")
+
+
+def latest_open_time(spark: SparkSession, root: str, dataset_type: str) -> DataFrame:
+    """Newest open time per series, read from the series' last days."""
+    return last_days(spark, root, dataset_type).groupBy(*SERIES).agg(F.max("open_time").alias("open_time"))
 
 
 # fixed values: typed columns and the number that stands in for a missing one
@@ -291,7 +296,7 @@ OPEN, FINISHED, PUBLISHED = 0, 1, 2
 
 def _state(spark: SparkSession, stage: str) -> int:
     path = f"{stage}/state"
-    found = _read(spark, path, path, T.StructType([T.StructField("id", T.LongType())]))
+    found = read_if_there(spark, path, path, T.StructType([T.StructField("id", T.LongType())]))
     said = [] if found is None else found.limit(2).collect()
     return said[0].id if len(said) == 1 else OPEN
 
@@ -303,7 +308,7 @@ def _mark(spark: SparkSession, stage: str, state: int) -> None:
 def _publish_staged(spark: SparkSession, stage: str, root: str, dataset_type: str, rows_per_file: int) -> DataFrame:
     """Publish the finished copy of a stage, each row in its layout; returns the partitions and their rows."""
     path = f"{stage}/rows"
-    staged = _read(spark, path, path, T.StructType([*_stored_schema(dataset_type), T.StructField("_old", T.BooleanType())]))
+    staged = read_if_there(spark, path, path, T.StructType([*stored_schema(dataset_type), T.StructField("_old", T.BooleanType())]))
     by_day = staged.groupBy(*BRONZE_PARTITIONS)
     written = settle(by_day.agg(F.count(F.lit(1)).alias("rows"), F.count_if("_old").alias("_in_old")), "upserted")
     size = written.agg(
@@ -351,7 +356,7 @@ def upsert_partitions(
     # The bounds on the day are partition filters, so files of other days are not opened.
     current, old = [
         None if rows is None else rows.where(F.col("date").between(str(span.lo), str(span.hi))).join(touched, days, "left_semi")
-        for rows in _scan_layouts(spark, root, dataset_type, _stored_schema(dataset_type), months=sorted(months))
+        for rows in scan_layouts(spark, root, dataset_type, stored_schema(dataset_type), months=sorted(months))
     ]
     if old is not None and not old.isEmpty():
         merged = merge_layouts(current, old, fresh)
@@ -428,7 +433,7 @@ def read_silver(spark: SparkSession, root: str, dataset_type: str, timeframe: st
     schema = SILVER_SCHEMAS[dataset_type]
     parts = [T.StructField(p, T.StringType()) for p in SILVER_PARTITIONS if p not in schema.names]
     path = f"{root}/dataset_type={dataset_type}/exchange=*/symbol=*/timeframe={timeframe}"
-    rows = _read(spark, root, path, T.StructType([*schema, *parts]))
+    rows = read_if_there(spark, root, path, T.StructType([*schema, *parts]))
     if rows is None:
         raise ValueError(f"missing silver dataset: {dataset_type}")
     return rows.select(*schema.names, "year", "month")
@@ -475,17 +480,6 @@ def write_stats_csv(stats: DataFrame, path: str) -> None:
 # ---- order-book artifacts -------------------------------------------------------------------------
 
 
-def list_artifacts(spark: SparkSession, root: str) -> DataFrame | None:
-    """Parquet files below ``root`` with their modification time; no file is opened. None when nothing is there."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    try:
-        return reader.load(root).select("path", "modificationTime")
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def latest_artifact(files: DataFrame) -> DataFrame:
     """Newest order-book artifact per exchange and canonical symbol.
 

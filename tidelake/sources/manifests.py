@@ -10,6 +10,7 @@ from tidelake.functions.hashing import columns_hash, json_hash, value_checksum
 from tidelake.functions.times import iso_utc, month_part
 from tidelake.operators.governance import contract
 from tidelake.operators.profile import metadata_json, metadata_parts
+from tidelake.operators.small import settle
 from tidelake.schemas import BRONZE_SCHEMAS, JOIN_POLICY_OLD
 
 BRONZE_ARTIFACT = ["dataset_type", "exchange", "instrument_type", "symbol", "timeframe", "date"]
@@ -49,16 +50,16 @@ def manifest_bronze(stored: DataFrame, dataset_type: str) -> DataFrame:
     )
 
 
-def missing_manifests(stored: DataFrame, manifests: DataFrame) -> DataFrame:
-    """Day partitions without a manifest row; only partition columns of the lake are read."""
-    days = stored.select(*BRONZE_ARTIFACT).distinct()
-    return days.join(manifests.select(*BRONZE_ARTIFACT), BRONZE_ARTIFACT, "left_anti")
+def missing_manifests(days: DataFrame, manifests: DataFrame) -> DataFrame:
+    """Day partitions without a manifest row; ``days`` come from :func:`tidelake.sources.lake.list_partitions`, which opens no file."""
+    return days.select(*BRONZE_ARTIFACT).distinct().join(manifests.select(*BRONZE_ARTIFACT), BRONZE_ARTIFACT, "left_anti")
 
 
-def manifests_to_add(stored: DataFrame, manifests: DataFrame, dataset_type: str) -> DataFrame:
-    """Manifest rows for the partitions that lack one."""
-    lacking = missing_manifests(stored, manifests)
-    return manifest_bronze(stored.join(lacking, BRONZE_ARTIFACT, "left_semi"), dataset_type)
+def manifests_to_add(days: DataFrame, stored: DataFrame, manifests: DataFrame, dataset_type: str) -> DataFrame:
+    """Manifest rows for the partitions among ``days`` that lack one; ``stored`` is read for these alone, as far as dates tell."""
+    lacking = settle(missing_manifests(days, manifests), "lacking")
+    dates = sorted(r.date for r in lacking.select("date").distinct().collect())
+    return manifest_bronze(stored.where(F.col("date").isin(dates)).join(lacking, BRONZE_ARTIFACT, "left_semi"), dataset_type)
 
 
 def manifest_silver(frame: DataFrame, dataset: str, time: str, built_at: Column) -> DataFrame:
@@ -98,6 +99,12 @@ def write_manifests(rows: DataFrame, root: str) -> None:
     rows.write.mode("append").json(root)
 
 
+def append_manifests(rows: DataFrame, root: str, key: list[str]) -> None:
+    """Append the manifest rows whose ``key`` no row has yet, so that a write that is run again adds nothing."""
+    there = read_manifests(rows.sparkSession, root, ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in key))
+    write_manifests(rows if there is None else rows.join(there.distinct(), key, "left_anti"), root)
+
+
 def read_manifests(spark: SparkSession, root: str, schema: str) -> DataFrame | None:
     """Manifest rows, without the lines that are not valid JSON; none when the folder does not exist."""
     broken = "_broken string"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.schemas import BRONZE_SCHEMAS
-from tidelake.sources.lake import upsert_partitions
+from tidelake.sources.atomic import add_commit_manifests, upsert_atomic
 
 
 def chunk_flush(
@@ -18,13 +18,14 @@ def chunk_flush(
 ) -> None:
     """Upsert all files that landed since the last call, batch by batch, then stop.
 
-    The streaming checkpoint records finished batches, and a batch that is run again merges to the same rows, so a
-    restart neither skips nor repeats data. Staged batches live in the checkpoint folder, next to the log that numbers
-    them.
+    Each batch is one commit of the lake, keyed by checkpoint and number, and is described below ``_manifests``. The streaming
+    checkpoint records finished batches; a batch that is run again finds its key in the commit log and adds nothing, so a
+    restart neither skips nor repeats data, and readers never meet half a batch.
     """
 
     def flush(batch: DataFrame, number: int) -> None:
-        upsert_partitions(spark, batch, root, dataset_type, stage=f"{checkpoint}/staged/{number}")
+        upsert_atomic(spark, batch, root, dataset_type, key=f"{checkpoint}#{number}")
+        add_commit_manifests(spark, root, dataset_type)
 
     query = (
         spark.readStream.schema(BRONZE_SCHEMAS[dataset_type])
