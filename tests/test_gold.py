@@ -98,12 +98,49 @@ def test_l2_modes(spark):
     kept = gold.gold_frame(raw, "gold.hybrid.full_l2.m1", "lenient")
     assert rows(kept, "timestamp_m1", "l2_coverage_ratio") == [(ts("2026-05-01 00:01:00"), 0.9)]
     prepared = {n: gold.prepare(n, f) for n, f in raw.items()}
-    counts = gold.l2_counts(gold.family_grid(prepared), prepared).first()
+    counts = gold.l2_counts(gold.family_spans(prepared), prepared["gold_l2_m1"]).first()
     assert (counts.l2_invalid_rows_found, counts.l2_invalid_rows_dropped) == (1, 1)
     with pytest.raises(ValueError):
         gold.gold_frame(raw, "gold.hybrid.full_l2.m1", "loose")
 
 
+@pytest.mark.parametrize("ratios", [[0.5], [1.5, 0.9, None, 2.0], [None, None], [0.1, 1.1, 0.2, 0.3, 5.0, 0.4]])
+def test_l2_counts_equal_those_of_the_join(spark, ratios):
+    minutes = [f"2026-05-01 00:0{i}:00" for i in (1, 2, 4)]
+    raw = raw_inputs(spark, "gold.hybrid.full_l2.m1", minutes)
+    made = l2_rows(spark, [r if r is not None else float("nan") for r in ratios])
+    raw["gold_l2_m1"] = made.withColumn("coverage_ratio", F.nanvl("coverage_ratio", F.lit(None)))
+    prepared = {n: gold.prepare(n, f) for n, f in raw.items()}
+    spans = gold.family_spans(prepared)
+    merged = gold.merge_families(prepared)
+    assert rows(gold.l2_counts(spans, prepared["gold_l2_m1"])) == rows(quality.l2_audit(merged))
+
+
+def test_a_repeated_build_leaves_one_manifest_row(spark, tmp_path):
+    silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
+    for n in ("spot", "perp"):
+        lake.write_silver(silver_rows(spark, n, TWO), silver_root, n, "1m", "open_time")
+    for at in ("2026-06-01", "2026-06-01", "2026-06-02"):
+        row = gold.build_gold(spark, silver_root, gold_root, "gold.market.core.m1", at, version="v1.0.0").first()
+        assert row.l2_validation_mode is None
+    stored = spark.read.json(f"{gold_root}/_manifests")
+    assert rows(stored, "build_date_utc", "rows_out") == [("2026-06-01T00:00:00Z", 2), ("2026-06-02T00:00:00Z", 2)]
+
+
+def test_newest_artifacts_of_digit_symbols_and_flat_files(spark, tmp_path):
+    root = str(tmp_path / "l2")
+    book = l2_rows(spark, [0.5]).drop("exchange", "symbol")
+    for symbol, build, ratio in (("007", "a", 0.1), ("007", "b", 0.2), ("BTC", "c", 0.3)):
+        book.withColumn("coverage_ratio", F.lit(ratio)).coalesce(1).write.parquet(f"{root}/exchange=deribit/symbol={symbol}/version=1/build_id={build}")
+    flat = l2_rows(spark, [0.7]).withColumn("symbol", F.lit("ETH"))
+    for name, ratio in (("old", 0.6), ("new", 0.7)):
+        flat.withColumn("coverage_ratio", F.lit(ratio)).toPandas().to_parquet(tmp_path / "l2" / f"ETH_L2_{name} +x_y.parquet", coerce_timestamps="us")
+    got = lake.read_latest_artifacts(spark, root)
+    assert rows(got, "exchange", "symbol", "coverage_ratio") == [("deribit", "007", 0.2), ("deribit", "BTC", 0.3), ("deribit", "ETH", 0.7)]
+    fixed = lake.read_latest_artifacts(spark, root, l2_rows(spark, [0.5]).schema)
+    assert rows(fixed, "exchange", "symbol", "coverage_ratio") == rows(got, "exchange", "symbol", "coverage_ratio")
+
+
 def test_lenient_l2_drops_minutes_without_data_only_next_to_bad_rows(spark):
     minutes = [*TWO, "2026-05-01 00:02:00"]
     raw = raw_inputs(spark, "gold.hybrid.full_l2.m1", minutes)
@@ -263,6 +300,7 @@ def test_build_hybrid_gold(spark, tmp_path):
         gold.build_gold(spark, silver_root, gold_root, dataset, "2026-06-01", l2_root=l2_root)
     row = gold.build_gold(spark, silver_root, gold_root, dataset, "2026-06-01", l2_root=l2_root, l2_mode="lenient").first()
     assert (row.rows_out, row.l2_invalid_rows_found, row.l2_invalid_rows_dropped) == (1, 1, 1)
+    assert row.l2_validation_mode == "lenient"
     assert row.contract.source_dataset_keys[:2] == ["funding_1m_feature", "gold_l2_m1"]
     assert spark.read.parquet(gold_root).select("l2_coverage_ratio").first()[0] == 0.9
     ids = [dataset, "gold.market.core.m1"]

@@ -8,6 +8,7 @@ from tidelake.catalog import sql as S
 from tidelake.catalog.base import query, rounded
 from tidelake.functions.times import trunc_minute
 from tidelake.operators import lagging, profile, quality
+from tidelake.operators.grid import minute_grid as build_minute_grid
 from tidelake.plans import gold, silver
 from tidelake.schemas import GOLD_INPUTS, GOLD_WITH_L2, L2_INPUT, PROFILE_SAMPLE_ROWS, SILVER_COLUMNS, source_key
 
@@ -105,7 +106,7 @@ def prep_l2(f):
 )
 def minute_grid(f):
     prepared = {n: gold.prepare(n, f.silver(n)) for n in ("spot", "perp")}
-    return gold.family_grid(prepared)
+    return build_minute_grid(gold.family_spans(prepared))
 
 
 def _register(name: str, dataset_id: str, sums: list[str]) -> None:
@@ -172,13 +173,24 @@ def discover_gold_symbols(f):
     return gold.gold_symbols(universe(f), "gold.market.core_funding.m1")
 
 
+# expected values, written out: what each gold dataset is joined from
+_EXPECTED_INPUTS = {
+    "gold.market.perp_trades.m1": ["perp_trades_1m_feature"],
+    "gold.market.option_trades.m1": ["option_trades_1m_feature"],
+    "gold.market.core.m1": ["spot", "perp"],
+    "gold.market.core_funding.m1": ["spot", "perp", "funding_1m_feature"],
+    "gold.market.full.m1": ["spot", "perp", "oi_1m_feature", "funding_1m_feature", "perp_trades_1m_feature", "option_trades_1m_feature"],
+    "gold.hybrid.full_l2.m1": ["spot", "perp", "oi_1m_feature", "funding_1m_feature", "perp_trades_1m_feature", "option_trades_1m_feature"],
+}
+
+
 @query(
     "version_skip_policy",
     " UNION ALL ".join(
         f"""SELECT '{d}' AS dataset_id, exchange, symbol, len(missing) = 0 AS buildable, array_to_string(missing, ',') AS missing_inputs
-        FROM (SELECT exchange, symbol, list_sort(list_filter({GOLD_INPUTS[d]!r}, lambda x: NOT list_contains(have, x))) AS missing
+        FROM (SELECT exchange, symbol, list_sort(list_filter({_EXPECTED_INPUTS[d]!r}, lambda x: NOT list_contains(have, x))) AS missing
           FROM (SELECT exchange, split_part(symbol, '_', 1) AS symbol, list(DISTINCT dataset_type) AS have FROM universe GROUP BY 1, 2))"""
-        for d in GOLD_INPUTS
+        for d in _EXPECTED_INPUTS
     ),
     "universe",
 )
@@ -241,7 +253,7 @@ def l2_quality_mask(f):
 )
 def l2_strict_or_lenient(f):
     prepared = {n: gold.prepare(n, f.silver(n)) for n in _inputs("gold.hybrid.full_l2.m1")}
-    return gold.l2_counts(gold.family_grid(prepared), prepared)
+    return gold.l2_counts(gold.family_spans(prepared), prepared[L2_INPUT])
 
 
 # ---- audits and profiles --------------------------------------------------------------------------
@@ -259,50 +271,76 @@ _GOLD_COLUMNS = (
     + ["funding_rate_last_known", "minutes_since_funding", "is_funding_observation_minute", "funding_data_available"]
 )
 _NUMERIC = _GOLD_COLUMNS[3:15]
-_DTYPE = {
-    **{c: "double" for c in _NUMERIC},
+# expected values, written out: the source that the beginning of a column's name stands for
+_SOURCES = [
+    ("option_trades_", "option_trades_1m_feature"), ("spot_", "spot_1m"), ("perp_", "perp_1m"), ("oi_", "oi_1m_feature"),
+    ("funding_", "funding_1m_feature"), ("trades_", "perp_trades_1m_feature"), ("", "gold_merged"),
+]
+# expected values, written out: the widest gold table without order-book rows, by type
+_BARS = "open_price high_price low_price close_price volume quote_volume buy_volume sell_volume buy_volume_share".split()
+_BAR_COUNTS = "trade_count buy_trade_count sell_trade_count".split()
+_FULL_GOLD = "gold_market_full_m1"
+_FULL_TYPES = {
+    **dict.fromkeys(["exchange", "symbol"], "string"),
     "timestamp_m1": "timestamp",
-    "exchange": "string",
-    "symbol": "string",
-    "minutes_since_funding": "bigint",
-    "is_funding_observation_minute": "boolean",
-    "funding_data_available": "boolean",
+    **{f"{p}_{c}": "double" for p in ("spot", "perp") for c in ("open_price", "high_price", "low_price", "close_price", "volume")},
+    **dict.fromkeys(["oi_open_interest", "funding_rate_last_known"], "double"),
+    **dict.fromkeys(["oi_is_observed", "oi_is_ffill", "is_funding_observation_minute", "funding_data_available"], "boolean"),
+    **dict.fromkeys(["minutes_since_oi_observation", "oi_observation_lag_sec", "minutes_since_funding"], "bigint"),
+    **{f"{p}_{c}": "double" for p in ("trades", "option_trades") for c in _BARS},
+    **{f"{p}_{c}": "bigint" for p in ("trades", "option_trades") for c in _BAR_COUNTS},
 }
+_FULL_NUMERIC = [c for c, kind in _FULL_TYPES.items() if kind in ("double", "bigint")]
+
+
+def full_gold(f):
+    return frame(f, "gold.market.full.m1")
+
+
+def _digits_sql(x: str) -> str:
+    """Nine digits behind the point, or behind the first digit: long sums depend on addition order in their last ones."""
+    unit = f"pow(10.0::DOUBLE, floor(log10(abs({x}))))"
+    return f"CASE WHEN abs({x}) >= 1 THEN round({x} / {unit}, 9) * {unit} ELSE round({x}, 9) END"
+
+
+def _digits(df, *names: str):
+    def cut(name):
+        unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(name))).cast("double"))
+        return F.when(F.abs(name) >= 1, F.round(F.col(name) / unit, 9) * unit).otherwise(F.round(name, 9))
+
+    return df.withColumns({n: cut(n) for n in names})
 
 
 def _source(c: str) -> str:
-    for prefix, source in profile.COLUMN_SOURCE.items():
-        if c.startswith(prefix):
-            return source
-    return profile.MERGED_SOURCE
+    return next(source for prefix, source in _SOURCES if c.startswith(prefix))
 
 
 def _meta_sql(c: str) -> str:
-    numeric = c in _NUMERIC
+    numeric = c in _FULL_NUMERIC
     present = "timestamp_m1" if c == "timestamp_m1" else f"CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END"
     stats = {"mean": "avg({0})", "std": "stddev_samp({0})", "min": "min({0})::DOUBLE", "max": "max({0})::DOUBLE"}
-    cells = [f"{('round(' + s.format(c) + ', 9)') if numeric else 'NULL::DOUBLE'} AS {n}" for n, s in stats.items()]
-    return f"""SELECT exchange, symbol, '{c}' AS column_name, '{_DTYPE[c]}' AS dtype, count(*) - count({c}) AS null_count,
+    cells = [f"{_digits_sql(s.format(c)) if numeric else 'NULL::DOUBLE'} AS {n}" for n, s in stats.items()]
+    return f"""SELECT exchange, symbol, '{c}' AS column_name, '{_FULL_TYPES[c]}' AS dtype, count(*) - count({c}) AS null_count,
       count({c}) AS non_null_count, '{_source(c)}' AS source_dataset,
       strftime(min({present}), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
       strftime(max({present}), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp, {', '.join(cells)}
-    FROM {_FUNDING_GOLD} GROUP BY exchange, symbol"""
+    FROM {_FULL_GOLD} GROUP BY exchange, symbol"""
 
 
-@query("feature_metadata", " UNION ALL ".join(_meta_sql(c) for c in _GOLD_COLUMNS), _FUNDING_GOLD)
+@query("feature_metadata", " UNION ALL ".join(_meta_sql(c) for c in _FULL_TYPES), _FULL_GOLD)
 def feature_metadata(f):
-    meta = profile.feature_metadata(funding_gold(f), SYMBOL, "timestamp_m1")
-    return rounded(meta, 9, "mean", "std", "min", "max")
+    meta = profile.feature_metadata(full_gold(f), SYMBOL, "timestamp_m1")
+    return _digits(meta, "mean", "std", "min", "max")
 
 
 @query(
     "source_of_column",
-    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{_source(c)}')" for c in _GOLD_COLUMNS) + f""") v(column_name, source_dataset)
-    WHERE column_name IN (SELECT name FROM (SELECT unnest({_GOLD_COLUMNS!r}) AS name)) AND (SELECT count(*) > 0 FROM {_FUNDING_GOLD})""",
-    _FUNDING_GOLD,
+    "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{_source(c)}')" for c in _FULL_TYPES) + f""") v(column_name, source_dataset)
+    WHERE (SELECT count(*) > 0 FROM {_FULL_GOLD})""",
+    _FULL_GOLD,
 )
 def source_of_column(f):
-    audit = profile.missing_audit(funding_gold(f), SYMBOL)
+    audit = profile.missing_audit(full_gold(f), SYMBOL)
     names = audit.select("column_name").distinct()
     return names.withColumn("source_dataset", profile.source_of_column(F.col("column_name")))
 
@@ -325,20 +363,20 @@ def numeric_column_order(f):
     return counts.select(F.inline(F.array(*cells)))
 
 
-_TOTAL = " + ".join(f"(count(*) - count({c}))" for c in _GOLD_COLUMNS)
+_TOTAL = " + ".join(f"(count(*) - count({c}))" for c in _FULL_TYPES)
 
 
 @query(
     "missing_audit",
     " UNION ALL ".join(
         f"SELECT exchange, symbol, {_TOTAL} AS missing_total, '{c}' AS column_name, count(*) - count({c}) AS missing "
-        f"FROM {_FUNDING_GOLD} GROUP BY exchange, symbol"
-        for c in _GOLD_COLUMNS
+        f"FROM {_FULL_GOLD} GROUP BY exchange, symbol"
+        for c in _FULL_TYPES
     ),
-    _FUNDING_GOLD,
+    _FULL_GOLD,
 )
 def missing_audit(f):
-    return profile.missing_audit(funding_gold(f), SYMBOL)
+    return profile.missing_audit(full_gold(f), SYMBOL)
 
 
 @query(
@@ -372,17 +410,17 @@ def source_summary(f):
     " UNION ALL ".join(
         f"""SELECT exchange, symbol, '{c}' AS feature, count({c}) AS available, count(*) - count({c}) AS missing,
       round(CASE WHEN count({c}) > 0 THEN (count(*) - count({c})) * 100.0::DOUBLE / count({c}) ELSE 0 END, 9) AS missing_pct,
-      round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 9) AS missing_pct_total, round(avg({c}), 9) AS mean,
-      round(var_samp({c}), 9) AS var, round(stddev_samp({c}), 9) AS std_1, round(2 * stddev_samp({c}), 9) AS std_2,
-      round(3 * stddev_samp({c}), 9) AS std_3, min(CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END) AS first_timestamp
-    FROM {_FUNDING_GOLD} GROUP BY exchange, symbol"""
-        for c in _NUMERIC
+      round((count(*) - count({c})) * 100.0::DOUBLE / count(*), 9) AS missing_pct_total, {_digits_sql(f'avg({c})')} AS mean,
+      {_digits_sql(f'var_samp({c})')} AS var, {_digits_sql(f'stddev_samp({c})')} AS std_1, {_digits_sql(f'2 * stddev_samp({c})')} AS std_2,
+      {_digits_sql(f'3 * stddev_samp({c})')} AS std_3, min(CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END) AS first_timestamp
+    FROM {_FULL_GOLD} GROUP BY exchange, symbol"""
+        for c in _FULL_NUMERIC
     ),
-    _FUNDING_GOLD,
+    _FULL_GOLD,
 )
 def profile_stats(f):
-    stats = profile.profile_stats(funding_gold(f), SYMBOL, "timestamp_m1")
-    return rounded(stats, 9, "missing_pct", "missing_pct_total", "mean", "var", "std_1", "std_2", "std_3")
+    stats = profile.profile_stats(full_gold(f), SYMBOL, "timestamp_m1")
+    return _digits(rounded(stats, 9, "missing_pct", "missing_pct_total"), "mean", "var", "std_1", "std_2", "std_3")
 
 
 @query(
@@ -464,7 +502,10 @@ _SIGNATURE = (
       count(*) AS rows_out, strftime(min(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
       strftime(max(timestamp_m1), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp,
       CAST(floor((epoch_us(max(timestamp_m1)) - epoch_us(min(timestamp_m1))) / 60000000) AS BIGINT) + 1 AS expected_minutes_in_span,
-      {" + ".join(f"(count(*) - count({c}))" for c in _CORE_COLUMNS)} AS missing_value_count_total
+      {" + ".join(f"(count(*) - count({c}))" for c in _CORE_COLUMNS)} AS missing_value_count_total,
+      to_json({{{", ".join(f"'{c}': count(*) - count({c})" for c in _CORE_COLUMNS)}}})::VARCHAR AS missing_value_count_by_column,
+      to_json({{{_FACTS}}})::VARCHAR AS source_silver_datasets, to_json({_SIGNATURE})::VARCHAR AS contract,
+      TIMESTAMP '{_BUILT}' AS built_at, '{_BUILT.replace(" ", "T")}Z' AS build_date_utc, 'abcdef1234567890' AS git_commit_hash
       FROM gold_market_core_m1 g GROUP BY exchange, symbol)""",
     "gold_market_core_m1", "spot_s", "perp_s",
 )
@@ -472,8 +513,9 @@ def manifest_gold(f):
     raw = {n: f.silver(n) for n in ("spot", "perp")}
     merged = gold.gold_frame(raw, "gold.market.core.m1")
     rows = gold.gold_manifest(merged, raw, "gold.market.core.m1", _BUILT, "abcdef1234567890")
+    rows = rows.withColumn("contract", F.to_json(F.struct("contract.columns", "contract.join_policy", "contract.source_dataset_keys")))
     return rounded(rows, 9, "observed_row_coverage_ratio").select(
-        "dataset_id", "exchange", "symbol", "column_hash", "feature_set_hash", "source_data_hash", "hash_string", "build_id",
+        "missing_value_count_by_column", "source_silver_datasets", "contract", "built_at", "build_date_utc", "git_commit_hash", "dataset_id", "exchange", "symbol", "column_hash", "feature_set_hash", "source_data_hash", "hash_string", "build_id",
         "rows_out", "min_timestamp", "max_timestamp", "expected_minutes_in_span", "missing_minutes_in_span",
         "observed_row_coverage_ratio", "missing_value_count_total",
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelake.catalog import sql as S
 from tidelake.catalog.base import EXCHANGE, query, rounded
+from tidelake.catalog.gold import TRADE_SUMS
 from tidelake.catalog.silver import BAR_SUMS
 from tidelake.functions.symbols import canon_symbol
 from tidelake.functions.times import trunc_minute
@@ -341,7 +342,10 @@ def sink_bronze_funding(f):
 @query(
     "sink_bronze_trades",
     f"""SELECT 'option_trades' AS dataset_type, exchange, symbol, instrument_type, open_time AS event_time, source_endpoint,
-      open_time, close_time, timeframe, trade_id, price, quantity, side, is_maker, instrument_name, {_STAMP} FROM o_obs""",
+      open_time, close_time, timeframe, trade_id, price, quantity, side, is_maker, instrument_name,
+      CASE WHEN len(p) >= 4 THEN p[2] ELSE '' END AS expiry, CASE WHEN len(p) >= 4 THEN coalesce(TRY_CAST(p[3] AS DOUBLE), 0) ELSE 0 END AS strike,
+      CASE WHEN len(p) < 4 THEN 'unknown' WHEN upper(p[4]) = 'C' THEN 'call' WHEN upper(p[4]) = 'P' THEN 'put' ELSE 'unknown' END AS option_type,
+      {_STAMP} FROM (SELECT *, string_split(instrument_name, '-') AS p FROM o_obs)""",
     "o_obs",
 )
 def sink_bronze_trades(f):
@@ -352,7 +356,7 @@ def sink_bronze_trades(f):
     valid = quality.keep_valid(silver.type_trades(f.option_ticks()), {"invalid": quality.trade_invalid()})
     rows = keep_latest(valid, TRADE_KEY, ["ingested_at", "run_id"])
     sunk = _sunk(f, "option_trades", rows.withColumn("price", F.lit(1.0)), rows)
-    return sunk.drop("expiry", "strike", "option_type")
+    return sunk
 
 
 @query(
@@ -588,6 +592,30 @@ def manifest_silver(f):
     return manifests.manifest_silver(bars, "perp_trades_1m_feature", "timestamp_m1", clock).drop("feature_metadata")
 
 
+_SILVER_FACT_TYPES = {c: "string" for c in ("exchange", "symbol", "instrument_type")} | {"timestamp_m1": "timestamp"} | dict.fromkeys(("trade_count", "buy_trade_count", "sell_trade_count"), "bigint")
+
+
+def _silver_fact_sql(c: str) -> str:
+    kind = _SILVER_FACT_TYPES.get(c, "double")
+    stats = {"mean": f"avg({c})", "std": f"stddev_samp({c})", "min": f"min({c})::DOUBLE", "max": f"max({c})::DOUBLE"}
+    cells = [f"round({x}, 6) AS {n}" if kind in ("double", "bigint") else f"NULL::DOUBLE AS {n}" for n, x in stats.items()]
+    seen = f"CASE WHEN {c} IS NOT NULL THEN timestamp_m1 END"
+    return f"""SELECT exchange, symbol, strftime(timestamp_m1, '%Y-%m') AS month, '{c}' AS column_name, '{kind}' AS dtype,
+      count(*) - count({c}) AS null_count, count({c}) AS non_null_count, strftime(min({seen}), '%Y-%m-%dT%H:%M:%SZ') AS min_timestamp,
+      strftime(max({seen}), '%Y-%m-%dT%H:%M:%SZ') AS max_timestamp, {", ".join(cells)} FROM t_bars GROUP BY 1, 2, 3"""
+
+
+@query("manifest_silver_metadata", " UNION ALL ".join(_silver_fact_sql(c) for c in _BAR_COLUMNS), "t_bars")
+def manifest_silver_metadata(f):
+    """The facts per column that silver manifests carry, as rows."""
+    clock = F.lit("2024-02-01").cast("timestamp")
+    rows = manifests.manifest_silver(f.silver("perp_trades_1m_feature"), "perp_trades_1m_feature", "timestamp_m1", clock)
+    facts = "dtype string, null_count bigint, non_null_count bigint, min_timestamp string, max_timestamp string, mean double, std double, min double, max double"
+    parsed = F.from_json("feature_metadata", f"map<string, struct<{facts.replace(' ', ':').replace(',:', ',')}>>")
+    told = rows.select("exchange", "symbol", "month", F.explode(parsed).alias("column_name", "fact")).select("exchange", "symbol", "month", "column_name", "fact.*")
+    return rounded(told, 6, "mean", "std", "min", "max")
+
+
 # ---- landed payloads ------------------------------------------------------------------------------
 
 
@@ -870,3 +898,30 @@ def gold_build_all(f):
     for name in _WITHOUT_OPTIONS:
         lake.write_silver(f.silver(name), silver_root, name, "1m", times.get(name, "timestamp_m1"))
     return gold.build_all_gold(f.spark, silver_root, scratch_dir(f.spark, "gold"), _LANDED)
+
+
+# ---- gold with order-book rows --------------------------------------------------------------------
+
+_HYBRID = "gold.hybrid.full_l2.m1"
+
+
+@query(
+    "gold_hybrid_build",
+    f"""SELECT h.* REPLACE ({", ".join(f"round({c}, 6) AS {c}" for c in TRADE_SUMS)}), 'lenient' AS l2_validation_mode, found AS l2_invalid_rows_found,
+      CASE WHEN found > 0 THEN rows - good ELSE 0 END AS l2_invalid_rows_dropped, count(*) OVER (PARTITION BY exchange, symbol) AS rows_out
+    FROM hybrid_lenient h JOIN l2_found ON exchange = e_ AND symbol = s_""",
+    "hybrid_lenient",
+)
+def gold_hybrid_build(f):
+    """The build over silver tables and the newest order-book artifacts, as stored, next to what its manifest says."""
+    silver_root, l2_root, gold_root = (scratch_dir(f.spark, n) for n in ("silver", "l2", "gold"))
+    times = {"spot": "open_time", "perp": "open_time", "funding_1m_feature": "timestamp"}
+    for name in [*_WITHOUT_OPTIONS, "option_trades_1m_feature"]:
+        lake.write_silver(f.silver(name), silver_root, name, "1m", times.get(name, "timestamp_m1"))
+    for build, shift in (("older", 0.5), ("newer", 0.0)):
+        rows = f.l2().withColumns({"coverage_ratio": F.col("coverage_ratio") + shift, "version": F.lit("7"), "build_id": F.lit(build)})
+        rows.write.mode("append").partitionBy("exchange", "symbol", "version", "build_id").parquet(l2_root)
+    facts = gold.build_gold(f.spark, silver_root, gold_root, _HYBRID, _LANDED, l2_root=l2_root, l2_mode="lenient")
+    told = facts.select("exchange", "symbol", "l2_validation_mode", "l2_invalid_rows_found", "l2_invalid_rows_dropped", "rows_out")
+    stored = f.spark.read.parquet(f"{gold_root}/dataset_id={_HYBRID}").drop("feature_set_version")
+    return rounded(stored.join(told, ["exchange", "symbol"]), 6, *TRADE_SUMS)

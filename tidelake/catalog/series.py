@@ -114,15 +114,18 @@ S.CTES["fill_ranges"] = (
 )
 
 
+S.CTES["landed_gaps"] = (["landed"], _gaps_sql("landed", "symbol", MINUTE_MS, END))
+
+
 @query(
     "split_utc_days",
     """SELECT symbol, greatest(start_ms, epoch_ms(day)) AS start_ms, least(end_ms, epoch_ms(day) + 86399999) AS end_ms
     FROM (SELECT *, unnest(generate_series(date_trunc('day', make_timestamp(start_ms * 1000)),
-      date_trunc('day', make_timestamp(end_ms * 1000)), INTERVAL 1 DAY)) AS day FROM stored_gaps)""",
-    "stored_gaps",
+      date_trunc('day', make_timestamp(end_ms * 1000)), INTERVAL 1 DAY)) AS day FROM landed_gaps)""",
+    "landed_gaps",
 )
 def split_utc_days(f):
-    return gaps.split_utc_days(gaps.gap_ranges(stored(f), ["symbol"], "ms", MINUTE_MS, END))
+    return gaps.split_utc_days(gaps.gap_ranges(landed(f), ["symbol"], "ms", MINUTE_MS, END))
 
 
 @query(
@@ -261,22 +264,22 @@ def pending_partitions(f):
 _GLOBAL = _ms("2023-01-01 00:00:00")
 _ENTRY_TEXT = """CASE WHEN c_nationkey < 8 THEN ' Deribit:' || symbol || '=' ELSE lower(symbol) || '=' END
   || strftime(DATE '2024-01-01' + c_nationkey::INTEGER, '%Y-%m-%d')"""
-S.CTES["entries"] = (["configured"], f"SELECT c_custkey AS position, base, c_nationkey, symbol, {_ENTRY_TEXT} AS entry FROM configured WHERE c_acctbal > 2000")
-S.CTES["bounds"] = (
-    ["entries"],
-    """SELECT CASE WHEN c_nationkey < 8 THEN 'deribit' END AS exchange, base AS symbol,
-      epoch_ms((DATE '2024-01-01' + c_nationkey::INTEGER)::TIMESTAMP) AS start_ms FROM entries""",
-)
+# An entry for every customer; units find their bounds among those of wealthy customers only, so that some have none.
+S.CTES["entries"] = (["configured"], f"SELECT c_custkey AS position, base, c_nationkey, c_acctbal, symbol, {_ENTRY_TEXT} AS entry FROM configured")
+_BOUNDS = """SELECT CASE WHEN c_nationkey < 8 THEN 'deribit' END AS exchange, base AS symbol,
+      epoch_ms((DATE '2024-01-01' + c_nationkey::INTEGER)::TIMESTAMP) AS start_ms FROM entries"""
+S.CTES["all_bounds"] = (["entries"], _BOUNDS)
+S.CTES["bounds"] = (["entries"], f"{_BOUNDS} WHERE c_acctbal > 2000")
 
 
-def entries(f):
+def entries(f, some: str = "true"):
     day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("c_nationkey")), "yyyy-MM-dd")
     left = F.when(F.col("c_nationkey") < 8, F.concat(F.lit(" Deribit:"), "symbol")).otherwise(F.lower("symbol"))
-    rows = configured(f).where("c_acctbal > 2000")
+    rows = configured(f).where(some)
     return rows.select(F.col("c_custkey").alias("position"), F.concat(left, F.lit("="), day).alias("entry"))
 
 
-@query("parse_bound_entries", "SELECT * FROM bounds", "bounds")
+@query("parse_bound_entries", "SELECT * FROM all_bounds", "all_bounds")
 def parse_bound_entries(f):
     return planning.parse_bounds(entries(f), "entry", "position")
 
@@ -290,7 +293,7 @@ def parse_bound_entries(f):
     "units", "bounds",
 )
 def resolve_start_bound(f):
-    return planning.resolve_start_bound(units(f), planning.parse_bounds(entries(f), "entry", "position"), _GLOBAL)
+    return planning.resolve_start_bound(units(f), planning.parse_bounds(entries(f, "c_acctbal > 2000"), "entry", "position"), _GLOBAL)
 
 
 RUN_DATE = date(2024, 2, 14)

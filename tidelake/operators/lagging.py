@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelake.operators.small import join_small, settle
+
 HOUR = "_hour"
 
 
@@ -31,8 +33,11 @@ def with_previous(df: DataFrame, series: list[str], time: str, value: str, out:
 
 
 def with_row_index(df: DataFrame, series: list[str], time: str, index: str, total: str) -> DataFrame:
-    """Add the zero-based position of each row in its series, by time, and the series length."""
-    hourly = df.withColumn(HOUR, _hour(time))
+    """Add the zero-based position of each row in its series, by time, and the series length.
+
+    The input is written once: it is a join as a rule, which would run for both the rows and the offsets.
+    """
+    hourly = settle(df, "series").withColumn(HOUR, _hour(time))
     in_hour = Window.partitionBy(*series, HOUR).orderBy(time)
     counts = hourly.groupBy(*series, HOUR).agg(F.count(F.lit(1)).alias("_n"))
     by_series = Window.partitionBy(*series)
@@ -44,8 +49,7 @@ def with_row_index(df: DataFrame, series: list[str], time: str, index: str, tota
         F.sum("_n").over(by_series).alias(total),
     )
     return (
-        hourly.withColumn("_nth", F.row_number().over(in_hour))
-        .join(offsets, [*series, HOUR])
+        join_small(hourly.withColumn("_nth", F.row_number().over(in_hour)), offsets, [*series, HOUR], "inner")
         .withColumn(index, F.col("_offset") + F.col("_nth") - 1)
         .select(*df.columns, index, total)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,10 +44,6 @@ def numeric_column_order(df: DataFrame) -> dict[str, int]:
     return {name: i for i, name in enumerate(numeric_columns(df))}
 
 
-def _long(wide: DataFrame, by: list[str], cells: list[Column]) -> DataFrame:
-    return wide.select(*by, F.inline(F.array(*cells)))
-
-
 def metadata_parts(df: DataFrame, time: str) -> tuple[list[Column], dict[str, Column]]:
     """Aggregates over ``df`` and, per column, what they say of it: type, null counts, source, time range, statistics.
 
@@ -84,23 +80,60 @@ def metadata_json(cells: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*[cell.dropFields("column_name").alias(name) for name, cell in cells.items()]), {"ignoreNullFields": "false"})
 
 
+def _by_column(df: DataFrame, by: list[str], time: str | None, names: list[str]) -> DataFrame:
+    """A row per row and column: group, time ``_t``, column number ``_c`` and value ``_v`` as double.
+
+    What is no number is 0.0 where it is present. Wide tables are counted this way, column after column: the aggregate over
+    these rows has a handful of buffers however many columns there are, so it stays in generated code and is reduced in the
+    map tasks.
+    """
+    numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
+    values = [
+        (F.col(c).cast("double") if c in numeric else F.when(F.col(c).isNotNull(), F.lit(0.0))).alias(str(i)) for i, c in enumerate(names)
+    ]
+    keys = [F.col(b).alias(f"_by_{b}") for b in by]
+    clock = F.lit(None).cast("timestamp") if time is None else F.col(time)
+    long = df.select(*keys, clock.alias("_t"), *values).unpivot([*[f"_by_{b}" for b in by], "_t"], [str(i) for i in range(len(names))], "_c", "_v")
+    return long.withColumn("_c", F.col("_c").cast("int"))
+
+
+def _column_counts(df: DataFrame, by: list[str], time: str | None, names: list[str], *aggs: Column) -> DataFrame:
+    long = _by_column(df, by, time, names)
+    return long.groupBy(*[F.col(f"_by_{b}").alias(b) for b in by], "_c").agg(F.count(F.lit(1)).alias("_rows"), F.count("_v").alias("_n"), *aggs)
+
+
+def _told(column: Column, values: list) -> Column:
+    """What a list says of the column of that number."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), column + 1)
+
+
 def feature_metadata(df: DataFrame, by: list[str], time: str) -> DataFrame:
     """One row per group and column: type, null counts, source, time range, and statistics of numeric columns."""
-    aggs, cells = metadata_parts(df, time)
-    wide = df.groupBy(*[F.col(b).alias(f"_by_{b}") for b in by]).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    return wide.select(*[F.col(f"_by_{b}").alias(b) for b in by], F.inline(F.array(*cells.values())))
+    present = F.when(F.col("_v").isNotNull(), F.col("_t"))
+    stats = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    counts = _column_counts(
+        df, by, time, df.columns, F.min(present).alias("_a"), F.max(present).alias("_z"), *[fn("_v").alias(f"_{name}") for name, fn in stats.items()]
+    )
+    c = F.col("_c")
+    numeric = _told(c, [isinstance(f.dataType, T.NumericType) for f in df.schema])
+    return counts.select(
+        *by,
+        _told(c, df.columns).alias("column_name"),
+        _told(c, [f.dataType.simpleString() for f in df.schema]).alias("dtype"),
+        (F.col("_rows") - F.col("_n")).alias("null_count"),
+        F.col("_n").alias("non_null_count"),
+        source_of_column(_told(c, df.columns)).alias("source_dataset"),
+        iso_utc(F.col("_a")).alias("min_timestamp"),
+        iso_utc(F.col("_z")).alias("max_timestamp"),
+        *[F.when(numeric, F.col(f"_{name}")).alias(name) for name in stats],
+    )
 
 
 def missing_audit(df: DataFrame, by: list[str]) -> DataFrame:
     """Nulls per group and column, with the group's total."""
-    wide = df.groupBy(*[F.col(b).alias(f"_by_{b}") for b in by]).agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(df.columns)]
-    )
-    total = sum((F.col(f"_{i}") for i in range(1, len(df.columns))), F.col("_0"))
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("missing")) for i, c in enumerate(df.columns)
-    ]
-    return wide.select(*[F.col(f"_by_{b}").alias(b) for b in by], total.alias("missing_total"), F.inline(F.array(*cells)))
+    counts = _column_counts(df, by, None, df.columns).withColumn("missing", F.col("_rows") - F.col("_n"))
+    total = F.sum("missing").over(Window.partitionBy(*by))
+    return counts.select(*by, total.alias("missing_total"), _told(F.col("_c"), df.columns).alias("column_name"), "missing")
 
 
 def span_coverage(df: DataFrame, by: list[str], time: str) -> DataFrame:
@@ -135,32 +168,24 @@ def profile_stats(df: DataFrame, by: list[str], time: str) -> DataFrame:
 
     ``missing_pct`` is taken of the available rows, ``missing_pct_total`` of all rows.
     """
-    aggs, cells = [], []
-    for i, name in enumerate(numeric_columns(df)):
-        c = F.col(name)
-        aggs += [
-            F.count(c).alias(f"_n{i}"),
-            F.avg(c).alias(f"_m{i}"),
-            F.var_samp(c).alias(f"_v{i}"),
-            F.min(F.when(c.isNotNull(), F.col(time))).alias(f"_t{i}"),
-        ]
-        n, missing, sigma = F.col(f"_n{i}"), F.col("_rows") - F.col(f"_n{i}"), F.sqrt(f"_v{i}")
-        cells.append(
-            F.struct(
-                F.lit(name).alias("feature"),
-                n.alias("available"),
-                missing.alias("missing"),
-                F.when(n > 0, missing * 100.0 / n).otherwise(F.lit(0.0)).alias("missing_pct"),
-                (missing * 100.0 / F.col("_rows")).alias("missing_pct_total"),
-                F.col(f"_m{i}").alias("mean"),
-                F.col(f"_v{i}").alias("var"),
-                sigma.alias("std_1"),
-                (sigma * 2.0).alias("std_2"),
-                (sigma * 3.0).alias("std_3"),
-                F.col(f"_t{i}").alias("first_timestamp"),
-            )
-        )
-    return _long(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *aggs), by, cells)
+    names = numeric_columns(df)
+    first = F.min(F.when(F.col("_v").isNotNull(), F.col("_t")))
+    counts = _column_counts(df, by, time, names, F.avg("_v").alias("mean"), F.var_samp("_v").alias("var"), first.alias("first_timestamp"))
+    n, missing, sigma = F.col("_n"), F.col("_rows") - F.col("_n"), F.sqrt("var")
+    return counts.select(
+        *by,
+        _told(F.col("_c"), names).alias("feature"),
+        n.alias("available"),
+        missing.alias("missing"),
+        F.when(n > 0, missing * 100.0 / n).otherwise(F.lit(0.0)).alias("missing_pct"),
+        (missing * 100.0 / F.col("_rows")).alias("missing_pct_total"),
+        "mean",
+        "var",
+        sigma.alias("std_1"),
+        (sigma * 2.0).alias("std_2"),
+        (sigma * 3.0).alias("std_3"),
+        "first_timestamp",
+    )
 
 
 def _ranges(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:

@@ -15,9 +15,9 @@ from tidelake.operators import governance, quality
 from tidelake.operators.grid import grid_left_join, input_bounds, joint_span, minute_grid
 from tidelake.operators.profile import metadata_json, metadata_parts, span_coverage
 from tidelake.operators.small import join_small, settle
-from tidelake.schemas import BAR_COLUMNS, GOLD_INPUTS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
+from tidelake.schemas import BAR_COLUMNS, GOLD_INPUTS, GOLD_KEY, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
 from tidelake.sources.lake import latest_artifact, list_artifacts, read_latest_artifacts, read_silver, silver_symbols, write_gold
-from tidelake.sources.manifests import read_manifests, with_contract, write_manifests
+from tidelake.sources.manifests import append_manifests, read_manifests, with_contract
 
 BIGINT_BARS = {"trade_count", "buy_trade_count", "sell_trade_count"}
 
@@ -143,18 +143,18 @@ def build_availability(symbols: DataFrame, dataset_ids: list[str], with_book: bo
 # ---- the joined table -----------------------------------------------------------------------------
 
 
-def family_grid(prepared: dict[str, DataFrame]) -> DataFrame:
-    """Minute grid of the symbols that every input has.
+def family_spans(prepared: dict[str, DataFrame]) -> DataFrame:
+    """First and last minute of the symbols that every input has.
 
     The spans (one row per symbol) are settled, so that the inputs' bounds are taken once, and so that the optimizer
     does not copy the bounds plan into the scan of every joined input as a pruning filter.
     """
-    return minute_grid(settle(joint_span(input_bounds(prepared), len(prepared)), "spans"))
+    return settle(joint_span(input_bounds(prepared), len(prepared)), "spans")
 
 
 def merge_families(prepared: dict[str, DataFrame]) -> DataFrame:
     """All inputs on the dense minute grid of the symbols that every input has."""
-    return grid_left_join(family_grid(prepared), prepared)
+    return grid_left_join(minute_grid(family_spans(prepared)), prepared)
 
 
 def require_one_row_per_minute(merged: DataFrame) -> None:
@@ -165,9 +165,22 @@ def require_one_row_per_minute(merged: DataFrame) -> None:
         raise ValueError(f"an input has more than one row per minute for {[r.symbol for r in crowded]}")
 
 
-def l2_counts(grid: DataFrame, prepared: dict[str, DataFrame]) -> DataFrame:
-    """Order-book check counts per symbol, from the grid and the order-book rows alone."""
-    return quality.l2_audit(grid_left_join(grid, {L2_INPUT: prepared[L2_INPUT]}))
+def l2_counts(spans: DataFrame, book: DataFrame) -> DataFrame:
+    """Order-book check counts per symbol of the joined table, without joining it: the minutes of the span are known, and
+    those without an order-book row are the ones that no row inside the span stands for."""
+    bad = quality.l2_invalid(book.columns)
+    minutes = book.groupBy(*GOLD_KEY).agg(F.count(F.lit(1)).alias("_rows"), F.count_if(bad).alias("_bad"), F.count_if(~bad).alias("_good"))
+    since = F.expr("unix_micros(timestamp_m1) - unix_micros(first_minute)")
+    inside = (F.col("timestamp_m1") <= F.col("last_minute")) & (since >= 0) & (since % 60_000_000 == 0)
+    met = F.when(inside, F.struct("_rows", "_bad", "_good"))
+    joined = spans.select(*GOLD_KEY[1:], "first_minute", "last_minute").join(minutes, GOLD_KEY[1:], "left").select("*", met.alias("_met"))
+    length = F.expr("(unix_micros(first(last_minute)) - unix_micros(first(first_minute))) div 60000000") + 1
+    counts = joined.groupBy(*GOLD_KEY[1:]).agg(
+        length.alias("_minutes"), F.count("_met").alias("_held"), *[F.coalesce(F.sum(f"_met.{c}"), F.lit(0)).alias(c) for c in ("_rows", "_bad", "_good")]
+    )
+    total = F.col("_minutes") - F.col("_held") + F.col("_rows")
+    dropped = F.when(F.col("_bad") > 0, total - F.col("_good")).otherwise(F.lit(0))
+    return counts.select(*GOLD_KEY[1:], F.col("_bad").alias("l2_invalid_rows_found"), dropped.alias("l2_invalid_rows_dropped"))
 
 
 def check_l2(merged: DataFrame, audit: DataFrame, mode: str) -> DataFrame:
@@ -188,9 +201,9 @@ def gold_frame(raw: dict[str, DataFrame], dataset_id: str, l2_mode: str = "stric
     """The gold table of a dataset id from its silver inputs (and ``gold_l2_m1`` where it takes order-book rows)."""
     names = gold_inputs(dataset_id) + ([L2_INPUT] if dataset_id in GOLD_WITH_L2 else [])
     prepared = {n: prepare(n, raw[n]) for n in names}
-    grid = family_grid(prepared)
-    merged = grid_left_join(grid, prepared)
-    return check_l2(merged, l2_counts(grid, prepared), l2_mode) if dataset_id in GOLD_WITH_L2 else merged
+    spans = family_spans(prepared)
+    merged = grid_left_join(minute_grid(spans), prepared)
+    return check_l2(merged, l2_counts(spans, prepared[L2_INPUT]), l2_mode) if dataset_id in GOLD_WITH_L2 else merged
 
 
 # ---- manifest -------------------------------------------------------------------------------------
@@ -343,8 +356,13 @@ def build_gold(
         counts = settle(quality.l2_audit(merged), "order-book-counts")
         merged = check_l2(merged, counts, l2_mode)
     manifest = gold_manifest(merged, raw, dataset_id, built_at, code_version)
-    if counts is not None:
-        manifest = manifest.join(counts, ["exchange", "symbol"], "left")
+    if counts is None:
+        blank = {"l2_validation_mode": "string", "l2_invalid_rows_found": "bigint", "l2_invalid_rows_dropped": "bigint"}
+        manifest = manifest.withColumns({c: F.lit(None).cast(kind) for c, kind in blank.items()})
+    else:
+        # A build over all datasets leaves out single symbols in strict mode; what it checks is the strict rule.
+        mode = F.lit("strict" if l2_mode == "skip" else l2_mode)
+        manifest = manifest.join(counts, ["exchange", "symbol"], "left").withColumn("l2_validation_mode", mode)
     manifest_root = f"{gold_root}/_manifests"
     if version is not None:
         governance.parse_version(version)
@@ -366,7 +384,8 @@ def build_gold(
     versions = manifest.select("exchange", "symbol", F.col("dataset_version").alias("_version"))
     labelled = join_small(merged, versions, ["exchange", "symbol"]).withColumnRenamed("_version", "feature_set_version")
     write_gold(labelled, gold_root, dataset_id, F.col("feature_set_version"))
-    write_manifests(manifest, manifest_root)
+    # A build that is run again finds its rows there: one per artifact, build and clock.
+    append_manifests(manifest, manifest_root, ["dataset_id", "exchange", "symbol", "build_id", "build_date_utc"])
     return manifest
 
 

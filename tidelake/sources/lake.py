@@ -506,21 +506,41 @@ def latest_artifact(files: DataFrame) -> DataFrame:
     return nested_only.unionByName(flat_only.select(*newest.columns))
 
 
-def read_latest_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of the newest order-book artifact of every symbol (one path per symbol is looked up on the driver).
+def read_latest_artifacts(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of the newest order-book artifact of every symbol; version and build id are left out.
 
-    Exchange and symbol come from the folder names where there are any; version and build id are left out.
+    Which artifacts these are is a table that is joined with the folder levels, so the planner prunes older builds without a
+    path list on the driver. ``schema`` names the columns of the files; without it all footers are merged, as builds may have
+    columns of their own. Exchange and symbol come from the folder names where there are any.
     """
     files = list_artifacts(spark, root)
-    chosen = [] if files is None else list(latest_artifact(files).select("path", "exchange").toLocalIterator())
-    nested = [r.path for r in chosen if r.exchange is not None]
-    flat = [r.path for r in chosen if r.exchange is None]
-    reader = spark.read.option("mergeSchema", "true")
-    frames = []
-    if nested:
-        frames.append(reader.option("basePath", root).parquet(*nested).drop("dataset_id", "version", "build_id"))
-    if flat:
-        frames.append(spark.read.option("mergeSchema", "true").parquet(*flat))
+    if files is None:
+        raise ValueError(f"no order-book files under {root}")
+    chosen = settle(latest_artifact(files), "newest-artifacts")
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+    kinds = {r.nested for r in chosen.select(F.col("exchange").isNotNull().alias("nested")).distinct().collect()}
+    frames, levels = [], ["exchange", "symbol", "version", "build_id"]
+    if True in kinds:
+        named = chosen.where("exchange > ''").select(
+            F.regexp_extract("path", r"^(.*?)/exchange=", 1).alias("_base"), *[F.regexp_extract("path", f"/{c}=([^/]+)", 1).alias(c) for c in levels]
+        )
+        for place in sorted(r[0] for r in named.select("_base").distinct().collect()):  # the root, or the dataset's folder in it
+            stored = reader.option("basePath", place).parquet("/".join([place, *[f"{c}=*" for c in levels]]))
+            kept = [c for c in stored.columns if c not in ("dataset_id", "version", "build_id")]
+            frames.append(stored.join(named.where(F.col("_base") == place), levels, "left_semi").select(*kept))
+    if False in kinds:
+        flat = spark.read.option("pathGlobFilter", "*_L2_*.parquet").option("recursiveFileLookup", "true")
+        flat = flat.schema(schema) if schema is not None else flat.option("mergeSchema", "true")
+        place = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        paths = chosen.where("exchange IS NULL").select(_plain("path").alias("_path"))
+        rows = flat.parquet(root)
+        frames.append(rows.withColumn("_path", _plain(place)).join(paths, "_path", "left_semi").select(*rows.columns))
     if not frames:
         raise ValueError(f"no order-book files under {root}")
     return union_relaxed(*frames)
+
+
+def _plain(path: Column | str) -> Column:
+    """A path with a single slash after its scheme, however it was written."""
+    return F.regexp_replace(path, r"^([A-Za-z0-9]+):/+", "$1:/")
