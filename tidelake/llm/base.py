@@ -8,13 +8,14 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.operators.small import settle
 from tidelake.session import scratch_dir
 
-__all__ = ["crc_split", "fresh", "process_value", "scratch_dir", "settle", "ship", "text_bytes", "word_bytes"]
+__all__ = ["crc_split", "fresh", "others", "process_value", "scratch_dir", "settle", "ship", "spans", "text_bytes", "word_bytes"]
 
 _PROCESS: dict = {}
 _SHIPPED: set[str] = set()
@@ -73,6 +74,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def others(df: DataFrame, names: list[str]) -> list[str]:
+    """Columns of ``df`` not called as one of ``names`` in any case, which Spark could not tell apart."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
 def word_bytes(text: bytes | None) -> list[bytes]:
     """Words of digits, ASCII letters (lower-cased) and bytes beyond ASCII."""
     return text.translate(WORD_TABLE).split() if text else []
@@ -81,3 +88,8 @@ def word_bytes(text: bytes | None) -> list[bytes]:
 def crc_split(column: Column, parts: int, held: int) -> Column:
     """Whether crc32 of the value as text leaves the remainder ``held``; a null value counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % parts == held
+
+
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places start, start + 1, ... of each span, one span after the other."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)

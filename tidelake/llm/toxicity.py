@@ -1,9 +1,9 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in a block-max inverted index.
 
-The examples are a bounded sample of labelled documents over the terms whose presence depends on the label. A query looks
-at blocks of examples from the highest possible cosine down and stops where no example can reach its k-th neighbour, so
-the neighbours are those of a full comparison. Their votes, weighted by similarity, become a probability on the examples'
-own leave-one-out votes.
+The examples are a bounded sample of labelled documents, over all their terms; terms that go with the label weigh more, and
+none weighs nothing. A query looks at the blocks of examples with the highest possible cosine first and then at all others
+that could still hold one of its k nearest, so the neighbours are those of a full comparison. Their votes, weighted by
+similarity, become a probability on the examples' own leave-one-out votes.
 """
 
 from __future__ import annotations
@@ -20,9 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import process_value, settle, text_bytes, word_bytes
+from tidelake.llm.base import fresh, others, process_value, settle, spans, text_bytes, word_bytes
 
 BLOCK = 32
+#: Blocks that are looked at before the rest is judged by their bounds.
+FIRST_BLOCKS = 12
+#: A term that one of so many examples holds is kept as a row of weights.
+FREQUENT = 16
 NEIGHBOURS = 15
 #: Votes of the whole sample's share that each document starts with, in units of one neighbour with cosine 1.
 PRIOR = 0.25
@@ -32,6 +36,10 @@ PRIOR = 0.25
 BEGINNINGS = (5, 7)
 #: A term that makes up one of so many words at least, and comes twice, also counts as a term of its own.
 DENSITIES = (256, 64)
+#: What a term weighs that does not go with the label, against 1 of one that surely does.
+LEAST_WEIGHT = 0.02
+#: Likelihood-ratio statistic from which, and to which, the weight of a term grows.
+SURE = (10.0, 40.0)
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -60,62 +68,133 @@ def bag_of(text: bytes | None) -> dict[bytes, int]:
     return add_dense(counts, len(words))
 
 
+def counted(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers, rising, and their counts."""
+    terms, n = np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
+    order = np.argsort(terms)
+    return terms[order], n[order]
+
+
 class KnownTerms(dict):
-    """The terms of a word that an index knows, or knows in dense form; for words met so far, up to a bound."""
+    """Numbers of the terms of a word that an index knows, and whether it knows the word's beginnings; up to a bound of words."""
 
     def __init__(self, terms: dict[bytes, int]):
-        self.wanted = {t.partition(b"@")[0] for t in terms}
+        self.terms = terms
+        self.dense = {t.partition(b"@")[0] for t in terms if b"@" in t}
 
-    def __missing__(self, word: bytes) -> tuple[bytes, ...]:
-        if len(self) > 300_000:
+    def __missing__(self, word: bytes) -> tuple[list[int], list[bytes]]:
+        if len(self) > 200_000:
             self.clear()
-        self[word] = found = tuple(t for t in terms_of(word) if t in self.wanted)
+        mine = terms_of(word)
+        self[word] = found = [self.terms[t] for t in mine if t in self.terms], [t for t in mine if t in self.dense]
         return found
 
+    def counts(self, text: bytes | None) -> dict[int, int]:
+        """:func:`bag_of` by number, for the terms that the index knows."""
+        words = words_of(text)
+        out: dict[int, int] = {}
+        dense: dict[bytes, int] = {}
+        for word, n in Counter(words).items():
+            numbers, marked = self[word]
+            for t in numbers:
+                out[t] = out.get(t, 0) + n
+            for t in marked:
+                dense[t] = dense.get(t, 0) + n
+        for t, n in dense.items():
+            if n > 1:
+                for d in DENSITIES:
+                    number = self.terms.get(b"%b@%d" % (t, d))
+                    if number is not None and n * d >= len(words):
+                        out[number] = 1
+        return out
+
 
 @dataclass
 class ExampleIndex:
-    """Unit vectors of the examples, by block and term: postings and the largest weight of each term in each block."""
+    """Unit vectors of the examples, by term and block: postings, and the largest weight of each term in each of its blocks.
+
+    The entries of term t are ``entry[t]`` to ``entry[t + 1]``; an entry names a block, its largest weight, and where the
+    postings of the term in this block begin. A term that one of :data:`FREQUENT` examples holds has, in place of postings, a
+    row of ``dense`` with its weight in every example, so that such terms are summed for many queries by one product. All of it
+    grows with the examples, whose number is bounded.
+    """
 
     terms: dict[bytes, int]
-    idf: np.ndarray
+    scale: np.ndarray
     label: np.ndarray
-    ids: np.ndarray
-    starts: np.ndarray
+    ids: list
+    entry: np.ndarray
+    block: np.ndarray
+    largest: np.ndarray
+    posting: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    block_max: np.ndarray
+    row: np.ndarray
+    dense: np.ndarray
     base: float = 0.0
     steps: np.ndarray | None = None
     levels: np.ndarray | None = None
 
-    @property
-    def n_blocks(self) -> int:
-        return self.block_max.shape[1]
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and unit-length weights (1 + ln tf) * idf of a text, in term order."""
-        terms = np.array(sorted(counts), np.int64)
-        weight = (1 + np.log(np.array([counts[t] for t in terms.tolist()], np.float64))) * self.idf[terms]
+    def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Weights (1 + ln tf) * idf * weight of a text's terms, of length 1."""
+        weight = (1 + np.log(counts)) * self.scale[terms]
         norm = math.sqrt(float(weight @ weight))
-        return terms, weight / norm if norm else weight
+        return weight / norm if norm else weight
 
     def nearest(self, counts: dict[int, int], k: int, leave: int = -1) -> list[tuple[float, int]]:
         """The ``k`` examples of highest cosine above 0, ties to the smaller number, as (cosine, example)."""
-        terms, weight = self.vector(counts)
-        bound = weight @ self.block_max[terms] if len(terms) else np.zeros(self.n_blocks)
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            # Rounding differs between bound and sum, so stop a hair later.
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1][0] - 1e-9:
-                break
-            cosine = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weight.tolist()):
-                a, b = self.starts[t, block], self.starts[t, block + 1]
-                cosine[self.example[a:b] - block * BLOCK] += w * self.weight[a:b]
-            hits = [(float(cosine[i]), block * BLOCK + i) for i in np.flatnonzero(cosine).tolist() if block * BLOCK + i != leave]
-            best = sorted(best + hits, key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        return self.nearest_of([counted(counts)], k, [leave])[0]
+
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """:meth:`nearest` of many queries; example ``leave[i]`` is passed over for query i."""
+        out = []
+        for at in range(0, len(queries), 64):
+            vectors = [(terms, self.unit(terms, counts)) for terms, counts in queries[at : at + 64]]
+            asked = np.zeros((len(vectors), len(self.dense)))
+            for i, (terms, weight) in enumerate(vectors):
+                row = self.row[terms]
+                asked[i, row[row >= 0]] = weight[row >= 0]
+            for i, (frequent, (terms, weight)) in enumerate(zip(asked @ self.dense, vectors)):
+                out.append(self._search(frequent, terms, weight, k, -1 if leave is None else leave[at + i]))
+        return out
+
+    def _search(self, cosine: np.ndarray, terms: np.ndarray, weight: np.ndarray, k: int, leave: int) -> list[tuple[float, int]]:
+        """``cosine`` holds the frequent terms' share; blocks that cannot reach the k-th highest keep it and are never looked at."""
+        n = len(cosine)
+        if not n:
+            return []
+        if leave >= 0:
+            cosine[leave] = 0
+        size = self.entry[terms + 1] - self.entry[terms]
+        entries, weight = spans(self.entry[terms], size), np.repeat(weight, size)
+        block = self.block[entries]
+        blocks = -(-n // BLOCK)
+        bound = np.maximum.reduceat(cosine, np.arange(0, n, BLOCK)) + np.bincount(block, weights=weight * self.largest[entries], minlength=blocks)
+        whole = np.zeros(n, bool)
+
+        def look(chosen: np.ndarray) -> float:
+            """Complete the cosines of the chosen blocks; returns the k-th highest so far."""
+            mine = chosen[block]
+            at = entries[mine]
+            held = self.posting[at + 1] - self.posting[at]
+            place = spans(self.posting[at], held)
+            cosine[:] += np.bincount(self.example[place], weights=np.repeat(weight[mine], held) * self.weight[place], minlength=n)
+            whole[:] |= np.repeat(chosen, BLOCK)[:n]
+            if leave >= 0:
+                cosine[leave] = 0
+            done = cosine[whole]
+            return np.partition(done, -k)[-k] if len(done) > k else 0.0
+
+        first = np.zeros(blocks, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]] = True
+        reached = look(first)
+        # Rounding differs between bound and sum, so look at what comes within a hair.
+        rest = ~first & (bound > 0) & (bound >= reached - 1e-9)
+        if rest.any():
+            reached = look(rest)
+        found = np.flatnonzero(whole & (cosine > 0) & (cosine >= reached))
+        order = found[np.lexsort((found, -cosine[found]))][:k]
+        return list(zip(cosine[order].tolist(), order.tolist()))
 
     def vote(self, neighbours: list[tuple[float, int]]) -> float:
         """Share of label 1 among the neighbours, each weighted by its squared cosine, with the prior's share."""
@@ -147,60 +226,80 @@ def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grid, 0.999 * smooth + 0.001 * grid
 
 
-def build_index(
-    ids: list[int], label: list[int], bags: list[dict[bytes, int]], terms: list[bytes], total: int | None = None, base: float | None = None
-) -> ExampleIndex:
-    """The index over examples given as term counts; idf is ln((n + 1) / (df + 1/2)) over ``total`` examples.
+def label_weight(n: np.ndarray, hits: np.ndarray, total: int, positive: int) -> np.ndarray:
+    """Weight of terms that ``n`` examples hold, ``hits`` of them with label 1: by how surely label 1 makes them frequent.
 
-    ``base`` is the share of label 1 that texts without neighbours get. Calibration is leave-one-out over the examples.
+    The likelihood-ratio statistic (G) of presence and label, between :data:`SURE`, becomes a weight from :data:`LEAST_WEIGHT` to 1.
+    """
+
+    def cell(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
+
+    p = positive / max(total, 1)
+    g = 2 * (cell(hits, n * p) + cell(n - hits, n * (1 - p)) + cell(positive - hits, (total - n) * p) + cell(total - positive - n + hits, (total - n) * (1 - p)))
+    sure = np.clip((g - SURE[0]) / (SURE[1] - SURE[0]), 0, 1) * (hits * total > n * positive)
+    return LEAST_WEIGHT + (1 - LEAST_WEIGHT) * sure
 
-    Examples are put in the order of their most frequent rare term, so that blocks hold similar ones and bounds are tight.
+
+def build_index(ids: list, label: list[int], bags: list[dict[bytes, int]], base: float | None = None) -> ExampleIndex:
+    """The index over examples given as term counts. idf is ln((n + 1) / (df + 1/2)), at least 0, over all examples.
+
+    Every term of every example takes part. ``base`` is the share of label 1 that texts without neighbours get. Calibration is
+    leave-one-out over the examples. Examples are put in the order of their heaviest term, so that blocks hold similar ones
+    and bounds are tight.
     """
-    number = {t: i for i, t in enumerate(terms)}
-    counted = [{number[t]: n for t, n in bag.items() if t in number} for bag in bags]
-    df = Counter(t for bag in counted for t in bag)
-    total = len(bags) if total is None else total
-    idf = np.log((total + 1) / (np.array([df[i] for i in range(len(terms))], np.float64) + 0.5)) if terms else np.zeros(0)
-    idf = np.maximum(idf, 0.0)
-    order = sorted(range(len(bags)), key=lambda i: (min(((-n * idf[t], t) for t, n in counted[i].items()), default=(1.0, 0))[1], ids[i]))
-    n_blocks = max(1, -(-len(bags) // BLOCK))
+    number: dict[bytes, int] = {}
+    size = np.array([len(b) for b in bags], np.int64)
+    term = np.fromiter((number.setdefault(t, len(number)) for bag in bags for t in bag), np.int64, int(size.sum()))
+    count = np.fromiter((n for bag in bags for n in bag.values()), np.float64, len(term))
+    owner = np.repeat(np.arange(len(bags)), size)
+    labels = np.array(label, np.float64)
+    df = np.bincount(term, minlength=len(number)).astype(np.float64)
+    hits = np.bincount(term, weights=labels[owner], minlength=len(number))
+    idf = np.maximum(np.log((len(bags) + 1) / (df + 0.5)), 0.0)
+    scale = idf * label_weight(df, hits, len(bags), int(labels.sum()))
+    weight = (1 + np.log(count)) * scale[term]
+    norm = np.sqrt(np.bincount(owner, weights=weight * weight, minlength=len(bags)))
+    weight /= np.where(norm > 0, norm, 1)[owner]
+    heaviest = np.full(len(bags), -1, np.int64)
+    by_weight = np.lexsort((term, weight, owner))
+    heaviest[owner[by_weight]] = term[by_weight]  # the last of each example stays
+    place = np.empty(len(bags), np.int64)
+    order = np.lexsort((np.arange(len(bags)), heaviest))
+    place[order] = np.arange(len(bags))
+    example = place[owner]
+    by_term = np.lexsort((example, term))
+    term, example, weight = term[by_term], example[by_term], weight[by_term]
+    row = np.full(len(number), -1, np.int64)
+    frequent = np.flatnonzero(df * FREQUENT >= max(len(bags), FREQUENT))
+    row[frequent] = np.arange(len(frequent))
+    common = row[term] >= 0
+    dense = np.zeros((len(frequent), len(bags)))
+    dense[row[term[common]], example[common]] = weight[common]
+    term, example, weight = term[~common], example[~common], weight[~common]
+    key = term * (len(bags) // BLOCK + 1) + example // BLOCK
+    start = np.flatnonzero(np.diff(key, prepend=-1))
+    largest = np.maximum.reduceat(weight, start) if len(start) else np.zeros(0)
+    entry = np.concatenate([[0], np.cumsum(np.bincount(term[start], minlength=len(number)))])
     index = ExampleIndex(
-        number, idf, np.array([label[i] for i in order], np.float64), np.array([ids[i] for i in order], np.int64),
-        np.zeros((len(terms), n_blocks + 1), np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((len(terms), n_blocks)),
+        number, scale, labels[order], [ids[i] for i in order.tolist()], entry, (example[start] // BLOCK).astype(np.int32), largest,
+        np.append(start, len(term)), example.astype(np.int32), weight, row, dense,
     )
-    entries = []
-    for place, i in enumerate(order):
-        terms_, weight = index.vector(counted[i]) if counted[i] else ((), ())
-        entries += [(t, place, w) for t, w in zip(terms_, weight)]
-    entries.sort()
-    index.example = np.array([e for _, e, _ in entries], np.int64)
-    index.weight = np.array([w for _, _, w in entries], np.float64)
-    at = np.array([t for t, _, _ in entries], np.int64)
-    if len(entries):
-        np.maximum.at(index.block_max, (at, index.example // BLOCK), index.weight)
-        slots = at * n_blocks + index.example // BLOCK
-        ends = np.cumsum(np.bincount(slots, minlength=len(terms) * n_blocks)).reshape(len(terms), n_blocks)
-        index.starts[:, 1:] = ends
-        index.starts[1:, 0] = ends[:-1, -1]
-    index.base = base if base is not None else float(index.label.mean()) if len(order) else 0.0
-    if len(order) and 0 < index.label.mean() < 1:
-        votes = np.array([index.vote(index.nearest(counted[i], NEIGHBOURS, leave=place)) for place, i in enumerate(order)])
+    index.base = base if base is not None else float(labels.mean()) if len(bags) else 0.0
+    if len(bags) and 0 < labels.mean() < 1:
+        queries = [counted({number[t]: n for t, n in bags[i].items()}) for i in order.tolist()]
+        votes = np.array([index.vote(near) for near in index.nearest_of(queries, NEIGHBOURS, list(range(len(bags))))])
         index.steps, index.levels = monotone(votes, index.label)
-        index.levels = np.maximum(index.levels, index.base)
     return index
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    max_examples: int = 8000, max_terms: int = 1024,
-) -> ExampleIndex:
-    """An index over a bounded sample of the labelled documents.
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 3000) -> ExampleIndex:
+    """An index over a bounded sample of the labelled documents; it holds every term of theirs.
 
     About ``max_examples`` labels are drawn by the hash of their key; rows with a null key or label are left out, of a
-    key with several labels the highest counts, and a key that several documents bear takes part with each. Of the terms,
-    those take part that label 1 makes more frequent, with a likelihood ratio that chance would give less than one of all
-    terms tried, the ``max_terms`` most dependent at most. Drawn labels are few enough, by ``max_examples``, to be
-    broadcast, so that the documents are not moved.
+    key with several labels the highest counts, and a key that several documents bear takes part with each. Copies of a text
+    count once. Drawn labels are few enough, by ``max_examples``, to be broadcast, so that the documents are not moved; the
+    driver holds the drawn documents' term counts.
     """
     known = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
     share = min(1.0, max_examples / max(known.count(), 1))
@@ -211,94 +310,60 @@ def fit(
         for batch in batches:
             bags = [bag_of(x) for x in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([list(b.keys()) for b in bags], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))],
-                ["key", "label", "copy", "terms", "counts"],
+                [*batch.columns[:3], pa.array([list(b.keys()) for b in bags], pa.list_(pa.binary())), pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))], names
             )
 
-    spelled = held.select(F.col("_key").cast("long"), F.col("_label").cast("int"), F.xxhash64("_text"), "_text").mapInArrow(
-        spell, "key long, label int, copy long, terms array<binary>, counts array<long>"
-    )
+    names = ["key", "label", "copy", "terms", "counts"]
+    bare = held.select(F.col("_key").alias("key"), F.col("_label").cast("int").alias("label"), F.xxhash64("_text").alias("copy"), "_text")
+    spelled = bare.mapInArrow(spell, T.StructType(bare.schema.fields[:-1] + T.StructType.fromDDL("terms array<binary>, counts array<long>").fields))
     # Copies of an example would fill the neighbourhood with one opinion, so equal texts count once.
     bags = settle(
         spelled.groupBy("copy").agg(F.min("key").alias("key"), F.max("label").alias("label"), F.first("terms").alias("terms"), F.first("counts").alias("counts")), "bags"
     )
-    total = bags.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("hits")).first()
-    if not 0 < total.hits < total.n:
-        return build_index([], [], [], [], total.n, (total.hits + 0.5) / (total.n + 1.0))
-    present = settle(
-        bags.select("label", F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).where("n >= 3"), "terms"
-    )
-    least = 2 * math.log(max(present.count(), 1)) + 6
-    chosen = present.where(F.col("hits") * total.n > F.col("n") * total.hits).withColumn("g", _dependence(total.n, total.hits)).where(F.col("g") >= least)
-    terms = [bytes(r.term) for r in chosen.orderBy(F.desc("g"), "term").limit(max_terms).select("term").collect()]
-    wanted = set(terms)
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [[(t, n) for t, n in zip(ts, ns) if t in wanted] for ts, ns in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([[t for t, _ in x] for x in pairs], pa.list_(pa.binary())), pa.array([[n for _, n in x] for x in pairs], pa.list_(pa.int64()))],
-                ["key", "label", "terms", "counts"],
-            )
-
-    rows = bags.select("key", "label", "terms", "counts").mapInArrow(reduce, "key long, label int, terms array<binary>, counts array<long>").collect()
-    rows = sorted(rows, key=lambda r: (r.key, r.label))
-    bare = [r.label for r in rows if not r.terms]
-    rows = [r for r in rows if r.terms]
-    # Texts without any term get the frequency among such examples.
-    base = (sum(bare) + 0.5) / (len(bare) + 1.0)
-    return build_index([r.key for r in rows], [r.label for r in rows], [dict(zip(map(bytes, r.terms), r.counts)) for r in rows], terms, total.n, base)
-
-
-def _dependence(n: int, hits: int) -> Column:
-    """Likelihood-ratio statistic (G) of a term's presence and the label."""
-
-    def cell(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
-
-    p, there, with_term = F.lit(hits / n), F.col("n").cast("double"), F.col("hits").cast("double")
-    return 2 * (
-        cell(with_term, there * p) + cell(there - with_term, there * (1 - p))
-        + cell(F.lit(float(hits)) - with_term, (n - there) * p) + cell(F.lit(float(n - hits)) - (there - with_term), (n - there) * (1 - p))
-    )
+    rows = sorted(bags.select("key", "label", "terms", "counts").toLocalIterator(), key=lambda r: (r.key, r.label))
+    rows = [(r.key, r.label, dict(zip(map(bytes, r.terms), r.counts))) for r in rows]
+    hits = sum(y for _, y, _ in rows)
+    if not 0 < hits < len(rows):
+        return build_index([], [], [], (hits + 0.5) / (len(rows) + 1.0))
+    return build_index([k for k, _, _ in rows], [y for _, y, _ in rows], [bag for *_, bag in rows])
 
 
 def score(docs: DataFrame, index: ExampleIndex, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """``docs`` with score (0 to 1), predicted (1 from ``threshold`` on) and evidence (the nearest examples).
 
     Every row is kept; null and empty texts, and those without any term of the index, score its base rate and have no
-    evidence. Columns of these names are replaced. A text's terms are all its words; equal term counts are looked up once
-    in a while per worker. The index is bounded by its fit, so it is shared as a broadcast.
+    evidence. Columns of these names, in any case, are replaced. Of a text's terms those count that some example has; equal
+    term counts are looked up once in a while per worker. The index is bounded by its fit, so it is shared as a broadcast.
+    Evidence names examples by their key as text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
     key = f"toxicity-{uuid.uuid4().hex}"
-    added = T.StructType.fromDDL("score double, predicted int, evidence array<struct<doc_id: bigint, similarity: double, label: int>>")
-    evidence_type = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
-
-    def one(text: bytes | None, index: ExampleIndex, known: KnownTerms, cache: dict):
-        words = words_of(text)
-        found = Counter(t for terms in map(known.__getitem__, words) if terms for t in terms)
-        counts = {index.terms[t]: n for t, n in add_dense(found, len(words)).items() if t in index.terms}
-        bag = tuple(sorted(counts.items()))
-        if bag not in cache:
-            if len(cache) > 20_000:
-                cache.clear()
-            near = index.nearest(counts, NEIGHBOURS)
-            shown = [{"doc_id": int(index.ids[e]), "similarity": c, "label": int(index.label[e])} for c, e in near[:3]]
+    added = T.StructType.fromDDL("score double, predicted int, evidence array<struct<doc_id: string, similarity: double, label: int>>")
+    evidence_type = pa.list_(pa.struct([("doc_id", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())]))
+
+    def judge(texts: list[bytes | None], index: ExampleIndex, known: KnownTerms, cache: dict) -> list:
+        if len(cache) > 5_000:
+            cache.clear()
+        counts = [counted(known.counts(x)) for x in texts]
+        bags = [terms.tobytes() + n.tobytes() for terms, n in counts]
+        new = {bag: c for bag, c in zip(bags, counts) if bag not in cache}
+        for bag, near in zip(new, index.nearest_of(list(new.values()), NEIGHBOURS)):
+            shown = [{"doc_id": str(index.ids[e]), "similarity": c, "label": int(index.label[e])} for c, e in near[:3]]
             cache[bag] = (index.calibrated(index.vote(near)) if near else index.base, shown)
-        return cache[bag]
+        return [cache[bag] for bag in bags]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         known, cache = process_value(key, lambda: (KnownTerms(index.terms), {}))
         for batch in batches:
-            found = [one(x, index, known, cache) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            found = [x for at in range(0, len(texts), 256) for x in judge(texts[at : at + 256], index, known, cache)]
             values = np.array([s for s, _ in found], np.float64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(values), pa.array((values >= threshold).astype(np.int32)), pa.array([e for _, e in found], evidence_type)], names
             )
 
-    kept = [c for c in docs.columns if c not in added.names]
-    bare = docs.select(*kept, text_bytes(text).alias("_text"))
+    kept = others(docs, added.names)
+    bare = docs.select(*[F.col(f"`{c}`") for c in kept], text_bytes(text).alias(fresh(docs, "_text")[0]))
     names = [*kept, *added.names]
     return bare.mapInArrow(run, T.StructType(bare.schema.fields[:-1] + added.fields))
