@@ -30,6 +30,8 @@ CUT = re.compile(r"(?<=[!-~\w])(?= [!-~\w])")
 LATIN = re.compile("[\x00-ɏ]*")
 #: Terms of a product that are expanded at a time.
 EXPANDED = 1 << 22
+#: Documents that are held, and ask for their pairs, together.
+BATCH = 1000
 
 Rows = tuple[np.ndarray, np.ndarray]  # where each row begins in the column numbers (one more than rows), the column numbers
 
@@ -159,7 +161,7 @@ class Aligned:
 class ChunkTable:
     """What a worker knows of the chunks it met, up to a bound; beyond it the table is begun anew."""
 
-    CHUNKS, LINKS = 300_000, 4_000_000
+    CHUNKS, LINKS = 120_000, 2_000_000
 
     def __init__(self, pair: TokenizerPair):
         self.pair = pair
@@ -243,7 +245,7 @@ def align(docs: DataFrame, make_pair: Callable[[], TokenizerPair], pair_key: str
     ``groups_sha256`` the digest of all groups' ids. Null, empty and undecodable texts, and those that their tokens do not
     spell on both sides, have zeros and an empty digest. Rows that are alike count once each.
 
-    Documents are taken in the batches that Spark hands out. A batch asks once for each distinct pair of ids it holds; the
+    Documents are taken in batches. A batch asks once for each distinct pair of ids it holds; the
     answers are joined with its documents' chunk numbers again, so no row per document and pair is ever shuffled.
     """
     added = T.StructType.fromDDL(RESULT)
@@ -256,7 +258,8 @@ def align(docs: DataFrame, make_pair: Callable[[], TokenizerPair], pair_key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = process_value(pair_key, lambda: ChunkTable(make_pair()))
-        for number, batch in enumerate(batches):
+        parts = (batch.slice(at, BATCH) for batch in batches for at in range(0, batch.num_rows, BATCH))
+        for number, batch in enumerate(parts):
             name, n = f"{TaskContext.get().partitionId()}-{number}", batch.num_rows
             found = Batch(batch.column(1).to_pylist(), table)
             ends = np.cumsum(np.bincount(found.doc, minlength=n))[:-1]
