@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 import re
 from collections import Counter
@@ -80,6 +81,15 @@ def test_block_max_search_is_exact_over_all_terms(monkeypatch, frequent):
         assert all(abs(cosines[index.ids[e]] - c) < 1e-9 for c, e in got)
 
 
+def test_an_index_that_was_sent_answers_the_same():
+    examples = raw_texts(150, 4)
+    index = tx.build_index(list(range(150)), [y for _, y in examples], [tx.bag_of(t) for t, _ in examples])
+    sent = pickle.loads(pickle.dumps(index))
+    assert (sent.dense == index.dense).all() and len(index.dense) and (sent.row == index.row).all()
+    known = tx.KnownTerms(sent.terms)
+    assert [sent.nearest(known.counts(t), 5) for t, _ in examples[:10]] == [index.nearest(known.counts(t), 5) for t, _ in examples[:10]]
+
+
 def test_left_out_example_and_ties():
     examples = raw_texts(100, 3) * 2
     index = tx.build_index(list(range(200)), [y for _, y in examples], [tx.bag_of(t) for t, _ in examples])
@@ -128,6 +138,7 @@ def test_monotone_levels():
 def test_terms():
     assert tx.terms_of(b"abcd") == [b"abcd"]
     assert tx.terms_of("überlich".encode()) == ["überlich".encode(), "5:überl".encode(), "7:überlic".encode()]
+    assert tx.terms_of(b"blorging") == [b"blorging", b"5:blorg", b"7:blorgin"]
     bag = tx.bag_of("Blorg blorg, BLORG! x É é".encode())
     assert bag[b"blorg"] == 3 and bag[b"5:blorg"] == 3 and bag[b"blorg@64"] == 1 and bag["é".encode()] == 2
     assert tx.bag_of(None) == {} == tx.bag_of(b"")

@@ -13,6 +13,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ BLOCK = 32
 #: Blocks that are looked at before the rest is judged by their bounds.
 FIRST_BLOCKS = 12
 #: A term that one of so many examples holds is kept as a row of weights.
-FREQUENT = 16
+FREQUENT = 32
 NEIGHBOURS = 15
 #: Votes of the whole sample's share that each document starts with, in units of one neighbour with cosine 1.
 PRIOR = 0.25
@@ -49,6 +50,8 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 def terms_of(word: bytes) -> list[bytes]:
     """A word and its beginnings, which are marked by their length."""
+    if word.isascii():
+        return [word, *[b"%d:%b" % (k, word[:k]) for k in BEGINNINGS if len(word) >= k]]
     letters = word.decode("utf-8", "replace")
     return [word, *(f"{k}:{letters[:k]}".encode() for k in BEGINNINGS if len(letters) >= k)]
 
@@ -68,45 +71,33 @@ def bag_of(text: bytes | None) -> dict[bytes, int]:
     return add_dense(counts, len(words))
 
 
-def counted(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers, rising, and their counts."""
-    terms, n = np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
-    order = np.argsort(terms)
-    return terms[order], n[order]
-
-
 class KnownTerms(dict):
-    """Numbers of the terms of a word that an index knows, and whether it knows the word's beginnings; up to a bound of words."""
+    """Numbers of the terms of a word that an index knows, for words met so far, up to a bound."""
 
     def __init__(self, terms: dict[bytes, int]):
         self.terms = terms
-        self.dense = {t.partition(b"@")[0] for t in terms if b"@" in t}
-
-    def __missing__(self, word: bytes) -> tuple[list[int], list[bytes]]:
+        #: Per term, the numbers of the terms for its densities, or -1.
+        self.dense = np.full((len(DENSITIES), len(terms)), -1, np.int64)
+        for term, number in terms.items():
+            plain, sign, density = term.partition(b"@")
+            if sign:
+                self.dense[DENSITIES.index(int(density)), terms[plain]] = number
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) > 200_000:
             self.clear()
-        mine = terms_of(word)
-        self[word] = found = [self.terms[t] for t in mine if t in self.terms], [t for t in mine if t in self.dense]
+        self[word] = found = tuple(t for t in map(self.terms.get, terms_of(word)) if t is not None)
         return found
 
-    def counts(self, text: bytes | None) -> dict[int, int]:
-        """:func:`bag_of` by number, for the terms that the index knows."""
+    def counts(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        """:func:`bag_of` for the terms that the index knows: their numbers, rising, and counts."""
         words = words_of(text)
-        out: dict[int, int] = {}
-        dense: dict[bytes, int] = {}
-        for word, n in Counter(words).items():
-            numbers, marked = self[word]
-            for t in numbers:
-                out[t] = out.get(t, 0) + n
-            for t in marked:
-                dense[t] = dense.get(t, 0) + n
-        for t, n in dense.items():
-            if n > 1:
-                for d in DENSITIES:
-                    number = self.terms.get(b"%b@%d" % (t, d))
-                    if number is not None and n * d >= len(words):
-                        out[number] = 1
-        return out
+        terms, n = np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64), return_counts=True)
+        more = [dense[terms[(n > 1) & (n * d >= len(words))]] for d, dense in zip(DENSITIES, self.dense)]
+        more = np.concatenate([m[m >= 0] for m in more])
+        terms, n = np.concatenate([terms, more]), np.concatenate([n, np.ones(len(more), n.dtype)]).astype(np.float64)
+        order = np.argsort(terms)
+        return terms[order], n[order]
 
 
 @dataclass
@@ -135,15 +126,26 @@ class ExampleIndex:
     steps: np.ndarray | None = None
     levels: np.ndarray | None = None
 
+    def __getstate__(self) -> dict:
+        """The rows of frequent terms travel without their zeros."""
+        at = np.flatnonzero(self.dense)
+        return {**self.__dict__, "dense": (self.dense.shape, at.astype(np.int32) if self.dense.size < 2**31 else at, self.dense.ravel()[at])}
+
+    def __setstate__(self, state: dict) -> None:
+        shape, at, values = state["dense"]
+        dense = np.zeros(shape)
+        dense.ravel()[at] = values
+        self.__dict__.update({**state, "dense": dense})
+
     def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Weights (1 + ln tf) * idf * weight of a text's terms, of length 1."""
         weight = (1 + np.log(counts)) * self.scale[terms]
         norm = math.sqrt(float(weight @ weight))
         return weight / norm if norm else weight
 
-    def nearest(self, counts: dict[int, int], k: int, leave: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of highest cosine above 0, ties to the smaller number, as (cosine, example)."""
-        return self.nearest_of([counted(counts)], k, [leave])[0]
+    def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int, leave: int = -1) -> list[tuple[float, int]]:
+        """The ``k`` examples of highest cosine above 0, ties to the smaller number, as (cosine, example), for terms and their counts."""
+        return self.nearest_of([query], k, [leave])[0]
 
     def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, leave: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """:meth:`nearest` of many queries; example ``leave[i]`` is passed over for query i."""
@@ -242,17 +244,22 @@ def label_weight(n: np.ndarray, hits: np.ndarray, total: int, positive: int) ->
 
 
 def build_index(ids: list, label: list[int], bags: list[dict[bytes, int]], base: float | None = None) -> ExampleIndex:
-    """The index over examples given as term counts. idf is ln((n + 1) / (df + 1/2)), at least 0, over all examples.
+    """The index over examples given as term counts; see :func:`index_of`."""
+    terms = pa.array([t for bag in bags for t in bag], pa.binary())
+    return index_of(ids, label, np.array([len(b) for b in bags], np.int64), terms, np.array([n for bag in bags for n in bag.values()], np.float64), base)
+
+
+def index_of(ids: list, label: list[int], size: np.ndarray, terms: pa.Array, count: np.ndarray, base: float | None = None) -> ExampleIndex:
+    """The index over examples: ``size`` terms of each with their counts, one example after the other.
 
-    Every term of every example takes part. ``base`` is the share of label 1 that texts without neighbours get. Calibration is
-    leave-one-out over the examples. Examples are put in the order of their heaviest term, so that blocks hold similar ones
-    and bounds are tight.
+    Every term of every example takes part. idf is ln((n + 1) / (df + 1/2)), at least 0, over all examples. ``base`` is the
+    share of label 1 that texts without neighbours get. Calibration is leave-one-out over the examples. Examples are put in
+    the order of their heaviest term, so that blocks hold similar ones and bounds are tight.
     """
-    number: dict[bytes, int] = {}
-    size = np.array([len(b) for b in bags], np.int64)
-    term = np.fromiter((number.setdefault(t, len(number)) for bag in bags for t in bag), np.int64, int(size.sum()))
-    count = np.fromiter((n for bag in bags for n in bag.values()), np.float64, len(term))
-    owner = np.repeat(np.arange(len(bags)), size)
+    coded = terms.dictionary_encode()
+    number = {t: i for i, t in enumerate(coded.dictionary.to_pylist())}
+    term, bags = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), size
+    coded_term, owner = term, np.repeat(np.arange(len(size)), size)
     labels = np.array(label, np.float64)
     df = np.bincount(term, minlength=len(number)).astype(np.float64)
     hits = np.bincount(term, weights=labels[owner], minlength=len(number))
@@ -283,17 +290,19 @@ def build_index(ids: list, label: list[int], bags: list[dict[bytes, int]], base:
     entry = np.concatenate([[0], np.cumsum(np.bincount(term[start], minlength=len(number)))])
     index = ExampleIndex(
         number, scale, labels[order], [ids[i] for i in order.tolist()], entry, (example[start] // BLOCK).astype(np.int32), largest,
-        np.append(start, len(term)), example.astype(np.int32), weight, row, dense,
+        np.append(start, len(term)).astype(np.int32), example.astype(np.int32), weight, row.astype(np.int32), dense,
     )
     index.base = base if base is not None else float(labels.mean()) if len(bags) else 0.0
     if len(bags) and 0 < labels.mean() < 1:
-        queries = [counted({number[t]: n for t, n in bags[i].items()}) for i in order.tolist()]
+        ends = np.cumsum(size)
+        mine = [np.sort(np.rec.fromarrays([coded_term[a:b], count[a:b]])) for a, b in zip((ends - size)[order], ends[order])]
+        queries = [(x.f0, x.f1) for x in mine]
         votes = np.array([index.vote(near) for near in index.nearest_of(queries, NEIGHBOURS, list(range(len(bags))))])
         index.steps, index.levels = monotone(votes, index.label)
     return index
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 3000) -> ExampleIndex:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_examples: int = 2500) -> ExampleIndex:
     """An index over a bounded sample of the labelled documents; it holds every term of theirs.
 
     About ``max_examples`` labels are drawn by the hash of their key; rows with a null key or label are left out, of a
@@ -320,12 +329,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     bags = settle(
         spelled.groupBy("copy").agg(F.min("key").alias("key"), F.max("label").alias("label"), F.first("terms").alias("terms"), F.first("counts").alias("counts")), "bags"
     )
-    rows = sorted(bags.select("key", "label", "terms", "counts").toLocalIterator(), key=lambda r: (r.key, r.label))
-    rows = [(r.key, r.label, dict(zip(map(bytes, r.terms), r.counts))) for r in rows]
-    hits = sum(y for _, y, _ in rows)
-    if not 0 < hits < len(rows):
-        return build_index([], [], [], (hits + 0.5) / (len(rows) + 1.0))
-    return build_index([k for k, _, _ in rows], [y for _, y, _ in rows], [bag for *_, bag in rows])
+    rows = bags.select("key", "label", "terms", "counts").orderBy("key", "label", "copy").toArrow().combine_chunks()
+    label_list = rows.column("label").to_pylist()
+    hits = sum(label_list)
+    if not 0 < hits < len(label_list):
+        return build_index([], [], [], (hits + 0.5) / (len(label_list) + 1.0))
+    terms, counts = (rows.column(c).chunk(0) for c in ("terms", "counts"))
+    size = terms.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    return index_of(rows.column("key").to_pylist(), label_list, size, terms.flatten(), counts.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
 
 
 def score(docs: DataFrame, index: ExampleIndex, text: str = "text", threshold: float = 0.7) -> DataFrame:
@@ -344,7 +355,7 @@ def score(docs: DataFrame, index: ExampleIndex, text: str = "text", threshold: f
     def judge(texts: list[bytes | None], index: ExampleIndex, known: KnownTerms, cache: dict) -> list:
         if len(cache) > 5_000:
             cache.clear()
-        counts = [counted(known.counts(x)) for x in texts]
+        counts = [known.counts(x) for x in texts]
         bags = [terms.tobytes() + n.tobytes() for terms, n in counts]
         new = {bag: c for bag, c in zip(bags, counts) if bag not in cache}
         for bag, near in zip(new, index.nearest_of(list(new.values()), NEIGHBOURS)):
