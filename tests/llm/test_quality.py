@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -23,7 +24,8 @@ def graded(n, seed, grades=4):
 
 
 def test_shape():
-    assert [quality.shape(x) for x in ("Hello,", "ABC12x", "it's", "a|b", "É1", "x" * 99)] == ["Aa,", "A0a", "a'a", "a|a", "A0", "long"]
+    assert [quality.shape(x) for x in ("Hello,", "ABC12x", "it's", "a|b", "É1", "x" * 99)] == ["Aa,", "A0a", "a'a", "a|a", "A0", "a"]
+    assert quality.shape("a|b|c|d|e|f") != quality.shape("a|b|c|d|e|g|h") and quality.shape("x-" * 40) == "a-" * 40
 
 
 def test_features_of_any_text():
@@ -89,3 +91,97 @@ def test_one_grade_or_none(spark):
     for ratings, answer in (([(1, 2)], 2), ([], 0)):
         fitted = quality.fit(docs, spark.createDataFrame(ratings, "doc_id long, quality int"))
         assert {(r.grade, r.expected_grade) for r in quality.grade(docs, fitted).collect()} == {(answer, float(answer))}
+
+
+# ---- a plain cumulative-link model ----------------------------------------------------------------------------------
+
+
+def sigmoid(x):
+    return 1 / (1 + math.exp(-max(min(x, 700), -700)))
+
+
+def plain_loss(weights, thresholds, rows):
+    """Mean negative log likelihood of (features, grade position), term by term."""
+    total = 0.0
+    for features, g in rows:
+        score = sum(weights[i] * v for i, v in features)
+        upper = 1.0 if g == len(thresholds) else sigmoid(thresholds[g] - score)
+        lower = 0.0 if g == 0 else sigmoid(thresholds[g - 1] - score)
+        total -= math.log(max(upper - lower, 1e-300))
+    return total / len(rows)
+
+
+def small_problem(n=90, dims=5, seed=0):
+    rng = np.random.default_rng(seed)
+    true = rng.normal(size=dims)
+    rows = []
+    for _ in range(n):
+        x = rng.normal(size=dims)
+        grade = int(np.searchsorted([-0.7, 0.9], x @ true + rng.logistic()))
+        rows.append((list(enumerate(x.tolist())), grade))
+    return rows
+
+
+def as_batch(rows):
+    index = np.array([i for f, _ in rows for i, _ in f])
+    value = np.array([v for f, _ in rows for _, v in f])
+    return index, value, np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows]), np.array([g for _, g in rows])
+
+
+def test_tails_and_expected_grade_against_the_definition():
+    model = quality.OrdinalModel(np.zeros(quality.SIZE), np.array([-1.0, 0.5, 2.0]), np.array([1, 2, 4, 7]))
+    scores = np.array([-3.0, 0.0, 0.7, 5.0])
+    for score, tail, expected in zip(scores, model.tails(scores), model.expected(scores)):
+        p = [1.0] + [1 - sigmoid(t - score) for t in (-1.0, 0.5, 2.0)] + [0.0]
+        assert np.allclose(tail, p[1:-1])
+        assert math.isclose(expected, sum(g * (p[i] - p[i + 1]) for i, g in enumerate((1, 2, 4, 7))), rel_tol=1e-9)
+
+
+def test_a_step_follows_the_gradient_of_the_plain_loss():
+    rows = small_problem()
+    weights, thresholds = np.zeros(quality.SIZE), np.array([-0.4, 0.6])
+    weights[:5] = [0.3, -0.2, 0.1, 0.0, 0.5]
+    moved, shifted = quality.descend(weights, thresholds, [as_batch(rows)], rate=1e-3, decay=0.0, epochs=1)
+
+    def numeric(change):
+        return (plain_loss(*change(1e-5), rows) - plain_loss(*change(-1e-5), rows)) / 2e-5
+
+    for i in range(5):
+        g = numeric(lambda e, i=i: (np.where(np.arange(quality.SIZE) == i, weights + e, weights), thresholds))
+        assert math.isclose(weights[i] - moved[i], 1e-3 * g / math.sqrt(1e-4 + g * g), rel_tol=1e-3, abs_tol=1e-9)
+    for k in range(2):
+        g = numeric(lambda e, k=k: (weights, np.where(np.arange(2) == k, thresholds + e, thresholds)))
+        assert math.isclose(thresholds[k] - shifted[k], 1e-3 * g / math.sqrt(1e-2 + g * g), rel_tol=1e-3, abs_tol=1e-9)
+
+
+def test_descent_reaches_a_plain_optimum():
+    rows = small_problem(150)
+    index, value, row, grade = as_batch(rows)
+    x = np.zeros((len(rows), 5))
+    x[row, index] = value
+    point = np.array([0.0] * 5 + [-0.5, 0.5])
+
+    def gradient(p):
+        out = np.zeros(7)
+        for i in range(7):
+            for sign in (1, -1):
+                q = p.copy()
+                q[i] += sign * 1e-5
+                out[i] += sign * plain_loss(q[:5], q[5:], rows) / 2e-5
+        return out
+
+    for _ in range(150):
+        point -= 1.0 * gradient(point)
+    best = plain_loss(point[:5], point[5:], rows)
+    weights, thresholds = quality.descend(np.zeros(quality.SIZE), np.array([-0.5, 0.5]), [(index, value, row, grade)], rate=0.1, decay=0.0, epochs=400)
+    assert plain_loss(weights[:5], thresholds, rows) < best + 0.01
+    assert np.allclose(weights[:5], point[:5], atol=0.15) and np.allclose(thresholds, point[5:], atol=0.15)
+
+
+def test_any_key_type_and_names_in_any_case(spark):
+    ship(spark)
+    rows = [(f"k{i}", t, g) for i, t, g in graded(200, 3, 3)]
+    docs = spark.createDataFrame([(k, t, 1, 2) for k, t, _ in rows], "doc_id string, text string, Grade int, _bytes int")
+    model = quality.fit(docs, spark.createDataFrame([(k, g) for k, _, g in rows], "doc_id string, quality int"))
+    out = quality.grade(docs, model)
+    assert out.columns == ["doc_id", "text", "_bytes", "expected_grade", "tail_probability", "grade", "accepted"] and out.count() == 200

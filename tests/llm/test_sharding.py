@@ -61,6 +61,31 @@ def test_empty_table_and_clashing_names(spark):
     assert row.shard in (0, 1, 2) and row.slot == 0
 
 
+def test_rows_alike_are_numbered_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PIECE_BITS", 5)
+    keys = [None] * 700 + [7] * 900 + list(range(1000, 1400))
+    df = spark.createDataFrame([(k, None if k is None else "x") for k in keys], "id long, text string").repartition(3)
+    placed_ = sharding.rendezvous_shards(df, "id", 3)
+    frame = sharding.with_slots(placed_, ["id", "text"])
+    got = frame.collect()
+    assert len(got) == len(keys)
+    for shard in range(3):
+        own = [r for r in got if r.shard == shard]
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+        # Each bucket is in order, so the rows alike have neighbouring slots.
+        for k, count in ((None, 700), (7, 900)):
+            mine = sorted(r.slot for r in own if r.id == k)
+            assert not mine or mine == list(range(mine[0], mine[0] + count))
+    assert "_alike" in frame._jdf.queryExecution().analyzed().toString()
+
+
+def test_helper_names_clash_with_nothing(spark):
+    names = ["id", "_row", "_bucket", "_start", "_n", "_piece", "_alike", "Slot"]
+    df = spark.createDataFrame([(i % 3, 1, 2, 3, 4, 5, 6, 7) for i in range(30)], ", ".join(f"{n} long" for n in names))
+    out = sharding.with_slots(sharding.rendezvous_shards(df, "id", 2), ["id", "_row"])
+    assert out.columns == [*names[:-1], "shard", "slot"] and out.count() == 30
+
+
 def test_no_python_in_the_plan(spark):
     df = sharding.rendezvous_shards(spark.range(10), "id", 40, 41)
     plan = df._jdf.queryExecution().executedPlan().toString()

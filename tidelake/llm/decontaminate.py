@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import fresh, process_value, settle, text_bytes, word_bytes
+from tidelake.llm.base import fresh, others, process_value, settle, text_bytes, word_bytes
 
 WINDOW = 13
 #: Bits of the filter that spares the join document k-grams without a counterpart; 256 KB, whatever the benchmark's size.
@@ -146,7 +146,7 @@ def contamination(
                         found.append({"length": length, "hash": h, "at": at, "first": first, "around": words[first : at + length]})
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n_words, pa.int64()), pa.array(hits, hit_type)], names)
 
-    kept = [c for c in docs.columns if c not in (text, "n_words", "n_hit", "n_items", "items_sha256", "spans")]
+    kept = others(docs, [text, "n_words", "n_hit", "n_items", "items_sha256", "spans"])
     # The kept columns travel as one struct, so that none of them can meet a name used here.
     bare = docs.select(F.struct(*kept, F.lit(0).alias(fresh(docs, "_")[0])).alias("kept"), text_bytes(text).alias("bytes"))
     names = ["kept", "n_words", "hits"]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import fresh, process_value, settle, text_bytes
+from tidelake.llm.base import fresh, others, process_value, settle, text_bytes
 
 #: Items that a task packs at a time; bounds its memory.
 CHUNK = 1 << 16
@@ -95,8 +95,8 @@ def tokenise(docs: DataFrame, make_encoder: Callable[[], ChunkIds], encoder_key:
             )
 
     added = T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long, ids binary")
-    kept = [c for c in docs.columns if c != text and c not in added.names]
-    bare = docs.select(*kept, text_bytes(text).alias("_bytes"))
+    kept = others(docs, [text, *added.names])
+    bare = docs.select(*kept, text_bytes(text).alias(fresh(docs, "_bytes")[0]))
     names = [*kept, *added.names]
     return bare.mapInArrow(run, T.StructType(bare.schema.fields[:-1] + added.fields))
 
@@ -199,11 +199,12 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces of all documents with sequence_id and offset; with the ids themselves if asked for.
 
-    Every row of ``docs`` yields a piece at least; rows that repeat are documents of their own.
+    Every row of ``docs`` yields a piece at least; rows that repeat are documents of their own. Input columns named as one of
+    those added (in any case, ``ids`` included) are left out.
     """
     pieces = tokenise(docs, make_encoder, encoder_key, capacity, text, end)
     item, *_ = fresh(docs, "item")
-    pieces = pieces.drop("sequence_id", "offset") if with_ids else pieces.drop("sequence_id", "offset", "ids")
+    pieces = pieces.select(*others(pieces, ["sequence_id", "offset"] + ([] if with_ids else ["ids"])))
     pieces = settle(pieces.withColumn(item, F.monotonically_increasing_id()), "pieces")
     packed = pack(pieces.select(item, "length"), item, "length", capacity)
     return pieces.join(packed.withColumnRenamed("item", item), item).drop(item)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import process_value, settle, text_bytes
+from tidelake.llm.base import fresh, others, process_value, settle, text_bytes
 
 BITS = 16
 SIZE = 1 << BITS
@@ -26,10 +26,8 @@ _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), re.compile(r"[A-
 
 
 def shape(token: str) -> str:
-    """Lower-case runs as a, upper-case runs as A, digits as 0; other characters as they stand, at most six."""
-    if len(token) > 64:
-        return "long"
-    return _DIGIT.sub("0", _UPPER.sub("A", _LOWER.sub("a", token)))[:6]
+    """Lower-case runs as a, upper-case runs as A, digits as 0; other characters as they stand."""
+    return _DIGIT.sub("0", _UPPER.sub("A", _LOWER.sub("a", token)))
 
 
 def token_codes(token: bytes) -> int:
@@ -139,7 +137,8 @@ def fit(
             )
 
     part = F.pmod(F.xxhash64("key", F.lit(7)), F.lit(parts)).cast("int")
-    spelled = held.select(F.col("_key").cast("long"), "_grade", "_text").mapInArrow(spell, "key long, grade int, index array<int>, value array<float>")
+    bare = held.select(F.col("_key").alias("key"), F.col("_grade").alias("grade"), "_text")
+    spelled = bare.mapInArrow(spell, T.StructType(bare.schema.fields[:-1] + T.StructType.fromDDL("index array<int>, value array<float>").fields))
     rows = settle(spelled.withColumn("part", part), "features")
     grades = np.array(sorted(r.grade for r in rows.select("grade").distinct().collect()), np.int64)
     if len(grades) < 2:
@@ -178,7 +177,8 @@ def grade(docs: DataFrame, model: OrdinalModel, text: str = "text", least: int |
     """``docs`` with expected_grade, tail_probability (P(grade >= ``least``), by default the highest), grade and accepted.
 
     ``grade`` is the likeliest, ties to the lower; ``accepted`` says whether tail_probability reaches ``accept``.
-    Every row is kept; null and empty texts are graded by the one feature they share. Columns of these names are replaced.
+    Every row is kept; null and empty texts are graded by the one feature they share. Columns of these names,
+    in any case, are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     cache_key = f"quality-{uuid.uuid4().hex}"
@@ -200,7 +200,7 @@ def grade(docs: DataFrame, model: OrdinalModel, text: str = "text", least: int |
                 [*batch.columns[:-1], pa.array(model.expected(score)), pa.array(tail), pa.array(likeliest.astype(np.int32)), pa.array(tail >= accept)], names
             )
 
-    kept = [c for c in docs.columns if c not in added.names]
-    bare = docs.select(*kept, text_bytes(text).alias("_bytes"))
+    kept = others(docs, added.names)
+    bare = docs.select(*kept, text_bytes(text).alias(fresh(docs, "_bytes")[0]))
     names = [*kept, *added.names]
     return bare.mapInArrow(run, T.StructType(bare.schema.fields[:-1] + added.fields))

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.base import settle
+from tidelake.llm.base import fresh, others, settle
 
 #: 13 hex digits are 52 bits, which a double holds exactly.
 DIGITS = 13
@@ -53,22 +53,40 @@ def rendezvous_shards(
     return out if grown is None else out.withColumn("grown_shard", shard_of(F.col(key), grown))
 
 
+#: Rows alike that are numbered in one piece (a power of two), and how far beyond the mean a bucket is cut into such pieces.
+PIECE_BITS = 13
+CROWDED = 4
+
+
 def with_slots(df: DataFrame, order: Sequence[str], digits: int = 2) -> DataFrame:
     """``df`` with ``slot``: a gapless number from 0 in each ``shard``.
 
     No task holds a whole shard: rows are numbered by ``order`` inside (shard, bucket), where 16 ** ``digits`` buckets are
     drawn from the digest of all of ``order``, and each bucket starts where the counts of those before it end. Rows alike
-    in all of ``order`` are interchangeable. The rows are written once, so that counts and numbers see the same ones.
+    in all of ``order`` are interchangeable and fall into one bucket, so a bucket far beyond the mean is cut further: its
+    rows alike are counted by pieces of the written table, and only inside a piece are rows numbered. The rows are written
+    once, so that counts and numbers see the same ones. An input column called slot is replaced.
     """
-    bucket = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")), 1, digits)
-    rows = settle(df.withColumn("_bucket", bucket), "shards")
-    counts = rows.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("shard", "_bucket").orderBy(*order))
-    return (
-        rows.withColumn("_row", inside)
-        .join(starts, ["shard", "_bucket"])
-        .withColumn("slot", F.col("_start") + F.col("_row") - 1)
-        .drop("_bucket", "_row", "_start")
-    )
+    bucket, piece, start, row, n, alike = fresh(df, "_bucket", "_piece", "_start", "_row", "_n", "_alike")
+    digest = F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order]).cast("binary")), 1, digits)
+    kept, place = others(df, ["slot"]), ["shard", bucket]
+    rows = settle(df.withColumns({bucket: digest, piece: F.shiftright(F.monotonically_increasing_id(), PIECE_BITS)}), "shards")
+    counts = settle(rows.groupBy(*place).agg(F.count(F.lit(1)).alias(n)), "bucket-counts")
+    before = Window.partitionBy("shard").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*place, n, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    limit = max(CROWDED * (counts.agg(F.avg(n)).first()[0] or 0), 1 << PIECE_BITS)
+    inside = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
+    slot = (F.col(start) + F.col(row) - 1).alias("slot")
+    out = rows.join(starts.where(F.col(n) <= limit).drop(n), place).withColumn(row, inside).select(*kept, slot)
+    crowded = starts.where(F.col(n) > limit).drop(n)
+    if crowded.isEmpty():
+        return out
+    # Rows alike share a digest, so that null values meet as well.
+    same = F.md5(F.to_json(F.struct(*order), {"ignoreNullFields": "false"}).cast("binary"))
+    held = rows.join(crowded, place).withColumn(alike, same)
+    pieces = held.groupBy(*place, *order, alike, piece).agg(F.count(F.lit(1)).alias(n), F.first(start).alias(start))
+    upto = Window.partitionBy(*place).orderBy(*order, alike, piece).rowsBetween(Window.unboundedPreceding, -1)
+    begins = pieces.select(*place, alike, piece, (F.col(start) + F.coalesce(F.sum(n).over(upto), F.lit(0))).alias(start))
+    number = F.row_number().over(Window.partitionBy(*place, alike, piece).orderBy(F.lit(0)))
+    cut = held.drop(start).join(begins, [*place, alike, piece]).withColumn(row, number)
+    return out.unionByName(cut.select(*kept, slot))

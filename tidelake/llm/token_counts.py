@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidelake.llm.base import process_value, text_bytes
+from tidelake.llm.base import fresh, others, process_value, text_bytes
 
 #: Marks the beginning of a pre-token, as in the vocabulary file.
 MARK = "▁"
@@ -199,7 +199,7 @@ def count_tokens(docs: DataFrame, scores: dict[str, float], text: str = "text")
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pre_tokens), pa.array(tokens)], names)
 
     added = T.StructType.fromDDL("n_pretokens long, n_tokens long")
-    kept = [c for c in docs.columns if c not in added.names]
-    bare = docs.select(*kept, text_bytes(text).alias("_bytes"))
+    kept = others(docs, added.names)
+    bare = docs.select(*kept, text_bytes(text).alias(fresh(docs, "_bytes")[0]))
     names = [*kept, *added.names]
     return bare.mapInArrow(run, T.StructType(bare.schema.fields[:-1] + added.fields))

@@ -145,8 +145,8 @@ def inner_product_topk(df: DataFrame, id_column: str, vector: str, asks: Column,
     vectors form no group anywhere. A pass shuffles the blocks and at most ``BINS`` counts per query and task.
     """
     spark = df.sparkSession
-    points = quantise(df.where(F.col(id_column).isNotNull()), vector, scale)
-    points = settle(points.select(F.col(id_column).cast("long").alias("id"), "v", asks.alias("asks")), "points")
+    read = df.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("x"), asks.alias("asks"))
+    points = settle(quantise(read, "x", scale).select("id", "v", "asks"), "points")
     size = points.select(
         F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dims"), F.max(F.array_max(F.transform("v", F.abs))).alias("largest"),
         F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))).alias("norm"),
@@ -167,8 +167,8 @@ def inner_product_topk(df: DataFrame, id_column: str, vector: str, asks: Column,
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    rows = rows.select(F.col("ids").alias("row_ids"), F.col("data").alias("rows"), (F.col("block") % row_groups).cast("int").alias("g"), every(query_groups).alias("h"))
-    asked = queries.select(F.col("block").alias("q"), "ids", "data", (F.col("block") % query_groups).cast("int").alias("h"), every(row_groups).alias("g"))
+    rows = rows.select(F.col("ids").alias("row_ids"), F.col("data").alias("rows"), F.pmod(F.xxhash64("block"), F.lit(row_groups)).cast("int").alias("g"), every(query_groups).alias("h"))
+    asked = queries.select(F.col("block").alias("q"), "ids", "data", F.pmod(F.xxhash64("block"), F.lit(query_groups)).cast("int").alias("h"), every(row_groups).alias("g"))
 
     top = int(bound) + 1
     span = 1

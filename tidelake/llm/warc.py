@@ -18,11 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelake.llm.base import fresh
+
 BREAK = b"\r\n\r\n"
 PIECE = 1 << 20
 #: Payloads below this many bytes are always stored.
 LEAST_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
+STORES = {"s3a": "s3", "s3n": "s3"}
 
 
 # ---- files in the shared folder -------------------------------------------------------------------------------------
@@ -36,6 +39,9 @@ def _filesystem(path: str):
         path = "/" + path.removeprefix("file:").lstrip("/")
     if "://" not in path:
         return fs.LocalFileSystem(), path
+    # Spark's names of object stores that the workers' library knows by another one.
+    scheme, _, rest = path.partition("://")
+    path = f"{STORES.get(scheme, scheme)}://{rest}"
     return fs.FileSystem.from_uri(path)
 
 
@@ -60,16 +66,17 @@ def with_revisits(pages: DataFrame, key: str, payload: Column, least: int = LEAS
     that repeat that key are responses too. Null payloads are empty. A null key is never the one referred to unless all
     of them are null, in which case all are responses.
     """
+    first = fresh(pages, "_first")[0]
     full = pages.withColumn("payload", F.coalesce(payload.cast("binary"), F.lit(b"")))
     full = full.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
-    groups = full.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    groups = full.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min(key).alias(first), F.count(F.lit(1)).alias("_n"))
     groups = groups.where("_n > 1").drop("_n")
-    revisits = (F.col("payload_bytes") >= least) & F.col("_first").isNotNull() & ~F.col(key).eqNullSafe(F.col("_first"))
+    revisits = (F.col("payload_bytes") >= least) & F.col(first).isNotNull() & ~F.col(key).eqNullSafe(F.col(first))
     return (
         full.join(groups, "payload_digest", "left")
         .withColumn("record_type", F.when(revisits, "revisit").otherwise("response"))
-        .withColumn("refers_to", F.when(revisits, F.col("_first")))
-        .drop("_first")
+        .withColumn("refers_to", F.when(revisits, F.col(first)))
+        .drop(first)
     )
 
 
