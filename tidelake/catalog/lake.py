@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelake.catalog import sql as S
-from tidelake.catalog.base import EXCHANGE, query, rounded
+from tidelake.catalog.base import EXCHANGE, FAR_CUTOFF, query, rounded
 from tidelake.catalog.gold import TRADE_SUMS
 from tidelake.catalog.silver import BAR_SUMS
 from tidelake.functions.symbols import canon_symbol
@@ -872,6 +872,59 @@ def pipeline_core(f):
     return stored.join(facts.withColumnRenamed("rows_out", "manifest_rows"), ["exchange", "symbol"])
 
 
+# The other feeds the same way: trade, funding and open-interest pages of all events, delivered twice.
+_MS = "make_timestamp(epoch_us(ts) // 1000 * 1000)"
+_LANDED_KEY = "'deribit' AS exchange, asset || '-PERPETUAL' AS symbol"
+S.CTES["landed_trades"] = (
+    ["ev"],
+    f"""SELECT {_LANDED_KEY}, 'perp' AS instrument_type, {_MS} AS trade_time, event_id::VARCHAR AS trade_id, value AS price, k::DOUBLE AS quantity,
+      CASE event_type WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'sell' ELSE 'unknown' END AS side FROM ev WHERE k NOT IN (0, 13)""",
+)
+S.CTES["landed_bars"] = (["landed_trades"], S.bars_sql("landed_trades", "timestamp_m1", "date_trunc('minute', trade_time)"))
+S.CTES["landed_g_trades"] = (["landed_bars"], S.CTES["g_trades"][1].replace("t_bars", "landed_bars"))
+S.gold_cte("landed_trades_gold", ["landed_g_trades"])
+S.CTES["landed_funding"] = (
+    ["ev"],
+    f"""SELECT {_LANDED_KEY}, {_MS} AS funding_time, TIMESTAMP '{_LANDED_AGAIN}' AS ingested_at_max,
+      CASE WHEN k < 30 THEN value / 1000 WHEN k < 50 THEN 0.0 ELSE value / 500 END AS funding_rate FROM ev WHERE k <> 13 AND (k < 50 OR value <= 500)""",
+)
+S.CTES["landed_oi"] = (
+    ["ev"],
+    f"SELECT {_LANDED_KEY}, {_MS} AS timestamp, TIMESTAMP '{_LANDED_AGAIN}' AS ingested_at, value * 100 AS open_interest FROM ev WHERE k NOT IN (7, 13)",
+)
+
+
+def _landed_silver(f, dataset: str, pages) -> str:
+    bronze_root, silver_root = scratch_dir(f.spark, "bronze"), scratch_dir(f.spark, "silver")
+    for run, at in (("run-0", _LANDED), ("run-1", _LANDED_AGAIN)):
+        ingest_pages(f.spark, pages, bronze_root, dataset, run, at)
+    silver.build_silver(f.spark, bronze_root, silver_root, dataset, _LANDED_AGAIN, cutoff=FAR_CUTOFF)
+    return silver_root
+
+
+@query("pipeline_trades", f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in TRADE_SUMS[:5])}) FROM landed_trades_gold", "landed_trades_gold")
+def pipeline_trades(f):
+    """Trade pages to bronze, silver bars and the gold table of trades, as stored."""
+    silver_root, gold_root = _landed_silver(f, "perp_trades", trade_pages(f)), scratch_dir(f.spark, "gold")
+    gold.build_gold(f.spark, silver_root, gold_root, "gold.market.perp_trades.m1", _LANDED_AGAIN)
+    stored = f.spark.read.parquet(f"{gold_root}/dataset_id=gold.market.perp_trades.m1").drop("feature_set_version")
+    return rounded(stored, 6, *TRADE_SUMS[:5])
+
+
+@query("pipeline_funding", S.funding_feature_sql("landed_funding", FAR_CUTOFF), "landed_funding")
+def pipeline_funding(f):
+    """Funding pages to bronze and the minute table of silver, as stored."""
+    root = _landed_silver(f, "funding", funding_pages(f))
+    return lake.read_silver(f.spark, root, "funding_1m_feature", "1m").drop("year", "month")
+
+
+@query("pipeline_oi", S.oi_feature_sql("landed_oi", FAR_CUTOFF), "landed_oi")
+def pipeline_oi(f):
+    """Open-interest pages to bronze and the minute table of silver, as stored."""
+    root = _landed_silver(f, "oi", oi_pages(f))
+    return lake.read_silver(f.spark, root, "oi_1m_feature", "1m").drop("year", "month")
+
+
 _WITHOUT_OPTIONS = ["spot", "perp", "oi_1m_feature", "funding_1m_feature", "perp_trades_1m_feature"]
 _GAPS = {"gold.market.option_trades.m1": "option_trades_1m_feature", "gold.market.full.m1": "option_trades_1m_feature", "gold.hybrid.full_l2.m1": "gold_l2_m1,option_trades_1m_feature"}
 
