@@ -7,6 +7,7 @@ feeds in SQL.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ ORACLES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 EXCHANGE = "deribit"
 FAR_CUTOFF = "2100-01-01 00:00:00"
-_silver_roots: dict[tuple[str, str, str], str] = {}
+_silver_roots: dict[tuple[str, tuple[str, int], str], str] = {}
 
 
 def publish(df: DataFrame) -> DataFrame:
@@ -61,6 +62,12 @@ class Feeds:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    @functools.cached_property
+    def content(self) -> tuple[str, int]:
+        """The data folder and what its files are now, so that tables kept from a query before are not those of older files."""
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.sf_dir)
+        return self.sf_dir, files.agg(F.bit_xor(F.xxhash64("path", "modificationTime", "length"))).first()[0] or 0
+
     def table(self, name: str, *columns: str) -> DataFrame:
         """Columns (or all) of a given table; how it is split is left to ``spark.sql.files.maxPartitionBytes``."""
         rows = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -314,7 +321,7 @@ class Feeds:
 
         if name == "gold_l2_m1":
             return self.l2()
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.content, name)
         if key not in _silver_roots:
             root = scratch_dir(self.spark, "silver")
             time = {"spot": "open_time", "perp": "open_time", "funding_1m_feature": "timestamp"}.get(name, "timestamp_m1")

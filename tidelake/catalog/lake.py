@@ -29,7 +29,7 @@ from tidelake.streaming.flush import chunk_flush as flush_stream
 
 _TICK = [f.name for f in BRONZE_SCHEMAS["perp_trades"]]
 _CANDLE = [f.name for f in BRONZE_SCHEMAS["spot"] if f.name != "origin_payload"]
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple[str, tuple[str, int], str], str] = {}
 
 
 def _cols(names: list[str]) -> str:
@@ -49,7 +49,7 @@ def bronze_lake(f) -> str:
 
     First deliveries of ticks have the ``year=`` level in their folders, second deliveries lack it.
     """
-    key = (f.spark.sparkContext.applicationId, f.sf_dir, "bronze")
+    key = (f.spark.sparkContext.applicationId, f.content, "bronze")
     if key not in _written:
         root = scratch_dir(f.spark, "bronze")
         ticks = f.ticks()
@@ -65,7 +65,7 @@ def bronze_lake(f) -> str:
 
 def silver_lake(f) -> str:
     """Silver candles of all line items, by symbol and month."""
-    key = (f.spark.sparkContext.applicationId, f.sf_dir, "silver")
+    key = (f.spark.sparkContext.applicationId, f.content, "silver")
     if key not in _written:
         root = scratch_dir(f.spark, "silver")
         clean = silver.ohlcv_clean(f.candles())
