@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelake.operators import asof, dedup, gaps, incremental
+from tidelake.operators import asof, dedup, gaps, incremental, lagging
 from tidelake.operators.bars import trade_bars
 from tidelake.plans import gold
 from test_gold import TWO, raw_inputs  # noqa: I001
@@ -65,3 +65,13 @@ def test_gap_fill_is_an_equality_join(spark):
     times = spark.createDataFrame([], "s string, ms bigint")
     text = plan(incremental.full_gap_fill(times, times, ["s"], "ms", 60_000, 10, F.lit(None).cast("bigint")))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_previous_rows_read_their_input_once(spark):
+    bars = spark.range(5000).selectExpr("'a' AS s", "timestamp_seconds(id * 60) AS t", "cast(id % 7 AS double) AS v", "id AS extra")
+    reduced = bars.groupBy("s", "t", "extra").agg(F.max("v").alias("v"))
+    up = lagging.price_direction(reduced, ["s"], "t", "v")
+    assert up.where("NOT is_up").count() == 5000 // 7
+    up.collect()
+    final = plan(up).split("== Initial Plan ==")[0]
+    assert final.count("Range (") == 1 and "ReusedExchange" in final

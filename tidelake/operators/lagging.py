@@ -19,11 +19,15 @@ def _hour(time: str) -> Column:
 
 
 def with_previous(df: DataFrame, series: list[str], time: str, value: str, out: str) -> DataFrame:
-    """Add ``out``: ``value`` of the row before in the series."""
-    hourly = df.withColumn(HOUR, _hour(time))
+    """Add ``out``: ``value`` of the row before in the series.
+
+    Rows are dealt by (series, hour) once. The last row of each hour is taken from the dealt rows, whole, so that both
+    branches need the same columns and the planner runs the exchange, and the input below it, a single time.
+    """
+    hourly = df.withColumn(HOUR, _hour(time)).repartition(*series, HOUR)
     in_hour = Window.partitionBy(*series, HOUR).orderBy(time)
     rows = hourly.withColumns({"_lag": F.lag(value).over(in_hour), "_nth": F.row_number().over(in_hour)})
-    last = hourly.groupBy(*series, HOUR).agg(F.max_by(value, time).alias("_last"))
+    last = hourly.groupBy(*series, HOUR).agg(F.max_by(F.struct(*df.columns), time)[value].alias("_last"))
     before = last.select(*series, HOUR, F.lag("_last").over(Window.partitionBy(*series).orderBy(HOUR)).alias("_carry"))
     return (
         rows.join(before, [*series, HOUR], "left")
