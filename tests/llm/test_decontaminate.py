@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
+import os
 import random
 import re
 
@@ -94,6 +96,29 @@ def test_a_filter_full_of_bits_changes_nothing(spark, monkeypatch):
     assert run(spark, docs, items) == brute(docs, items)
 
 
+def test_the_filter_grows_with_the_benchmark_up_to_its_bound(spark, monkeypatch):
+    hashes = spark.range(5000).selectExpr("xxhash64(id) AS hash")
+    bits = dc._filter_bits(hashes)
+    assert len(bits) * 32 == 1 << 18
+    expected = {r.hash & ((1 << 18) - 1) for r in hashes.collect()}
+    assert {32 * w + b for w, v in enumerate(bits.tolist()) if v for b in range(32) if v >> b & 1} == expected
+    monkeypatch.setattr(dc, "FILTER_BITS", 12)
+    assert len(dc._filter_bits(hashes)) * 32 == 1 << 12
+    assert not dc._filter_bits(hashes.limit(0)).any()
+
+
+def test_a_passage_of_many_items_in_many_documents_is_matched_once_per_document(spark):
+    passage = " ".join(f"p{i}" for i in range(15))
+    items = [(i, passage if i % 2 else passage + f" tail{i} more{i}") for i in range(120)]
+    docs = [f"before{i % 3} {passage} after{i}" for i in range(150)] + [passage + " tail4 more4", "nothing here"]
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(f"{folder}/**/*matches*", recursive=True))
+    assert run(spark, docs, items) == brute(docs, items)
+    written = [p for p in set(glob.glob(f"{folder}/**/*matches*", recursive=True)) - before if os.path.isdir(p)]
+    assert len(written) == 1
+    assert spark.read.parquet(written[0]).count() == 3 * 151 + 2  # three windows each, two more with the tail; not times the items
+
+
 def test_without_contaminated(spark):
     ship(spark)
     passage = " ".join(f"q{i}" for i in range(14))

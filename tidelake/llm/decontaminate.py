@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from tidelake.llm.base import fresh, others, process_value, settle, text_bytes, word_bytes
 
 WINDOW = 13
-#: Bits of the filter that spares the join document k-grams without a counterpart; 256 KB, whatever the benchmark's size.
-FILTER_BITS = 21
+#: Binary logarithm of the most bits the filter may have that spares the join document k-grams without a counterpart
+#: (16 MB). It has 32 to 64 bits per benchmark hash up to 4 million of them; beyond that more k-grams pass to the join.
+FILTER_BITS = 27
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -100,13 +101,14 @@ def benchmark_windows(items: DataFrame, item: str, text: str, window: int) -> Da
     return named.mapInArrow(run, "item string, length int, hash long, offset int, words array<binary>").distinct()
 
 
-def _filter_bits(windows: DataFrame) -> np.ndarray:
-    """A bit per hash of the benchmark's k-grams, 2**FILTER_BITS in all; set bits are gathered by words of 32."""
-    bit = windows.select((F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))).alias("b")).distinct()
+def _filter_bits(hashes: DataFrame) -> np.ndarray:
+    """A filter of a power of two bits, sized by the number of hashes; set bits are gathered by words of 32."""
+    size = 1 << min(FILTER_BITS, max(10, (32 * hashes.count()).bit_length()))
+    bit = hashes.select(F.col("hash").bitwiseAND(F.lit(size - 1)).alias("b")).distinct()
     words = bit.groupBy(F.shiftright("b", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("bits"))
-    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    for r in words.collect():
-        out[r.word] = r.bits
+    found = words.toArrow()
+    out = np.zeros(size >> 5, np.uint32)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
@@ -120,12 +122,16 @@ def contamination(
     without words have no windows; repeated items and windows count once. Every row is kept, repeated keys too.
     """
     spark = docs.sparkSession
-    windows = settle(benchmark_windows(items, item, item_text, window), "windows")
+    raised = settle(benchmark_windows(items, item, item_text, window), "item-windows")
+    # A window that many items share is met once; who owns it is looked up at the end.
+    windows = settle(raised.drop("item").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
+    owners = settle(raised.join(windows, ["length", "hash", "offset", "words"]).select("window", "item"), "owners")
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
-    bits = spark.sparkContext.broadcast(_filter_bits(windows))
+    bits = spark.sparkContext.broadcast(_filter_bits(windows.select("hash").distinct()))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, filled = process_value("winnow-words", WordHashes), bits.value
+        mask = np.uint64(32 * len(filled) - 1)
         hit_type = pa.list_(pa.struct([("length", pa.int32()), ("hash", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("around", pa.list_(pa.binary()))]))
         for batch in batches:
             n_words, hits = [], []
@@ -138,7 +144,7 @@ def contamination(
                 hashes = _hashes(words, known)
                 for length in lengths:
                     place, gram = winnow(hashes, length)
-                    low = gram & np.uint64((1 << FILTER_BITS) - 1)
+                    low = gram & mask
                     maybe = (filled[(low >> np.uint64(5)).astype(np.int64)] >> (low & np.uint64(31)).astype(np.uint32)) & 1 == 1
                     k = gram_length(length)
                     for at, h in zip(place[maybe].tolist(), gram[maybe].view(np.int64).tolist()):
@@ -158,28 +164,37 @@ def contamination(
     start = F.col("at") - F.col("offset")
     window_words = F.slice("around", F.col("at") - F.col("offset") - F.col("first") + 1, F.col("length"))
     matched = hits.join(windows, ["length", "hash"]).where(start >= F.col("first")).where(window_words == F.col("words"))
-    matched = settle(matched.select("row", start.alias("a"), (start + F.col("length")).alias("b"), "item").distinct(), "matches")
-
-    found = matched.select("row", "item").distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("names"))
+    matched = settle(matched.select("row", start.alias("a"), (start + F.col("length")).alias("b"), "window").distinct(), "matches")
+
+    # Documents that hold the same windows have the same items, so these are gathered once per set of windows.
+    held = settle(matched.select("row", "window").distinct().groupBy("row").agg(F.array_sort(F.collect_list("window")).alias("set")), "held")
+    sets = settle(held.select("set").distinct().withColumn("id", F.monotonically_increasing_id()), "window-sets")
+    named = sets.select("id", F.explode("set").alias("window")).join(owners, "window").select("id", "item").distinct()
+    named = named.groupBy("id").agg(F.array_sort(F.collect_list("item")).alias("names"))
+    named = named.select("id", F.size("names").cast("long").alias("n_items"), _digest(F.col("names")).alias("items_sha256"))
+    found = held.join(sets, "set").join(named, "id").select("row", "n_items", "items_sha256")
     hit = matched.groupBy("row", "a").agg(F.max("b").alias("b"))
     ordered = Window.partitionBy("row").orderBy("a")
     reach = F.max("b").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     runs = hit.withColumn("new", (reach.isNull() | (reach < F.col("a"))).cast("int")).withColumn("run", F.sum("new").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     spans = runs.groupBy("row", "run").agg(F.min("a").alias("start"), F.max("b").alias("end"))
     spans = spans.groupBy("row").agg(F.sum(F.col("end") - F.col("start")).cast("long").alias("n_hit"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    none = F.array().cast("array<string>")
     return (
         scanned.drop("hits")
         .join(spans, "row", "left")
         .join(found, "row", "left")
-        .withColumn("names", F.coalesce("names", none))
         .select(
-            *[F.col("kept")[c].alias(c) for c in kept], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size("names").cast("long").alias("n_items"),
-            F.sha2(F.concat_ws(",", "names").cast("binary"), 256).alias("items_sha256"), F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+            *[F.col("kept")[c].alias(c) for c in kept], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+            F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", _digest(F.array().cast("array<string>"))).alias("items_sha256"),
+            F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
         )
     )
 
 
+def _digest(names: Column) -> Column:
+    return F.sha2(F.concat_ws(",", names).cast("binary"), 256)
+
+
 def is_contaminated() -> Column:
     """Hit words make up a twentieth of all words or more."""
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
