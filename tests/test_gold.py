@@ -310,3 +310,38 @@ def test_build_hybrid_gold(spark, tmp_path):
     ]
     no_book = gold.build_all_gold(spark, silver_root, gold_root, "2026-06-01", [dataset], str(tmp_path / "none"))
     assert rows(no_book, "status", "missing_inputs") == [("skipped", "gold_l2_m1")]
+
+
+def test_a_lenient_build_without_good_book_rows_is_empty(spark, tmp_path):
+    silver_root, gold_root, l2_root = (str(tmp_path / n) for n in ("silver", "gold", "l2"))
+    dataset = "gold.hybrid.full_l2.m1"
+    raw = raw_inputs(spark, dataset, TWO) | {"gold_l2_m1": l2_rows(spark, [1.2, 1.5])}
+    for n in gold.gold_inputs(dataset):
+        time = {"spot": "open_time", "perp": "open_time", "funding_1m_feature": "timestamp"}.get(n, "timestamp_m1")
+        lake.write_silver(silver_rows(spark, n, TWO), silver_root, n, "1m", time)
+
+    def build(ratios, name, **options):
+        folder = f"{l2_root}/exchange=deribit/symbol=BTC/version=v1/build_id={name}"
+        l2_rows(spark, ratios).coalesce(1).write.parquet(folder)
+        return gold.build_gold(spark, silver_root, gold_root, dataset, "2026-06-01", l2_root=l2_root, l2_mode="lenient", **options)
+
+    with pytest.raises(ValueError, match="the order-book check leaves no rows"):
+        build([1.2, 1.5], "a")
+    assert build([1.2, 1.5], "b", may_be_empty=True).count() == 0
+    empty = gold.read_gold(spark, gold_root, dataset, raw)
+    assert empty.count() == 0
+    assert build([0.5, 1.5], "c", may_be_empty=True).count() == 1
+    stored = gold.read_gold(spark, gold_root, dataset, raw)
+    assert rows(stored, "exchange", "symbol", "feature_set_version", "l2_coverage_ratio") == [("deribit", "BTC", "v1.0.0", 0.5)]
+    assert stored.dtypes == empty.dtypes == spark.read.parquet(f"{gold_root}/dataset_id={dataset}").dtypes
+
+
+def test_the_hybrid_build_over_busy_hours_is_empty_as_its_sql_says(spark, tmp_path):
+    from tidelake.catalog import QUERIES
+
+    hour = ts("2024-01-01 05:00:00").timestamp()
+    made = [(i, hour + i * 20.0, i % 3, "click" if i % 2 else "view", 5.0, '{"k": 20}') for i in range(90)]
+    events = spark.createDataFrame(made, "event_id long, at double, user_id long, event_type string, value double, props string")
+    events.select("event_id", F.col("at").cast("timestamp").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props").write.parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["gold_hybrid_build"](spark, str(tmp_path))
+    assert got.count() == 0 and {"l2_coverage_ratio", "l2_invalid_rows_found", "rows_out"} <= set(got.columns)

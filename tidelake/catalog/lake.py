@@ -21,6 +21,7 @@ from tidelake.schemas import (
     BRONZE_PARTITIONS,
     BRONZE_PARTITIONS_OLD,
     BRONZE_SCHEMAS,
+    L2_INPUT,
     SILVER_COLUMNS,
 )
 from tidelake.session import scratch_dir
@@ -966,15 +967,19 @@ _HYBRID = "gold.hybrid.full_l2.m1"
     "hybrid_lenient",
 )
 def gold_hybrid_build(f):
-    """The build over silver tables and the newest order-book artifacts, as stored, next to what its manifest says."""
+    """The build over silver tables and the newest order-book artifacts, as stored, next to what its manifest says.
+
+    A symbol whose order-book rows are all bad has no rows; where that holds for every symbol, nothing is built.
+    """
     silver_root, l2_root, gold_root = (scratch_dir(f.spark, n) for n in ("silver", "l2", "gold"))
+    raw = {n: f.silver(n) for n in gold.gold_inputs(_HYBRID)} | {L2_INPUT: f.l2()}
     times = {"spot": "open_time", "perp": "open_time", "funding_1m_feature": "timestamp"}
     for name in [*_WITHOUT_OPTIONS, "option_trades_1m_feature"]:
-        lake.write_silver(f.silver(name), silver_root, name, "1m", times.get(name, "timestamp_m1"))
+        lake.write_silver(raw[name], silver_root, name, "1m", times.get(name, "timestamp_m1"))
     for build, shift in (("older", 0.5), ("newer", 0.0)):
         rows = f.l2().withColumns({"coverage_ratio": F.col("coverage_ratio") + shift, "version": F.lit("7"), "build_id": F.lit(build)})
         rows.write.mode("append").partitionBy("exchange", "symbol", "version", "build_id").parquet(l2_root)
-    facts = gold.build_gold(f.spark, silver_root, gold_root, _HYBRID, _LANDED, l2_root=l2_root, l2_mode="lenient")
+    facts = gold.build_gold(f.spark, silver_root, gold_root, _HYBRID, _LANDED, l2_root=l2_root, l2_mode="lenient", may_be_empty=True)
     told = facts.select("exchange", "symbol", "l2_validation_mode", "l2_invalid_rows_found", "l2_invalid_rows_dropped", "rows_out")
-    stored = f.spark.read.parquet(f"{gold_root}/dataset_id={_HYBRID}").drop("feature_set_version")
+    stored = gold.read_gold(f.spark, gold_root, _HYBRID, raw).drop("feature_set_version")
     return rounded(stored.join(told, ["exchange", "symbol"]), 6, *TRADE_SUMS)

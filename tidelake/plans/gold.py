@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelake.functions.hashing import columns_hash, json_hash
 from tidelake.functions.symbols import canon_symbol
@@ -15,9 +16,10 @@ from tidelake.operators import governance, quality
 from tidelake.operators.grid import grid_left_join, input_bounds, joint_span, minute_grid
 from tidelake.operators.profile import metadata_json, metadata_parts, span_coverage
 from tidelake.operators.small import join_small, settle
-from tidelake.schemas import BAR_COLUMNS, GOLD_INPUTS, GOLD_KEY, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
+from tidelake.schemas import BAR_COLUMNS, GOLD_INPUTS, GOLD_KEY, GOLD_PARTITIONS, GOLD_WITH_L2, L2_INPUT, gold_inputs, source_key
 from tidelake.sources.lake import latest_artifact, list_artifacts, read_latest_artifacts, read_silver, silver_symbols, write_gold
 from tidelake.sources.manifests import append_manifests, read_manifests, with_contract
+from tidelake.sources.paths import read_if_there
 
 BIGINT_BARS = {"trade_count", "buy_trade_count", "sell_trade_count"}
 
@@ -380,6 +382,8 @@ def build_gold(
     if manifest.isEmpty():
         if may_be_empty:
             return manifest
+        if counts is not None and not counts.isEmpty():
+            raise ValueError(f"the order-book check leaves no rows of {dataset_id}")
         raise ValueError(f"no symbol has all inputs of {dataset_id}")
     versions = manifest.select("exchange", "symbol", F.col("dataset_version").alias("_version"))
     labelled = join_small(merged, versions, ["exchange", "symbol"]).withColumnRenamed("_version", "feature_set_version")
@@ -389,6 +393,17 @@ def build_gold(
     return manifest
 
 
+def read_gold(spark: SparkSession, gold_root: str, dataset_id: str, raw: dict[str, DataFrame]) -> DataFrame:
+    """Stored rows of a gold dataset that is made of ``raw``, with version, exchange and symbol; none if no symbol was built."""
+    prepared = [prepare(n, frame) for n, frame in raw.items()]
+    fields = [f for frame in prepared for f in frame.schema if f.name not in GOLD_KEY]
+    levels = [T.StructField(c, T.StringType()) for c in GOLD_PARTITIONS if c != "dataset_id"]
+    schema = T.StructType([prepared[0].schema["timestamp_m1"], *fields, *levels])
+    place = f"{gold_root}/dataset_id={dataset_id}"
+    stored = read_if_there(spark, place, place, schema)
+    return spark.createDataFrame([], schema) if stored is None else stored
+
+
 BUILT_FIELDS = ["dataset_id", "exchange", "symbol", "dataset_version", "rows_out"]
 
 
