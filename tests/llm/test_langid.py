@@ -192,3 +192,34 @@ def test_no_rejection_by_a_mean_that_was_not_measured(spark):
     far = -model.floor * 100
     accepted = langid._answers(np.array([[2 * far, far, 100.0], [far, 2 * far, 100.0]]), model)[2]
     assert accepted.to_pylist() == [True, False]
+
+
+def test_calibration_sees_every_row(spark, monkeypatch):
+    """The fit over all rows by plain numpy, with more rows than are ever sorted whole; one row is far from the others."""
+    ship(spark)
+    rng = random.Random(4)
+    texts = [(lang := rng.choice(["aa", "bb"]), sentence(lang if rng.random() < 0.9 else "cc", rng, rng.randrange(1, 9))) for _ in range(2500)]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)] + [(7, texts[7][1], texts[7][0])] * 50, "doc_id long, text string, lang string")
+    model = langid.fit(df, calibration_rows=64)
+    out = langid.predict(df.dropDuplicates(["doc_id"]), model).toPandas()
+    excess = np.empty(len(out))
+    for i, name in enumerate(model.languages):
+        own = (out.lang_pred == name).to_numpy()
+        assert math.isclose(model.mean[i], np.median(out.cross_entropy[own]), rel_tol=1e-9)
+        excess[own] = langid._excess(out.cross_entropy[own], out.n_letters[own], model.mean[i], -model.floor)
+    assert math.isclose(model.cutoff, max(0.5, 1.5 * np.quantile(excess, 0.999)), rel_tol=1e-9)
+    x, right = (out.margin * np.sqrt(out.n_letters)).to_numpy(), (out.lang == out.lang_pred).to_numpy()
+    y = np.where(right, (right.sum() + 1) / (right.sum() + 2), 1 / ((~right).sum() + 2))
+    p = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -30, 30)))
+    assert abs(((p - y) * x).sum() + 1e-3 * model.slope) < 1e-4 and abs((p - y).sum() + 1e-3 * model.offset) < 1e-4
+
+
+def test_identify_is_fit_and_predict(spark, corpus):
+    ship(spark)
+    df = spark.createDataFrame(corpus, "doc_id long, text string, lang string")
+    learn = langid.F.col("doc_id") % 4 != 2
+    columns = ["doc_id", "lang_pred", "accepted", "n_letters", "score", "cross_entropy"]
+    for grams in (10**6, 20):
+        want = langid.predict(df, langid.fit(df.where(learn), max_grams=grams)).select(columns).toPandas().sort_values(columns).reset_index(drop=True)
+        got = langid.identify(df, learn, max_grams=grams, keep=["doc_id"]).select(columns).toPandas().sort_values(columns).reset_index(drop=True)
+        assert want[columns[:4]].equals(got[columns[:4]]) and np.allclose(want[columns[4:]], got[columns[4:]], atol=1e-9)

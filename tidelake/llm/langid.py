@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -290,72 +290,131 @@ def fit(
 
     Counts cover every row and the model every n-gram. Up to ``max_grams`` of the longest n-grams (fewer with more than
     eight languages) make a model that is sent to the workers; a larger one stays in tables, with the same results.
-    Confidence and rejection are calibrated on about ``calibration_rows`` distinct rows with a letter, an equal share of
-    them and at least ``LEAST_DRAWN`` per language (or all it has), drawn by the hash of ``key`` and text. A table without
-    rows to learn from gives a model that answers ``und`` to everything.
+    Confidence and rejection are calibrated on all distinct rows (of ``key`` and text) with a letter; ``calibration_rows``
+    only says up to how many values of a language are sorted on the driver as they are, see :func:`_quantiles`. A table
+    without rows to learn from gives a model that answers ``und`` to everything. Who goes on to predict the same rows has
+    :func:`identify`, which scores them once.
     """
+    model = _learned(docs, text, lang, max_grams)
+    if model.languages:
+        known = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("l"), F.xxhash64(key, text_bytes(text)).alias("h"), F.col(text).alias("t"))
+        scored = predict(known, model, "t").select("l", "h", "lang_pred", "cross_entropy", "margin", "n_letters")
+        _calibrate(model, settle(scored, "scored"), calibration_rows)
+    return model
+
+
+def identify(
+    docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", max_grams: int = 1_000_000,
+    calibration_rows: int = 4096, keep: list[str] | None = None,
+) -> DataFrame:
+    """:func:`predict` for all of ``docs``, or their columns ``keep``, by the model :func:`fit` makes of those that ``learn`` holds for; each text is scored once."""
+    model = _learned(docs.where(learn), text, lang, max_grams)
+    kept = others(docs, RESULT.names) if keep is None else keep
+    taught, hashed = fresh(docs, "_taught", "_hash")
+    marked = docs.withColumns({taught: F.when(learn, F.col(lang)), hashed: F.xxhash64(key, text_bytes(text))})
+    scored = settle(predict(marked, model, text).select(*kept, taught, hashed, *RESULT.names), "scored")
+    if model.languages:
+        known = scored.where(F.col(taught).isNotNull()).select(F.col(taught).alias("l"), F.col(hashed).alias("h"), "lang_pred", "cross_entropy", "margin", "n_letters")
+        _calibrate(model, known, calibration_rows)
+    return _judged(scored, model).select(*kept, *RESULT.names)
+
+
+def _learned(docs: DataFrame, text: str, lang: str, max_grams: int) -> LanguageModel:
+    """The model without its calibration."""
     counts = settle(count_grams(docs, text, lang), "counts")
     names = sorted(r[0] for r in docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(lang).distinct().collect())
     if counts.count() > min(max_grams, 8 * max_grams // max(len(names), 1)):
         tables, floor = table_levels(counts, names)
-        model = LanguageModel(names, [], floor, tables=tables)
-    else:
-        rows = counts.toArrow()
-        grams = np.frombuffer(b"".join(rows.column("gram").to_pylist()), "<u4").reshape(-1, ORDER)
-        index = {name: i for i, name in enumerate(names)}
-        language = np.fromiter((index[x] for x in rows.column("lang").to_pylist()), np.int64, rows.num_rows)
-        levels, floor = build_levels(grams, language, rows.column("n").to_numpy(), max(len(names), 1))
-        model = LanguageModel(names, levels, floor)
-    if names:
-        _calibrate(model, docs, key, text, lang, calibration_rows)
-    return model
+        return LanguageModel(names, [], floor, tables=tables)
+    rows = counts.toArrow()
+    grams = np.frombuffer(b"".join(rows.column("gram").to_pylist()), "<u4").reshape(-1, ORDER)
+    index = {name: i for i, name in enumerate(names)}
+    language = np.fromiter((index[x] for x in rows.column("lang").to_pylist()), np.int64, rows.num_rows)
+    levels, floor = build_levels(grams, language, rows.column("n").to_numpy(), max(len(names), 1))
+    return LanguageModel(names, levels, floor)
+
 
+def _quantiles(values: DataFrame, q: float, whole: int) -> dict:
+    """The exact ``q`` quantile of ``v`` per ``g``, linear between neighbours as numpy's.
 
-#: As many rows of every language, at least, are drawn for calibration; all of a language that has fewer.
-LEAST_DRAWN = 1024
+    Up to ``whole`` values of a group are sorted as they are. Of more, those between two estimates that enclose the quantile
+    come to the driver (about two in a thousand to each side), and the rest is counted.
+    """
+    reach = 0.002 + 3 / whole
+    ends = F.percentile_approx("v", [max(q - reach, 0.0), min(q + reach, 1.0)], 10_000)
+    found = values.groupBy("g").agg(F.count("v").alias("n"), ends.alias("p")).collect()
+    if not found:
+        return {}
+    bounds = [(r.g, *(r.p if r.n > whole else (-math.inf, math.inf))) for r in found]
+    kind = T.StructType([T.StructField("g", values.schema["g"].dataType), *T.StructType.fromDDL("lo double, hi double").fields])
+    placed = values.join(F.broadcast(values.sparkSession.createDataFrame(bounds, kind)), "g")
+    near = placed.select("g", F.when(F.col("v") < F.col("lo"), -math.inf).when(F.col("v") <= F.col("hi"), F.col("v")).otherwise(math.inf).alias("v"))
+    cells: dict = {}
+    for r in near.groupBy("g", "v").count().collect():
+        cells.setdefault(r.g, []).append((r.v, r["count"]))
+    out = {}
+    for r in found:
+        v, n = (np.array(x) for x in zip(*sorted(cells[r.g])))
+        at = (r.n - 1) * q
+        low, high = v[np.searchsorted(np.cumsum(n), [math.floor(at), math.ceil(at)], side="right")]
+        out[r.g] = float(low + (high - low) * (at - math.floor(at)))
+    return out
 
 
-def _calibrate(model: LanguageModel, docs: DataFrame, key: str, text: str, lang: str, rows: int) -> None:
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    known = known.select(text_bytes(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(key, text_bytes(text)).alias("h"))
-    total = {r.l: r.n for r in known.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).collect()}
-    bound = max(rows // len(model.languages), LEAST_DRAWN)
-    # The counts are estimates: a language that may not exceed the bound by much is drawn whole.
-    share = {name: 1.0 if n <= 1.2 * bound else bound / n for name, n in total.items()}
-    limits = F.get(F.lit([share.get(name, 1.0) * (1 << 20) for name in model.languages]), F.array_position(F.lit(model.languages), F.col("l")).cast("int") - 1)
-    drawn = known.where(F.pmod(F.col("h"), F.lit(1 << 20)) < limits).groupBy("l", "h").agg(F.first("t").alias("t"))
-    sample = predict(drawn.select("t", "l"), model, "t")
-    seen = sample.where(F.col("n_letters") > 0).select("l", "lang_pred", "margin", "cross_entropy", "n_letters").toArrow().to_pydict()
-    if not seen["l"]:
+def _calibrate(model: LanguageModel, scored: DataFrame, whole: int) -> None:
+    """Fit confidence and rejection to all distinct rows (by ``l`` and ``h``) of scored texts of known language ``l``."""
+    facts = F.first(F.struct("lang_pred", "cross_entropy", "margin", "n_letters")).alias("s")
+    rows = settle(scored.where("n_letters > 0").groupBy("l", "h").agg(facts).select("l", "s.*"), "calibration")
+    right = F.col("l") == F.col("lang_pred")
+    yes, n = rows.agg(F.count_if(right), F.count(F.lit(1))).first()
+    if not n:
         return
-    truth, answer, entropy, letters = (np.array(seen[c]) for c in ("l", "lang_pred", "cross_entropy", "n_letters"))
-    margin = np.array(seen["margin"]) * np.sqrt(letters)
-    right = truth == answer
-    # Languages weigh in the confidence as in all rows, though more of a rare one are drawn.
-    weight = np.array([1 / share[x] for x in seen["l"]])
-    weight /= weight.mean()
     # Platt's targets keep the fit finite when all answers are right.
-    yes, no = weight[right].sum(), weight[~right].sum()
-    target = np.where(right, (yes + 1) / (yes + 2), 1 / (no + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-        w, off = weight * np.maximum(p * (1 - p), 1e-6), weight * (p - target)
-        gradient = np.array([(off * margin).sum() + 1e-3 * a, off.sum() + 1e-3 * b])
-        hessian = np.array([[(w * margin * margin).sum() + 1e-3, (w * margin).sum()], [(w * margin).sum(), w.sum() + 1e-3]])
-        step = np.linalg.solve(hessian, gradient)
-        a, b = a - np.clip(step[0], -2, 2), b - np.clip(step[1], -2, 2)
+    target = F.when(right, (yes + 1) / (yes + 2)).otherwise(1 / (n - yes + 2))
+    margin = F.col("margin") * F.sqrt("n_letters")
+    points = rows.select(margin.alias("x"), target.alias("y"))
+    # Newton's method; a step that does not bring the loss down is halved.
+    at, step, least, best = np.array([1.0, 0.0]), np.zeros(2), math.inf, np.zeros(2)
+    for _ in range(100):
+        z = float(at[0]) * F.col("x") + float(at[1])
+        p = 1 / (1 + F.exp(-F.least(F.greatest(z, F.lit(-30.0)), F.lit(30.0))))
+        w, off = F.greatest(p * (1 - p), F.lit(1e-6)), p - F.col("y")
+        loss = F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - F.col("y") * z
+        r = points.agg(*[F.sum(c) for c in (loss, off * F.col("x"), off, w * F.col("x") * F.col("x"), w * F.col("x"), w)]).first()
+        total = r[0] + 5e-4 * float(at @ at)
+        if total < least:
+            least, best = total, at
+            step = np.linalg.solve(np.array([[r[3] + 1e-3, r[4]], [r[4], r[5] + 1e-3]]), np.array([r[1], r[2]]) + 1e-3 * at)
+            step = np.clip(step, -2, 2)
+        else:
+            step = step / 2
+        at = best - step
+        if np.abs(step).max() < 1e-7:
+            break
+    a, b = at
     model.slope, model.offset = max(float(a), 0.05), float(b)
-    # A language that no drawn row is taken for has no usual cross-entropy; nothing is rejected by it.
-    mean, excess = np.full(len(model.languages), np.nan), []
-    for i, name in enumerate(model.languages):
-        own = answer == name
-        if own.any():
-            mean[i] = np.median(entropy[own])
-            excess += _excess(entropy[own], letters[own], mean[i], -model.floor).tolist()
-    model.mean = mean
+    # A language that no row is taken for has no usual cross-entropy; nothing is rejected by it.
+    usual = _quantiles(rows.select(F.col("lang_pred").alias("g"), F.col("cross_entropy").alias("v")), 0.5, whole)
+    model.mean = np.array([usual.get(name, math.nan) for name in model.languages])
+    excess = _quantiles(rows.select(F.lit(0).alias("g"), _excess_column(model).alias("v")), 0.999, whole)
     # Half the way to characters drawn at random, or half as far again as all but a thousandth of the learned rows.
-    model.cutoff = max(0.5, 1.5 * float(np.quantile(excess, 0.999)))
+    model.cutoff = max(0.5, 1.5 * excess[0])
+
+
+def _excess_column(model: LanguageModel) -> Column:
+    """:func:`_excess` of scored texts; null where it was not measured."""
+    mean = F.get(F.lit(model.mean.tolist()), F.array_position(F.lit(model.languages), F.col("lang_pred")).cast("int") - 1)
+    mean = F.nullif(mean, F.lit(math.nan))
+    return (F.col("cross_entropy") - mean - 2.0 / F.sqrt("n_letters")) / F.greatest(-model.floor - mean, F.lit(0.5))
+
+
+def _judged(scored: DataFrame, model: LanguageModel) -> DataFrame:
+    """Scored texts with the score and acceptance of a model that was calibrated since."""
+    known = F.col("n_letters") > 0
+    logit = model.slope * F.col("margin") * F.sqrt("n_letters") + model.offset
+    score = 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0))))
+    accepted = known if model.mean is None else known & ~F.coalesce(_excess_column(model) > model.cutoff, F.lit(False))
+    return scored.withColumns({"score": F.when(known, score).otherwise(0.0), "accepted": accepted})
 
 
 def _excess(entropy, letters, mean, uniform):

@@ -52,8 +52,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     held_out = crc_split(F.col("doc_id"), 4, 2)
-    model = langid.fit(docs.where(~held_out))
-    scored = langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    scored = langid.identify(docs.select("doc_id", "lang", held_out.alias("held_out"), "text"), ~F.col("held_out"), keep=["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "lang_pred", "score", "accepted", "cross_entropy")
 
 
