@@ -22,9 +22,9 @@ def unnamed(docs: DataFrame) -> tuple[DataFrame, str]:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; ``lang`` and all other columns stay as they are."""
     ship(spark)
-    model = langid.fit(docs.where(~crc_split(F.col("doc_id"), 4, 2)))
     numbered, text = unnamed(docs)
-    return langid.predict(numbered, model, text).where("accepted").select(*numbered.columns).toDF(*docs.columns)
+    key, lang = (numbered.columns[docs.columns.index(c)] for c in ("doc_id", "lang"))
+    return langid.identify(numbered, ~crc_split(F.col(key), 4, 2), key, text, lang).where("accepted").select(*numbered.columns).toDF(*docs.columns)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

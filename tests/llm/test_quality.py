@@ -185,3 +185,22 @@ def test_any_key_type_and_names_in_any_case(spark):
     model = quality.fit(docs, spark.createDataFrame([(k, g) for k, _, g in rows], "doc_id string, quality int"))
     out = quality.grade(docs, model)
     assert out.columns == ["doc_id", "text", "_bytes", "expected_grade", "tail_probability", "grade", "accepted"] and out.count() == 200
+
+
+def test_every_rating_is_learned_from(spark, monkeypatch):
+    """Parts become more with the ratings; none is left out."""
+    ship(spark)
+    seen = {}
+
+    def recorded(df, label="settled"):
+        seen[label] = settle(df, label)
+        return seen[label]
+
+    settle = quality.settle
+    monkeypatch.setattr(quality, "settle", recorded)
+    docs = spark.createDataFrame([(i, "good words here" if i % 3 else "BAD !!! 000") for i in range(700)], "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(700)], "doc_id long, quality int")
+    model = quality.fit(docs, ratings, part_rows=100)
+    assert seen["features"].count() == 700 and seen["features"].select("part").distinct().count() == 7
+    wrong = quality.grade(docs, model).join(ratings, "doc_id").where("grade <> quality")
+    assert wrong.count() == 0

@@ -110,19 +110,19 @@ def descend(weights, thresholds, batches, rate: float, decay: float, epochs: int
 
 def fit(
     docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "quality",
-    max_rows: int = 20_000, parts: int = 4, rounds: int = 4,
+    parts: int = 4, part_rows: int = 5_000, rounds: int = 4,
 ) -> OrdinalModel:
-    """The model from a bounded sample of rated documents.
+    """The model from all rated documents.
 
-    About ``max_rows`` ratings are drawn by the hash of their key; null keys and grades are left out, of a key with
-    several grades the lowest counts. Weights are learned in ``parts`` parts at a time, which start each of the
-    ``rounds`` from the mean of the last. One grade alone, or none, gives a model that always answers it (or 0).
+    Null keys and grades are left out, of a key with several grades the lowest counts. Weights are learned in parts at a
+    time, of about ``part_rows`` ratings each and ``parts`` at least, which start each of the ``rounds`` from the mean of
+    the last. One grade alone, or none, gives a model that always answers it (or 0).
     """
     spark = docs.sparkSession
     rated = ratings.where(F.col(key).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(grade).cast("int").alias("_grade"))
-    share = min(1.0, max_rows / max(rated.count(), 1))
-    drawn = settle(rated.where(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) < share * (1 << 20)), "ratings")
-    held = docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_text")).join(F.broadcast(drawn), "_key")
+    rated = settle(rated, "ratings")
+    parts = max(parts, -(-rated.count() // part_rows))
+    held = docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_text")).join(rated, "_key")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
@@ -166,10 +166,18 @@ def fit(
             w, t = descend(*start.value, batches, rate=0.3, decay=1e-6, epochs=2)
             return pa.table({"n": [n], "weights": [w.tobytes()], "thresholds": [t.tobytes()]})
 
-        learned = rows.groupBy("part").applyInArrow(learn, "n long, weights binary, thresholds binary").collect()
-        counts = np.array([r.n for r in learned], np.float64) / sum(r.n for r in learned)
-        weights = sum(c * np.frombuffer(r.weights) for c, r in zip(counts, learned))
-        thresholds = sum(c * np.frombuffer(r.thresholds) for c, r in zip(counts, learned))
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            w, t = np.zeros(SIZE), np.zeros(len(grades) - 1)
+            for batch in batches:
+                for r in batch.to_pylist():
+                    w += r["n"] / total * np.frombuffer(r["weights"])
+                    t += r["n"] / total * np.frombuffer(r["thresholds"])
+            yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([t.tobytes()])], ["weights", "thresholds"])
+
+        learned = rows.groupBy("part").applyInArrow(learn, "n long, weights binary, thresholds binary")
+        learned = learned.mapInArrow(merge, "weights binary, thresholds binary").collect()
+        weights = sum(np.frombuffer(r.weights) for r in learned)
+        thresholds = sum(np.frombuffer(r.thresholds) for r in learned)
     return OrdinalModel(weights, thresholds, grades)
 
 
