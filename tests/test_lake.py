@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from conftest import ts
@@ -403,3 +404,24 @@ def test_combined_rows_are_in_order(spark, market_lake):
     start = datetime(2026, 5, 1, tzinfo=timezone.utc)
     stats = combined.export_stats(spark, market_lake, start, start + timedelta(days=1))
     assert "Sort [" not in stats._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_bronze_lake_holds_the_feeds_asked_for_once(spark, tmp_path):
+    from tidelake.catalog.base import Feeds
+    from tidelake.catalog.lake import bronze_lake
+
+    made = [(i, f"2024-01-0{1 + i % 3} 00:{i % 60:02d}:20", i % 3, "click" if i % 2 else "view", 5.0, '{"k": 95}') for i in range(60)]
+    events = spark.createDataFrame(made, "event_id long, at string, user_id long, event_type string, value double, props string")
+    events.select("event_id", F.col("at").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props").write.parquet(str(tmp_path / "events.parquet"))
+    f = Feeds(spark, str(tmp_path))
+
+    def held(root):
+        return {p.name: sorted(str(x) for x in p.rglob("*.parquet")) for p in Path(root).glob("dataset_type=*")}
+
+    root = bronze_lake(f, "spot")
+    spot = held(root)
+    assert list(spot) == ["dataset_type=spot"]
+    assert bronze_lake(Feeds(spark, str(tmp_path)), "spot", "funding", "perp_trades") == root
+    assert held(root)["dataset_type=spot"] == spot["dataset_type=spot"]
+    assert set(held(root)) == {"dataset_type=spot", "dataset_type=funding", "dataset_type=perp_trades"}
+    assert [lake.scan_lake(spark, root, d).count() for d in ("spot", "funding", "perp_trades", "oi")] == [60, 120, 90, 0]

@@ -40,28 +40,30 @@ def _cols(names: list[str]) -> str:
 def _days(df, root: str, partitions: list[str] = BRONZE_PARTITIONS) -> None:
     rows = lake.with_partitions(df)
     rows = rows if "year" in partitions else rows.drop("year")
-    pieces = df.sparkSession.sparkContext.defaultParallelism
-    ordered = rows.repartitionByRange(pieces, *partitions, "open_time")
-    ordered.write.mode("append").partitionBy(*partitions).parquet(root)
+    writer = rows.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(root)
 
 
-def bronze_lake(f) -> str:
-    """A bronze lake of all feeds, written once per session and data folder.
+def bronze_lake(f, *datasets: str) -> str:
+    """A bronze lake with the feeds of ``datasets`` at least, each written once per session and data folder, when first asked for.
 
     First deliveries of ticks have the ``year=`` level in their folders, second deliveries lack it.
     """
-    key = (f.spark.sparkContext.applicationId, f.content, "bronze")
-    if key not in _written:
-        root = scratch_dir(f.spark, "bronze")
-        ticks = f.ticks()
-        _days(ticks.where("run_id = 'run-0'"), root)
-        _days(ticks.where("run_id <> 'run-0'"), root, BRONZE_PARTITIONS_OLD)
-        for market in ("spot", "perp"):
-            _days(f.minute_candles(market), root)
-        _days(f.funding(), root)
-        _days(silver.type_oi(f.oi()).where("length(symbol) > 0").drop("timestamp"), root)
-        _written[key] = root
-    return _written[key]
+    own = f.spark.sparkContext.applicationId, f.content
+    root = _written.setdefault((*own, "bronze"), scratch_dir(f.spark, "bronze"))
+    for dataset in datasets:
+        if (*own, dataset) in _written:
+            continue
+        if dataset == "perp_trades":
+            ticks = f.ticks()
+            _days(ticks.where("run_id = 'run-0'"), root)
+            _days(ticks.where("run_id <> 'run-0'"), root, BRONZE_PARTITIONS_OLD)
+        elif dataset == "oi":
+            _days(silver.type_oi(f.oi()).where("length(symbol) > 0").drop("timestamp"), root)
+        else:
+            _days(f.funding() if dataset == "funding" else f.minute_candles(dataset), root)
+        _written[(*own, dataset)] = root
+    return root
 
 
 def silver_lake(f) -> str:
@@ -81,23 +83,23 @@ def silver_lake(f) -> str:
 
 @query("scan_lake", f"SELECT {_cols(_TICK)}, strftime(open_time, '%Y') AS year, strftime(open_time, '%Y-%m') AS month, strftime(open_time, '%Y-%m-%d') AS date FROM ticks", "ticks")
 def scan_lake(f):
-    return lake.scan_lake(f.spark, bronze_lake(f), "perp_trades")
+    return lake.scan_lake(f.spark, bronze_lake(f, "perp_trades"), "perp_trades")
 
 
 @query("scan_month", f"SELECT {_cols(_CANDLE)} FROM spot1 WHERE symbol = 'BTC_USDC' AND strftime(open_time, '%Y-%m') = '2024-01'", "spot1")
 def scan_month(f):
-    month = lake.scan_lake(f.spark, bronze_lake(f), "spot", EXCHANGE, "spot", "BTC_USDC", "1m", months="2024-01")
+    month = lake.scan_lake(f.spark, bronze_lake(f, "spot"), "spot", EXCHANGE, "spot", "BTC_USDC", "1m", months="2024-01")
     return month.select(*_CANDLE)
 
 
 @query("discover_symbols", "SELECT DISTINCT symbol FROM spot1", "spot1")
 def discover_symbols(f):
-    return lake.discover_symbols(f.spark, bronze_lake(f), "spot", EXCHANGE, "1m")
+    return lake.discover_symbols(f.spark, bronze_lake(f, "spot"), "spot", EXCHANGE, "1m")
 
 
 @query("discover_months", "SELECT DISTINCT strftime(open_time, '%Y-%m') AS month FROM ticks WHERE exchange = 'DERIBIT'", "ticks")
 def discover_months(f):
-    return lake.discover_months(f.spark, bronze_lake(f), "perp_trades", "DERIBIT", "BTC-PERPETUAL", "tick")
+    return lake.discover_months(f.spark, bronze_lake(f, "perp_trades"), "perp_trades", "DERIBIT", "BTC-PERPETUAL", "tick")
 
 
 @query("discover_observed_months", "SELECT DISTINCT symbol, strftime(open_time, '%Y-%m') AS month FROM c_clean WHERE dataset_type = 'perp'", "c_clean")
@@ -144,7 +146,7 @@ def partition_columns(f):
     "ticks",
 )
 def parse_partition_path(f):
-    stored = lake.scan_lake(f.spark, bronze_lake(f), "perp_trades")
+    stored = lake.scan_lake(f.spark, bronze_lake(f, "perp_trades"), "perp_trades")
     path = stored.select(lake.parse_partition_path(F.input_file_name()).alias("p"), "trade_id")
     return path.groupBy("p.dataset_type", "p.exchange", "p.instrument_type", "p.symbol", "p.timeframe", "p.date").agg(
         F.count("trade_id").alias("rows")
@@ -157,7 +159,7 @@ def parse_partition_path(f):
     "spot1",
 )
 def stored_open_times(f):
-    return lake.stored_open_times(lake.scan_lake(f.spark, bronze_lake(f), "spot"))
+    return lake.stored_open_times(lake.scan_lake(f.spark, bronze_lake(f, "spot"), "spot"))
 
 
 @query(
@@ -166,7 +168,7 @@ def stored_open_times(f):
     "ticks",
 )
 def latest_open_time(f):
-    return lake.latest_open_time(f.spark, bronze_lake(f), "perp_trades")
+    return lake.latest_open_time(f.spark, bronze_lake(f, "perp_trades"), "perp_trades")
 
 
 # ---- upsert and sinks -----------------------------------------------------------------------------
@@ -386,7 +388,7 @@ S.CTES["spot_last"] = (
     "spot_last",
 )
 def load_typed_candles(f):
-    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f), "spot", old_columns=True), "candles")
+    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f, "spot"), "spot", old_columns=True), "candles")
 
 
 @query(
@@ -397,7 +399,7 @@ def load_typed_candles(f):
     "funding",
 )
 def load_typed_funding(f):
-    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f), "funding"), "funding")
+    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f, "funding"), "funding"), "funding")
 
 
 @query(
@@ -408,7 +410,7 @@ def load_typed_funding(f):
     "oi_typed",
 )
 def load_typed_oi(f):
-    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f), "oi"), "oi")
+    return lake.load_typed(lake.scan_lake(f.spark, bronze_lake(f, "oi"), "oi"), "oi")
 
 
 S.CTES["oi_last"] = (
@@ -434,7 +436,7 @@ _SHORT = ", ".join(f"c.{c}_price AS {c}" for c in ("open", "high", "low", "close
 def load_combined(f):
     return combined.load_combined(
         f.spark,
-        bronze_lake(f),
+        bronze_lake(f, "spot", "perp", "oi"),
         include_open_interest=True,
         exchanges=["DERIBIT"],
         symbols=["btc_usdc", "BTC-PERPETUAL", "eth-perpetual"],
@@ -501,7 +503,7 @@ S.CTES["bronze_manifest"] = (
 
 @query("manifest_bronze", "SELECT * FROM bronze_manifest", "bronze_manifest")
 def manifest_bronze(f):
-    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "spot"), "spot")
+    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f, "spot"), "spot"), "spot")
     return rows.drop("value_checksum", "feature_metadata")
 
 
@@ -521,7 +523,7 @@ def _fact_sql(field) -> str:
 @query("manifest_feature_metadata", " UNION ALL ".join(_fact_sql(c) for c in BRONZE_SCHEMAS["spot"] if c.name != "origin_payload"), "spot1")
 def manifest_feature_metadata(f):
     """The facts per column that bronze manifests carry, as rows."""
-    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "spot"), "spot")
+    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f, "spot"), "spot"), "spot")
     facts = "dtype string, null_count bigint, non_null_count bigint, min_timestamp string, max_timestamp string, mean double, std double, min double, max double"
     parsed = F.from_json("feature_metadata", f"map<string, struct<{facts.replace(' ', ':').replace(',:', ',')}>>")
     told = rows.select("symbol", "date", F.explode(parsed).alias("column_name", "fact")).select("symbol", "date", "column_name", "fact.*")
@@ -555,7 +557,7 @@ _ROW_SQL = " || '|' || ".join(_exact_sql(field) for field in BRONZE_SCHEMAS["per
     "perp1",
 )
 def manifest_bronze_checksum(f):
-    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f), "perp"), "perp")
+    rows = manifests.manifest_bronze(lake.scan_lake(f.spark, bronze_lake(f, "perp"), "perp"), "perp")
     return rows.select("symbol", "date", "rows_out", "value_checksum")
 
 
@@ -565,11 +567,11 @@ def manifest_bronze_checksum(f):
     "bronze_manifest",
 )
 def missing_manifests(f):
-    stored = lake.scan_lake(f.spark, bronze_lake(f), "spot")
+    stored = lake.scan_lake(f.spark, bronze_lake(f, "spot"), "spot")
     root = scratch_dir(f.spark, "manifests")
     manifests.write_manifests(manifests.manifest_bronze(stored.where("date < '2024-01-15'"), "spot"), root)
     shape = "dataset_type string, exchange string, instrument_type string, symbol string, timeframe string, date string"
-    days = lake.list_partitions(f.spark, bronze_lake(f), "spot")
+    days = lake.list_partitions(f.spark, bronze_lake(f, "spot"), "spot")
     return manifests.missing_manifests(days, manifests.read_manifests(f.spark, root, shape))
 
 
