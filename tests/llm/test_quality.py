@@ -204,3 +204,95 @@ def test_every_rating_is_learned_from(spark, monkeypatch):
     assert seen["features"].count() == 700 and seen["features"].select("part").distinct().count() == 7
     wrong = quality.grade(docs, model).join(ratings, "doc_id").where("grade <> quality")
     assert wrong.count() == 0
+
+
+def test_the_plan_does_not_turn_with_the_ratings_and_texts_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """Joins below and above the broadcast threshold are the same; features are shuffled for the join and once to their parts, no text is."""
+    import contextlib
+    import io
+
+    ship(spark)
+    plans = []
+    settle = quality.settle
+
+    def recorded(df, label="settled"):
+        with contextlib.redirect_stdout(out := io.StringIO()):
+            df.explain()
+        plans.append((label, out.getvalue()))
+        return settle(df, label)
+
+    monkeypatch.setattr(quality, "settle", recorded)
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t) for i, t, _ in graded(300, 5)], "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    ratings = spark.createDataFrame([(i, i % 2) for i in range(0, 300, 3)], "doc_id long, quality int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    models = []
+    try:
+        for threshold in ("10m", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            models.append(quality.fit(docs, ratings))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [plan for label, plan in plans if label == "features"]
+    assert len(joins) == 2 and all("SortMergeJoin" in p and "Broadcast" not in p for p in joins)
+    for plan in joins:  # from the top: the join, the exchange of what it gets, and below it texts made features
+        assert plan.index("SortMergeJoin") < plan.index("Exchange") < plan.index("MapInArrow") < plan.index("FileScan parquet [doc_id")
+    assert [label for label, _ in plans].count("parts") == 2
+    assert np.allclose(models[0].weights, models[1].weights)
+
+
+def test_tasks_without_ratings_send_no_weights(spark, monkeypatch):
+    """However many tasks there are, the driver gets a sum from a few of them."""
+    ship(spark)
+    got = []
+
+    def recorded(self):
+        rows = collect(self)
+        if "weights" in self.columns:
+            got.append(len(rows))
+        return rows
+
+    docs = spark.createDataFrame([(i, t) for i, t, _ in graded(300, 6)], "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, g) for i, _, g in graded(300, 6)], "doc_id long, quality int")
+    collect = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", recorded)
+    monkeypatch.setattr(quality, "MERGERS", 2)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        quality.fit(docs, ratings, part_rows=10)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 4 and max(got) <= 2
+
+
+def test_packed_parts_hold_what_was_learned_from_rows():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n = rng.integers(1, 9, 300)
+    rows = [(i, int(rng.integers(0, 2)), rng.integers(0, 99, k).astype(np.int32), rng.random(k).astype(np.float32), 5) for i, k in enumerate(n)]
+    names = ["key", "grade", "index", "value", "part"]
+    table = pa.table([pa.array([r[i] for r in rows], pa.int32() if i in (1, 4) else None) for i in range(5)], names)
+    packed = quality.pack(pa.concat_tables([table.slice(170), table.slice(0, 170)]))
+    batches = quality.unpack(packed.to_batches()[0], 0, np.array([0, 1]))
+    order = np.random.default_rng(0).permutation(300)
+    assert [len(b[3]) for b in batches] == [128, 128, 44] and packed["part"].to_pylist() == [5]
+    for i, (index, value, row, place) in enumerate(batches):
+        own = [rows[j] for j in order[128 * i : 128 * (i + 1)]]
+        assert index.tolist() == [x for r in own for x in r[2]] and place.tolist() == [r[1] for r in own]
+        assert value.tolist() == [float(x) for r in own for x in r[3]] and row.tolist() == [j for j, r in enumerate(own) for _ in r[2]]
+
+
+def test_keys_of_two_types_and_beyond_the_filter(spark):
+    """Equal keys that hash differently still meet; keys that share a filter bit with a rated one are left out by the join."""
+    ship(spark)
+    rows = graded(200, 8, 2)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id int, text string")
+    wide = spark.createDataFrame([(i, g) for i, _, g in rows[:80]], "doc_id long, quality int")
+    narrow = wide.withColumn("doc_id", wide["doc_id"].cast("int"))
+    a, b = quality.fit(docs, wide), quality.fit(docs, narrow)
+    assert np.abs(a.weights).max() > 0 and np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidelake.operators.small import settle
 from tidelake.session import scratch_dir
 
-__all__ = ["crc_split", "fresh", "others", "process_value", "scratch_dir", "settle", "ship", "spans", "text_bytes", "word_bytes"]
+__all__ = ["crc_split", "filter_bits", "fresh", "in_filter", "others", "process_value", "scratch_dir", "settle", "ship", "spans", "text_bytes", "word_bytes"]
 
 _PROCESS: dict = {}
 _SHIPPED: set[str] = set()
@@ -90,6 +90,23 @@ def crc_split(column: Column, parts: int, held: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % parts == held
 
 
+def filter_bits(hashes: DataFrame, most: int = 27) -> np.ndarray:
+    """A filter of a power of two bits, ``2 ** most`` at most, sized by the number of hashes; set bits are gathered by words of 32."""
+    size = 1 << min(most, max(10, (32 * hashes.count()).bit_length()))
+    bit = hashes.select(F.col("hash").bitwiseAND(F.lit(size - 1)).alias("b")).distinct()
+    words = bit.groupBy(F.shiftright("b", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("bits"))
+    found = words.toArrow()
+    out = np.zeros(size >> 5, np.uint32)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
+
+
+def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether each hash may be one that ``filter_bits`` was given; all that were given are."""
+    low = hashes & np.int64(32 * len(bits) - 1)
+    return (bits[low >> 5] >> (low & 31).astype(np.uint32)) & 1 == 1
+
+
 def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """All places start, start + 1, ... of each span, one span after the other."""
     return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import fresh, others, process_value, settle, text_bytes, word_bytes
+from tidelake.llm.base import filter_bits, fresh, others, process_value, settle, text_bytes, word_bytes
 
 WINDOW = 13
 #: Binary logarithm of the most bits the filter may have that spares the join document k-grams without a counterpart
@@ -102,14 +102,7 @@ def benchmark_windows(items: DataFrame, item: str, text: str, window: int) -> Da
 
 
 def _filter_bits(hashes: DataFrame) -> np.ndarray:
-    """A filter of a power of two bits, sized by the number of hashes; set bits are gathered by words of 32."""
-    size = 1 << min(FILTER_BITS, max(10, (32 * hashes.count()).bit_length()))
-    bit = hashes.select(F.col("hash").bitwiseAND(F.lit(size - 1)).alias("b")).distinct()
-    words = bit.groupBy(F.shiftright("b", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 32 as int))")).alias("bits"))
-    found = words.toArrow()
-    out = np.zeros(size >> 5, np.uint32)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return out
+    return filter_bits(hashes, FILTER_BITS)
 
 
 def contamination(

@@ -18,10 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelake.llm.base import fresh, others, process_value, settle, text_bytes
+from tidelake.llm.base import filter_bits, fresh, in_filter, others, process_value, settle, text_bytes
 
 BITS = 16
 SIZE = 1 << BITS
+#: Tasks in which the weights learned by all tasks are summed up; each sends the driver half a megabyte.
+MERGERS = 8
 _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]+"), re.compile(r"\d+")
 
 
@@ -108,6 +110,28 @@ def descend(weights, thresholds, batches, rate: float, decay: float, epochs: int
     return weights, thresholds
 
 
+def pack(table: pa.Table) -> pa.Table:
+    """The ratings of a part as one row, in the order in which they are learned."""
+    table = table.sort_by([("key", "ascending"), ("grade", "ascending")])
+    table = table.take(np.random.default_rng(0).permutation(table.num_rows)).combine_chunks()
+    index, value = (table.column(c).combine_chunks() for c in ("index", "value"))
+    return pa.table({
+        "part": table.column("part").slice(0, 1), "grade": [table.column("grade").to_numpy()], "length": [index.value_lengths().to_numpy(zero_copy_only=False)],
+        "index": [index.flatten().to_numpy()], "value": [value.flatten().to_numpy()],
+    })
+
+
+def unpack(batch: pa.RecordBatch, row: int, grades: np.ndarray, size: int = 128) -> list[tuple]:
+    """Mini-batches of a packed part, as ``descend`` takes them."""
+    grade, length, index, value = (batch.column(c)[row].values.to_numpy() for c in ("grade", "length", "index", "value"))
+    place, at = np.searchsorted(grades, grade), np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+    out = []
+    for i in range(0, len(grade), size):
+        own, cut = length[i : i + size], slice(at[i], at[min(i + size, len(grade))])
+        out.append((index[cut].astype(np.int64), value[cut].astype(np.float64), np.repeat(np.arange(len(own)), own), place[i : i + size]))
+    return out
+
+
 def fit(
     docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "text", grade: str = "quality",
     parts: int = 4, part_rows: int = 5_000, rounds: int = 4,
@@ -117,67 +141,77 @@ def fit(
     Null keys and grades are left out, of a key with several grades the lowest counts. Weights are learned in parts at a
     time, of about ``part_rows`` ratings each and ``parts`` at least, which start each of the ``rounds`` from the mean of
     the last. One grade alone, or none, gives a model that always answers it (or 0).
+
+    Texts are never shuffled: a bounded bit filter of the rated keys picks those to be spelled, and their features meet the
+    grades in a join, whose plan does not turn with the number of ratings. Features are dealt to their parts once and kept
+    so for all rounds.
     """
     spark = docs.sparkSession
     rated = ratings.where(F.col(key).isNotNull() & F.col(grade).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(grade).cast("int").alias("_grade"))
     rated = settle(rated, "ratings")
     parts = max(parts, -(-rated.count() // part_rows))
-    held = docs.select(F.col(key).alias("_key"), text_bytes(text).alias("_text")).join(rated, "_key")
+    held = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.xxhash64(key).alias("_hash"), text_bytes(text).alias("_text"))
+    # Equal keys of two types differ in their hashes: then all texts are spelled.
+    alike = held.schema["_key"].dataType == rated.schema["_key"].dataType
+    bits = spark.sparkContext.broadcast(filter_bits(rated.select(F.xxhash64("_key").alias("hash")))) if alike else None
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes()
         for batch in batches:
+            if bits is not None:
+                batch = batch.filter(pa.array(in_filter(bits.value, batch.column(1).to_numpy())))
             found = [features(x, codes) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), batch.column(1), pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32())),
-                    pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32())),
-                ],
-                ["key", "grade", "index", "value"],
+                [batch.column(0), pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in found], pa.list_(pa.float32()))],
+                ["_key", "index", "value"],
             )
 
-    part = F.pmod(F.xxhash64("key", F.lit(7)), F.lit(parts)).cast("int")
-    bare = held.select(F.col("_key").alias("key"), F.col("_grade").alias("grade"), "_text")
-    spelled = bare.mapInArrow(spell, T.StructType(bare.schema.fields[:-1] + T.StructType.fromDDL("index array<int>, value array<float>").fields))
-    rows = settle(spelled.withColumn("part", part), "features")
-    grades = np.array(sorted(r.grade for r in rows.select("grade").distinct().collect()), np.int64)
+    part = F.pmod(F.xxhash64("_key", F.lit(7)), F.lit(parts)).cast("int")
+    spelled = held.mapInArrow(spell, T.StructType([held.schema["_key"], *T.StructType.fromDDL("index array<int>, value array<float>").fields]))
+    joined = spelled.join(rated.hint("merge"), "_key")
+    rows = settle(joined.select(F.col("_key").alias("key"), F.col("_grade").alias("grade"), "index", "value", part.alias("part")), "features")
+    frequency = {r.grade: r["count"] for r in rows.groupBy("grade").count().collect()}
+    grades = np.array(sorted(frequency), np.int64)
     if len(grades) < 2:
         return OrdinalModel(np.zeros(SIZE), np.zeros(0), grades if len(grades) else np.zeros(1, np.int64))
 
-    frequency = {r.grade: r["count"] for r in rows.groupBy("grade").count().collect()}
     total = sum(frequency.values())
     below = np.cumsum([frequency[g] for g in grades.tolist()])[:-1] / total
     weights, thresholds = np.zeros(SIZE), np.log(below / (1 - below))
+    packed = settle(rows.groupBy("part").applyInArrow(pack, "part int, grade array<int>, length array<int>, index array<int>, value array<float>"), "parts")
+    sums = "part int, weights binary, thresholds binary"
+
+    def summed(found: Iterator[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """The sum of all, under the number of the first; nothing of nothing."""
+        first, w, t = None, np.zeros(SIZE), np.zeros(len(grades) - 1)
+        for number, more_w, more_t in found:
+            first = number if first is None else first
+            w += more_w
+            t += more_t
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([first], pa.int32()), pa.array([w.tobytes()]), pa.array([t.tobytes()])], ["part", "weights", "thresholds"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return summed((r["part"], np.frombuffer(r["weights"]), np.frombuffer(r["thresholds"])) for batch in batches for r in batch.to_pylist())
+
     for _ in range(rounds):
         start = spark.sparkContext.broadcast((weights, thresholds))
 
-        def learn(table: pa.Table) -> pa.Table:
-            table = table.sort_by([("key", "ascending"), ("grade", "ascending")])
-            n = table.num_rows
-            order = np.random.default_rng(0).permutation(n)
-            table = table.take(order)
-            batches = []
-            for at in range(0, n, 128):
-                cut = table.slice(at, 128).combine_chunks()
-                lists, values = cut.column("index").combine_chunks(), cut.column("value").combine_chunks()
-                row = np.repeat(np.arange(cut.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
-                place = np.searchsorted(grades, cut.column("grade").to_numpy())
-                batches.append((lists.flatten().to_numpy().astype(np.int64), values.flatten().to_numpy().astype(np.float64), row, place))
-            w, t = descend(*start.value, batches, rate=0.3, decay=1e-6, epochs=2)
-            return pa.table({"n": [n], "weights": [w.tobytes()], "thresholds": [t.tobytes()]})
-
-        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            w, t = np.zeros(SIZE), np.zeros(len(grades) - 1)
-            for batch in batches:
-                for r in batch.to_pylist():
-                    w += r["n"] / total * np.frombuffer(r["weights"])
-                    t += r["n"] / total * np.frombuffer(r["thresholds"])
-            yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([t.tobytes()])], ["weights", "thresholds"])
-
-        learned = rows.groupBy("part").applyInArrow(learn, "n long, weights binary, thresholds binary")
-        learned = learned.mapInArrow(merge, "weights binary, thresholds binary").collect()
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def each():
+                for batch in batches:
+                    for i in range(batch.num_rows):
+                        w, t = descend(*start.value, unpack(batch, i, grades), rate=0.3, decay=1e-6, epochs=2)
+                        share = len(batch.column("grade")[i]) / total
+                        yield batch.column("part")[i].as_py(), share * w, share * t
+
+            return summed(each())
+
+        # Each task sends one sum, and these meet in a few tasks before the driver adds up what is left.
+        learned = packed.mapInArrow(learn, sums).repartition(MERGERS, "part").sortWithinPartitions("part").mapInArrow(merge, sums).collect()
         weights = sum(np.frombuffer(r.weights) for r in learned)
         thresholds = sum(np.frombuffer(r.thresholds) for r in learned)
+        start.unpersist()
     return OrdinalModel(weights, thresholds, grades)
 
 
