@@ -296,3 +296,33 @@ def test_keys_of_two_types_and_beyond_the_filter(spark):
     narrow = wide.withColumn("doc_id", wide["doc_id"].cast("int"))
     a, b = quality.fit(docs, wide), quality.fit(docs, narrow)
     assert np.abs(a.weights).max() > 0 and np.allclose(a.weights, b.weights) and np.allclose(a.thresholds, b.thresholds)
+
+
+def test_the_pipeline_sends_the_driver_weights_of_few_tasks(spark, tmp_path, monkeypatch):
+    """As on many partitions that are not coalesced: it was a row of weights for each, empty ones too."""
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline
+
+    rows = graded(300, 9, 2)
+    docs = spark.createDataFrame([(i, t, "s") for i, t, _ in rows], "doc_id long, text string, source string")
+    spark.createDataFrame([(i, g, 0) for i, _, g in rows], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = []
+    collect = type(docs).collect
+
+    def recorded(self):
+        found = collect(self)
+        if "weights" in self.columns:
+            got.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(docs), "collect", recorded)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        kept = {r.doc_id for r in corpus_pipeline.quality_classifier(spark, docs, str(tmp_path)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == 4 and max(got) <= 8
+    assert np.mean([(i in kept) == (g == 1) for i, _, g in rows]) > 0.8
