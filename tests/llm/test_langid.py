@@ -7,6 +7,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidelake.llm import langid
@@ -229,3 +230,45 @@ def test_identify_is_fit_and_predict(spark, corpus):
         want = langid.predict(df, langid.fit(df.where(learn), max_grams=grams)).select(columns).toPandas().sort_values(columns).reset_index(drop=True)
         got = langid.identify(df, learn, max_grams=grams, keep=["doc_id"]).select(columns).toPandas().sort_values(columns).reset_index(drop=True)
         assert want[columns[:4]].equals(got[columns[:4]]) and np.allclose(want[columns[4:]], got[columns[4:]], atol=1e-9)
+
+
+ODD = [
+    "Ab1c-É the, The THE. (the)", "ΟΔΟΣ ΟΔΟΣ's ΑΣ.Β Σ", None, "", "  ", "a\u00a0b\u2003C\u3000d", "İstanbul \u212a ǅ", "漢字かな交じり文" * 50, "x" * 60, "\x00a\x1cb\x1fc\x85d", "²½ ªº ﬁ ß ẞ",
+    "été, ÉTÉ! l'été", "e\u0301 E\u0301", "12 ... ²",
+]
+
+
+@pytest.mark.parametrize("texts", [ODD, [t for t in ODD if "Σ" not in (t or "")], [b"a\xffb C\xe2(\xa1 \xed\xa0\x80z", b"\xce\xa3 A\xc3", None], [None, ""], []])
+def test_words_of_a_batch_have_the_pieces_of_its_texts(texts):
+    raw = [t.encode() if isinstance(t, str) else t for t in texts]
+    for array, asked in ((pa.array(raw, pa.binary()), raw), (pa.array([b"left out", *raw], pa.binary())[1:], raw)):
+        words, number, bounds = langid.split_words(array)
+        words = words.to_pylist()
+        assert len(bounds) == len(asked) + 1 and len(set(words)) == len(words)
+        for value, start, end in zip(asked, bounds, bounds[1:]):
+            got = [p for i in number[start:end] for p in langid.pieces(words[i])]
+            assert got == [p for token in (value or b"").decode("utf-8", "replace").split() for p in langid.pieces(token)]
+        rows = np.arange(2.0 * len(words)).reshape(-1, 2)
+        want = [rows[number[start:end]].sum(axis=0) for start, end in zip(bounds, bounds[1:])]
+        assert np.allclose(langid.text_sums(rows, number, bounds), np.array(want).reshape(-1, 2))
+
+
+def test_words_met_often_are_scored_once(spark, monkeypatch):
+    """Neither case nor punctuation makes another word, and a full table keeps the words it began with."""
+    grams, n = grams_of(Counter({"abra": 3, "cab": 2}))
+    levels, floor = langid.build_levels(grams, np.zeros(len(grams), int), n, 1)
+    model, asked = langid.LanguageModel(["x"], levels, floor), Counter()
+    scores = model.word_scores
+    monkeypatch.setattr(model, "word_scores", lambda words: (asked.update(words), scores(words))[1])
+    monkeypatch.setattr(langid.WordScores, "BOUND", 60)
+    table = langid.WordScores(2)
+    often = {"w" * i for i in range(1, 21)}
+    table.add(often, model)
+    for i in range(20):
+        table.add(often | {chr(97 + i) + "z" * (j % 23) + "a" * (j // 23) for j in range(25)}, model)
+        assert all(np.allclose(table.sums([w]), [scores([w])[0][0, 0], scores([w])[1][0]]) for w in often)
+    assert all(asked[w] == 1 for w in often) and len(table.place) <= 60
+    asked.clear()
+    words, _, _ = langid.split_words(pa.array([b"Cab, cab! (CAB) abra", b"'abra' Abra-cab."]))
+    langid.WordScores(2).of(words.to_pylist(), model)
+    assert {w: k for w, k in asked.items() if w} == {"cab": 1, "abra": 1}

@@ -1,7 +1,8 @@
 """Language identification with one interpolated Kneser-Ney character model per language.
 
-A word is scored as the characters between its boundaries, so a text's cross-entropy is the sum over its words, and every
-distinct word is scored once per worker. The models of all languages share sorted arrays of n-gram hashes; beside each
+A word is scored as the characters between its boundaries, so a text's cross-entropy is the sum over its words. A batch's
+words are split and numbered by Arrow, lower-cased and without ASCII punctuation; every distinct one is looked up or scored
+once, however it was written. The models of all languages share sorted arrays of n-gram hashes; beside each
 hash stand the log probability of its last character and the log weight of backing off from it, per language.
 
 No n-gram is left out. Models too large for the workers' memory stay in tables: all orders are counted and weighted by Spark,
@@ -12,13 +13,15 @@ are sent out with their scores; words with any other window are scored by a join
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,10 @@ ORDER = 5
 #: Longer runs of letters (scripts without spaces) are scored in pieces of this length, each with boundaries of its own.
 PIECE = 24
 LETTERS = regex.compile(r"\p{L}+")
+#: Words that are one piece as they stand.
+_PLAIN = re.compile(f"[a-zß-öø-ÿ]{{1,{PIECE}}}")
+# ASCII letters made lower and everything beyond ASCII; the rest separates.
+_LETTER_TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 UNKNOWN = "und"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _START, _END = "\x02", "\x03"
@@ -41,6 +48,36 @@ def pieces(token: str) -> list[str]:
     return [run[i : i + PIECE] for run in runs for i in range(0, len(run), PIECE)]
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts in UTF-8, the number of each word in order, and where each text's words begin and end.
+
+    The pieces of a text's words are those of the text. What is no letter in ASCII separates, unless a text of the batch has
+    a capital sigma, whose lower case depends on what stands beside it: then only white space does.
+    """
+    data = texts.buffers()[2]
+    if data is not None and b"\xce\xa3" not in (content := data.to_pybytes()):
+        letters = pa.py_buffer(content.translate(_LETTER_TABLE))
+        texts = pa.Array.from_buffers(texts.type, len(texts), [*texts.buffers()[:2], letters], offset=texts.offset)
+    try:
+        texts = texts.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        texts = pa.array([None if v is None else v.decode("utf-8", "replace") for v in texts.to_pylist()], pa.string())
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.flatten().dictionary_encode()
+    ends = np.cumsum(split.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    return coded.dictionary, coded.indices.to_numpy(), np.concatenate([[0], ends])
+
+
+def text_sums(rows: np.ndarray, number: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per text the sum of its words' rows; ``number`` and ``bounds`` as :func:`split_words` gives them."""
+    out = np.zeros((len(bounds) - 1, rows.shape[1]))
+    some = bounds[1:] > bounds[:-1]
+    if some.any():
+        for column in range(rows.shape[1]):
+            out[some, column] = np.add.reduceat(np.ascontiguousarray(rows[:, column])[number], bounds[:-1][some])
+    return out
+
+
 def windows(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Every character (and word end) with the ``ORDER - 1`` before it, as code points; and the word each belongs to."""
     padded = [_START * (ORDER - 1) + w + _END for w in words]
@@ -62,6 +99,14 @@ def gram_hash(grams: np.ndarray) -> np.ndarray:
     return h
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct hash, and which of them each hash is."""
+    index = pa.array(hashes).dictionary_encode().indices.to_numpy()
+    place = np.empty(index.max() + 1, np.int64)
+    place[index] = np.arange(len(index))
+    return place, index
+
+
 @dataclass
 class Level:
     """One order: sorted hashes of its n-grams and contexts, with a column per language."""
@@ -113,24 +158,29 @@ class LanguageModel:
     def word_scores(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Per token: minus its log probability in each language, and its number of letters and word ends."""
         total, count = np.zeros((len(tokens), len(self.languages))), np.zeros(len(tokens), np.int64)
-        for at in range(0, len(tokens), 10_000):
-            words, owner = [], []
-            for i, token in enumerate(tokens[at : at + 10_000], at):
-                for piece in pieces(token):
-                    words.append(piece)
-                    owner.append(i)
+        for at in range(0, len(tokens), 20_000):
+            part = tokens[at : at + 20_000]
+            owner = [i for i, token in enumerate(part) if _PLAIN.fullmatch(token)]
+            words = [part[i] for i in owner]
+            for i in sorted(set(range(len(part))).difference(owner)):
+                words += (found := pieces(part[i]))
+                owner += [i] * len(found)
             if words:
                 grams, word = windows(words)
                 token = np.asarray(owner)[word]
-                logp = self.logp(grams)
+                first, index = _distinct(gram_hash(grams))
+                logp = self.logp(grams[first])
                 for column in range(len(self.languages)):
-                    total[:, column] -= np.bincount(token, weights=logp[:, column], minlength=len(tokens))
-                count += np.bincount(token, minlength=len(tokens))
+                    total[at : at + len(part), column] -= np.bincount(token, weights=np.ascontiguousarray(logp[:, column])[index], minlength=len(part))
+                count[at : at + len(part)] += np.bincount(token, minlength=len(part))
         return total, count
 
 
 class WordScores:
-    """Scores of the words met so far by a worker, up to a bound; a row each, in an array that doubles."""
+    """Scores of the words met by a worker, a row each, in an array that doubles. Beyond a bound the last ones make room.
+
+    Words met first, most of them frequent, stay: up to half of the bound.
+    """
 
     BOUND = 120_000
 
@@ -141,11 +191,14 @@ class WordScores:
     def places(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
 
-    def add(self, words: set[str], model: LanguageModel) -> None:
-        missing = list(words - self.place.keys())
+    def add(self, words: Collection[str], model: LanguageModel) -> None:
+        """``words`` are distinct; all of them have a place afterwards."""
+        missing = [w for w in words if w not in self.place]
         if len(self.place) + len(missing) > self.BOUND:
-            self.place.clear()
-            missing = list(words)
+            left = max(self.BOUND - len(missing), self.BOUND // 2)
+            while len(self.place) > left:
+                self.place.popitem()
+            missing = [w for w in words if w not in self.place]
         if missing:
             at, end = len(self.place), len(self.place) + len(missing)
             while len(self.rows) < end:
@@ -154,6 +207,11 @@ class WordScores:
             self.rows[at:end, :-1], self.rows[at:end, -1] = total, count
             self.place.update(zip(missing, range(at, end)))
 
+    def of(self, words: list[str], model: LanguageModel) -> np.ndarray:
+        """The rows of distinct words."""
+        self.add(words, model)
+        return self.rows[self.places(words)]
+
     def sums(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros(self.rows.shape[1])
@@ -218,6 +276,12 @@ def _right_aligned(rows: np.ndarray) -> np.ndarray:
 HELD_WORDS = 120_000
 
 
+def _gram_bytes(grams: np.ndarray) -> pa.Array:
+    """Each row of code points as little-endian 32-bit numbers."""
+    rows = pa.py_buffer(np.ascontiguousarray(grams, "<u4"))
+    return pa.Array.from_buffers(pa.binary(4 * grams.shape[1]), len(grams), [None, rows]).cast(pa.binary())
+
+
 def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """Counts of the longest n-grams per language: (lang, gram, n).
 
@@ -228,23 +292,26 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
         for name, counter in words.items():
             grouped: Counter = Counter()
             for token, n in counter.items():
-                for piece in pieces(token):
+                for piece in (token,) if _PLAIN.fullmatch(token) else pieces(token):
                     grouped[piece] += n
             if grouped:
                 grams, word = windows(list(grouped))
-                _, first, index = np.unique(gram_hash(grams), return_index=True, return_inverse=True)
+                first, index = _distinct(gram_hash(grams))
                 n = np.bincount(index, weights=np.fromiter(grouped.values(), np.float64)[word]).astype(np.int64)
-                shown = np.ascontiguousarray(grams[first]).astype("<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(first)), pa.array([g.tobytes() for g in shown], pa.binary()), pa.array(n)], ["lang", "gram", "n"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(first)), _gram_bytes(grams[first]), pa.array(n)], ["lang", "gram", "n"])
         words.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
         for batch in batches:
-            for value, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words.setdefault(name, Counter()).update(value.decode("utf-8", "replace").split())
+            found, number, bounds = split_words(batch.column(0))
+            found, names = found.to_pylist(), batch.column(1).dictionary_encode()
+            owner = np.repeat(names.indices.to_numpy(), np.diff(bounds))
+            for i, name in enumerate(names.dictionary.to_pylist()):
+                n = np.bincount(number[owner == i], minlength=len(found))
+                counter, some = words.setdefault(name, Counter()), np.flatnonzero(n)
+                for at, k in zip(some.tolist(), n[some].tolist()):
+                    counter[found[at]] += k
             if sum(map(len, words.values())) > HELD_WORDS:
                 yield from spelled(words)
         yield from spelled(words)
@@ -486,7 +553,7 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for word in batch.column(0).to_pylist():
             grams, _ = windows(pieces(word))
-            yield pa.RecordBatch.from_arrays([pa.array([word] * len(grams), pa.string()), pa.array([g.tobytes() for g in np.ascontiguousarray(grams).astype("<u4")], pa.binary())], ["w", "gram"])
+            yield pa.RecordBatch.from_arrays([pa.array([word] * len(grams), pa.string()), _gram_bytes(grams)], ["w", "gram"])
 
 
 def _predict_by_tables(docs: DataFrame, model: LanguageModel, text: str, core_windows: int) -> DataFrame:
@@ -496,22 +563,20 @@ def _predict_by_tables(docs: DataFrame, model: LanguageModel, text: str, core_wi
     core = _core(scored, model, min(core_windows, 8 * core_windows // n_languages))
     shared = docs.sparkSession.sparkContext.broadcast(core)
     key = f"langid-{uuid.uuid4().hex}"
-    rare_type = pa.list_(pa.struct([("w", pa.string()), ("n", pa.int64())]))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         core = shared.value
         words_of = process_value(key, lambda: WordScores(n_languages + 1))
         for batch in batches:
-            sums, rare = [], []
-            for split in _split_some(batch.column(1).to_pylist()):
-                words_of.add(set().union(*split), core)
-                for words in split:
-                    at = words_of.places(words)
-                    rows = words_of.rows[at]
-                    left = np.isnan(rows[:, 0])
-                    sums.append([*rows[~left, :-1].sum(axis=0), rows[:, -1].sum()])
-                    rare.append([{"w": words[i], "n": 1} for i in np.flatnonzero(left).tolist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.list_(pa.float64())), pa.array(rare, rare_type)], ["kept", "s", "rare"])
+            words, number, bounds = split_words(batch.column(1))
+            rows = words_of.of(words.to_pylist(), core)
+            left = np.isnan(rows[:, 0])
+            rows[left, :-1] = 0.0
+            sums = text_sums(rows, number, bounds)
+            at = np.flatnonzero(left[number])
+            rare = pa.StructArray.from_arrays([words.take(pa.array(number[at])), pa.array(np.ones(len(at), np.int64))], ["w", "n"])
+            rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(at, bounds).astype(np.int32)), rare)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(sums), pa.list_(pa.float64())), rare], ["kept", "s", "rare"])
 
     kept = others(docs, RESULT.names)
     bare = docs.select(F.struct(F.lit(None).cast("int").alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("kept"), text_bytes(text).alias("t"))
@@ -537,18 +602,6 @@ def _predict_by_tables(docs: DataFrame, model: LanguageModel, text: str, core_wi
     return answered.select(*[F.col(f"kept.c{i}").alias(c) for i, c in enumerate(kept)], *RESULT.names)
 
 
-def _split_some(texts: list[bytes | None]) -> Iterator[list[list[str]]]:
-    """The words of some texts at a time, about a megabyte, so that their new words are scored together."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (size < 1 << 20 or end == at):
-            size += len(texts[end] or b"")
-            end += 1
-        yield [v.decode("utf-8", "replace").split() if v else [] for v in texts[at:end]]
-        at = end
-
-
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", core_windows: int = CORE_WINDOWS) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1), accepted, cross_entropy, margin and n_letters; every row is kept.
 
@@ -567,11 +620,9 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", core_wind
         model = shared.value
         words_of = process_value(key, lambda: WordScores(n_languages + 1))
         for batch in batches:
-            parts = []
-            for split in _split_some(batch.column(batch.num_columns - 1).to_pylist()):
-                words_of.add(set().union(*split), model)
-                parts += [words_of.sums(words) for words in split]
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + _answers(np.array(parts), model), names)
+            words, number, bounds = split_words(batch.column(batch.num_columns - 1))
+            sums = text_sums(words_of.of(words.to_pylist(), model), number, bounds)
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + _answers(sums, model), names)
 
     kept = others(docs, RESULT.names)
     bare = docs.select(*[F.col(f"`{c}`") for c in kept], text_bytes(text).alias(fresh(docs, "_bytes")[0]))
