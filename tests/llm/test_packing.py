@@ -8,8 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
-from tidelake.llm import packing
-from tidelake.llm.base import ship
+from tidelake.llm import base, packing
+from tidelake.llm.base import settle, ship
 from tidelake.llm.queries import encoder
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -97,3 +97,28 @@ def test_one_size_for_a_third_and_chunks(spark, monkeypatch):
     assert sorted(r.item for r in rows) == list(range(2000))
     whole, _ = packing.best_fit(np.array(size), 100)
     assert len({r.sequence_id for r in rows}) <= (whole.max() + 1) * 1.02 + 1
+
+
+def test_ids_leave_the_workers_only_if_asked_for(spark, monkeypatch):
+    ship(spark)
+    docs = spark.createDataFrame([(1, "a b", 7), (2, None, 8)], "doc_id long, text string, IDS int")
+    written = []
+    monkeypatch.setattr(packing, "settle", lambda df, name: (written.append(df._jdf.queryExecution().analyzed().toString()), settle(df, name))[1])
+    for with_ids in (False, True):
+        written.clear()
+        out = packing.pack_documents(docs, encoder, "byte_bpe_50k", 16, with_ids=with_ids)
+        assert ("ids" in out.columns) == with_ids and "IDS" not in out.columns and out.count() == 2
+        assert any("MapInArrow" in plan and "ids#" in plan for plan in written[:1]) == with_ids
+
+
+def test_what_an_earlier_value_held_is_given_back(monkeypatch):
+    given_back = []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(dict(base._PROCESS))
+
+    monkeypatch.setattr(base, "_PROCESS", {"earlier": 1})
+    monkeypatch.setattr(base.pa, "default_memory_pool", Pool)
+    assert [base.process_value("later", lambda: 2), base.process_value("later", lambda: 3)] == [2, 2]
+    assert given_back == [{}] and base._PROCESS == {"later": 2}

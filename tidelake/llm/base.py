@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -9,6 +11,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,9 +54,15 @@ def process_value(key, make: Callable):
     """A value that is made once per Python process and key, such as a tokenizer.
 
     Only the last one is kept: workers live on from stage to stage, and what an earlier one needed would stay in memory.
+    What Arrow and the C library still hold of it goes back to the system.
     """
     if key not in _PROCESS:
         _PROCESS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
         _PROCESS[key] = make()
     return _PROCESS[key]
 

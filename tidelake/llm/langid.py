@@ -48,6 +48,17 @@ def pieces(token: str) -> list[str]:
     return [run[i : i + PIECE] for run in runs for i in range(0, len(run), PIECE)]
 
 
+#: Text whose words are numbered at a time; bounds what a worker holds of a batch.
+PART_BYTES = 1 << 21
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, in order; one part of an empty batch."""
+    rows = max(1, batch.num_rows * PART_BYTES // max(batch.nbytes, 1))
+    for at in range(0, max(batch.num_rows, 1), rows):
+        yield batch.take(pa.array(np.arange(at, min(at + rows, batch.num_rows))))
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct words of some texts in UTF-8, the number of each word in order, and where each text's words begin and end.
 
@@ -304,14 +315,15 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
         for batch in batches:
-            found, number, bounds = split_words(batch.column(0))
-            found, names = found.to_pylist(), batch.column(1).dictionary_encode()
-            owner = np.repeat(names.indices.to_numpy(), np.diff(bounds))
-            for i, name in enumerate(names.dictionary.to_pylist()):
-                n = np.bincount(number[owner == i], minlength=len(found))
-                counter, some = words.setdefault(name, Counter()), np.flatnonzero(n)
-                for at, k in zip(some.tolist(), n[some].tolist()):
-                    counter[found[at]] += k
+            for part in _parts(batch):
+                found, number, bounds = split_words(part.column(0))
+                found, names = found.to_pylist(), part.column(1).dictionary_encode()
+                owner = np.repeat(names.indices.to_numpy(), np.diff(bounds))
+                for i, name in enumerate(names.dictionary.to_pylist()):
+                    n = np.bincount(number[owner == i], minlength=len(found))
+                    counter, some = words.setdefault(name, Counter()), np.flatnonzero(n)
+                    for at, k in zip(some.tolist(), n[some].tolist()):
+                        counter[found[at]] += k
             if sum(map(len, words.values())) > HELD_WORDS:
                 yield from spelled(words)
         yield from spelled(words)
@@ -620,9 +632,11 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", core_wind
         model = shared.value
         words_of = process_value(key, lambda: WordScores(n_languages + 1))
         for batch in batches:
-            words, number, bounds = split_words(batch.column(batch.num_columns - 1))
-            sums = text_sums(words_of.of(words.to_pylist(), model), number, bounds)
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + _answers(sums, model), names)
+            sums = []
+            for part in _parts(batch.select([batch.num_columns - 1])):
+                words, number, bounds = split_words(part.column(0))
+                sums.append(text_sums(words_of.of(words.to_pylist(), model), number, bounds))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + _answers(np.concatenate(sums), model), names)
 
     kept = others(docs, RESULT.names)
     bare = docs.select(*[F.col(f"`{c}`") for c in kept], text_bytes(text).alias(fresh(docs, "_bytes")[0]))

@@ -64,8 +64,8 @@ class ChunkIds(dict):
         return b"".join(map(self.__getitem__, self.CUT.split(text)))
 
 
-def tokenise(docs: DataFrame, make_encoder: Callable[[], ChunkIds], encoder_key: str, capacity: int, text: str = "text", end: int = 0) -> DataFrame:
-    """``docs`` without the text, a row per piece: piece, start, length, ids_crc32 and ids (little-endian 32-bit).
+def tokenise(docs: DataFrame, make_encoder: Callable[[], ChunkIds], encoder_key: str, capacity: int, text: str = "text", end: int = 0, with_ids: bool = True) -> DataFrame:
+    """``docs`` without the text, a row per piece: piece, start, length, ids_crc32 and, if asked for, ids (little-endian 32-bit).
 
     A document is its ids and then ``end``; null and empty texts are ``end`` alone. Only documents longer than
     ``capacity`` are cut, from the back, so that all pieces but the first are whole sequences.
@@ -75,27 +75,32 @@ def tokenise(docs: DataFrame, make_encoder: Callable[[], ChunkIds], encoder_key:
         encoder, closing = process_value(encoder_key, make_encoder), np.array([end], "<u4").tobytes()
         for batch in batches:
             row, piece, start, length, crc, packed = [], [], [], [], [], []
-            for i, value in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            for i, value in enumerate(batch.column(batch.num_columns - 1)):
+                value = value.as_py()
                 ids = (encoder.encode(value.decode("utf-8", "replace")) if value else b"") + closing
                 n = len(ids) // 4
                 at, number = 0, 0
                 while at < n:
                     size = n - at if n - at <= capacity else (n - at) % capacity or capacity
                     part = ids[4 * at : 4 * (at + size)]
-                    for column, x in zip((row, piece, start, length, crc, packed), (i, number, at, size, zlib.crc32(part), part)):
+                    for column, x in zip((row, piece, start, length, crc), (i, number, at, size, zlib.crc32(part))):
                         column.append(x)
+                    if with_ids:
+                        packed.append(part)
                     at, number = at + size, number + 1
             rows = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     *(c.take(rows) for c in batch.columns[:-1]), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                    pa.array(crc, pa.int64()), pa.array(packed, pa.binary()),
+                    pa.array(crc, pa.int64()), *([pa.array(packed, pa.binary())] if with_ids else []),
                 ],
                 names,
             )
 
     added = T.StructType.fromDDL("piece int, start long, length long, ids_crc32 long, ids binary")
     kept = others(docs, [text, *added.names])
+    if not with_ids:
+        added = T.StructType(added.fields[:-1])
     bare = docs.select(*kept, text_bytes(text).alias(fresh(docs, "_bytes")[0]))
     names = [*kept, *added.names]
     return bare.mapInArrow(run, T.StructType(bare.schema.fields[:-1] + added.fields))
@@ -202,9 +207,9 @@ def pack_documents(
     Every row of ``docs`` yields a piece at least; rows that repeat are documents of their own. Input columns named as one of
     those added (in any case, ``ids`` included) are left out.
     """
-    pieces = tokenise(docs, make_encoder, encoder_key, capacity, text, end)
+    pieces = tokenise(docs, make_encoder, encoder_key, capacity, text, end, with_ids)
     item, *_ = fresh(docs, "item")
-    pieces = pieces.select(*others(pieces, ["sequence_id", "offset"] + ([] if with_ids else ["ids"])))
+    pieces = pieces.select(*others(pieces, ["sequence_id", "offset"]))
     pieces = settle(pieces.withColumn(item, F.monotonically_increasing_id()), "pieces")
     packed = pack(pieces.select(item, "length"), item, "length", capacity)
     return pieces.join(packed.withColumnRenamed("item", item), item).drop(item)
