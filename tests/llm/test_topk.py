@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelake.llm import topk
-from tidelake.llm.base import ship
+from tidelake.llm.base import settle, ship
 
 
 def brute(rows, k, scale=64):
@@ -72,3 +72,24 @@ def test_empty_and_lonely(spark):
     assert run(spark, [(0, [1.0])], 5) == []
     assert run(spark, [(1, [1.0]), (2, [1.0])], 5) == []
     assert run(spark, [(0, []), (1, [])], 5) == [(0, 1, 1, 0)]
+
+
+def test_no_block_or_interval_goes_through_the_driver(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(topk, "settle", lambda df, label: plans.append(df) or settle(df, label))
+    df = spark.createDataFrame(vectors(60, 2, 3), "vec_id long, embedding array<float>")
+    plans.append(topk.inner_product_topk(ship(spark) and df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, 3))
+    shown = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    assert sum("SortMergeJoin" in p for p in shown) >= 2
+    assert not any("Broadcast" in p for p in shown)
+
+
+def test_blocks_are_copied_as_often_as_tasks_need_them():
+    assert topk._groups(1, 1, 600) == (1, 1)
+    for rows, queries, tasks in [(0, 0, 4), (27, 6, 600), (312, 66, 600), (312, 66, 19), (9000, 2000, 600), (3, 500, 8), (500, 1, 8)]:
+        g, h = topk._groups(rows, queries, tasks)
+        assert 1 <= g <= max(1, rows) and 1 <= h <= max(1, queries) and queries <= topk.QUERY_GROUP * h
+        assert g * h >= min(4 * tasks, rows * queries)
+    g, h = topk._groups(312, 66, 600)
+    copied, once_with_all_rows = 312 * 2048 * h + 66 * 512 * g, 312 * 2048 + 66 * 512 * 1200
+    assert copied < 0.4 * once_with_all_rows

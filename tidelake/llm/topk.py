@@ -8,6 +8,7 @@ it and, of those equal to it, the smallest ids that are still needed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,7 +61,9 @@ class _Pair:
 
     def __init__(self, row: dict, dims: int, kind: str, exact):
         self.ids, self.rows = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["row_ids"], "<i8")
-        self.low, self.need = np.asarray(row["low"], np.int64)[:, None], np.asarray(row["need"], np.int64)[:, None]
+        self.low, self.need = np.zeros((2, len(self.ids), 1), np.int64)
+        at = np.asarray(row["i"], np.int64)  # a query without candidates has no interval
+        self.low[at, 0], self.need[at, 0] = row["low"], row["need"]
         asked = np.frombuffer(row["data"], kind).reshape(-1, dims).astype(exact)
         given = np.frombuffer(row["rows"], kind).reshape(-1, dims).astype(exact)
         order = np.argsort(self.rows, kind="stable")
@@ -123,7 +126,7 @@ def _narrowed(state: DataFrame, counts: DataFrame, span: int) -> DataFrame:
     """
     query = Window.partitionBy("q", "i")
     over = F.coalesce(F.sum("n").over(query.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counted = counts.join(state, ["q", "i"]).select(
+    counted = counts.join(state.hint("merge"), ["q", "i"]).select(
         "q", "i", "bin", "n", "low", "need", over.alias("over"), F.min("bin").over(query).alias("lowest")
     )
     chosen = counted.where((F.col("over") < F.col("need")) & ((F.col("over") + F.col("n") >= F.col("need")) | (F.col("bin") == F.col("lowest"))))
@@ -133,6 +136,17 @@ def _narrowed(state: DataFrame, counts: DataFrame, span: int) -> DataFrame:
     )
 
 
+def _groups(row_blocks: int, query_blocks: int, tasks: int) -> tuple[int, int]:
+    """Row groups and query groups: four pairs of groups or more for a task as far as there are blocks, and so many of each that the least is copied.
+
+    Each row block is copied once per query group, each query block once per row group.
+    """
+    row_blocks, query_blocks, pairs = max(1, row_blocks), max(1, query_blocks), 4 * tasks
+    even = round(math.sqrt(pairs * query_blocks * QUERY_BLOCK / (row_blocks * ROW_BLOCK)))
+    query_groups = min(query_blocks, max(even, -(-query_blocks // QUERY_GROUP), -(-pairs // row_blocks)))
+    return min(row_blocks, -(-pairs // query_groups)), query_groups
+
+
 def inner_product_topk(df: DataFrame, id_column: str, vector: str, asks: Column, k: int, scale: float = 64.0) -> DataFrame:
     """For each row where ``asks`` holds, the ``k`` highest scores over all other rows: query_id, rank, vec_id, score.
 
@@ -142,7 +156,9 @@ def inner_product_topk(df: DataFrame, id_column: str, vector: str, asks: Column,
     read. Products must fit a long, larger ones raise.
 
     Blocks meet under an equality key (row group, query group), so work is spread whatever the vectors hold and equal
-    vectors form no group anywhere. A pass shuffles the blocks and at most ``BINS`` counts per query and task.
+    vectors form no group anywhere. A pass shuffles the blocks and at most ``BINS`` counts per query and task. Blocks and
+    intervals are joined by merging: the planner does not know how often blocks are copied, nor how much intervals shrink
+    when written, and would send them all through the driver.
     """
     spark = df.sparkSession
     read = df.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("id"), F.col(vector).alias("x"), asks.alias("asks"))
@@ -162,13 +178,13 @@ def inner_product_topk(df: DataFrame, id_column: str, vector: str, asks: Column,
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     queries = _blocks(points.where("asks").groupBy("id").agg(F.min("v").alias("v")), QUERY_BLOCK, dims, kind)
     rows = _blocks(points, ROW_BLOCK, dims, kind)
-    row_groups, query_groups = 2 * tasks, max(1, queries.count() // QUERY_GROUP)
+    row_groups, query_groups = _groups(rows.count(), queries.count(), tasks)
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     rows = rows.select(F.col("ids").alias("row_ids"), F.col("data").alias("rows"), F.pmod(F.xxhash64("block"), F.lit(row_groups)).cast("int").alias("g"), every(query_groups).alias("h"))
-    asked = queries.select(F.col("block").alias("q"), "ids", "data", F.pmod(F.xxhash64("block"), F.lit(query_groups)).cast("int").alias("h"), every(row_groups).alias("g"))
+    asked = queries.select(F.col("block").alias("q"), "ids", "data", F.pmod(F.xxhash64("block"), F.lit(query_groups)).cast("int").alias("h"))
 
     top = int(bound) + 1
     span = 1
@@ -177,14 +193,13 @@ def inner_product_topk(df: DataFrame, id_column: str, vector: str, asks: Column,
     state = queries.select(
         F.col("block").alias("q"), F.explode(F.sequence(F.lit(0), (F.octet_length("ids") / 8).cast("int") - 1)).alias("i")
     ).select("q", "i", F.lit(-top).cast("long").alias("low"), F.lit(k).cast("long").alias("need"))
-    first = state
 
     def pairs(state: DataFrame) -> DataFrame:
-        """Row blocks beside query blocks, with the intervals in query order; a query without candidates needs none."""
-        whole = first.select("q", "i").join(state, ["q", "i"], "left")
-        at = F.sort_array(F.collect_list(F.struct("i", F.coalesce("low", F.lit(0)).alias("low"), F.coalesce("need", F.lit(0)).alias("need"))))
-        lists = whole.groupBy("q").agg(at.alias("at")).select("q", F.col("at.low").alias("low"), F.col("at.need").alias("need"))
-        return rows.join(asked.join(lists, "q"), ["g", "h"]).select("q", "ids", "data", "row_ids", "rows", "low", "need")
+        """Row blocks beside query blocks, with the intervals and the places of their queries."""
+        at = F.collect_list(F.struct("i", "low", "need")).alias("at")
+        lists = state.groupBy("q").agg(at).select("q", F.col("at.i").alias("i"), F.col("at.low").alias("low"), F.col("at.need").alias("need"))
+        placed = asked.join(lists.hint("merge"), "q").select("*", every(row_groups).alias("g"))
+        return rows.join(placed.hint("merge"), ["g", "h"]).select("q", "ids", "data", "row_ids", "rows", "i", "low", "need")
 
     while True:
         counts = pairs(state).mapInArrow(_counter(dims, kind, exact, span), "q long, i int, bin int, n long")
