@@ -61,19 +61,21 @@ class _Pair:
 
     def __init__(self, row: dict, dims: int, kind: str, exact):
         self.ids, self.rows = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["row_ids"], "<i8")
-        self.low, self.need = np.zeros((2, len(self.ids), 1), np.int64)
+        whole = np.int32 if exact is np.float32 else np.int64
+        self.low, self.need = np.zeros((len(self.ids), 1), whole), np.zeros((len(self.ids), 1), np.int64)
         at = np.asarray(row["i"], np.int64)  # a query without candidates has no interval
         self.low[at, 0], self.need[at, 0] = row["low"], row["need"]
         asked = np.frombuffer(row["data"], kind).reshape(-1, dims).astype(exact)
         given = np.frombuffer(row["rows"], kind).reshape(-1, dims).astype(exact)
         order = np.argsort(self.rows, kind="stable")
         self.rows = self.rows[order]
-        self.scores = (asked @ given[order].T).astype(np.int64)
-        self.others = self.ids[:, None] != self.rows[None, :]
+        self.scores = (asked @ given[order].T).astype(whole)
+        self.others = self.ids[:, None] != self.rows[None, :] if np.isin(self.ids, self.rows).any() else True
 
 
 def _counter(dims: int, kind: str, exact, span: int):
-    """Per query and bin of width ``span``, the number of scores; summed over the blocks that a task meets."""
+    """Per query and bin of width ``span``, a power of two, the number of scores; summed over the blocks that a task meets."""
+    shift = span.bit_length() - 1
 
     def flush(sums: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for q, counts in sums.items():
@@ -89,9 +91,9 @@ def _counter(dims: int, kind: str, exact, span: int):
         for batch in batches:
             for row in batch.to_pylist():
                 p = _Pair(row, dims, kind, exact)
-                bins = (p.scores - p.low) // span
+                bins = (p.scores - p.low) >> shift
                 inside = (bins >= 0) & (bins < BINS) & p.others
-                bins += np.arange(len(p.ids))[:, None] * BINS
+                bins += np.arange(len(p.ids), dtype=bins.dtype)[:, None] * BINS
                 counts = np.bincount(bins[inside], minlength=len(p.ids) * BINS)
                 sums[row["q"]] = sums.get(row["q"], 0) + counts
                 if len(sums) > 32:
@@ -108,11 +110,15 @@ def _keeper(dims: int, kind: str, exact):
         for batch in batches:
             for row in batch.to_pylist():
                 p = _Pair(row, dims, kind, exact)
-                equal = (p.scores == p.low) & p.others
-                taken = (equal & (np.cumsum(equal, axis=1) <= p.need)) | ((p.scores > p.low) & p.others)
-                qi, ri = np.nonzero(taken)
+                at = np.flatnonzero((p.scores >= p.low) & p.others)
+                qi, ri = at // len(p.rows), at % len(p.rows)
+                scores = p.scores[qi, ri]
+                equal = scores == p.low[qi, 0]
+                before = np.concatenate([[0], np.cumsum(equal)])
+                taken = ~equal | (before[1:] - before[np.searchsorted(qi, qi)] <= p.need[qi, 0])
+                qi, ri = qi[taken], ri[taken]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(p.ids[qi].astype(np.int64)), pa.array(p.rows[ri].astype(np.int64)), pa.array(p.scores[qi, ri])],
+                    [pa.array(p.ids[qi].astype(np.int64)), pa.array(p.rows[ri].astype(np.int64)), pa.array(scores[taken].astype(np.int64))],
                     ["query_id", "vec_id", "score"],
                 )
 
